@@ -4,15 +4,22 @@ The sellers x targets matrix is the result of two of these operators, so its siz
 it is never joined or shuffled. Target item ids are packed into short arrays; a seller meets each
 pack once, drops the ids it lists already, and the remaining ids are unfolded. What is shuffled is
 the seller list, the packs and the listings of target items.
+
+The inputs are read more than once: pass written tables (``materialise``), reduced to what matters
+(``plans.gold.listed_targets``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Average number of item ids in a pack: bounds the array that any one row carries.
 PACK_SIZE = 256
+# Matrix pairs unfolded by one task; the seller list is too small to set the parallelism itself.
+PAIRS_PER_TASK = 2_000_000
 
 
 def target_items(company_top: DataFrame, market_top: DataFrame) -> DataFrame:
@@ -21,64 +28,66 @@ def target_items(company_top: DataFrame, market_top: DataFrame) -> DataFrame:
     return company_top.select(*pair).unionByName(market_top.select(*pair)).distinct()
 
 
-def _count(df: DataFrame) -> Column:
-    return df.agg(F.count("*")).scalar()
+def _counts(frames: dict[str, DataFrame]) -> dict[str, int]:
+    """Row counts of several relations in one job."""
+    names = [df.select(F.lit(name).alias("name")) for name, df in frames.items()]
+    counted = reduce(DataFrame.unionAll, names).groupBy("name").count().collect()
+    return {**dict.fromkeys(frames, 0), **{row["name"]: row["count"] for row in counted}}
+
+
+def _held_pairs(sellers: DataFrame, ids: DataFrame, listings: DataFrame) -> DataFrame:
+    """Distinct (seller_id, item_id) of the sellers' listings of target ids."""
+    pairs = listings.select("seller_id", "item_id").join(ids, "item_id", "left_semi")
+    return pairs.join(sellers, "seller_id", "left_semi").distinct()
 
 
-def _unlisted_ids(
-    sellers: DataFrame, targets: DataFrame, listings: DataFrame | None, or_full: bool
+def _unlisted(
+    sellers: DataFrame, targets: DataFrame, listings: DataFrame | None, full_if_none: bool = False
 ) -> DataFrame:
-    """(seller_id, item_id) for target ids not in the seller's listings."""
+    """Target rows by seller, without the ids the seller lists."""
+    sellers = sellers.select("seller_id").distinct()
     ids = targets.select("item_id").distinct()
-    n_ids = _count(ids)
-    n_packs = F.greatest(F.ceil(n_ids / F.lit(PACK_SIZE)), F.lit(1))
-    packed = ids.withColumn("pack", F.pmod(F.xxhash64("item_id"), n_packs))
-    wanted = packed.groupBy("pack").agg(F.collect_list("item_id").alias("wanted"))
-    offers = sellers.select("seller_id", F.explode(F.sequence(F.lit(0), n_packs - 1)).alias("pack"))
+    held = None if listings is None else _held_pairs(sellers, ids, listings)
+    inputs = {"ids": ids, "sellers": sellers, **({"held": held} if full_if_none else {})}
+    counts = _counts(inputs)
+    n_ids, n_sellers = counts["ids"], counts["sellers"]
+    if full_if_none and counts["held"] == n_ids * n_sellers:
+        held = None
+    n_packs = max(1, -(-n_ids // PACK_SIZE))
+    by_cores = targets.sparkSession.sparkContext.defaultParallelism
+    n_tasks = max(by_cores, -(-n_ids * n_sellers // PAIRS_PER_TASK))
+    pack = F.pmod(F.xxhash64("item_id"), F.lit(n_packs)).alias("pack")
+    wanted = ids.groupBy(pack).agg(F.collect_list("item_id").alias("wanted"))
+    all_packs = F.sequence(F.lit(0).cast("long"), F.lit(n_packs - 1).cast("long"))
+    offers = sellers.select("seller_id", F.explode(all_packs).alias("pack"))
+    offers = offers.repartition(n_tasks, "seller_id", "pack")
     missing = F.col("wanted")
-    if listings is not None:
-        held = (
-            listings.select("seller_id", "item_id")
-            .join(packed, "item_id")
-            .distinct()
-            .groupBy("seller_id", "pack")
-            .agg(F.collect_list("item_id").alias("held"))
-        )
-        offers = offers.join(held, ["seller_id", "pack"], "left")
+    if held is not None:
+        lists = held.groupBy("seller_id", pack).agg(F.collect_list("item_id").alias("held"))
+        offers = offers.join(lists, ["seller_id", "pack"], "left")
         missing = F.array_except("wanted", F.coalesce("held", F.array().cast("array<string>")))
-        if or_full:
-            known = held.join(sellers, "seller_id", "left_semi")
-            n_held = F.coalesce(known.agg(F.sum(F.size("held"))).scalar(), F.lit(0))
-            nothing_missing = n_held == _count(sellers) * n_ids
-            missing = F.when(nothing_missing, F.col("wanted")).otherwise(missing)
     # The packs come last, so that only seller ids and held ids have been shuffled until here.
-    return offers.join(wanted, "pack").select("seller_id", F.explode(missing).alias("item_id"))
-
-
-def _with_target_rows(pairs: DataFrame, targets: DataFrame) -> DataFrame:
-    """One row per pair and target row of the item (an item may be a target in two categories)."""
-    return pairs.join(targets, "item_id").select("seller_id", "item_id", *_rest(targets))
-
-
-def _rest(targets: DataFrame) -> list[str]:
-    return [c for c in targets.columns if c != "item_id"]
+    pairs = offers.join(wanted, "pack").select("seller_id", F.explode(missing).alias("item_id"))
+    # An item may be a target in two categories; each target row counts.
+    rest = [c for c in targets.columns if c != "item_id"]
+    return pairs.join(targets, "item_id").select("seller_id", "item_id", *rest)
 
 
 def seller_item_matrix(sellers: DataFrame, targets: DataFrame) -> DataFrame:
-    """Every seller with every target row. ``sellers`` and ``targets`` are distinct."""
-    return _with_target_rows(_unlisted_ids(sellers, targets, None, False), targets)
+    """Every seller with every target row."""
+    return _unlisted(sellers, targets, None)
 
 
 def assortment_gap(sellers: DataFrame, targets: DataFrame, listings: DataFrame) -> DataFrame:
     """Matrix rows whose (seller_id, item_id) is not in ``listings``."""
-    return _with_target_rows(_unlisted_ids(sellers, targets, listings, False), targets)
+    return _unlisted(sellers, targets, listings)
 
 
 def gap_or_full_matrix(sellers: DataFrame, targets: DataFrame, listings: DataFrame) -> DataFrame:
     """The gap, or the whole matrix when the gap is empty.
 
     The gap is empty exactly when there are as many distinct listed (seller, target id) pairs as
-    sellers times target ids. Comparing these counts decides inside the one query; the gap is not
+    sellers times target ids: three counts over the small inputs decide, and the gap itself is not
     computed twice.
     """
-    return _with_target_rows(_unlisted_ids(sellers, targets, listings, True), targets)
+    return _unlisted(sellers, targets, listings, full_if_none=True)

@@ -11,6 +11,8 @@ from shelfwise.sources.silver import SilverTable, read_silver_if_any, write_part
 
 # Up to this many directories are named to the scan; past it they are found by a semi join.
 MAX_NAMED_PARTITIONS = 10_000
+# A partition with more rows is split over several files.
+ROWS_PER_FILE = 1_000_000
 
 
 def merge_rows(stored: DataFrame, incoming: DataFrame, table: SilverTable) -> DataFrame:
@@ -33,35 +35,41 @@ def merge_rows(stored: DataFrame, incoming: DataFrame, table: SilverTable) -> Da
         return df.select(*[F.col(c).alias(f"__{c}") for c in columns])
 
     offered = key_only(incoming)
-    held_back = F.coalesce(stored[ordering] > offered[f"__{ordering}"], F.lit(False))
     if ordering in key:
         # Rows with equal keys have equal ordering: the incoming row always wins.
         kept = stored.join(offered, same_key(stored, offered), "left_anti")
         return kept.unionByName(incoming, allowMissingColumns=True)
-    held_back = held_back | (stored[ordering].isNotNull() & offered[f"__{ordering}"].isNull())
+    newer_stored = F.coalesce(stored[ordering] > offered[f"__{ordering}"], F.lit(False))
+    held_back = newer_stored | (stored[ordering].isNotNull() & offered[f"__{ordering}"].isNull())
     kept = stored.join(offered, same_key(stored, offered) & ~held_back, "left_anti")
     newer = key_only(stored.join(offered, same_key(stored, offered) & held_back, "left_semi"))
     fresh = incoming.join(newer, same_key(incoming, newer), "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 
-def upsert(batch: DataFrame, table: SilverTable, unique: bool = False) -> None:
+def upsert(
+    batch: DataFrame, table: SilverTable, unique: bool = False, merge_schema: bool = True
+) -> None:
     """Merge ``batch`` into ``table``, rewriting only the partitions it touches.
 
-    ``unique=True`` says that the batch is a stored relation that has one row per (partition, keys) already.
-    Columns only one side has are filled with NULL on the other. Repeating a batch changes
-    nothing. One writer at a time; partitions are replaced one by one at commit.
+    ``unique=True`` says that the batch comes from a written table and has one row per (partition,
+    keys) already. Columns only one side has are filled with NULL on the other;
+    ``merge_schema=False`` spares reading all footers of a table whose columns never change.
+    Repeating a batch changes nothing. One writer at a time; partitions are replaced one by one at
+    commit.
     """
     spark = batch.sparkSession
     if table.partition_type == "string":
         batch = batch.withColumn(table.partition, F.coalesce(table.partition, F.lit("")))
     if not unique:
         batch = materialise(latest_per_key(batch, table.row_key, table.ordering), "upsert-batch")
-    stored = read_silver_if_any(spark, table)
+    stored = read_silver_if_any(spark, table, merge_schema)
     if stored is None:
-        write_partitions(batch, table)
+        write_partitions(gather_partitions(batch, table, [batch]), table)
         return
-    write_partitions(merge_rows(touched_partitions(stored, batch, table), batch, table), table)
+    touched = touched_partitions(stored, batch, table)
+    merged = merge_rows(touched, batch, table)
+    write_partitions(gather_partitions(merged, table, [touched, batch]), table)
 
 
 def touched_partitions(stored: DataFrame, batch: DataFrame, table: SilverTable) -> DataFrame:
@@ -75,3 +83,24 @@ def touched_partitions(stored: DataFrame, batch: DataFrame, table: SilverTable)
     if len(names) > MAX_NAMED_PARTITIONS:
         return stored.join(touched, table.partition, "left_semi")
     return stored.where(F.col(table.partition).isin(names))
+
+
+def gather_partitions(df: DataFrame, table: SilverTable, inputs: list[DataFrame]) -> DataFrame:
+    """Bring each partition's rows together for writing, so that no task writes into all of them.
+
+    The rows per partition of ``inputs`` are counted first; that reads the partition column only,
+    which for stored rows is no data at all. Where every partition fits one file, whole partitions
+    are spread over the tasks. Where one does not, ``rebalance`` lets adaptive execution split it
+    over many tasks and files, however much of the data it holds, and merge small ones.
+    """
+    counts = None
+    for source in inputs:
+        part = source.groupBy(table.partition).agg(F.count("*").alias("n"))
+        counts = part if counts is None else counts.unionByName(part)
+    sizes = counts.groupBy(table.partition).agg(F.sum("n").alias("n"))
+    size = sizes.agg(F.count("*").alias("n"), F.sum("n").alias("rows"), F.max("n").alias("most")).first()
+    if size["most"] is None or size["most"] > ROWS_PER_FILE:
+        return df.hint("rebalance", table.partition)
+    by_rows = -(-2 * size["rows"] // ROWS_PER_FILE)
+    by_cores = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(min(size["n"], max(by_rows, by_cores)), table.partition)

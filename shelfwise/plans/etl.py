@@ -47,6 +47,7 @@ class LoadOptions:
 
     ``as_of`` and ``stamp`` fix today's date and the processing time (both the clock's by
     default). ``dedupe_after_rules`` lets a bad duplicate no longer displace a good one.
+    ``evolve=False`` says that the table's columns never change.
     """
 
     as_of: str | None = None
@@ -54,6 +55,7 @@ class LoadOptions:
     null_policy: str = "reject"
     blank_is_null: bool = False
     dedupe_after_rules: bool = False
+    evolve: bool = True
 
 
 DEFAULTS = LoadOptions()
@@ -87,7 +89,7 @@ def load_batch(
         now = F.current_timestamp() if options.stamp is None else F.lit(options.stamp).cast("timestamp")
         rows = rows.withColumn(spec.stamp, now)
     unique = spec.unique_after_dedupe and not options.dedupe_after_rules
-    upsert(rows, lake.silver(spec), unique)
+    upsert(rows, lake.silver(spec), unique, options.evolve)
 
 
 def load_landing(

@@ -129,10 +129,10 @@ def seller_report(
 
 
 def lake_report(spark: SparkSession, lake: Lake) -> DataFrame:
-    """The report over the current silver snapshots."""
-    return seller_report(
-        *[read_silver(spark, lake.silver(s)) for s in (SELLER_CATALOG, COMPANY_SALES, COMPETITOR_SALES)]
-    )
+    """The report over the current silver snapshots. Every file has the columns it needs."""
+    specs = (SELLER_CATALOG, COMPANY_SALES, COMPETITOR_SALES)
+    tables = [read_silver(spark, lake.silver(spec), merge_schema=False) for spec in specs]
+    return seller_report(*tables)
 
 
 def publish_report(spark: SparkSession, lake: Lake) -> None:

@@ -169,15 +169,15 @@ def target_items(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _gap_inputs(listings: DataFrame, targets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(sellers, targets, listings of targets), the latter two as small written tables."""
+    """(sellers, targets, listings of targets) as small written tables."""
     targets = materialise(targets, "targets")
     listed = materialise(gold.listed_targets(listings, targets), "listed-targets")
     return dedupe.distinct_rows(listed, "seller_id"), targets, listed.where("item_id IS NOT NULL")
 
 
 def seller_item_matrix(spark: SparkSession, sf: str) -> DataFrame:
-    targets = materialise(target_items(spark, sf), "targets")
-    return gap.seller_item_matrix(distinct_sellers(spark, sf), targets)
+    sellers, targets, _ = _gap_inputs(_listings(spark, sf), target_items(spark, sf))
+    return gap.seller_item_matrix(sellers, targets)
 
 
 def assortment_gap(spark: SparkSession, sf: str) -> DataFrame:

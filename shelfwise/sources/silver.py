@@ -46,10 +46,12 @@ def read_silver(spark: SparkSession, table: SilverTable, merge_schema: bool = Tr
     return df
 
 
-def read_silver_if_any(spark: SparkSession, table: SilverTable) -> DataFrame | None:
+def read_silver_if_any(
+    spark: SparkSession, table: SilverTable, merge_schema: bool = True
+) -> DataFrame | None:
     """The snapshot, or None before the first load."""
     try:
-        return read_silver(spark, table)
+        return read_silver(spark, table, merge_schema)
     except AnalysisException as error:
         if error.getCondition() in _ABSENT:
             return None
@@ -57,14 +59,9 @@ def read_silver_if_any(spark: SparkSession, table: SilverTable) -> DataFrame | N
 
 
 def write_partitions(df: DataFrame, table: SilverTable) -> None:
-    """Replace the partitions present in ``df`` and leave the others alone.
-
-    ``rebalance`` lets adaptive execution split a partition that holds much of the data over many
-    tasks and files and merge small ones; without it each task would write into every partition.
-    """
+    """Replace the partitions present in ``df`` and leave the others alone."""
     (
-        df.hint("rebalance", table.partition)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(table.partition)
         .parquet(table.path)
