@@ -1,0 +1,164 @@
+import random
+
+import pytest
+
+from shelfwise.operators import forecast, gap
+from shelfwise.plans import gold
+from shelfwise.sources.scratch import materialise
+
+CATALOG = "seller_id string, item_id string, item_name string, category string"
+COMPANY = "item_id string, units_sold int, revenue double"
+MARKET = "item_id string, seller_id string, units_sold int, revenue double"
+
+
+def report(spark, catalog, company, market, **options):
+    df = gold.seller_report(
+        spark.createDataFrame(catalog, CATALOG),
+        spark.createDataFrame(company, COMPANY),
+        spark.createDataFrame(market, MARKET),
+        **options,
+    )
+    assert df.columns == list(forecast.REPORT_COLUMNS)
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_measure_of_each_kind_of_item(spark):
+    items = ("market", "own", "unsold", "both", "free")
+    catalog = [("s1", i, f"n {i}", "general") for i in items]
+    catalog += [("s2", "other", "n other", "general"), ("s2", "both", "n both", "General")]
+    company = [("own", 30, 9.0), ("own", 12, 1.0), ("both", 100, 1.0), ("unknown", 1, 1.0)]
+    market = [
+        ("market", "a", 10, 500.0), ("market", "a", 20, 100.0), ("market", None, 6, 120.0),
+        ("unsold", "a", 0, 10.0), ("both", "a", 4, 10.0), ("free", "a", None, None), ("unknown", "a", 9, 9.0),
+    ]
+    rows = {r[1]: r[4:] for r in report(spark, catalog, company, market) if r[0] == "s2"}
+    assert rows == {
+        "market": (20.0, 18.0, 360.0),
+        "own": (19.99, 42.0, 42.0 * 19.99),
+        "unsold": (19.99, 0.0, 0.0),
+        "free": (19.99, 1.0, 19.99),
+    }
+    assert [r for r in report(spark, catalog, company, market) if r[0] == "s1"] == []
+
+
+def test_documented_rows_multiply_out(spark):
+    rows = [(19.99, 150.0, 2998.5), (59.5, 42.3, 2516.85), (89.0, 105.0, 9345.0), (15.25, 12.0, 183.0)]
+    df = spark.createDataFrame(rows, "market_price double, expected_units_sold double, documented double")
+    for r in forecast.add_expected_revenue(df).collect():
+        assert r["expected_revenue"] == pytest.approx(r["documented"])
+
+
+def test_missing_category_and_blank_texts(spark):
+    catalog = [(" s1", "a ", " Item ", None), ("s2", "b", "B", "toys"), (None, "a", "x", "y"), ("s3", None, "x", "y")]
+    rows = report(spark, catalog, [("a", 5, 1.0), ("b", 1, 1.0)], [])
+    assert rows == [
+        ("s1", "b", "B", "Toys", 19.99, 1.0, 19.99),
+        ("s2", "a", "Item", "General", 19.99, 5.0, 5.0 * 19.99),
+    ]
+
+
+def test_full_matrix_when_every_seller_lists_every_target(spark):
+    catalog = [(s, i, i, "c") for s in ("s1", "s2") for i in ("a", "b")]
+    rows = report(spark, catalog, [("a", 1, 1.0), ("b", 2, 1.0)], [])
+    assert [(r[0], r[1]) for r in rows] == [("s1", "a"), ("s1", "b"), ("s2", "a"), ("s2", "b")]
+    rows = report(spark, catalog[:3], [("a", 1, 1.0), ("b", 2, 1.0)], [])
+    assert [(r[0], r[1]) for r in rows] == [("s2", "b")]
+
+
+def test_no_targets_gives_no_rows(spark):
+    assert report(spark, [("s1", "a", "a", "c")], [("z", 1, 1.0)], []) == []
+
+
+def test_ties_at_the_cut_go_by_item_id(spark):
+    catalog = [("s1", f"i{n:02}", "n", "c") for n in range(12)] + [("s2", "x", "n", "d")]
+    company = [(f"i{n:02}", 7, 1.0) for n in range(12)]
+    got = [r[1] for r in report(spark, catalog, company, []) if r[0] == "s2"]
+    assert got == [f"i{n:02}" for n in range(10)]
+
+
+def test_metadata_fan_out(spark):
+    catalog = [("s1", "a", "one", "c"), ("s1", "a", "two", "c"), ("s1", "a", "one", "d"), ("s2", "b", "b", "e")]
+    rows = [r for r in report(spark, catalog, [("a", 3, 1.0)], []) if r[0] == "s2"]
+    # Two target rows (a, C) and (a, D) meet three metadata rows.
+    names = [(r[2], r[3]) for r in rows]
+    assert sorted(names) == sorted([("one", "C"), ("two", "C"), ("one", "D")] * 2)
+    single = [r for r in report(spark, catalog, [("a", 3, 1.0)], [], one_meta_per_item=True) if r[0] == "s2"]
+    assert [(r[2], r[3]) for r in single] == [("one", "C")]
+
+
+def test_joins_to_inexact_totals_do_not_double_targets(spark):
+    catalog = [("s1", "a", "n", "c"), ("s2", "b", "n", "c")]
+    market = [("a", "x", 1, 0.1234567 * k) for k in range(1, 50)]
+    rows = report(spark, catalog, [("a", 1, 1.0)], market)
+    assert [(r[0], r[1]) for r in rows] == [("s2", "a")]
+
+
+def random_case(spark, seed):
+    rng = random.Random(seed)
+    sellers = [f"s{i}" for i in range(8)]
+    items = [f"i{i}" for i in range(40)]
+    listed = {(rng.choice(sellers), rng.choice(items)) for _ in range(150)}
+    targets = [(i, c) for i in items[:25] for c in ("c", "d")[: rng.randrange(1, 3)]]
+    frames = (
+        spark.createDataFrame([(s,) for s in sellers], "seller_id string"),
+        spark.createDataFrame(targets, "item_id string, category string"),
+        spark.createDataFrame(sorted(listed), "seller_id string, item_id string"),
+    )
+    return sellers, targets, listed, [materialise(f, "case") for f in frames]
+
+
+@pytest.mark.parametrize("pack_size, pairs_per_task", [(256, 2_000_000), (4, 5), (1, 1)])
+def test_gap_is_matrix_without_listings(spark, monkeypatch, pack_size, pairs_per_task):
+    monkeypatch.setattr(gap, "PACK_SIZE", pack_size)
+    monkeypatch.setattr(gap, "PAIRS_PER_TASK", pairs_per_task)
+    sellers, targets, listed, frames = random_case(spark, pack_size)
+    matrix = sorted((s, i, c) for s in sellers for i, c in targets)
+    missing = [row for row in matrix if row[:2] not in listed]
+    assert sorted(map(tuple, gap.seller_item_matrix(*frames[:2]).collect())) == matrix
+    assert sorted(map(tuple, gap.assortment_gap(*frames).collect())) == missing
+    assert sorted(map(tuple, gap.gap_or_full_matrix(*frames).collect())) == missing
+
+
+def test_matrix_is_not_joined_or_shuffled(spark):
+    _, _, _, frames = random_case(spark, 1)
+    plan = gap.assortment_gap(*frames)._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_report_does_not_depend_on_partitions(spark):
+    rng = random.Random(3)
+    items = [f"i{i}" for i in range(60)]
+    catalog = [(f"s{rng.randrange(6)}", i, f"n{i}", f"c{int(i[1:]) % 4}") for i in items for _ in range(3)]
+    company = [(rng.choice(items), rng.randrange(9), 1.0) for _ in range(400)]
+    market = [(rng.choice(items), "x", rng.randrange(9), round(rng.random() * 100, 2)) for _ in range(400)]
+    results = set()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("1", "5", "13"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for rows in (catalog, company, market):
+                rng.shuffle(rows)
+            results.add(tuple(report(spark, catalog, company, market)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(results) == 1 and results.pop()
+
+
+def test_item_totals_count_sale_rows_with_a_seller(spark):
+    market = [("a", "x", 1, 1.0), ("a", "x", 2, 2.0), ("a", None, 3, 4.0)]
+    row = forecast.market_item_totals(spark.createDataFrame(market, MARKET)).first()
+    assert tuple(row) == ("a", 6, 2, 7.0)
+
+
+def test_target_items_is_a_union(spark):
+    a = spark.createDataFrame([("a", "c", 1), ("b", "c", 2)], "item_id string, category string, x int")
+    b = spark.createDataFrame([("c", "a", 1)], "category string, item_id string, y int")
+    assert sorted(map(tuple, gap.target_items(a, b).collect())) == [("a", "c"), ("b", "c")]
+
+
+def test_attach_totals_keeps_unmatched_rows(spark):
+    rows = spark.createDataFrame([("a",), ("z",)], "item_id string")
+    market = spark.createDataFrame([("a", 1, 1, 2.0)], "item_id string, market_units long, seller_count long, market_revenue double")
+    company = spark.createDataFrame([("a", 5)], "item_id string, comp_units long")
+    got = forecast.attach_totals(rows, market, company).orderBy("item_id").collect()
+    assert [tuple(r) for r in got] == [("a", 1, 1, 2.0, 5), ("z", None, None, None, None)]
