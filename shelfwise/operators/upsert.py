@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.operators.dedupe import latest_per_key
 from shelfwise.sources.scratch import materialise
-from shelfwise.sources.silver import SilverTable, read_silver_if_any, write_partitions
+from shelfwise.sources.silver import SilverTable, read_placed_if_any, write_placed
 
 # Up to this many directories are named to the scan; past it they are found by a semi join.
-MAX_NAMED_PARTITIONS = 10_000
-# A partition with more rows is split over several files.
+MAX_NAMED_DIRECTORIES = 10_000
+# A directory with more rows is split over several files.
 ROWS_PER_FILE = 1_000_000
 
 
@@ -50,57 +52,56 @@ def merge_rows(stored: DataFrame, incoming: DataFrame, table: SilverTable) -> Da
 def upsert(
     batch: DataFrame, table: SilverTable, unique: bool = False, merge_schema: bool = True
 ) -> None:
-    """Merge ``batch`` into ``table``, rewriting only the partitions it touches.
+    """Merge ``batch`` into ``table``, rewriting only the directories it touches.
 
     ``unique=True`` says that the batch comes from a written table and has one row per (partition,
     keys) already. Columns only one side has are filled with NULL on the other;
     ``merge_schema=False`` spares reading all footers of a table whose columns never change.
-    Repeating a batch changes nothing. One writer at a time; partitions are replaced one by one at
+    Repeating a batch changes nothing. One writer at a time; directories are replaced one by one at
     commit.
     """
     spark = batch.sparkSession
-    if table.partition_type == "string":
-        batch = batch.withColumn(table.partition, F.coalesce(table.partition, F.lit("")))
+    batch = table.place(batch)
     if not unique:
         batch = materialise(latest_per_key(batch, table.row_key, table.ordering), "upsert-batch")
-    stored = read_silver_if_any(spark, table, merge_schema)
+    stored = read_placed_if_any(spark, table, merge_schema)
     if stored is None:
-        write_partitions(gather_partitions(batch, table, [batch]), table)
+        write_placed(gather(batch, table, [batch]), table)
         return
-    touched = touched_partitions(stored, batch, table)
-    merged = merge_rows(touched, batch, table)
-    write_partitions(gather_partitions(merged, table, [touched, batch]), table)
+    touched = touched_rows(stored, batch, table)
+    write_placed(gather(merge_rows(touched, batch, table), table, [touched, batch]), table)
+
+
+def _directory(table: SilverTable) -> Column:
+    return F.concat_ws("/", *[F.col(c).cast("string") for c in table.directories])
 
 
-def touched_partitions(stored: DataFrame, batch: DataFrame, table: SilverTable) -> DataFrame:
-    """Stored rows of the partitions the batch writes to.
+def touched_rows(stored: DataFrame, batch: DataFrame, table: SilverTable) -> DataFrame:
+    """Stored rows of the directories the batch writes to.
 
     The directory names, not rows, come to the driver, where the file index already holds them:
     naming them to the scan makes partition pruning certain.
     """
-    touched = batch.select(table.partition).distinct()
-    names = [row[0] for row in touched.limit(MAX_NAMED_PARTITIONS + 1).collect()]
-    if len(names) > MAX_NAMED_PARTITIONS:
-        return stored.join(touched, table.partition, "left_semi")
-    return stored.where(F.col(table.partition).isin(names))
+    touched = batch.select(*table.directories).distinct()
+    names = touched.select(_directory(table)).limit(MAX_NAMED_DIRECTORIES + 1).collect()
+    if len(names) > MAX_NAMED_DIRECTORIES:
+        return stored.join(touched, table.directories, "left_semi")
+    return stored.where(_directory(table).isin([row[0] for row in names]))
 
 
-def gather_partitions(df: DataFrame, table: SilverTable, inputs: list[DataFrame]) -> DataFrame:
-    """Bring each partition's rows together for writing, so that no task writes into all of them.
+def gather(df: DataFrame, table: SilverTable, inputs: list[DataFrame]) -> DataFrame:
+    """Bring each directory's rows together for writing, so that no task writes into all of them.
 
-    The rows per partition of ``inputs`` are counted first; that reads the partition column only,
-    which for stored rows is no data at all. Where every partition fits one file, whole partitions
+    The rows per directory of ``inputs`` are counted first; that reads the directory columns only,
+    which for stored rows is no data at all. Where every directory fits one file, whole directories
     are spread over the tasks. Where one does not, ``rebalance`` lets adaptive execution split it
     over many tasks and files, however much of the data it holds, and merge small ones.
     """
-    counts = None
-    for source in inputs:
-        part = source.groupBy(table.partition).agg(F.count("*").alias("n"))
-        counts = part if counts is None else counts.unionByName(part)
-    sizes = counts.groupBy(table.partition).agg(F.sum("n").alias("n"))
+    by_input = [i.groupBy(*table.directories).agg(F.count("*").alias("n")) for i in inputs]
+    sizes = reduce(DataFrame.unionByName, by_input).groupBy(*table.directories).agg(F.sum("n").alias("n"))
     size = sizes.agg(F.count("*").alias("n"), F.sum("n").alias("rows"), F.max("n").alias("most")).first()
     if size["most"] is None or size["most"] > ROWS_PER_FILE:
-        return df.hint("rebalance", table.partition)
+        return df.hint("rebalance", *table.directories)
     by_rows = -(-2 * size["rows"] // ROWS_PER_FILE)
     by_cores = 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(size["n"], max(by_rows, by_cores)), table.partition)
+    return df.repartition(min(size["n"], max(by_rows, by_cores)), *table.directories)

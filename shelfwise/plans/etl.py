@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +22,16 @@ from shelfwise.sources.silver import SilverTable
 
 @dataclass(frozen=True)
 class Lake:
-    """Folders of one lake under a shared root."""
+    """Folders of one lake under a shared root; ``buckets`` by dataset as in ``SilverTable``."""
 
     root: str
+    buckets: dict[str, int] = field(default_factory=dict)
 
     def bronze(self, spec: DatasetSpec) -> str:
         return f"{self.root}/bronze/{spec.name}"
 
     def silver(self, spec: DatasetSpec) -> SilverTable:
-        return spec.table(f"{self.root}/silver/{spec.name}")
+        return spec.table(f"{self.root}/silver/{spec.name}", self.buckets.get(spec.name, 1))
 
     @property
     def quarantine(self) -> str:

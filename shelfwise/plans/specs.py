@@ -43,8 +43,10 @@ class DatasetSpec:
     ordering: str = ""
     stamp: str | None = None
 
-    def table(self, path: str) -> SilverTable:
-        return SilverTable(path, self.record_keys, self.partition, self.ordering, self.partition_type)
+    def table(self, path: str, buckets: int = 1) -> SilverTable:
+        return SilverTable(
+            path, self.record_keys, self.partition, self.ordering, self.partition_type, buckets
+        )
 
     @property
     def unique_after_dedupe(self) -> bool:

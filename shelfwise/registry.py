@@ -241,8 +241,9 @@ def one_meta_per_item(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _listing_table(spark: SparkSession) -> SilverTable:
-    return SilverTable(scratch_path(spark, "listings"), ("seller_id", "item_id"), "category", "listed_on")
+def _listing_table(spark: SparkSession, buckets: int = 1) -> SilverTable:
+    path = scratch_path(spark, "listings")
+    return SilverTable(path, ("seller_id", "item_id"), "category", "listed_on", buckets=buckets)
 
 
 def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
@@ -253,7 +254,8 @@ def upsert_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def upsert_evolved(spark: SparkSession, sf: str) -> DataFrame:
-    listings = _listing_table(spark)
+    """A later batch brings a new column, into a table whose partitions are split by key."""
+    listings = _listing_table(spark, buckets=4)
     upsert(views.listing_batch(spark, sf, market=False), listings)
     market = views.listing_batch(spark, sf, market=True).withColumn("channel", F.lit("market"))
     upsert(market, listings)

@@ -10,22 +10,42 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+BUCKET = "key_bucket"
 
 
 @dataclass(frozen=True)
 class SilverTable:
-    """A table with one row per (partition, keys); greater ``ordering`` wins on upsert."""
+    """A table with one row per (partition, keys); greater ``ordering`` wins on upsert.
+
+    ``buckets`` splits each partition into that many sub-directories by key hash. An upsert
+    rewrites the directories it touches, so a partition that holds much of the data should be
+    split; the number is fixed for the life of the table.
+    """
 
     path: str
     keys: tuple[str, ...]
     partition: str
     ordering: str
     partition_type: str = "string"
+    buckets: int = 1
 
     @property
     def row_key(self) -> list[str]:
         return [self.partition, *(k for k in self.keys if k != self.partition)]
 
+    @property
+    def directories(self) -> list[str]:
+        return [self.partition, BUCKET] if self.buckets > 1 else [self.partition]
+
+    def place(self, df: DataFrame) -> DataFrame:
+        """Rows with the columns that name their directory. Empty text stands for NULL too."""
+        if self.partition_type == "string":
+            df = df.withColumn(self.partition, F.coalesce(self.partition, F.lit("")))
+        if self.buckets > 1:
+            bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+            df = df.withColumn(BUCKET, bucket)
+        return df
+
 
 def read_silver(spark: SparkSession, table: SilverTable, merge_schema: bool = True) -> DataFrame:
     """The current snapshot, read from the table root so that the partition column is there.
@@ -35,34 +55,40 @@ def read_silver(spark: SparkSession, table: SilverTable, merge_schema: bool = Tr
     (``007`` stays text) and an empty text value, which Spark stores as the default directory,
     comes back as ``''``. A filter on the partition column still prunes directories.
     """
-    reader = spark.read.option("mergeSchema", merge_schema)
-    df = reader.parquet(table.path)
+    return read_placed(spark, table, merge_schema).drop(BUCKET)
+
+
+def read_placed(spark: SparkSession, table: SilverTable, merge_schema: bool = True) -> DataFrame:
+    """The snapshot with all directory columns."""
+    df = spark.read.option("mergeSchema", merge_schema).parquet(table.path)
     if df.schema[table.partition].dataType.simpleString() != table.partition_type:
-        fields = [f for f in df.schema.fields if f.name != table.partition]
-        typed = T.StructType(fields).add(table.partition, table.partition_type)
+        typed = T.StructType([f for f in df.schema.fields if f.name not in table.directories])
+        typed = typed.add(table.partition, table.partition_type)
+        if table.buckets > 1:
+            typed = typed.add(BUCKET, "int")
         df = spark.read.schema(typed).parquet(table.path)
     if table.partition_type == "string":
         df = df.withColumn(table.partition, F.coalesce(table.partition, F.lit("")))
     return df
 
 
-def read_silver_if_any(
+def read_placed_if_any(
     spark: SparkSession, table: SilverTable, merge_schema: bool = True
 ) -> DataFrame | None:
-    """The snapshot, or None before the first load."""
+    """The snapshot with all directory columns, or None before the first load."""
     try:
-        return read_silver(spark, table, merge_schema)
+        return read_placed(spark, table, merge_schema)
     except AnalysisException as error:
         if error.getCondition() in _ABSENT:
             return None
         raise
 
 
-def write_partitions(df: DataFrame, table: SilverTable) -> None:
-    """Replace the partitions present in ``df`` and leave the others alone."""
+def write_placed(df: DataFrame, table: SilverTable) -> None:
+    """Replace the directories present in ``df`` and leave the others alone."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(table.partition)
+        .partitionBy(*table.directories)
         .parquet(table.path)
     )

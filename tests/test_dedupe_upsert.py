@@ -12,9 +12,9 @@ from shelfwise.sources.silver import SilverTable, read_silver
 SCHEMA = "k string, v int, p string, t int"
 
 
-@pytest.fixture
-def table(tmp_path):
-    return SilverTable(str(tmp_path / "table"), ("k",), "p", "t")
+@pytest.fixture(params=[1, 3])
+def table(tmp_path, request):
+    return SilverTable(str(tmp_path / "table"), ("k",), "p", "t", buckets=request.param)
 
 
 def frame(spark, rows, schema=SCHEMA):
@@ -69,10 +69,21 @@ def test_latest_per_key_prefers_ordering_then_values(spark):
 
 def test_update_insert_and_untouched_partitions(spark, table, tmp_path):
     upsert(frame(spark, [("a", 1, "x", 1), ("b", 1, "x", 1), ("c", 1, "y", 1)]), table)
-    before = {f.name for f in (tmp_path / "table" / "p=y").iterdir()}
+    before = {f.name for f in (tmp_path / "table" / "p=y").rglob("*.parquet")}
     upsert(frame(spark, [("a", 2, "x", 2), ("d", 2, "z", 2)]), table)
     assert snapshot(spark, table) == [("a", 2, "x", 2), ("b", 1, "x", 1), ("c", 1, "y", 1), ("d", 2, "z", 2)]
-    assert {f.name for f in (tmp_path / "table" / "p=y").iterdir()} == before
+    assert {f.name for f in (tmp_path / "table" / "p=y").rglob("*.parquet")} == before
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
+    table = SilverTable(str(tmp_path / "table"), ("k",), "p", "t", buckets=16)
+    upsert(frame(spark, [(str(i), 1, "x", 1) for i in range(200)]), table)
+    before = {str(f) for f in (tmp_path / "table").rglob("*.parquet")}
+    upsert(frame(spark, [("7", 2, "x", 2)]), table)
+    after = {str(f) for f in (tmp_path / "table").rglob("*.parquet")}
+    assert len(before) == 16 and len(before & after) == 15
+    assert read_silver(spark, table).count() == 200
+    assert read_silver(spark, table).where("k = '7'").first()["v"] == 2
 
 
 def test_equal_ordering_wins_older_loses(spark, table):
@@ -130,7 +141,7 @@ def test_date_partitions(spark, tmp_path):
 
 @pytest.mark.parametrize("named, rows_per_file", [(1, 1), (10_000, 1), (1, 1_000_000)])
 def test_other_ways_of_finding_and_writing_partitions(spark, table, monkeypatch, named, rows_per_file):
-    monkeypatch.setattr(upserts, "MAX_NAMED_PARTITIONS", named)
+    monkeypatch.setattr(upserts, "MAX_NAMED_DIRECTORIES", named)
     monkeypatch.setattr(upserts, "ROWS_PER_FILE", rows_per_file)
     old = [(str(i), 1, f"p{i % 5}", 1) for i in range(100)]
     new = [(str(i), 2, f"p{i % 5}", 2) for i in range(50, 120) if i % 5 < 3]
