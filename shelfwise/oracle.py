@@ -10,8 +10,8 @@ from __future__ import annotations
 AS_OF = "date '2001-01-01'"
 
 
-def _every(step: int) -> str:
-    return f"n % {step} = 0"
+def _every(step: int, n: str = "n") -> str:
+    return f"{n} % {step} = 0"
 
 
 def _pad(text: str) -> str:
@@ -33,11 +33,11 @@ def _bad_units(x: str) -> str:
     )
 
 
-def _bad_amount(x: str, missing: int, unreadable: int, negative: int) -> str:
+def _bad_amount(x: str, missing: int, unreadable: int, negative: int, n: str = "n") -> str:
     text = f"cast(cast({x} as decimal(18,2)) as varchar)"
     return (
-        f"case when {_every(missing)} then null when {_every(unreadable)} then 'x' "
-        f"when {_every(negative)} then '-' || {text} else {text} end"
+        f"case when {_every(missing, n)} then null when {_every(unreadable, n)} then 'x' "
+        f"when {_every(negative, n)} then '-' || {text} else {text} end"
     )
 
 
@@ -181,7 +181,7 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "dirty_competitor": (
         f"""select {_bad_item("item")} as item_id, {_bad_seller("seller")} as seller_id,
             {_bad_units("units")} as units_sold, {_bad_amount("amount", 71, 67, 61)} as revenue,
-            {_bad_amount("amount", 89, 83, 79)} as marketplace_price, {_bad_date("day")} as sale_date
+            {_bad_amount("amount", 89, 83, 79, "(n + 1)")} as marketplace_price, {_bad_date("day")} as sale_date
             from sale_lines where on_market""",
         ("sale_lines",),
     ),

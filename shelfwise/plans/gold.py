@@ -21,6 +21,7 @@ from shelfwise.sources.landing import write_report
 from shelfwise.sources.scratch import materialise
 from shelfwise.sources.silver import read_silver
 
+# Fixed value: the category of a listing without one.
 DEFAULT_CATEGORY = "General"
 
 

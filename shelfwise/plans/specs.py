@@ -54,6 +54,8 @@ class DatasetSpec:
         return bool(self.dedupe_keys) and set(self.dedupe_keys) <= {*self.record_keys, self.partition}
 
 
+# Dataset, column and rule names, the order of the rules, and the defaults.
+
 SELLER_CATALOG = DatasetSpec(
     name="seller_catalog",
     columns=("seller_id", "item_id", "item_name", "category", "marketplace_price", "stock_qty"),

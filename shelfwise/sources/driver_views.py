@@ -186,14 +186,15 @@ def spoil_company(rows: DataFrame) -> DataFrame:
     )
 
 
-def spoil_competitor(rows: DataFrame) -> DataFrame:
+def spoil_competitor(rows: DataFrame, price_shift: int = 0) -> DataFrame:
+    """``price_shift`` keeps the price's faults from meeting the same steps of the units' faults."""
     n = F.col("n")
     return rows.select(
         dirty_item_id(F.col("item_id"), n).alias("item_id"),
         dirty_seller_id(F.col("seller_id"), n).alias("seller_id"),
         dirty_units(F.col("units"), n).alias("units_sold"),
         dirty_revenue(F.col("revenue"), n).alias("revenue"),
-        dirty_price(F.col("price"), n).alias("marketplace_price"),
+        dirty_price(F.col("price"), n + price_shift).alias("marketplace_price"),
         dirty_date(F.col("sale_date"), n).alias("sale_date"),
     )
 
@@ -217,6 +218,5 @@ def dirty_company(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dirty_competitor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """List price and revenue are the line's; their faults are independent."""
     rows = _sales(spark, sf_dir).where(_on_market())
-    return spoil_competitor(rows.withColumn("price", F.col("revenue")))
+    return spoil_competitor(rows.withColumn("price", F.col("revenue")), price_shift=1)
