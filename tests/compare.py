@@ -4,7 +4,7 @@ from collections import Counter
 
 import duckdb
 
-TABLES = ("lineitem", "part", "supplier")
+TABLES = ("lineitem", "part")
 
 
 def duck(sf_dir):
