@@ -5,21 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
-
 
 def sum_money(column: Column) -> Column:
     """Sum a double column of amounts so that the result does not depend on row order.
 
-    Amounts with at most two decimals add up exactly as decimals. If any amount in the group is
-    not such a value (sub-cent, NaN, infinite, out of range), the plain double sum is used, so no
-    amount is rounded or lost.
+    Amounts with at most two decimals add up exactly, as whole cents in a long. If any amount in
+    the group is not such a value (sub-cent, NaN, infinite, out of range), the plain double sum is
+    used, so no amount is rounded or lost.
     """
-    exact = column.try_cast(MONEY)
-    inexact = column.isNotNull() & ~F.coalesce(exact.cast("double") == column, F.lit(False))
-    cents = F.try_sum(exact).cast("double")
-    has_inexact = F.coalesce(F.max(inexact), F.lit(False))
-    return F.when(has_inexact, F.sum(column)).otherwise(F.coalesce(cents, F.sum(column)))
+    cents = F.rint(column * 100).try_cast("bigint")
+    inexact = column.isNotNull() & ~F.coalesce(cents / F.lit(100.0) == column, F.lit(False))
+    total = (F.try_sum(cents).cast("decimal(20,0)") / 100).cast("double")
+    exact_sum = F.coalesce(total, F.sum(column))
+    return F.when(F.coalesce(F.bool_or(inexact), F.lit(False)), F.sum(column)).otherwise(exact_sum)
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

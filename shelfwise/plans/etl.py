@@ -48,7 +48,8 @@ class LoadOptions:
 
     ``as_of`` and ``stamp`` fix today's date and the processing time (both the clock's by
     default). ``dedupe_after_rules`` lets a bad duplicate no longer displace a good one.
-    ``evolve=False`` says that the table's columns never change.
+    ``evolve=False`` says that the table's columns never change; ``infer`` lets the landing CSV's
+    types be inferred.
     """
 
     as_of: str | None = None
@@ -57,6 +58,7 @@ class LoadOptions:
     blank_is_null: bool = False
     dedupe_after_rules: bool = False
     evolve: bool = True
+    infer: bool = False
 
 
 DEFAULTS = LoadOptions()
@@ -102,5 +104,5 @@ def load_landing(
     options: LoadOptions = DEFAULTS,
 ) -> None:
     """Landing CSV to bronze (overwritten each run), then bronze to silver and quarantine."""
-    write_bronze(read_landing(spark, landing_path), lake.bronze(spec))
+    write_bronze(read_landing(spark, landing_path, options.infer), lake.bronze(spec))
     load_batch(read_bronze(spark, lake.bronze(spec)), spec, lake, batch_id, options)

@@ -1,4 +1,6 @@
 import datetime
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +119,9 @@ def money(spark, values):
 
 def test_money_is_exact_and_loses_nothing(spark):
     assert money(spark, [0.1] * 10) == 1.0
+    assert money(spark, [0.29, 0.57, -1.13, 90071992547.41]) == 90071992547.14
+    assert money(spark, [1.005, 1.0]) == 2.005
+    assert money(spark, [9e16, 9e16]) == 1.8e17
     assert money(spark, [None, 2.25]) == 2.25
     assert money(spark, [None]) is None
     assert money(spark, [0.125, 0.25]) == 0.375
@@ -129,3 +134,37 @@ def test_ratio_and_fallbacks(spark):
     df = spark.createDataFrame([(6.0, 4), (6.0, 0), (None, 2)], "a double, b int")
     rows = df.select(first_known(ratio(F.col("a"), F.col("b")), 19.99).alias("r")).collect()
     assert [r["r"] for r in rows] == [1.5, 19.99, 19.99]
+
+
+def random_texts(seed, pieces, n=3000):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 8))) for _ in range(n)]
+
+
+def read_int(text):
+    if not re.fullmatch(r"\s*[+-]?\d*\.?\d*\s*", text) or not re.search(r"\d", text):
+        return None
+    value = int(float(text))
+    return value if -(2**31) <= value < 2**31 else None
+
+
+def test_any_text_to_int(spark):
+    values = random_texts(1, ["1", "27", "900", ".", "-", "+", " ", "e", "f", "5555"])
+    assert apply(spark, values, to_int) == [read_int(v) for v in values]
+
+
+def read_date(text):
+    match = re.match(r"\s*(\d{1,4})-0*(\d{1,2})-0*(\d{1,2})(?:\D|$)", text)
+    try:
+        return datetime.date(*map(int, match.groups())) if match else None
+    except ValueError:
+        return None
+
+
+def test_any_text_to_date(spark):
+    values = random_texts(2, ["2026", "19", "1", "0", "-", "-", "12", " ", "x", "31", "-02-", "T"])
+    values += [f"{y}-{m}-{d}{end}" for y in ("2024", "26", "02023") for m in ("2", "02", "002", "13") for d in ("1", "29", "030") for end in ("", " 1", "x", "9")]
+    readable = [(v, read_date(v)) for v in values if not re.match(r"\s*0+-", v)]  # Python has no year 0
+    found = apply(spark, [v for v, _ in readable], parse_date)
+    assert found == [d for _, d in readable]
+    assert sum(d is not None for d in found) > 20
