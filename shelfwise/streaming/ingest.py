@@ -20,15 +20,18 @@ def ingest_landing(
     options: LoadOptions = DEFAULTS,
     files_per_batch: int | None = None,
     archive_dir: str | None = None,
+    run: str = "stream",
 ) -> StreamingQuery:
     """Load all files that have arrived, then end; the checkpoint remembers them.
 
     A replayed batch overwrites its own bronze and quarantine folders and repeats its upsert, so a
-    failure between the writes and the commit of the batch leaves the same result.
+    failure between the writes and the commit of the batch leaves the same result. Batches are
+    numbered by the checkpoint: a new checkpoint needs a new ``run`` name, or its first batches
+    would take the folders of the old ones.
     """
 
     def load(rows: DataFrame, epoch: int) -> None:
-        batch_id = f"{epoch:010d}"
+        batch_id = f"{run}-{epoch:010d}"
         bronze = f"{lake.bronze(spec)}/batch_id={batch_id}"
         write_bronze(rows, bronze)
         load_batch(read_bronze(rows.sparkSession, bronze), spec, lake, batch_id, options)

@@ -107,6 +107,13 @@ def test_repeating_a_batch_changes_nothing(spark, table):
     assert len(first) == 3
 
 
+def test_an_empty_batch_changes_nothing(spark, table):
+    upsert(frame(spark, []), table)
+    upsert(frame(spark, [("a", 1, "x", 1)]), table)
+    upsert(frame(spark, []), table)
+    assert snapshot(spark, table) == [("a", 1, "x", 1)]
+
+
 def test_added_and_missing_columns(spark, table):
     upsert(frame(spark, [("a", 1, "x", 1), ("b", 1, "y", 1)]), table)
     upsert(frame(spark, [("a", 2, "x", 2, "n")], SCHEMA + ", extra string"), table)
