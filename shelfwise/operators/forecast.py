@@ -66,9 +66,3 @@ def add_expected_revenue(df: DataFrame) -> DataFrame:
 
 def add_measures(df: DataFrame) -> DataFrame:
     return add_expected_revenue(add_market_price(add_expected_units(df)))
-
-
-def report_rows(measured: DataFrame, item_meta: DataFrame) -> DataFrame:
-    """The seven report columns; name and category come from the metadata."""
-    joined = measured.drop("item_name", "category").join(item_meta, "item_id", "inner")
-    return joined.select(*REPORT_COLUMNS)

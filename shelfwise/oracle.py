@@ -124,6 +124,10 @@ _COMPETITOR_COLUMNS = (
 )
 
 
+def _text(columns: str, number: str) -> str:
+    return columns.replace(number, f"cast({number} as varchar) as {number}")
+
+
 def _keep_one(source: str, keys: str, rest: list[str]) -> str:
     order = ", ".join(f"{c} asc nulls first" for c in rest)
     return (
@@ -406,15 +410,15 @@ _QUARANTINE = " union all ".join(
     [
         _RECORD_COLUMNS.format(
             dataset="seller_catalog", seller="seller_id", name="item_name", category="category",
-            units="cast(null as integer)", revenue="cast(null as double)", price="marketplace_price",
-            stock="stock_qty", day="cast(null as varchar)", source="tag_catalog",
+            units="cast(null as varchar)", revenue="cast(null as double)", price="marketplace_price",
+            stock="cast(stock_qty as varchar)", day="cast(null as varchar)", source="tag_catalog",
         ),
         _RECORD_COLUMNS.format(
-            dataset="company_sales", seller="null", name="null", category="null", units="units_sold",
+            dataset="company_sales", seller="null", name="null", category="null", units="cast(units_sold as varchar)",
             revenue="revenue", price="null", stock="null", day="cast(sale_date as varchar)", source="tag_company",
         ),
         _RECORD_COLUMNS.format(
-            dataset="competitor_sales", seller="seller_id", name="null", category="null", units="units_sold",
+            dataset="competitor_sales", seller="seller_id", name="null", category="null", units="cast(units_sold as varchar)",
             revenue="revenue", price="marketplace_price", stock="null", day="cast(sale_date as varchar)",
             source="tag_competitor",
         ),
@@ -434,12 +438,15 @@ _AFTER_RULES = _build(
         "kept": (_keep_one("passed", "seller_id, item_id", _CATALOG_REST), ("passed",)),
     },
 )
-_TOTALS = "seller_id, item_id, category, market_units, seller_count, market_revenue, comp_units"
+_TOTALS = (
+    "seller_id, item_id, category, market_revenue, cast(market_units as varchar) as market_units, "
+    "cast(seller_count as varchar) as seller_count, cast(comp_units as varchar) as comp_units"
+)
 
 ORACLE: dict[str, str] = {
-    "clean_catalog": _all("clean_catalog"),
-    "clean_company": _all("clean_company", _COMPANY_COLUMNS),
-    "clean_competitor": _all("clean_competitor", _COMPETITOR_COLUMNS),
+    "clean_catalog": _all("clean_catalog", _text(_CATALOG_COLUMNS, "stock_qty")),
+    "clean_company": _all("clean_company", _text(_COMPANY_COLUMNS, "units_sold")),
+    "clean_competitor": _all("clean_competitor", _text(_COMPETITOR_COLUMNS, "units_sold")),
     "dq_catalog_accepted": _all("good_catalog", _CATALOG_COLUMNS),
     "dq_company_accepted": _all("good_company", _COMPANY_COLUMNS),
     "dq_competitor_accepted": _all("good_competitor", _COMPETITOR_COLUMNS),
@@ -448,7 +455,7 @@ ORACLE: dict[str, str] = {
     "dq_summary": _build(_COUNT.format("failures"), ("failures",), _PARTS),
     "dq_summary_null_drop": _build(_COUNT.format("failures_dropping"), ("failures_dropping",), _PARTS),
     "dedupe_keep_one": _all("one_catalog", _CATALOG_COLUMNS),
-    "dedupe_company_items": _all("one_company", _COMPANY_COLUMNS),
+    "dedupe_company_items": _all("one_company", _text(_COMPANY_COLUMNS, "units_sold")),
     "dedupe_after_rules": _AFTER_RULES,
     "distinct_listings": _build(_listings_from("dirty_catalog"), ("dirty_catalog",), _PARTS),
     "distinct_item_meta": _all("item_meta"),

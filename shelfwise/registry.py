@@ -40,12 +40,24 @@ _DIRTY = {
 
 
 def _dates_as_text(df: DataFrame) -> DataFrame:
-    dates = {f.name: F.col(f.name).cast("string") for f in df.schema.fields if f.dataType.typeName() == "date"}
-    return df.withColumns(dates) if dates else df
+    return _as_text(df, [f.name for f in df.schema.fields if f.dataType.typeName() == "date"])
+
+
+def _as_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Whole numbers that may be missing, and dates, look the same in any client as text."""
+    changes = {c: F.col(c).cast("string") for c in columns if c in df.columns}
+    return df.withColumns(changes) if changes else df
+
+
+_COUNTS = ["units_sold", "stock_qty"]
+_TOTALS = ["market_units", "seller_count", "comp_units"]
 
 
 def _clean(spec: DatasetSpec) -> Query:
-    return lambda spark, sf: _dates_as_text(clean(_DIRTY[spec.name](spark, sf), spec))
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        return _as_text(_dates_as_text(clean(_DIRTY[spec.name](spark, sf), spec)), _COUNTS)
+
+    return query
 
 
 def _tagged(spark: SparkSession, sf: str, spec: DatasetSpec, options=OPTIONS) -> DataFrame:
@@ -90,8 +102,8 @@ def dq_summary_null_drop(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _RECORD = (
-    "seller_id string, item_id string, item_name string, category string, units_sold int, "
-    "revenue double, marketplace_price double, stock_qty int, sale_date string"
+    "seller_id string, item_id string, item_name string, category string, units_sold string, "
+    "revenue double, marketplace_price double, stock_qty string, sale_date string"
 )
 
 
@@ -115,7 +127,7 @@ def dedupe_keep_one(spark: SparkSession, sf: str) -> DataFrame:
 
 def dedupe_company_items(spark: SparkSession, sf: str) -> DataFrame:
     rows = clean(views.dirty_company(spark, sf), COMPANY_SALES)
-    return _dates_as_text(dedupe.keep_one(rows, ["item_id"]))
+    return _as_text(_dates_as_text(dedupe.keep_one(rows, ["item_id"])), _COUNTS)
 
 
 def dedupe_after_rules(spark: SparkSession, sf: str) -> DataFrame:
@@ -190,7 +202,7 @@ def gap_or_full_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return gap.gap_or_full_matrix(*_gap_inputs(listings, target_items(spark, sf)))
 
 
-def gap_with_totals(spark: SparkSession, sf: str) -> DataFrame:
+def _gap_with_totals(spark: SparkSession, sf: str) -> DataFrame:
     """Totals join the few targets, not the many gap rows they unfold to."""
     targets = forecast.attach_totals(
         target_items(spark, sf), market_item_totals(spark, sf), company_item_units(spark, sf)
@@ -198,20 +210,24 @@ def gap_with_totals(spark: SparkSession, sf: str) -> DataFrame:
     return gap.gap_or_full_matrix(*_gap_inputs(_listings(spark, sf), targets))
 
 
+def gap_with_totals(spark: SparkSession, sf: str) -> DataFrame:
+    return _as_text(_gap_with_totals(spark, sf), _TOTALS)
+
+
 _GAP_KEY = ["seller_id", "item_id", "category"]
 
 
 def expected_units(spark: SparkSession, sf: str) -> DataFrame:
-    rows = forecast.add_expected_units(gap_with_totals(spark, sf))
+    rows = forecast.add_expected_units(_gap_with_totals(spark, sf))
     return rows.select(*_GAP_KEY, "expected_units_sold")
 
 
 def market_price(spark: SparkSession, sf: str) -> DataFrame:
-    return forecast.add_market_price(gap_with_totals(spark, sf)).select(*_GAP_KEY, "market_price")
+    return forecast.add_market_price(_gap_with_totals(spark, sf)).select(*_GAP_KEY, "market_price")
 
 
 def expected_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    return forecast.add_measures(gap_with_totals(spark, sf)).select(*_GAP_KEY, "expected_revenue")
+    return forecast.add_measures(_gap_with_totals(spark, sf)).select(*_GAP_KEY, "expected_revenue")
 
 
 def seller_report(spark: SparkSession, sf: str) -> DataFrame:
