@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,15 +77,27 @@ def accepted_rows(tagged: DataFrame, spec: DatasetSpec, options: LoadOptions = D
     return dedupe(rows, spec) if options.dedupe_after_rules else rows
 
 
+def _pin_today(spark: SparkSession, options: LoadOptions) -> LoadOptions:
+    """Today's date, read once, so that a load that runs past midnight keeps to one date."""
+    if options.as_of is not None:
+        return options
+    today = spark.range(1).select(F.current_date().cast("string")).first()[0]
+    return replace(options, as_of=today)
+
+
 def load_batch(
     raw: DataFrame, spec: DatasetSpec, lake: Lake, batch_id: str, options: LoadOptions = DEFAULTS
 ) -> None:
-    """Clean, check and upsert one batch of raw rows. Repeating a batch id is safe.
+    """Clean, check and upsert one batch of written raw rows. Repeating a batch id is safe.
 
-    The tagged rows are written once and read by both outputs, so cleaning and deduplication run
-    once and both outputs see the same choice of duplicates.
+    Where duplicates are resolved, the tagged rows are written once and read by both outputs, so
+    that shuffle runs once and both see the same choice. Otherwise tagging is a scan without a
+    shuffle, and repeating it costs less than writing all rows.
     """
-    tagged = materialise(tag_rows(raw, spec, options), f"tagged-{spec.name}")
+    options = _pin_today(raw.sparkSession, options)
+    tagged = tag_rows(raw, spec, options)
+    if spec.dedupe_keys and not options.dedupe_after_rules:
+        tagged = materialise(tagged, f"tagged-{spec.name}")
     write_quarantine(quarantine_records(tagged, spec.name), lake.quarantine, spec.name, batch_id)
     rows = accepted_rows(tagged, spec, options)
     if spec.stamp is not None:
