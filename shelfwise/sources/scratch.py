@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,7 +18,7 @@ def scratch_root(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that every executor can reach")
     app = context.applicationId
     if app not in _local_roots:
