@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import langid
+from shelfwise.llm import langid, pii
 from shelfwise.llm.textops import crc_fold
 
 
@@ -21,5 +21,17 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "lang_pred", "score")
 
 
-QUERIES = {"op10_language_id": op10_language_id}
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = pii.all_spans(found)
+    n_base = sum((F.size(k) for k in pii.KINDS), F.lit(0))
+    return found.select(
+        "doc_id",
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(pii.span_text(F.slice(spans, F.lit(1), n_base)).cast("binary"), 256).alias("base_sha256"),
+        pii.span_text(spans).alias("spans"),
+    )
+
+
+QUERIES = {"op7_pii": op7_pii, "op10_language_id": op10_language_id}
 ORACLE: dict[str, str] = {}
