@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import langid
+from shelfwise.llm import langid, pii
 from shelfwise.sources.scratch import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,7 +19,16 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return langid.confident(langid.predict(docs, model)).select(*docs.columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("language_id", known_language)]
+def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, with personal data in ``text`` replaced by its kind and ``n_chars`` following."""
+    clean = pii.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", known_language),
+    ("pii", without_personal_data),
+]
 #: Training a model cannot be said in SQL.
 ORACLE_SQL = None
 
