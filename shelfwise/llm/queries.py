@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import langid, pii
+from shelfwise.llm import langid, packing, pii
 from shelfwise.llm.textops import crc_fold
 
 
@@ -21,6 +22,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "lang_pred", "score")
 
 
+def byte_bpe() -> packing.TokenizerSpec:
+    return packing.TokenizerSpec(
+        public_tokenizers.path("byte_bpe_50k.json"), 0, public_tokenizers.PATTERN
+    )
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), byte_bpe())
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = pii.all_spans(found)
@@ -33,5 +44,5 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op7_pii": op7_pii, "op10_language_id": op10_language_id}
+QUERIES = {"op1_packing": op1_packing, "op7_pii": op7_pii, "op10_language_id": op10_language_id}
 ORACLE: dict[str, str] = {}
