@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import langid, pii
+from shelfwise.llm import langid, packing, pii
+from shelfwise.llm.queries import byte_bpe
 from shelfwise.sources.scratch import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -25,9 +26,15 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row per piece of a document with its sequence and its offset there."""
+    return packing.pack(docs, byte_bpe())
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", known_language),
     ("pii", without_personal_data),
+    ("packing", packed),
 ]
 #: Training a model cannot be said in SQL.
 ORACLE_SQL = None
