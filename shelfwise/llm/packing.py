@@ -22,6 +22,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from math import isqrt
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from shelfwise.llm.textops import slices
 from shelfwise.sources.scratch import materialise
 
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 600_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -54,8 +55,21 @@ class PackParams:
     max_iterations: int = 400
 
 
+class _Places(dict):
+    """Word to row number; words that are asked for first get the next one and are listed."""
+
+    def __init__(self):
+        super().__init__()
+        self.unseen: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        self.unseen.append(word)
+        return place
+
+
 class _Encoder:
-    """Token ids of texts, from a bounded cache of words."""
+    """Token ids of texts, from a bounded cache of words that a worker keeps between its tasks."""
 
     def __init__(self, spec: TokenizerSpec):
         import os
@@ -70,45 +84,55 @@ class _Encoder:
         self._clear()
 
     def _clear(self):
-        self._place: dict[str, int] = {}
-        self._pool = np.zeros(1 << 16, np.uint32)
-        self._begin = np.zeros(1 << 16, np.int64)
-        self._used = 0
-
-    def _learn(self, words: list[str]) -> None:
-        found = self._tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        for word, encoding in zip(words, found, strict=True):
-            ids, k = encoding.ids, len(self._place)
-            while self._used + len(ids) > len(self._pool):
-                self._pool = np.concatenate([self._pool, np.zeros_like(self._pool)])
-            if k + 2 > len(self._begin):
-                self._begin = np.concatenate([self._begin, np.zeros_like(self._begin)])
-            self._pool[self._used : self._used + len(ids)] = ids
-            self._used += len(ids)
-            self._begin[k + 1] = self._used
-            self._place[word] = k
+        self._places = _Places()
+        self._pool = np.zeros(0, np.uint32)
+        self._ends = np.zeros(0, np.int64)
+
+    def _learn(self) -> None:
+        words, self._places.unseen = self._places.unseen, []
+        parts = [words[k : k + 1000] for k in range(0, len(words), 1000)]
+        pools, sizes = [self._pool], []
+        for part, found in zip(
+            parts,
+            self._tokenizer.encode_batch(parts, is_pretokenized=True, add_special_tokens=False),
+            strict=True,
+        ):
+            pools.append(np.array(found.ids, np.uint32))
+            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
+        before = len(self._pool)
+        self._pool = np.concatenate(pools)
+        self._ends = np.append(self._ends, before + np.cumsum(np.concatenate(sizes)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if self._words is None:
             found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(e.ids, np.uint32) for e in found]
-        split = [self._words.findall(t) for t in texts]
-        words = [w for own in split for w in own]
-        if len(self._place) > _CACHED_WORDS:
+        if len(self._places) > _CACHED_WORDS:
             self._clear()
-        unseen = [w for w in set(words) if w not in self._place]
-        if unseen:
-            self._learn(unseen)
-        place = self._place
-        at = np.fromiter((place[w] for w in words), np.int64, len(words))
-        begin, size = self._begin[at], self._begin[at + 1] - self._begin[at]
+        split = [self._words.findall(t) for t in texts]
+        n_words = [len(own) for own in split]
+        find = self._places.__getitem__
+        at = np.fromiter(map(find, chain.from_iterable(split)), np.int64, sum(n_words))
+        if self._places.unseen:
+            self._learn()
+        end = self._ends[at]
+        size = end - np.where(at > 0, self._ends[at - 1], 0)
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self._pool[np.repeat(begin - (ends - size), size) + np.arange(total)]
-        cuts = np.append(0, ends)[np.cumsum([0] + [len(own) for own in split])]
+        ids = self._pool[np.repeat(end - ends, size) + np.arange(total)]
+        cuts = np.append(0, ends)[np.append(0, np.cumsum(n_words, dtype=np.int64))]
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+_encoders: dict[TokenizerSpec, _Encoder] = {}
+
+
+def _encoder(spec: TokenizerSpec) -> _Encoder:
+    if spec not in _encoders:
+        _encoders[spec] = _Encoder(spec)
+    return _encoders[spec]
+
+
 def _cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
     """(start, length) of the pieces of a document of ``n`` ids."""
     first = (n - 1) % capacity + 1
@@ -121,7 +145,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: TokenizerSpec, capacity: int) -
     """doc_id, piece, start, length and the crc32 of the piece's little-endian 32-bit ids."""
 
     def encode(batches):
-        encoder = _Encoder(tokenizer)
+        encoder = _encoder(tokenizer)
         end = np.array([tokenizer.end_id], np.uint32)
         for batch in batches:
             for part in slices(batch):
