@@ -10,6 +10,12 @@ from shelfwise.llm import langid, packing, pii
 from shelfwise.llm.textops import crc_fold
 
 
+#: ``public_tokenizers.PATTERN`` in the terms of ``re``.
+LATIN_PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
+)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,7 +30,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def byte_bpe() -> packing.TokenizerSpec:
     return packing.TokenizerSpec(
-        public_tokenizers.path("byte_bpe_50k.json"), 0, public_tokenizers.PATTERN
+        public_tokenizers.path("byte_bpe_50k.json"), 0, public_tokenizers.PATTERN, LATIN_PATTERN
     )
 
 
