@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import langid, packing, pii
+from shelfwise.llm import jaccard_join, langid, packing, pii
 from shelfwise.llm.textops import crc_fold
 
 
@@ -38,6 +38,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), byte_bpe())
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = pii.all_spans(found)
@@ -50,5 +54,5 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op7_pii": op7_pii, "op10_language_id": op10_language_id}
+QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op7_pii": op7_pii, "op10_language_id": op10_language_id}
 ORACLE: dict[str, str] = {}

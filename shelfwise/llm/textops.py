@@ -93,7 +93,7 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def chain(*columns: np.ndarray) -> np.ndarray:
     """One hash of a sequence of hashes; the order counts."""
-    h = np.uint64(len(columns))
+    h = np.full(1, len(columns), np.uint64)
     for column in columns:
         h = mix((h + np.uint64(0x2545F4914F6CDD1D)) * np.uint64(_BASE) ^ column)
     return h
