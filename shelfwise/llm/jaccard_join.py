@@ -12,8 +12,8 @@ Jaccard distance is a metric. Two sets link when their distance is at most eps =
   regions, and is left out of the crowded ones unless a set that is not free is there.
 * **Recursion**: each region first joins with one of its nodes, its leader; what links is verified
   exactly and components are formed. Only pairs of different components are joined further: those
-  of uncrowded regions by counting common pivots, those of crowded ones under their leader in blocks,
-  where a window of sizes and common pivots leaves the possible pairs. These are verified exactly.
+  of uncrowded regions by counting common pivots and then whole sets, those of crowded ones under
+  their leader in blocks of a window of sizes, where only links that join components are kept.
 
 Documents come out with the smallest id of their component. Null text and texts without words have an
 empty set and link with nothing. Repeated rows count as equal sets; a null id is never a component's
@@ -43,8 +43,9 @@ _RUN_ROWS = 1 << 16
 class JaccardParams:
     words: int = 4
     percent: int = 85
-    crowd: int = 16
-    block: int = 256
+    crowd: int = 24
+    block: int = 2048
+    broadcast_rows: int = 250_000
 
     def spare(self, n):
         """Shingles of a set of ``n`` that a linked set may lack."""
@@ -53,7 +54,7 @@ class JaccardParams:
     def window(self, n):
         """Pivots that a set of ``n`` enters."""
         spare = self.spare(n)
-        return min(n, spare + 1 + max(4, spare // 4))
+        return min(n, spare + 1 + max(4, spare))
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
@@ -71,10 +72,6 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
             yield hashes[:0]
 
 
-def _linked(common: Column, n_a: Column, n_b: Column, params: JaccardParams) -> Column:
-    return 100 * common >= params.percent * (n_a + n_b - common)
-
-
 def _sets(docs: DataFrame, params: JaccardParams) -> DataFrame:
     """Per row: set size, node, and the pivots of the set at its first place in a task."""
 
@@ -183,9 +180,7 @@ def _node_facts(sets: DataFrame, shared: DataFrame, params: JaccardParams) -> Da
     )
     crowded = shared.groupBy("node").agg(F.count_if("crowded").alias("n_crowded"))
     spare = F.floor(F.lit(100 - params.percent) * F.col("n") / 100)
-    window = F.least(
-        F.col("n"), spare + 1 + F.greatest(F.lit(4), F.floor(spare / 4))
-    )
+    window = F.least(F.col("n"), spare + 1 + F.greatest(F.lit(4), spare))
     return crowded.join(nodes, "node").select(
         "node",
         "n",
@@ -200,13 +195,16 @@ def _sizes_fit(n_a: Column, n_b: Column, params: JaccardParams) -> Column:
     return 100 * F.least(n_a, n_b) >= params.percent * F.greatest(n_a, n_b)
 
 
-def _verified(
-    docs: DataFrame, pairs: DataFrame, facts: DataFrame, params: JaccardParams
+def _texts(
+    docs: DataFrame, nodes: DataFrame, facts: DataFrame, params: JaccardParams
 ) -> DataFrame:
-    """The pairs (a, b) that link, by their whole sets."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    """(node, text) of the given nodes.
+
+    Up to ``broadcast_rows`` wanted rows go to the scan; more are joined by a shuffle.
+    """
     wanted = materialise(
-        facts.join(nodes, "node", "left_semi").select("node", "doc_id", "text_key"), "wanted"
+        facts.join(nodes.distinct(), "node", "left_semi").select("node", "doc_id", "text_key"),
+        "wanted",
     )
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
         "text_key", _text_key()
@@ -214,7 +212,17 @@ def _verified(
     same = keyed["doc_id"].eqNullSafe(wanted["doc_id"]) & (
         keyed["text_key"] == wanted["text_key"]
     )
-    texts = materialise(keyed.join(wanted, same).select("node", "text"), "wanted-texts")
+    few = wanted.count() <= params.broadcast_rows
+    found = keyed.join(F.broadcast(wanted) if few else wanted, same)
+    return materialise(found.select("node", "text"), "wanted-texts")
+
+
+def _verified(
+    docs: DataFrame, pairs: DataFrame, facts: DataFrame, params: JaccardParams
+) -> DataFrame:
+    """The pairs (a, b) that link, by their whole sets."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    texts = _texts(docs, nodes, facts, params)
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
 
@@ -247,10 +255,15 @@ def _labelled(facts: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def _off_centre() -> Column:
+    """Small for nodes whose pivots are crowded, as those of the text that copies stem from are."""
+    return (F.col("need") / F.col("need_all")).alias("off_centre")
+
+
 def _leader_pairs(entries: DataFrame, params: JaccardParams) -> DataFrame:
     """Each node with the leaders of its regions, if they share enough pivots to be promising."""
     useful = entries.filter(~F.col("crowded") | (F.col("need") < 1))
-    leaders = useful.groupBy("pivot").agg(F.min(F.struct("node", "n", "need")).alias("l"))
+    leaders = useful.groupBy("pivot").agg(F.min(F.struct(_off_centre(), "node", "n", "need")).alias("l"))
     pairs = (
         useful.join(leaders, "pivot")
         .filter((F.col("node") != F.col("l.node")) & _sizes_fit(F.col("n"), F.col("l.n"), params))
@@ -296,71 +309,96 @@ def _uncrowded_pairs(entries: DataFrame, tested: DataFrame, params: JaccardParam
     return counted.select("a", "b").join(either, ["a", "b"], "left_anti")
 
 
-def _crowded_pairs(entries: DataFrame, sets: DataFrame, params: JaccardParams) -> DataFrame:
-    """Possible pairs of different components that may meet in crowded regions only.
+def _crowded_links(
+    docs: DataFrame, entries: DataFrame, facts: DataFrame, params: JaccardParams
+) -> DataFrame:
+    """Links between components whose nodes may meet in crowded regions only.
 
-    At least one of each pair is not free. Members of a leader's region are dealt to blocks, and
-    every two blocks meet in one task, which compares sizes and common pivots.
+    At least one node of such a link is not free. A leader's region is cut by size into classes as
+    wide as the threshold, and a class into blocks. Members wait in a block; those that are not
+    free visit all blocks of their own and the two neighbouring classes. A task compares the
+    visitors of a block with its members by their whole sets and returns the links that join two
+    components there: fewer than it has rows.
     """
     crowded = entries.filter("crowded")
-    leaders = crowded.filter("need < 1").groupBy("pivot").agg(F.min("node").alias("leader"))
+    leaders = crowded.filter("need < 1").groupBy("pivot").agg(F.min(F.struct(_off_centre(), "node"))["node"].alias("leader"))
+    wide = float(np.log(100 / params.percent))
     members = materialise(
         crowded.join(leaders, "pivot")
-        .select("leader", "node", "n", "need", "need_all", "component")
-        .distinct(),
+        .select("leader", "node", "n", "need", "component")
+        .distinct()
+        .withColumn("class", F.floor(F.log("n") / wide)),
         "crowded-members",
     )
-    mixed = members.groupBy("leader").agg(
-        F.count("*").alias("size"),
-        F.min("component").alias("low"),
-        F.max("component").alias("high"),
+    classes = F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1))
+    visitors = members.filter("need < 1").withColumn("class", classes)
+    ends = [F.min("component").alias("low"), F.max("component").alias("high")]
+    here = members.groupBy("leader", "class").agg(F.count("*").alias("size"), *ends)
+    there = visitors.groupBy("leader", "class").agg(
+        F.min("component").alias("v_low"), F.max("component").alias("v_high")
     )
-    mixed = materialise(mixed.filter("low != high").select("leader", "size"), "crowded-mixed")
-    pivots = sets.filter(F.size("low") > 0).select("node", "low")
-    rows = members.join(mixed, "leader").withColumn(
-        "blocks", F.ceil(F.col("size") / params.block).cast("int")
+    busy = here.join(there, ["leader", "class"]).filter(
+        F.least("low", "v_low") < F.greatest("high", "v_high")
     )
-    needed = rows.select("node").distinct()
-    lists = pivots.join(needed, "node", "left_semi").groupBy("node").agg(F.first("low").alias("low"))
-    rows = rows.join(lists, "node").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = rows.select(
-        "leader",
-        F.least("own", "other").alias("i"),
-        F.greatest("own", "other").alias("j"),
-        "own",
-        "node",
-        "n",
-        "need",
-        "need_all",
-        "component",
-        "low",
+    busy = materialise(
+        busy.select(
+            "leader", "class", F.ceil(F.col("size") / params.block).cast("int").alias("blocks")
+        ),
+        "crowded-classes",
     )
+    waiting = members.join(busy, ["leader", "class"]).withColumns(
+        {"block": F.pmod(F.xxhash64("node"), F.col("blocks")), "visits": F.lit(False)}
+    )
+    all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    visiting = visitors.join(busy, ["leader", "class"]).withColumns(
+        {"block": all_blocks, "visits": F.lit(True)}
+    )
+    rows = waiting.unionByName(visiting)
+    texts = _texts(docs, waiting.select("node").union(visiting.select("node")), facts, params)
+    columns = ["leader", "class", "block", "visits", "node", "component", "text"]
+    dealt = rows.join(texts.dropDuplicates(["node"]), "node").select(*columns)
+
+    def compare(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.reset_index(drop=True)
+        sets = [
+            own
+            for piece in slices(pa.RecordBatch.from_pandas(part[["text"]]), "text")
+            for own in shingle_sets(piece.column("text"), params.words)
+        ]
+        visits, node = part["visits"].to_numpy(), part["node"].to_numpy()
+        waiting = np.flatnonzero(~visits)
+        sizes = np.array([len(sets[k]) for k in waiting], np.int64)
+        values, at = np.unique(np.concatenate([sets[k] for k in waiting]), return_inverse=True)
+        order = np.argsort(at, kind="stable")
+        holders = np.repeat(np.arange(len(waiting)), sizes)[order]
+        first = np.searchsorted(at[order], np.arange(len(values) + 1))
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while parent.get(x, x) != x:
+                parent[x] = x = parent.get(parent[x], parent[x])
+            return x
+
+        found = []
+        component = part["component"].tolist()
+        for v in np.flatnonzero(visits):
+            own = sets[v]
+            place = np.minimum(np.searchsorted(values, own), len(values) - 1)
+            place = place[values[place] == own]
+            if not len(place):
+                continue
+            held = np.concatenate([holders[first[p] : first[p + 1]] for p in place])
+            common = np.bincount(held, minlength=len(waiting))
+            linked = 100 * common >= params.percent * (sizes + len(own) - common)
+            for w in waiting[linked]:
+                x, y = root(component[v]), root(component[w])
+                if x != y:
+                    parent[x] = y
+                    found.append((node[v], node[w]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    def compare(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        _, i, j = key
-        left, right = part[part["own"] == i], part[part["own"] == j]
-        hashes = np.concatenate(part["low"].to_numpy())
-        values, at = np.unique(hashes, return_inverse=True)
-        cuts = np.cumsum(part["low"].map(len).to_numpy())[:-1]
-        column = dict(zip(part["node"], np.split(at, cuts), strict=True))
-
-        def incidence(rows):
-            m = np.zeros((len(rows), len(values)), np.float32)
-            for k, node in enumerate(rows["node"]):
-                m[k, column[node]] = 1
-            return m
-
-        common = incidence(left) @ incidence(right).T
-        grid = lambda c, f: f(left[c].to_numpy()[:, None], right[c].to_numpy()[None, :])
-        keep = (common >= grid("need_all", np.minimum)) & grid("component", np.not_equal)
-        keep &= 100 * grid("n", np.minimum) >= params.percent * grid("n", np.maximum)
-        keep &= grid("need", np.minimum) < 1
-        x, y = np.nonzero(keep)
-        a, b = left["node"].to_numpy()[x], right["node"].to_numpy()[y]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-    return dealt.groupBy("leader", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    by_block = dealt.groupBy("leader", "class", "block")
+    return by_block.applyInPandas(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> DataFrame:
@@ -369,16 +407,14 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
     sets = materialise(_sets(docs, params), "shingle-sets")
     shared = materialise(_shared_pivots(sets, params), "shared-pivots")
     facts = materialise(_node_facts(sets, shared, params), "node-facts")
-    entries = shared.join(facts.select("node", "n", "need"), "node")
+    entries = shared.join(facts.select("node", "n", "need", "need_all"), "node")
     tested = materialise(_leader_pairs(entries, params), "leader-pairs")
     links = materialise(_verified(docs, tested, facts, params), "leader-links")
     labelled = materialise(_labelled(facts, links), "labelled")
     entries = shared.join(labelled.select("node", "n", "need", "need_all", "component"), "node")
-    rest = _uncrowded_pairs(entries, tested, params).unionByName(
-        _crowded_pairs(entries, sets, params)
-    )
-    rest = materialise(rest.distinct(), "rest-pairs")
-    links = links.unionByName(materialise(_verified(docs, rest, facts, params), "rest-links"))
+    rest = materialise(_uncrowded_pairs(entries, tested, params), "rest-pairs")
+    for more in (_verified(docs, rest, facts, params), _crowded_links(docs, entries, facts, params)):
+        links = links.unionByName(materialise(more, "more-links"))
     found = connected_components(links)
     members = sets.select("doc_id", "n_shingles", "node")
     least = members.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"))
