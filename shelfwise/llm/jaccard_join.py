@@ -36,7 +36,6 @@ from shelfwise.llm.textops import chain, mix, slices, word_hashes
 from shelfwise.sources.scratch import materialise
 
 _SETS = "doc_id long, text_key long, n_shingles long, node long, low array<long>"
-_RUN_ROWS = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -44,7 +43,8 @@ class JaccardParams:
     words: int = 4
     percent: int = 85
     crowd: int = 24
-    block: int = 2048
+    block_shingles: int = 400_000
+    class_width: int = 4
     broadcast_rows: int = 250_000
 
     def spare(self, n):
@@ -118,19 +118,19 @@ def _text_key() -> Column:
 
 
 def _shared_pivots(sets: DataFrame, params: JaccardParams) -> DataFrame:
-    """(pivot, node, crowded) of pivots that several nodes enter.
+    """(pivot, node, crowded, leader) of pivots that several nodes enter.
 
     Rows arrive by pivot and node. A run of one pivot is held until it is longer than ``crowd``;
-    from then on it streams through.
+    from then on it streams through. An uncrowded region is led by its smallest node.
     """
 
     def read(batches):
         held_pivot, held, last = np.zeros(0, np.int64), np.zeros(0, np.int64), None
 
-        def emit(pivot, node, crowded):
+        def emit(pivot, node, crowded, leader):
             return pa.RecordBatch.from_arrays(
-                [pa.array(pivot), pa.array(node), pa.array(crowded)],
-                names=["pivot", "node", "crowded"],
+                [pa.array(pivot), pa.array(node), pa.array(crowded), pa.array(leader)],
+                names=["pivot", "node", "crowded", "leader"],
             )
 
         crowd_pivot = None
@@ -156,7 +156,8 @@ def _shared_pivots(sets: DataFrame, params: JaccardParams) -> DataFrame:
             open_run = run == len(begins) - 1
             streams = bool(crowded_run[-1])
             ready = ((size > 1) | crowded_run)[run] & (~open_run | streams)
-            yield emit(pivot[ready], node[ready], crowded_run[run[ready]])
+            leader = node[begins][run[ready]]
+            yield emit(pivot[ready], node[ready], crowded_run[run[ready]], leader)
             crowd_pivot = pivot[-1] if streams else None
             if streams:
                 last = (pivot[-1], node[-1])
@@ -165,11 +166,11 @@ def _shared_pivots(sets: DataFrame, params: JaccardParams) -> DataFrame:
                 last = None
                 held_pivot, held = pivot[open_run], node[open_run]
         if len(held) > 1:
-            yield emit(held_pivot, held, np.zeros(len(held), bool))
+            yield emit(held_pivot, held, np.zeros(len(held), bool), np.full(len(held), held[0]))
 
     entries = sets.select(F.explode("low").alias("pivot"), "node")
     by_pivot = entries.repartition("pivot").sortWithinPartitions("pivot", "node")
-    return by_pivot.mapInArrow(read, "pivot long, node long, crowded boolean")
+    return by_pivot.mapInArrow(read, "pivot long, node long, crowded boolean, leader long")
 
 
 def _node_facts(sets: DataFrame, shared: DataFrame, params: JaccardParams) -> DataFrame:
@@ -260,17 +261,28 @@ def _off_centre() -> Column:
     return (F.col("need") / F.col("need_all")).alias("off_centre")
 
 
-def _leader_pairs(entries: DataFrame, params: JaccardParams) -> DataFrame:
+def _leader_pairs(shared: DataFrame, facts: DataFrame, params: JaccardParams) -> DataFrame:
     """Each node with the leaders of its regions, if they share enough pivots to be promising."""
-    useful = entries.filter(~F.col("crowded") | (F.col("need") < 1))
-    leaders = useful.groupBy("pivot").agg(F.min(F.struct(_off_centre(), "node", "n", "need")).alias("l"))
+    own = facts.select("node", "n", "need", "need_all")
+    crowded = shared.filter("crowded").select("pivot", "node")
+    crowded = crowded.join(own.filter("need < 1"), "node")
+    leaders = crowded.groupBy("pivot").agg(F.min(F.struct(_off_centre(), "node")).alias("l"))
+    crowded = crowded.join(leaders, "pivot").select("l.node", crowded["node"])
+    uncrowded = shared.filter("not crowded").select("leader", "node")
+    a, b = own.select(*[F.col(c).alias(f"{c}_a") for c in own.columns]), own
     pairs = (
-        useful.join(leaders, "pivot")
-        .filter((F.col("node") != F.col("l.node")) & _sizes_fit(F.col("n"), F.col("l.n"), params))
-        .groupBy(F.col("l.node").alias("a"), F.col("node").alias("b"))
-        .agg(F.count("*").alias("common"), F.first(F.least("need", "l.need")).alias("least"))
+        uncrowded.union(crowded)
+        .filter("leader != node")
+        .groupBy(F.col("leader").alias("node_a"), "node")
+        .agg(F.count("*").alias("common"))
+        .join(b, "node")
+        .join(a, "node_a")
     )
-    return pairs.filter(2 * F.col("common") >= F.greatest("least", F.lit(4))).select("a", "b")
+    least = F.least("need", "need_a")
+    promising = (2 * F.col("common") >= F.greatest(least, F.lit(2))) & _sizes_fit(
+        F.col("n"), F.col("n_a"), params
+    )
+    return pairs.filter(promising).select(F.col("node_a").alias("a"), F.col("node").alias("b"))
 
 
 def _uncrowded_pairs(entries: DataFrame, tested: DataFrame, params: JaccardParams) -> DataFrame:
@@ -314,49 +326,67 @@ def _crowded_links(
 ) -> DataFrame:
     """Links between components whose nodes may meet in crowded regions only.
 
-    At least one node of such a link is not free. A leader's region is cut by size into classes as
-    wide as the threshold, and a class into blocks. Members wait in a block; those that are not
-    free visit all blocks of their own and the two neighbouring classes. A task compares the
-    visitors of a block with its members by their whole sets and returns the links that join two
-    components there: fewer than it has rows.
+    At least one node of such a link is not free. A leader's region is cut into classes by size,
+    and a class into blocks of so many shingles. Members wait in a block; those that are not free
+    visit all blocks of the classes that a set linked to them can be in, again block by block. A
+    task compares a block of visitors with a block of members by their whole sets and returns the
+    links that join two components there: fewer than it has rows.
     """
-    crowded = entries.filter("crowded")
+    crowded = entries.filter("crowded").drop("leader")
     leaders = crowded.filter("need < 1").groupBy("pivot").agg(F.min(F.struct(_off_centre(), "node"))["node"].alias("leader"))
-    wide = float(np.log(100 / params.percent))
+    wide = params.class_width * float(np.log(100 / params.percent))
+    size_class = lambda n: F.floor(F.log(n) / wide)
     members = materialise(
         crowded.join(leaders, "pivot")
         .select("leader", "node", "n", "need", "component")
         .distinct()
-        .withColumn("class", F.floor(F.log("n") / wide)),
+        .withColumn("class", size_class(F.col("n"))),
         "crowded-members",
     )
-    classes = F.explode(F.sequence(F.col("class") - 1, F.col("class") + 1))
-    visitors = members.filter("need < 1").withColumn("class", classes)
+    least = F.ceil(F.col("n") * params.percent / 100)
+    most = F.floor(F.col("n") * 100 / params.percent)
+    classes = F.explode(F.sequence(size_class(least), size_class(most)))
+    visitors = members.filter("need < 1").withColumnRenamed("class", "home")
+    visitors = visitors.withColumn("class", classes)
     ends = [F.min("component").alias("low"), F.max("component").alias("high")]
-    here = members.groupBy("leader", "class").agg(F.count("*").alias("size"), *ends)
+    here = members.groupBy("leader", "class").agg(F.sum("n").alias("size"), *ends)
     there = visitors.groupBy("leader", "class").agg(
-        F.min("component").alias("v_low"), F.max("component").alias("v_high")
+        F.min("component").alias("v_low"),
+        F.max("component").alias("v_high"),
+        F.sum("n").alias("v_size"),
     )
     busy = here.join(there, ["leader", "class"]).filter(
         F.least("low", "v_low") < F.greatest("high", "v_high")
     )
+    blocks = lambda size: F.ceil(F.col(size) / params.block_shingles).cast("int")
     busy = materialise(
         busy.select(
-            "leader", "class", F.ceil(F.col("size") / params.block).cast("int").alias("blocks")
+            "leader", "class", blocks("size").alias("blocks"), blocks("v_size").alias("v_blocks")
         ),
         "crowded-classes",
     )
-    waiting = members.join(busy, ["leader", "class"]).withColumns(
-        {"block": F.pmod(F.xxhash64("node"), F.col("blocks")), "visits": F.lit(False)}
-    )
-    all_blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    visiting = visitors.join(busy, ["leader", "class"]).withColumns(
-        {"block": all_blocks, "visits": F.lit(True)}
+    dealt = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    places = ["leader", "class", "block", "v_block", "node", "component", "waits", "visits"]
+    waiting = members.join(busy, ["leader", "class"]).withColumn("v_block", every("v_blocks"))
+    waiting = waiting.withColumns(
+        {
+            "block": dealt("blocks"),
+            "waits": F.lit(True),
+            "visits": (F.col("need") < 1) & (F.col("v_block") == dealt("v_blocks")),
+        }
+    ).select(*places)
+    visiting = visitors.join(busy, ["leader", "class"]).withColumn("block", every("blocks"))
+    visiting = (
+        visiting.filter((F.col("class") != F.col("home")) | (F.col("block") != dealt("blocks")))
+        .withColumns(
+            {"v_block": dealt("v_blocks"), "waits": F.lit(False), "visits": F.lit(True)}
+        )
+        .select(*places)
     )
     rows = waiting.unionByName(visiting)
     texts = _texts(docs, waiting.select("node").union(visiting.select("node")), facts, params)
-    columns = ["leader", "class", "block", "visits", "node", "component", "text"]
-    dealt = rows.join(texts.dropDuplicates(["node"]), "node").select(*columns)
+    together = rows.join(texts, "node")
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         part = part.reset_index(drop=True)
@@ -366,7 +396,9 @@ def _crowded_links(
             for own in shingle_sets(piece.column("text"), params.words)
         ]
         visits, node = part["visits"].to_numpy(), part["node"].to_numpy()
-        waiting = np.flatnonzero(~visits)
+        waiting = np.flatnonzero(part["waits"].to_numpy())
+        if not len(waiting) or not visits.any():
+            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
         sizes = np.array([len(sets[k]) for k in waiting], np.int64)
         values, at = np.unique(np.concatenate([sets[k] for k in waiting]), return_inverse=True)
         order = np.argsort(at, kind="stable")
@@ -397,7 +429,7 @@ def _crowded_links(
                     found.append((node[v], node[w]))
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    by_block = dealt.groupBy("leader", "class", "block")
+    by_block = together.groupBy("leader", "class", "block", "v_block")
     return by_block.applyInPandas(compare, "a long, b long")
 
 
@@ -407,8 +439,7 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
     sets = materialise(_sets(docs, params), "shingle-sets")
     shared = materialise(_shared_pivots(sets, params), "shared-pivots")
     facts = materialise(_node_facts(sets, shared, params), "node-facts")
-    entries = shared.join(facts.select("node", "n", "need", "need_all"), "node")
-    tested = materialise(_leader_pairs(entries, params), "leader-pairs")
+    tested = materialise(_leader_pairs(shared, facts, params), "leader-pairs")
     links = materialise(_verified(docs, tested, facts, params), "leader-links")
     labelled = materialise(_labelled(facts, links), "labelled")
     entries = shared.join(labelled.select("node", "n", "need", "need_all", "component"), "node")
