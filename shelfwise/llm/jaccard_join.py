@@ -44,7 +44,7 @@ class JaccardParams:
     percent: int = 85
     crowd: int = 24
     block_shingles: int = 400_000
-    class_width: int = 4
+    class_width: int = 1
     broadcast_rows: int = 250_000
 
     def spare(self, n):

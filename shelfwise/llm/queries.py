@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import jaccard_join, langid, packing, pii
+from shelfwise.llm import embedding_dedup, jaccard_join, langid, mixing, packing, pii
 from shelfwise.llm.textops import crc_fold
 
 
@@ -42,6 +42,15 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).drop("text")
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = pii.all_spans(found)
@@ -54,5 +63,5 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op7_pii": op7_pii, "op10_language_id": op10_language_id}
+QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op5_embedding_dedup": op5_embedding_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op10_language_id": op10_language_id}
 ORACLE: dict[str, str] = {}
