@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import langid, packing, pii
+from shelfwise.llm import jaccard_join, langid, mixing, packing, pii
 from shelfwise.llm.queries import byte_bpe
 from shelfwise.sources.scratch import materialise
 
@@ -20,12 +20,27 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return langid.confident(langid.predict(docs, model)).select(*docs.columns)
 
 
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near copies."""
+    found = jaccard_join.near_duplicates(docs)
+    kept = found.filter("doc_id = component_id or doc_id is null").select("doc_id").distinct()
+    same = docs["doc_id"].eqNullSafe(kept["doc_id"])
+    return docs.join(kept, same, "left_semi").dropDuplicates()
+
+
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row, with personal data in ``text`` replaced by its kind and ``n_chars`` following."""
     clean = pii.redact(docs)
     return clean.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, in files and rows that follow the mix of the sources."""
+    order = ["slot", "rank"]
+    in_order = mixing.mix(docs).repartitionByRange(*order).sortWithinPartitions(*order)
+    return in_order.select(*docs.columns)
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document with its sequence and its offset there."""
     return packing.pack(docs, byte_bpe())
@@ -33,7 +48,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("language_id", known_language),
+    ("jaccard_join", one_of_each_group),
     ("pii", without_personal_data),
+    ("mixing", mixed),
     ("packing", packed),
 ]
 #: Training a model cannot be said in SQL.
