@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import embedding_dedup, jaccard_join, langid, mixing, packing, pii
+from shelfwise.llm import embedding_dedup, graph_ann, jaccard_join, langid, mixing, packing, pii
 from shelfwise.llm.textops import crc_fold
 
 
@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return graph_ann.search(
+        graph_ann.build_index(vectors), vectors.filter(graph_ann.query_rows(vectors))
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.filter(langid.learned_rows(docs)))
@@ -63,5 +70,5 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op5_embedding_dedup": op5_embedding_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op10_language_id": op10_language_id}
+QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op5_embedding_dedup": op5_embedding_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op8_graph_ann": op8_graph_ann, "op10_language_id": op10_language_id}
 ORACLE: dict[str, str] = {}
