@@ -37,9 +37,9 @@ class AnnParams:
     k: int = 5
     shard: int = 2048
     query_block: int = 512
-    degree: int = 24
-    beam: int = 48
-    search_beam: int = 96
+    degree: int = 32
+    beam: int = 64
+    search_beam: int = 320
     alpha: float = 1.2
     batch: int = 256
     width: int = 4
@@ -212,7 +212,11 @@ def build_index(
     classes = materialise(classes, "ann-classes")
     sizes = classes.groupBy("dim").agg(F.count("*").alias("n"))
     shard = bucket_of(F.col("n"), params.shard, "node").alias("shard")
+    sizes = materialise(sizes, "ann-sizes")
+    n_shards = sizes.agg(F.sum(F.ceil(F.col("n") / params.shard))).first()[0] or 1
     dealt = classes.join(sizes, "dim").select("dim", shard, "node", "ids", "v")
+    # A shard is much work for few bytes: the number of tasks follows the shards.
+    dealt = dealt.repartition(int(n_shards), "dim", "shard")
 
     def index(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         return _index_shard(key, part, params)
