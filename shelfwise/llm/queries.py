@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwise.llm import embedding_dedup, graph_ann, jaccard_join, langid, mixing, packing, pii
+from shelfwise.llm import (
+    embedding_dedup,
+    graph_ann,
+    jaccard_join,
+    langid,
+    licenses,
+    lm_score,
+    mixing,
+    packing,
+    pii,
+    warc,
+)
 from shelfwise.llm.textops import crc_fold
 
 
@@ -16,6 +27,10 @@ LATIN_PATTERN = (
 )
 
 
+#: The date of the crawl that ``pages`` stands for.
+CRAWL_DATE = "2024-01-01T00:00:00Z"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -27,6 +42,10 @@ def op8_graph_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages"), CRAWL_DATE))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = langid.train(docs.filter(langid.learned_rows(docs)))
@@ -49,6 +68,26 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = lm_score.held_out(F.col("doc_id"))
+    model = lm_score.train(docs.filter(~held_out))
+    return lm_score.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.n_tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licenses.scan(docs).drop("text", "detections")
+
+
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -70,5 +109,5 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op5_embedding_dedup": op5_embedding_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op8_graph_ann": op8_graph_ann, "op10_language_id": op10_language_id}
+QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op3_lm_score": op3_lm_score, "op4_licenses": op4_licenses, "op5_embedding_dedup": op5_embedding_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op8_graph_ann": op8_graph_ann, "op9_warc": op9_warc, "op10_language_id": op10_language_id}
 ORACLE: dict[str, str] = {}
