@@ -110,4 +110,82 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op3_lm_score": op3_lm_score, "op4_licenses": op4_licenses, "op5_embedding_dedup": op5_embedding_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op8_graph_ann": op8_graph_ann, "op9_warc": op9_warc, "op10_language_id": op10_language_id}
-ORACLE: dict[str, str] = {}
+
+
+def _replaced(text: str, *steps: tuple[str, str]) -> str:
+    for pattern, by in steps:
+        quoted = [x.replace("'", "''") for x in (pattern, by)]
+        # Line ends and quotes are written as themselves.
+        text = f"regexp_replace({text}, '{quoted[0]}', '{quoted[1]}', 'g')"
+    return text
+
+
+def _urn(seed: str) -> str:
+    h = f"md5({seed})"
+    parts = ", ".join(f"substr({h}, {at}, {n})" for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
+    return f"'<urn:uuid:' || concat_ws('-', {parts}) || '>'"
+
+
+def warc_sql() -> str:
+    one_line = "regexp_replace({}, '[\r\n]+', ' ', 'g')"
+    plain = _replaced("payload", *warc.TAG_STEPS, *warc.ENTITY_STEPS, *warc.SPACE_STEPS)
+    title = "regexp_extract(payload, '(?is)<title[^>]*>(.*?)</title>', 1)"
+    title = _replaced(title, *warc.TAG_STEPS[3:], *warc.ENTITY_STEPS, *warc.ONE_LINE)
+    links = """regexp_extract_all(payload, '(?i)<a [^>]*href="([^"]*)"', 1)"""
+    link = f"'outlink: ' || {one_line.format('x')} || crlf"
+    header = " || ".join(
+        f"'{name}: ' || {value} || crlf"
+        for name, value in (
+            ("WARC-Type", "warc_type"),
+            ("WARC-Record-ID", "record_id"),
+            ("WARC-Date", "warc_date"),
+            ("WARC-Target-URI", "target_uri"),
+            ("WARC-Refers-To", "refers_to"),
+            ("WARC-Concurrent-To", "concurrent_to"),
+            ("WARC-Source-Digest", "source_digest"),
+            ("WARC-Block-Digest", "block_digest"),
+            ("Content-Type", "content_type"),
+            ("Content-Length", "content_length::varchar"),
+        )
+    )
+    return f"""
+with response as materialized (
+    select page_id, coalesce(html, '') as payload, chr(13) || chr(10) as crlf,
+        {one_line.format("coalesce(url, '')")} as target_uri,
+        {_urn("'response ' || coalesce(page_id::varchar, '') || ' ' || coalesce(url, '')")} as refers_to
+    from pages
+), readable as materialized (
+    select page_id, crlf, target_uri, refers_to,
+        'sha256:' || sha256(payload) as source_digest,
+        trim({plain}, ' ' || chr(10)) as plain,
+        trim({title}) as title,
+        array_to_string(list_transform({links}, lambda x: {link}), '') as outlinks,
+        strlen(payload) as bytes,
+        {_urn("'metadata ' || refers_to")} as metadata_id,
+        {_urn("'conversion ' || refers_to")} as conversion_id
+    from response
+), both_kinds as (
+    select *, 'metadata' as warc_type, metadata_id as record_id, conversion_id as concurrent_to,
+        'application/warc-fields' as content_type,
+        'source-header: HTTP/1.1 200 OK' || crlf
+        || 'source-header: Content-Type: text/html; charset=utf-8' || crlf
+        || 'source-header: Content-Length: ' || bytes || crlf
+        || 'source-digest: ' || source_digest || crlf || 'title: ' || title || crlf
+        || 'text-length: ' || length(plain) || crlf || outlinks as block
+    from readable
+    union all
+    select *, 'conversion', conversion_id, metadata_id, 'text/plain; charset=utf-8', plain
+    from readable
+), digested as (
+    select *, '{CRAWL_DATE}' as warc_date, 'sha256:' || sha256(block) as block_digest,
+        strlen(block)::bigint as content_length
+    from both_kinds
+)
+select page_id, refers_to, target_uri, warc_date, source_digest, warc_type, record_id,
+    concurrent_to, content_type, block, block_digest, content_length,
+    'WARC/1.1' || crlf || {header} as header
+from digested
+"""
+
+
+ORACLE: dict[str, str] = {"op9_warc": warc_sql()}

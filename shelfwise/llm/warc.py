@@ -69,27 +69,32 @@ def _replace(text: Column, *steps: tuple[str, str]) -> Column:
     return text
 
 
-# In order: what is not text, breaks between blocks, other tags, entities, white space.
-TEXT_STEPS = (
+# In order: what is not text, breaks between blocks, other tags; entities; white space.
+TAG_STEPS = (
     (r"(?is)<!--.*?-->", " "),
     (r"(?is)<(?:script|style|head|noscript)[^>]*>.*?</(?:script|style|head|noscript)>", " "),
     (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer)[^>]*>", "\n"),
     (r"<[^>]*>", ""),
+)
+ENTITY_STEPS = (
     ("&nbsp;|&#160;", " "),
     ("&lt;", "<"),
     ("&gt;", ">"),
     ("&quot;|&#34;", '"'),
     ("&#39;|&apos;", "'"),
     ("&amp;", "&"),
-    (r"[ \t\f\r]+", " "),
-    (r" ?\n[ \n]*", "\n"),
-    (r"^[ \n]+", ""),
-    (r"[ \n]+$", ""),
 )
+SPACE_STEPS = ((r"[ \t\f\r]+", " "), (r" ?\n[ \n]*", "\n"))
+ONE_LINE = ((r"[ \t\f\r\n]+", " "),)
+
+
+def _decoded(text: Column) -> Column:
+    """Entities replaced, where there are any."""
+    return F.when(text.rlike("&(?:[a-z]+|#[0-9]+);"), _replace(text, *ENTITY_STEPS)).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
-    return _replace(html, *TEXT_STEPS)
+    return F.btrim(_replace(_decoded(_replace(html, *TAG_STEPS)), *SPACE_STEPS), F.lit(" \n"))
 
 
 def _fields(*lines: tuple[str, Column]) -> Column:
@@ -100,11 +105,8 @@ def _fields(*lines: tuple[str, Column]) -> Column:
 
 def derivatives(source: DataFrame) -> DataFrame:
     """Two rows per response: page_id, the record's header fields, ``header`` and ``block``."""
-    title = _replace(
-        F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title>", 1),
-        *TEXT_STEPS[3:10],
-        (r"[ \t\f\r\n]+", " "),
-    )
+    title = F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title>", 1)
+    title = _replace(_decoded(_replace(title, *TAG_STEPS[3:])), *ONE_LINE)
     links = F.regexp_extract_all("payload", F.lit('(?i)<a [^>]*href="([^"]*)"'), F.lit(1))
     read = source.select(
         "*",
