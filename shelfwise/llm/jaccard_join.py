@@ -35,7 +35,7 @@ from shelfwise.llm.components import connected_components
 from shelfwise.llm.textops import chain, mix, slices, word_hashes
 from shelfwise.sources.scratch import materialise
 
-_SETS = "doc_id long, text_key long, n_shingles long, node long, low array<long>"
+_SETS = "doc_id long, text_key long, n_shingles long, node long"
 
 
 @dataclass(frozen=True)
@@ -43,7 +43,7 @@ class JaccardParams:
     words: int = 4
     percent: int = 85
     crowd: int = 24
-    block_shingles: int = 400_000
+    block_shingles: int = 250_000
     class_width: int = 1
     broadcast_rows: int = 250_000
 
@@ -72,52 +72,73 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[np.ndarray]:
             yield hashes[:0]
 
 
+def _node(own: np.ndarray) -> int:
+    """One number for a whole set."""
+    weights = mix(np.arange(1, len(own) + 1, dtype=np.uint64)) | np.uint64(1)
+    return int(mix((own * weights).sum(keepdims=True)).view(np.int64)[0])
+
+
 def _sets(docs: DataFrame, params: JaccardParams) -> DataFrame:
-    """Per row: set size, node, and the pivots of the set at its first place in a task."""
+    """Per row: set size and node."""
+
+    def read(batches):
+        for batch in batches:
+            for part in slices(batch):
+                own = list(shingle_sets(part.column("text"), params.words))
+                nodes = [_node(s) if len(s) else None for s in own]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        part.column("text_key"),
+                        pa.array([len(s) for s in own], pa.int64()),
+                        pa.array(nodes, pa.int64()),
+                    ],
+                    names=["doc_id", "text_key", "n_shingles", "node"],
+                )
+
+    return _keyed(docs).mapInArrow(read, _SETS)
+
+
+def _entries(docs: DataFrame, params: JaccardParams) -> DataFrame:
+    """(pivot, node) of the pivots that sets enter; equal sets of a task enter once.
+
+    The texts are read again for this, so that their many pivots are shuffled but never stored.
+    """
 
     def read(batches):
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch):
-                sizes, nodes, lows = [], [], []
+                pivots, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for own in shingle_sets(part.column("text"), params.words):
-                    sizes.append(len(own))
-                    if not len(own):
-                        nodes.append(None)
-                        lows.append(own.view(np.int64))
+                    if not len(own) or (node := _node(own)) in seen:
                         continue
-                    weights = mix(np.arange(1, len(own) + 1, dtype=np.uint64))
-                    node = int(mix((own * (weights | np.uint64(1))).sum(keepdims=True)).view(np.int64)[0])
-                    nodes.append(node)
-                    window = 0 if node in seen else params.window(len(own))
-                    lows.append(own[:window].view(np.int64))
                     if len(seen) > 1_000_000:
                         seen.clear()
                     seen.add(node)
-                offsets = np.append(0, np.cumsum([len(x) for x in lows])).astype(np.int32)
-                flat = np.concatenate(lows) if lows else np.zeros(0, np.int64)
+                    pivots.append(own[: params.window(len(own))])
+                    nodes.append(np.full(len(pivots[-1]), node))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"),
-                        part.column("text_key"),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(nodes, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                        pa.array(np.concatenate(pivots).view(np.int64)),
+                        pa.array(np.concatenate(nodes)),
                     ],
-                    names=["doc_id", "text_key", "n_shingles", "node", "low"],
+                    names=["pivot", "node"],
                 )
 
-    keyed = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), _text_key().alias("text_key"), "text"
-    )
-    return keyed.mapInArrow(read, _SETS)
+    return docs.select("text").mapInArrow(read, "pivot long, node long")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and a hash of the text, by which the row of a node is found again."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _text_key().alias("text_key"))
 
 
 def _text_key() -> Column:
     return F.xxhash64("text")
 
 
-def _shared_pivots(sets: DataFrame, params: JaccardParams) -> DataFrame:
+def _shared_pivots(docs: DataFrame, params: JaccardParams) -> DataFrame:
     """(pivot, node, crowded, leader) of pivots that several nodes enter.
 
     Rows arrive by pivot and node. A run of one pivot is held until it is longer than ``crowd``;
@@ -168,8 +189,7 @@ def _shared_pivots(sets: DataFrame, params: JaccardParams) -> DataFrame:
         if len(held) > 1:
             yield emit(held_pivot, held, np.zeros(len(held), bool), np.full(len(held), held[0]))
 
-    entries = sets.select(F.explode("low").alias("pivot"), "node")
-    by_pivot = entries.repartition("pivot").sortWithinPartitions("pivot", "node")
+    by_pivot = _entries(docs, params).repartition("pivot").sortWithinPartitions("pivot", "node")
     return by_pivot.mapInArrow(read, "pivot long, node long, crowded boolean, leader long")
 
 
@@ -196,36 +216,30 @@ def _sizes_fit(n_a: Column, n_b: Column, params: JaccardParams) -> Column:
     return 100 * F.least(n_a, n_b) >= params.percent * F.greatest(n_a, n_b)
 
 
-def _texts(
-    docs: DataFrame, nodes: DataFrame, facts: DataFrame, params: JaccardParams
+def _with_texts(
+    docs: DataFrame, rows: DataFrame, facts: DataFrame, params: JaccardParams
 ) -> DataFrame:
-    """(node, text) of the given nodes.
+    """``rows`` with the text of their node.
 
-    Up to ``broadcast_rows`` wanted rows go to the scan; more are joined by a shuffle.
+    Up to ``broadcast_rows`` rows go to the scan of the documents; more are joined by a shuffle.
     """
-    wanted = materialise(
-        facts.join(nodes.distinct(), "node", "left_semi").select("node", "doc_id", "text_key"),
-        "wanted",
-    )
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn(
-        "text_key", _text_key()
-    )
-    same = keyed["doc_id"].eqNullSafe(wanted["doc_id"]) & (
-        keyed["text_key"] == wanted["text_key"]
-    )
-    few = wanted.count() <= params.broadcast_rows
-    found = keyed.join(F.broadcast(wanted) if few else wanted, same)
-    return materialise(found.select("node", "text"), "wanted-texts")
+    rows = rows.join(facts.select("node", "doc_id", "text_key"), "node")
+    rows = materialise(rows, "wanted")
+    keyed = _keyed(docs)
+    same = keyed["doc_id"].eqNullSafe(rows["doc_id"]) & (keyed["text_key"] == rows["text_key"])
+    few = rows.count() <= params.broadcast_rows
+    found = keyed.join(F.broadcast(rows) if few else rows, same)
+    return found.select(*[rows[c] for c in rows.columns if c not in ("doc_id", "text_key")], "text")
 
 
 def _verified(
     docs: DataFrame, pairs: DataFrame, facts: DataFrame, params: JaccardParams
 ) -> DataFrame:
     """The pairs (a, b) that link, by their whole sets."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    texts = _texts(docs, nodes, facts, params)
-    left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    sides = F.explode(F.array("a", "b")).alias("node")
+    texts = _with_texts(docs, pairs.select("a", "b", sides), facts, params)
+    side = lambda c: F.max(F.when(F.col("node") == F.col(c), F.col("text"))).alias(f"text_{c}")
+    both = texts.groupBy("a", "b").agg(side("a"), side("b"))
 
     def compare(batches):
         for batch in batches:
@@ -244,8 +258,7 @@ def _verified(
                 assert at == len(rights)
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    return both.mapInArrow(compare, "a long, b long").distinct()
+    return both.mapInArrow(compare, "a long, b long")
 
 
 def _labelled(facts: DataFrame, links: DataFrame) -> DataFrame:
@@ -385,8 +398,7 @@ def _crowded_links(
         .select(*places)
     )
     rows = waiting.unionByName(visiting)
-    texts = _texts(docs, waiting.select("node").union(visiting.select("node")), facts, params)
-    together = rows.join(texts, "node")
+    together = _with_texts(docs, rows, facts, params)
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         part = part.reset_index(drop=True)
@@ -437,7 +449,7 @@ def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> Dat
     """One row per document: doc_id, n_shingles and component_id."""
     params = params or JaccardParams()
     sets = materialise(_sets(docs, params), "shingle-sets")
-    shared = materialise(_shared_pivots(sets, params), "shared-pivots")
+    shared = materialise(_shared_pivots(docs, params), "shared-pivots")
     facts = materialise(_node_facts(sets, shared, params), "node-facts")
     tested = materialise(_leader_pairs(shared, facts, params), "leader-pairs")
     links = materialise(_verified(docs, tested, facts, params), "leader-links")
