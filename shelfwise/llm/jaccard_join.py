@@ -43,7 +43,7 @@ class JaccardParams:
     words: int = 4
     percent: int = 85
     crowd: int = 24
-    block_shingles: int = 250_000
+    block_shingles: int = 150_000
     class_width: int = 1
     broadcast_rows: int = 250_000
 

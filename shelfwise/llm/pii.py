@@ -47,6 +47,7 @@ class PiiParams:
     min_confidence: float = 0.6
     min_length: int = 6
     min_digits: int = 4
+    broadcast_rows: int = 250_000
 
 
 def _digits(value: Column) -> Column:
@@ -262,6 +263,8 @@ def redact(docs: DataFrame, params: PiiParams | None = None) -> DataFrame:
         .dropDuplicates(["row_key"])
     )
     marked = materialise(marked, "pii-marked")
+    if marked.count() <= (params or PiiParams()).broadcast_rows:
+        marked = F.broadcast(marked)  # beyond that the texts are shuffled
     joined = docs.withColumn("row_key", F.xxhash64("doc_id", "text")).join(
         marked, "row_key", "left"
     )
