@@ -20,12 +20,23 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return langid.confident(langid.predict(docs, model)).select(*docs.columns)
 
 
+def _small(rows: DataFrame, most: int = 250_000) -> DataFrame:
+    """``rows`` for a broadcast if they are few, else for a shuffle."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
+    """The document with the smallest id of each group of near copies; of repeated rows one."""
     found = jaccard_join.near_duplicates(docs)
-    kept = found.filter("doc_id = component_id or doc_id is null").select("doc_id").distinct()
-    same = docs["doc_id"].eqNullSafe(kept["doc_id"])
-    return docs.join(kept, same, "left_semi").dropDuplicates()
+    copies = found.filter("doc_id != component_id").select("doc_id").distinct()
+    copies = _small(materialise(copies, "copies"))
+    repeated = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = _small(materialise(repeated, "repeated"))
+    left = docs.join(copies, "doc_id", "left_anti")
+    same = left["doc_id"].eqNullSafe(repeated["doc_id"])
+    once = left.join(repeated, same, "left_anti")
+    more = left.join(repeated, same, "left_semi").dropDuplicates()
+    return once.unionByName(more).select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
