@@ -1,8 +1,8 @@
 """Target lists and the assortment gap.
 
 The sellers x targets matrix is the result of two of these operators, so its size is a given, but
-it is never joined or shuffled. Target item ids are packed into short arrays; a seller meets each
-pack once, drops the ids it lists already, and the remaining ids are unfolded. What is shuffled is
+it is never joined or shuffled. Target rows are packed into short arrays; a seller meets each pack
+once, drops the items it lists already, and the remaining rows are unfolded. What is shuffled is
 the seller list, the packs and the listings of target items.
 
 The inputs are read more than once: pass written tables (``materialise``), reduced to what matters
@@ -57,7 +57,11 @@ def _unlisted(
     by_cores = targets.sparkSession.sparkContext.defaultParallelism
     n_tasks = max(by_cores, -(-n_ids * n_sellers // PAIRS_PER_TASK))
     pack = F.pmod(F.xxhash64("item_id"), F.lit(n_packs)).alias("pack")
-    wanted = ids.groupBy(pack).agg(F.collect_list("item_id").alias("wanted"))
+    columns = ["item_id", *[c for c in targets.columns if c != "item_id"]]
+    # Whole target rows travel in the packs, so that nothing is joined once they are unfolded. An
+    # item may be a target in two categories; each target row counts.
+    row = F.struct(*columns)
+    wanted = targets.groupBy(pack).agg(F.collect_list(row).alias("wanted"))
     all_packs = F.sequence(F.lit(0).cast("long"), F.lit(n_packs - 1).cast("long"))
     offers = sellers.select("seller_id", F.explode(all_packs).alias("pack"))
     offers = offers.repartition(n_tasks, "seller_id", "pack")
@@ -65,12 +69,12 @@ def _unlisted(
     if held is not None:
         lists = held.groupBy("seller_id", pack).agg(F.collect_list("item_id").alias("held"))
         offers = offers.join(lists, ["seller_id", "pack"], "left")
-        missing = F.array_except("wanted", F.coalesce("held", F.array().cast("array<string>")))
+        none = F.array().cast("array<string>")
+        offers = offers.withColumn("held", F.coalesce("held", none))
+        missing = F.filter("wanted", lambda t: ~F.array_contains(F.col("held"), t["item_id"]))
     # The packs come last, so that only seller ids and held ids have been shuffled until here.
-    pairs = offers.join(wanted, "pack").select("seller_id", F.explode(missing).alias("item_id"))
-    # An item may be a target in two categories; each target row counts.
-    rest = [c for c in targets.columns if c != "item_id"]
-    return pairs.join(targets, "item_id").select("seller_id", "item_id", *rest)
+    pairs = offers.join(wanted, "pack").select("seller_id", F.explode(missing).alias("target"))
+    return pairs.select("seller_id", *[F.col("target")[c].alias(c) for c in columns])
 
 
 def seller_item_matrix(sellers: DataFrame, targets: DataFrame) -> DataFrame:

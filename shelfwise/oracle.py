@@ -7,6 +7,8 @@ plain casts round and accept more than the library does.
 
 from __future__ import annotations
 
+from collections import Counter
+
 AS_OF = "date '2001-01-01'"
 
 
@@ -279,12 +281,12 @@ def _gold_parts() -> dict[str, tuple[str, tuple[str, ...]]]:
         ),
         "matrix": ("select * from sellers cross join targets", ("sellers", "targets")),
         "gap": (
-            "select * from matrix m where not exists (select 1 from listings l "
-            "where l.seller_id = m.seller_id and l.item_id = m.item_id)",
+            "select m.* from matrix m anti join listings l "
+            "on l.seller_id = m.seller_id and l.item_id = m.item_id",
             ("matrix", "listings"),
         ),
         "gap_or_matrix": (
-            "select * from gap union all select * from matrix where not exists (select 1 from gap)",
+            "select * from gap union all select matrix.* from matrix, (select count(*) as n from gap) where n = 0",
             ("gap", "matrix"),
         ),
         "gap_totals": (
@@ -324,8 +326,8 @@ _EVERYONE = {
     "sellers": ("select 'everyone' as seller_id", ()),
     "everyone_listings": ("select distinct 'everyone' as seller_id, item_id from listings", ("listings",)),
     "gap": (
-        "select * from matrix m where not exists (select 1 from everyone_listings l "
-        "where l.seller_id = m.seller_id and l.item_id = m.item_id)",
+        "select m.* from matrix m anti join everyone_listings l "
+        "on l.seller_id = m.seller_id and l.item_id = m.item_id",
         ("matrix", "everyone_listings"),
     ),
 }
@@ -393,7 +395,10 @@ def _build(final: str, needs: tuple[str, ...], parts: dict[str, tuple[str, tuple
 
     for name in needs:
         add(name)
-    expressions = ",\n".join(f"{name} as ({parts[name][0]})" for name in ordered)
+    # What several expressions read is worked out once, whatever the planner would do.
+    uses = Counter(other for name in ordered for other in parts[name][1]) + Counter(needs)
+    kind = {name: "as materialized" if uses[name] > 1 else "as" for name in ordered}
+    expressions = ",\n".join(f"{name} {kind[name]} ({parts[name][0]})" for name in ordered)
     return f"with {expressions}\n{final}"
 
 

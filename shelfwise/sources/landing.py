@@ -14,9 +14,11 @@ def read_landing(spark: SparkSession, path: str, infer: bool = False) -> DataFra
     """Header-bearing CSV, every column as text unless ``infer``.
 
     Text keeps the raw value (``007`` stays ``007``) and spares the type-inference pass over the
-    file; extra columns are carried along.
+    file; extra columns are carried along. Columns are named by the header; a folder whose files
+    have different headers is refused, since CSV rows are read by position.
     """
-    return spark.read.csv(path, header=True, inferSchema=infer)
+    rows = spark.read.csv(path, header=True, inferSchema=infer)
+    return spark.read.schema(rows.schema).csv(path, header=True, enforceSchema=False)
 
 
 def write_landing(df: DataFrame, path: str) -> None:

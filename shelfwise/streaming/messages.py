@@ -19,9 +19,13 @@ def read_landing_stream(
 ) -> DataFrame:
     """CSV files as they arrive in ``landing_dir``, all columns as text.
 
-    With ``archive_dir`` a file is moved there once a later batch has been committed.
+    Columns are named by the header of a file that is there already, or by the declaration if
+    there is none; a later file with another header fails the query instead of filling the wrong
+    columns. With ``archive_dir`` a file is moved there once a later batch has been committed.
     """
-    reader = spark.readStream.schema(text_schema(spec.columns)).option("header", True)
+    present = spark.read.option("ignoreMissingFiles", True).csv(landing_dir, header=True).columns
+    schema = text_schema(present or spec.columns)
+    reader = spark.readStream.schema(schema).options(header=True, enforceSchema=False)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive_dir is not None:

@@ -162,3 +162,23 @@ def test_attach_totals_keeps_unmatched_rows(spark):
     company = spark.createDataFrame([("a", 5)], "item_id string, comp_units long")
     got = forecast.attach_totals(rows, market, company).orderBy("item_id").collect()
     assert [tuple(r) for r in got] == [("a", 1, 1, 2.0, 5), ("z", None, None, None, None)]
+
+
+def test_nothing_is_joined_or_shuffled_once_the_gap_is_unfolded(spark):
+    sellers = spark.createDataFrame([(f"s{k}",) for k in range(9)], "seller_id string")
+    targets = spark.createDataFrame(
+        [(f"i{k}", f"c{k % 3}") for k in range(30)] + [("i1", "other")], "item_id string, category string"
+    )
+    listings = spark.createDataFrame([("s1", "i1"), ("s2", "i7")], "seller_id string, item_id string")
+    rows = sorted(map(tuple, gap.assortment_gap(sellers, targets, listings).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        df = gap.assortment_gap(sellers, targets, listings)
+        plan = df._jdf.queryExecution().sparkPlan().toString()
+        assert sorted(map(tuple, df.collect())) == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above = plan.split("Generate explode")[0]
+    assert "Generate explode" in plan and "Join" not in above and "Exchange" not in above
+    assert len(rows) == 9 * 31 - 3

@@ -178,3 +178,26 @@ def test_scratch_is_the_cluster_folder(spark, monkeypatch):
         scratch.scratch_root(Session())
     Context.master = "local[2]"
     assert scratch.scratch_root(Session()) == scratch.scratch_root(Session())
+
+
+def test_columns_follow_the_header(spark, tmp_path):
+    from shelfwise.streaming.messages import read_landing_stream
+
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    (folder / "a.csv").write_text(
+        "item_id,sale_date,units_sold,revenue,channel\nI1,2026-01-01,5,10.0,web\n"
+    )
+    expected = {"item_id": "I1", "units_sold": "5", "revenue": "10.0", "channel": "web"}
+    stream = read_landing_stream(spark, str(folder), COMPANY_SALES)
+    query = (
+        stream.writeStream.format("memory").queryName("by_header")
+        .option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    for rows in (spark.table("by_header"), read_landing(spark, str(folder))):
+        (row,) = rows.collect()
+        assert {c: row[c] for c in expected} == expected
+    (folder / "b.csv").write_text("item_id,units_sold,revenue,sale_date\nI2,7,11.0,2026-01-02\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_landing(spark, str(folder)).collect()
