@@ -47,9 +47,7 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row, in files and rows that follow the mix of the sources."""
-    order = ["slot", "rank"]
-    in_order = mixing.mix(docs).repartitionByRange(*order).sortWithinPartitions(*order)
-    return in_order.select(*docs.columns)
+    return mixing.in_mix_order(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

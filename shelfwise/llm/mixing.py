@@ -19,15 +19,19 @@ other. An empty table gives no rows. Same-named columns of the input are replace
 from __future__ import annotations
 
 import heapq
+from collections.abc import Callable
 from dataclasses import dataclass
 from math import isqrt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfwise.sources.scratch import materialise
 
+# Straight lines by which ``in_mix_order`` estimates how many rows come before a slot.
+MOST_LINES = 64
+
 PLACES = ("rank", "block", "slot", "position", "in_mix")
 
 
@@ -39,6 +43,8 @@ class MixParams:
     flattening: float = 0.7
     parts: int = 10_000
     block_docs: int = 16
+    #: Text that ``in_mix_order`` brings together in one task.
+    region_bytes: int = 64 << 20
 
 
 def whole_parts(weights: dict[str, float], parts: int) -> dict[str, int]:
@@ -73,62 +79,147 @@ def one_period(shares: dict[str, int]) -> list[tuple[str, int, int]]:
     return placed
 
 
-def mix(docs: DataFrame, params: MixParams | None = None, source: str = "source") -> DataFrame:
-    """``docs`` with rank and block in the source, slot of the block, position, and in_mix."""
-    params = params or MixParams()
-    spark = docs.sparkSession
-    name = F.coalesce(F.col(source), F.lit(""))
-    kept = [c for c in docs.columns if c not in PLACES]
-    counted = docs.groupBy(name.alias("s")).count()
-    sizes = {r["s"]: r["count"] for r in counted.limit(params.parts + 1).collect()}
+@dataclass(frozen=True)
+class Schedule:
+    """What the sizes of the sources decide: shares, one period, and the first unfillable slot."""
+
+    params: MixParams
+    sizes: dict[str, int]
+    shares: dict[str, int]
+    period: list[tuple[str, int, int]]
+    horizon: int
+    n_bytes: int
+
+    def lines(self) -> list[tuple[float, float]]:
+        """(rows, rows a slot): the least of ``rows + slot * rows a slot`` is about how many rows
+        come before a slot. A line each for the sources still running, some left out past 64."""
+        a_slot = self.params.block_docs / self.params.parts
+        rates = {s: self.shares[s] * a_slot for s in self.sizes}
+        done, rate, found = 0.0, sum(rates.values()), []
+        for s in sorted(rates, key=lambda s: self.sizes[s] / rates[s]):
+            found.append((done, rate))
+            done, rate = done + self.sizes[s], rate - rates[s]
+        return found[:: -(-len(found) // MOST_LINES)] + [(done, 0.0)]
+
+
+def schedule(
+    docs: DataFrame, params: MixParams, source: str, weigh: bool = False
+) -> Schedule | None:
+    """The schedule of ``docs``, or None if there are no rows; ``weigh`` adds up their text, too."""
+    n_bytes = F.sum(F.octet_length("text") if weigh else F.lit(0)).alias("bytes")
+    counted = docs.groupBy(_source(source).alias("s")).agg(F.count("*").alias("n"), n_bytes)
+    found = counted.limit(params.parts + 1).collect()
+    sizes = {r["s"]: r["n"] for r in found}
     weights = params.weights or {s: n**params.flattening for s, n in sizes.items()}
     if missing := sizes.keys() - weights.keys():
         raise ValueError(f"no target weight for {sorted(missing)[:5]}")
     if not sizes:
-        long = F.lit(0).cast("long")
-        return docs.select(
-            *kept, *[long.alias(c) for c in PLACES[:-1]], F.lit(True).alias("in_mix")
-        )
+        return None
     shares = whole_parts(weights, params.parts)
     period = one_period(shares)
     first_gap = {(s, k): place for s, k, place in period}
     ends = {s: divmod(sizes.get(s, 0) // params.block_docs, shares[s]) for s in shares}
     horizon = min(turn * params.parts + first_gap[s, k] for s, (turn, k) in ends.items())
-    bucket_rows = max(256, isqrt(sum(sizes.values())))
-    plan = spark.createDataFrame(
-        [(s, shares[s], -(-n // bucket_rows)) for s, n in sizes.items()],
+    return Schedule(params, sizes, shares, period, horizon, sum(r["bytes"] or 0 for r in found))
+
+
+def _source(source: str) -> Column:
+    return F.coalesce(F.col(source), F.lit(""))
+
+
+def _dealt(docs: DataFrame, kept: list[str], found: Schedule, source: str) -> DataFrame:
+    """``kept`` columns with the source, its share, the draw and the draw's bucket of each row."""
+    bucket_rows = max(256, isqrt(sum(found.sizes.values())))
+    plan = docs.sparkSession.createDataFrame(
+        [(s, found.shares[s], -(-n // bucket_rows)) for s, n in found.sizes.items()],
         "_s string, _share long, _buckets long",
     )
-    places = spark.createDataFrame(period, "_s string, _k long, _place long")
-    # Both tables have at most ``parts`` rows.
-    drawn = F.xxhash64(F.lit("mix"), "doc_id", "text")
-    high = F.shiftrightunsigned(drawn, 33).cast("double") / F.lit(float(1 << 31))
-    dealt = (
-        docs.select(*kept)
-        .withColumn("_s", name)
+    draw = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "doc_id", "text"), 33)
+    high = F.col("_draw").cast("double") / F.lit(float(1 << 31))
+    return (
+        docs.select(*kept, _source(source).alias("_s"), draw.alias("_draw"))
         .join(F.broadcast(plan), "_s")
-        .withColumn("_draw", F.shiftrightunsigned(drawn, 33))
         .withColumn("_bucket", F.floor(high * F.col("_buckets")))
     )
+
+
+def _placed(
+    dealt: DataFrame, found: Schedule, number: Callable[[], Column] = F.row_number
+) -> DataFrame:
+    """``dealt`` rows with rank, block and slot. Both joined tables are small: one has at most
+    ``parts`` rows, the other one row a bucket."""
     before = W.partitionBy("_s").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    firsts = materialise(
-        dealt.groupBy("_s", "_bucket")
-        .count()
-        .select("_s", "_bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first")),
-        "mix-buckets",
-    )
+    counts = dealt.groupBy("_s", "_bucket").count()
+    first = F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first")
+    firsts = materialise(counts.select("_s", "_bucket", first), "mix-buckets")
     own = W.partitionBy("_s", "_bucket").orderBy("_draw", "doc_id")
-    ranked = dealt.withColumn("_n", F.row_number().over(own)).join(firsts, ["_s", "_bucket"])
-    ranked = ranked.withColumn("rank", F.col("_first") + F.col("_n") - 1)
+    ranked = dealt.withColumn("_n", number().over(own)).join(firsts, ["_s", "_bucket"])
+    return _slotted(ranked.withColumn("rank", F.col("_first") + F.col("_n") - 1), found)
+
+
+def _slotted(ranked: DataFrame, found: Schedule) -> DataFrame:
+    params = found.params
+    places = ranked.sparkSession.createDataFrame(found.period, "_s string, _k long, _place long")
     ranked = ranked.withColumn("block", F.floor(F.col("rank") / params.block_docs))
     ranked = ranked.withColumn("_k", F.col("block") % F.col("_share"))
     slot = F.floor(F.col("block") / F.col("_share")) * params.parts + F.col("_place")
-    return (
-        ranked.join(F.broadcast(places), ["_s", "_k"])
-        .withColumn("slot", slot)
-        .withColumn(
-            "position", F.col("slot") * params.block_docs + F.col("rank") % params.block_docs
+    return ranked.join(F.broadcast(places), ["_s", "_k"]).withColumn("slot", slot)
+
+
+def mix(docs: DataFrame, params: MixParams | None = None, source: str = "source") -> DataFrame:
+    """``docs`` with rank and block in the source, slot of the block, position, and in_mix."""
+    params = params or MixParams()
+    kept = [c for c in docs.columns if c not in PLACES]
+    found = schedule(docs, params, source)
+    if found is None:
+        long = F.lit(0).cast("long")
+        return docs.select(
+            *kept, *[long.alias(c) for c in PLACES[:-1]], F.lit(True).alias("in_mix")
         )
-        .withColumn("in_mix", F.col("slot") < F.lit(horizon))
+    position = F.col("slot") * params.block_docs + F.col("rank") % params.block_docs
+    return (
+        _placed(_dealt(docs, kept, found, source), found)
+        .withColumn("position", position)
+        .withColumn("in_mix", F.col("slot") < F.lit(found.horizon))
         .select(*kept, *PLACES)
     )
+
+
+def in_mix_order(
+    docs: DataFrame, params: MixParams | None = None, source: str = "source"
+) -> DataFrame:
+    """The rows of ``docs``, partition after partition in the order of the mix.
+
+    The texts are shuffled once. Places are first worked out for numbers alone (source, draw, id);
+    from them each hash bucket learns the draws at which its rows pass from one region of the mix
+    to the next, so that the scan sends every text straight to its region, where the places are
+    worked out again from the regions' first ranks. A region has about ``region_bytes`` of text.
+    Repeated rows (same id and text) stay in one region, even if that takes some past its end.
+    """
+    params = params or MixParams()
+    found = schedule(docs, params, source, weigh=True)
+    if found is None:
+        return docs
+    total = sum(found.sizes.values())
+    n_regions = max(1, min(total, -(-found.n_bytes // params.region_bytes)))
+    before = F.least(*[F.lit(a) + F.lit(b) * F.col("slot") for a, b in found.lines()])
+    region = F.least(F.floor(before * n_regions / total), F.lit(n_regions - 1)).cast("int")
+    key = F.struct("_draw", "doc_id")
+    numbers = _dealt(docs, ["doc_id"], found, source)
+    cuts = (
+        _placed(numbers, found, F.rank)
+        .groupBy("_s", "_bucket", region.alias("region"))
+        .agg(F.min(key).alias("start"), F.min("rank").alias("first"))
+        .groupBy("_s", "_bucket")
+        .agg(F.collect_list(F.struct("region", "start", "first")).alias("_cuts"))
+    )
+    cuts = materialise(cuts, "mix-cuts")
+    kept = [F.col(c).alias(f"_in_{c}") for c in docs.columns]
+    dealt = _dealt(docs, [*kept, "doc_id"], found, source).join(cuts, ["_s", "_bucket"])
+    passed = F.filter("_cuts", lambda cut: cut["start"] <= key)
+    sent = dealt.withColumn("_cut", F.array_max(passed)).drop("_cuts")
+    sent = sent.withColumn("_region", F.col("_cut.region")).repartitionById(n_regions, "_region")
+    own = W.partitionBy("_region", "_s", "_bucket").orderBy("_draw", "doc_id")
+    ranked = sent.withColumn("rank", F.col("_cut.first") + F.row_number().over(own) - 1)
+    in_order = _slotted(ranked, found).sortWithinPartitions("slot", "rank")
+    return in_order.select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])

@@ -274,3 +274,20 @@ def test_mix_stays_within_a_block(docs, odd, empty):
     assert mixing.mix(empty).count() == 0
     with pytest.raises(ValueError):
         mixing.mix(docs, mixing.MixParams(weights={"src1": 1.0}))
+
+
+def test_rows_in_mix_order(docs, odd, empty):
+    """Partition after partition the rows of ``mix`` by slot and rank, whatever the weights."""
+    for weights in (None, {f"src{k}": 900.0 if k == 3 else 1.0 + k for k in range(20)}):
+        params = mixing.MixParams(weights=weights, parts=500, block_docs=2, region_bytes=300)
+        wanted = mixing.mix(docs, params).orderBy("slot", "rank").select("doc_id").collect()
+        found = mixing.in_mix_order(docs, params)
+        assert found.rdd.getNumPartitions() > 3
+        assert found.select("doc_id").collect() == wanted and found.columns == docs.columns
+    assert sorted(map(str, mixing.in_mix_order(odd).collect())) == sorted(map(str, odd.collect()))
+    repeated = docs.unionAll(docs).unionAll(docs)
+    once_more = mixing.in_mix_order(repeated, mixing.MixParams(region_bytes=300))
+    assert sorted(once_more.collect(), key=str) == sorted(repeated.collect(), key=str)
+    clashing = docs.selectExpr("*", "1 AS rank", "2 AS _s", "3 AS _draw", "4 AS first")
+    assert sorted(map(str, mixing.in_mix_order(clashing).collect())) == sorted(map(str, clashing.collect()))
+    assert mixing.in_mix_order(empty).count() == 0
