@@ -35,6 +35,9 @@ from shelfwise.llm.components import connected_components
 from shelfwise.llm.textops import chain, mix, slices, word_hashes
 from shelfwise.sources.scratch import materialise
 
+# Bytes of text whose sets a task computes at a time: nothing is combined within them.
+SLICE = 1 << 19
+
 _SETS = "doc_id long, text_key long, n_shingles long, node long"
 
 
@@ -83,7 +86,7 @@ def _sets(docs: DataFrame, params: JaccardParams) -> DataFrame:
 
     def read(batches):
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, "text", SLICE):
                 own = list(shingle_sets(part.column("text"), params.words))
                 nodes = [_node(s) if len(s) else None for s in own]
                 yield pa.RecordBatch.from_arrays(
@@ -108,7 +111,7 @@ def _entries(docs: DataFrame, params: JaccardParams) -> DataFrame:
     def read(batches):
         seen: set[int] = set()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, "text", SLICE):
                 pivots, nodes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for own in shingle_sets(part.column("text"), params.words):
                     if not len(own) or (node := _node(own)) in seen:
@@ -243,12 +246,12 @@ def _verified(
 
     def compare(batches):
         for batch in batches:
-            for part in slices(batch, "text_a"):
+            for part in slices(batch, "text_a", SLICE):
                 a = list(shingle_sets(part.column("text_a"), params.words))
                 rights = part.column("text_b")
                 keep = np.zeros(part.num_rows, bool)
                 at = 0
-                for sub in slices(part.select(["text_b"]), "text_b"):
+                for sub in slices(part.select(["text_b"]), "text_b", SLICE):
                     for b in shingle_sets(sub.column("text_b"), params.words):
                         own = a[at]
                         common = len(np.intersect1d(own, b, assume_unique=True))
@@ -404,7 +407,7 @@ def _crowded_links(
         part = part.reset_index(drop=True)
         sets = [
             own
-            for piece in slices(pa.RecordBatch.from_pandas(part[["text"]]), "text")
+            for piece in slices(pa.RecordBatch.from_pandas(part[["text"]]), "text", SLICE)
             for own in shingle_sets(piece.column("text"), params.words)
         ]
         visits, node = part["visits"].to_numpy(), part["node"].to_numpy()

@@ -19,11 +19,12 @@ other. An empty table gives no rows. Same-named columns of the input are replace
 from __future__ import annotations
 
 import heapq
+import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from math import isqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -43,8 +44,10 @@ class MixParams:
     flattening: float = 0.7
     parts: int = 10_000
     block_docs: int = 16
-    #: Text that ``in_mix_order`` brings together in one task.
-    region_bytes: int = 64 << 20
+    #: Text that ``in_mix_order`` brings together in one task, more where there would be more
+    #: than ``most_regions`` tasks.
+    region_bytes: int = 32 << 20
+    most_regions: int = 50_000
 
 
 def whole_parts(weights: dict[str, float], parts: int) -> dict[str, int]:
@@ -127,12 +130,24 @@ def _source(source: str) -> Column:
     return F.coalesce(F.col(source), F.lit(""))
 
 
+def _small_table(
+    spark: SparkSession, rows: list[tuple[str, int, int]], names: tuple[str, str, str]
+) -> DataFrame:
+    """A table of (source, number, number). It goes to Spark as one literal: rows made by
+    ``createDataFrame`` would be read through Python workers in every executor."""
+    first, *numbers = names
+    schema = f"array<struct<{first}: string, {', '.join(f'{n}: bigint' for n in numbers)}>>"
+    text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
+    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), schema)))
+
+
 def _dealt(docs: DataFrame, kept: list[str], found: Schedule, source: str) -> DataFrame:
     """``kept`` columns with the source, its share, the draw and the draw's bucket of each row."""
     bucket_rows = max(256, isqrt(sum(found.sizes.values())))
-    plan = docs.sparkSession.createDataFrame(
+    plan = _small_table(
+        docs.sparkSession,
         [(s, found.shares[s], -(-n // bucket_rows)) for s, n in found.sizes.items()],
-        "_s string, _share long, _buckets long",
+        ("_s", "_share", "_buckets"),
     )
     draw = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "doc_id", "text"), 33)
     high = F.col("_draw").cast("double") / F.lit(float(1 << 31))
@@ -159,7 +174,7 @@ def _placed(
 
 def _slotted(ranked: DataFrame, found: Schedule) -> DataFrame:
     params = found.params
-    places = ranked.sparkSession.createDataFrame(found.period, "_s string, _k long, _place long")
+    places = _small_table(ranked.sparkSession, found.period, ("_s", "_k", "_place"))
     ranked = ranked.withColumn("block", F.floor(F.col("rank") / params.block_docs))
     ranked = ranked.withColumn("_k", F.col("block") % F.col("_share"))
     slot = F.floor(F.col("block") / F.col("_share")) * params.parts + F.col("_place")
@@ -201,7 +216,7 @@ def in_mix_order(
     if found is None:
         return docs
     total = sum(found.sizes.values())
-    n_regions = max(1, min(total, -(-found.n_bytes // params.region_bytes)))
+    n_regions = max(1, min(total, params.most_regions, -(-found.n_bytes // params.region_bytes)))
     before = F.least(*[F.lit(a) + F.lit(b) * F.col("slot") for a, b in found.lines()])
     region = F.least(F.floor(before * n_regions / total), F.lit(n_regions - 1)).cast("int")
     key = F.struct("_draw", "doc_id")

@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Numpy needs some 50 bytes for each byte of a slice. Where a slice's rows are combined, larger ones
+# leave less to shuffle.
 SLICE_BYTES = 1 << 21
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -33,7 +35,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, SLICE_BYTES)
+        size = 1 << (n - 1).bit_length()
         tables = []
         for base in (_BASE, _INVERSE):
             table = np.full(size, base, np.uint64)
@@ -55,12 +57,14 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return at - at[0], np.frombuffer(data, np.uint8)[at[0] : at[-1]]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of about ``SLICE_BYTES`` of text, at least one row each."""
+def slices(
+    batch: pa.RecordBatch, column: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about ``size`` bytes of text, at least one row each."""
     at, _ = text_buffers(batch.column(column))
     begin = 0
     while begin < batch.num_rows:
-        end = int(np.searchsorted(at, at[begin] + SLICE_BYTES, "right")) - 1
+        end = int(np.searchsorted(at, at[begin] + size, "right")) - 1
         end = min(max(end, begin + 1), batch.num_rows)
         yield batch.slice(begin, end - begin)
         begin = end
