@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.operators.dedupe import latest_per_key
-from shelfwise.sources.scratch import materialise
+from shelfwise.sources.files import delete, read_note, write_note
+from shelfwise.sources.scratch import freed_scratch, materialise, materialise_at, scratch_path
 from shelfwise.sources.silver import SilverTable, read_placed_if_any, write_placed
 
-# Up to this many directories are named to the scan; past it they are found by a semi join.
-MAX_NAMED_DIRECTORIES = 10_000
 # A directory with more rows is split over several files.
 ROWS_PER_FILE = 1_000_000
 
@@ -59,17 +56,35 @@ def upsert(
     ``merge_schema=False`` spares reading all footers of a table whose columns never change.
     Repeating a batch changes nothing. One writer at a time; directories are replaced one by one at
     commit.
+
+    The merged rows are written to the shared scratch folder and noted in the table before any
+    directory is replaced. If that is cut off, the next upsert into the table first finishes it.
     """
     spark = batch.sparkSession
+    finish(spark, table)
     batch = table.place(batch)
-    if not unique:
-        batch = materialise(latest_per_key(batch, table.row_key, table.ordering), "upsert-batch")
-    stored = read_placed_if_any(spark, table, merge_schema)
-    if stored is None:
-        write_placed(gather(batch, table, [batch]), table)
-        return
-    touched = touched_rows(stored, batch, table)
-    write_placed(gather(merge_rows(touched, batch, table), table, [touched, batch]), table)
+    with freed_scratch(spark):
+        if not unique:
+            batch = materialise(latest_per_key(batch, table.row_key, table.ordering), "upsert-batch")
+        stored = read_placed_if_any(spark, table, merge_schema)
+        if stored is None:
+            write_placed(gather(batch, table), table)
+            return
+        merged = merge_rows(touched_rows(stored, batch, table), batch, table)
+        path = scratch_path(spark, "upsert-merged")
+        staged = materialise_at(merged, path)
+        write_note(spark, table.note, path)
+        write_placed(gather(staged, table), table)
+        delete(spark, table.note)
+
+
+def finish(spark: SparkSession, table: SilverTable) -> None:
+    """Replace the directories of an upsert that was cut off while it did so, if there is one."""
+    staged = read_note(spark, table.note)
+    if staged:
+        write_placed(gather(spark.read.parquet(staged), table), table)
+        delete(spark, table.note)
+        delete(spark, staged)
 
 
 def _directory(table: SilverTable) -> Column:
@@ -79,29 +94,34 @@ def _directory(table: SilverTable) -> Column:
 def touched_rows(stored: DataFrame, batch: DataFrame, table: SilverTable) -> DataFrame:
     """Stored rows of the directories the batch writes to.
 
-    The directory names, not rows, come to the driver, where the file index already holds them:
-    naming them to the scan makes partition pruning certain.
+    The directory names, not rows, come to the driver, where the file index holds those of the
+    whole table anyway: naming them to the scan makes partition pruning certain.
     """
-    touched = batch.select(*table.directories).distinct()
-    names = touched.select(_directory(table)).limit(MAX_NAMED_DIRECTORIES + 1).collect()
-    if len(names) > MAX_NAMED_DIRECTORIES:
-        return stored.join(touched, table.directories, "left_semi")
-    return stored.where(_directory(table).isin([row[0] for row in names]))
+    touched = batch.select(_directory(table)).distinct().collect()
+    return stored.where(_directory(table).isin([row[0] for row in touched]))
 
 
-def gather(df: DataFrame, table: SilverTable, inputs: list[DataFrame]) -> DataFrame:
+def gather(rows: DataFrame, table: SilverTable) -> DataFrame:
     """Bring each directory's rows together for writing, so that no task writes into all of them.
 
-    The rows per directory of ``inputs`` are counted first; that reads the directory columns only,
-    which for stored rows is no data at all. Where every directory fits one file, whole directories
-    are spread over the tasks. Where one does not, ``rebalance`` lets adaptive execution split it
-    over many tasks and files, however much of the data it holds, and merge small ones.
+    The rows per directory are counted first, which reads the directory columns only. A directory
+    gets a file for each ``ROWS_PER_FILE`` rows, and a row its file by the hash of its key, of
+    which no other row in the directory has the same: a directory that holds much of the data is
+    spread over many tasks.
     """
-    by_input = [i.groupBy(*table.directories).agg(F.count("*").alias("n")) for i in inputs]
-    sizes = reduce(DataFrame.unionByName, by_input).groupBy(*table.directories).agg(F.sum("n").alias("n"))
-    size = sizes.agg(F.count("*").alias("n"), F.sum("n").alias("rows"), F.max("n").alias("most")).first()
-    if size["most"] is None or size["most"] > ROWS_PER_FILE:
-        return df.hint("rebalance", *table.directories)
+    counts = rows.groupBy(*table.directories).agg(F.count("*").alias("n"))
+    files = F.ceil(F.col("n") / ROWS_PER_FILE).alias("__files")
+    renamed = [F.col(c).alias(f"__{c}") for c in table.directories]
+    sizes = materialise(counts.select(*renamed, "n", files), "upsert-sizes")
+    size = sizes.agg(F.sum("__files").alias("files"), F.sum("n").alias("rows")).first()
+    if size["rows"] is None:
+        return rows
     by_rows = -(-2 * size["rows"] // ROWS_PER_FILE)
-    by_cores = 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(min(size["n"], max(by_rows, by_cores)), *table.directories)
+    by_cores = 2 * rows.sparkSession.sparkContext.defaultParallelism
+    same = F.lit(True)
+    for c in table.directories:
+        same = same & rows[c].eqNullSafe(sizes[f"__{c}"])
+    file = F.pmod(F.xxhash64(*table.row_key), F.col("__files"))
+    placed = rows.join(sizes, same).withColumn("__file", file)
+    n_tasks = min(size["files"], max(by_rows, by_cores))
+    return placed.repartition(n_tasks, *table.directories, "__file").select(*rows.columns)

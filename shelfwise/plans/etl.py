@@ -16,7 +16,7 @@ from shelfwise.sources.landing import (
     write_bronze,
     write_quarantine,
 )
-from shelfwise.sources.scratch import materialise
+from shelfwise.sources.scratch import freed_scratch, materialise
 from shelfwise.sources.silver import SilverTable
 
 
@@ -95,16 +95,18 @@ def load_batch(
     shuffle, and repeating it costs less than writing all rows.
     """
     options = _pin_today(raw.sparkSession, options)
-    tagged = tag_rows(raw, spec, options)
-    if spec.dedupe_keys and not options.dedupe_after_rules:
-        tagged = materialise(tagged, f"tagged-{spec.name}")
-    write_quarantine(quarantine_records(tagged, spec.name), lake.quarantine, spec.name, batch_id)
-    rows = accepted_rows(tagged, spec, options)
-    if spec.stamp is not None:
-        now = F.current_timestamp() if options.stamp is None else F.lit(options.stamp).cast("timestamp")
-        rows = rows.withColumn(spec.stamp, now)
-    unique = spec.unique_after_dedupe and not options.dedupe_after_rules
-    upsert(rows, lake.silver(spec), unique, options.evolve)
+    with freed_scratch(raw.sparkSession):
+        tagged = tag_rows(raw, spec, options)
+        if spec.dedupe_keys and not options.dedupe_after_rules:
+            tagged = materialise(tagged, f"tagged-{spec.name}")
+        write_quarantine(quarantine_records(tagged, spec.name), lake.quarantine, spec.name, batch_id)
+        rows = accepted_rows(tagged, spec, options)
+        if spec.stamp is not None:
+            given = F.lit(options.stamp).cast("timestamp")
+            now = F.current_timestamp() if options.stamp is None else given
+            rows = rows.withColumn(spec.stamp, now)
+        unique = spec.unique_after_dedupe and not options.dedupe_after_rules
+        upsert(rows, lake.silver(spec), unique, options.evolve)
 
 
 def load_landing(

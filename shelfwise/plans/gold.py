@@ -18,7 +18,7 @@ from shelfwise.operators.ranking import top_items
 from shelfwise.plans.etl import Lake
 from shelfwise.plans.specs import COMPANY_SALES, COMPETITOR_SALES, SELLER_CATALOG
 from shelfwise.sources.landing import write_report
-from shelfwise.sources.scratch import materialise
+from shelfwise.sources.scratch import freed_scratch, materialise
 from shelfwise.sources.silver import read_silver
 
 # Fixed value: the category of a listing without one.
@@ -137,4 +137,5 @@ def lake_report(spark: SparkSession, lake: Lake) -> DataFrame:
 
 
 def publish_report(spark: SparkSession, lake: Lake) -> None:
-    write_report(lake_report(spark, lake), lake.report)
+    with freed_scratch(spark):
+        write_report(lake_report(spark, lake), lake.report)

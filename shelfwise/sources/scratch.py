@@ -5,11 +5,34 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.sources.files import delete
+
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 _local_roots: dict[str, str] = {}
+_written: ContextVar[list[str] | None] = ContextVar("_written", default=None)
+
+
+@contextmanager
+def freed_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialise`` writes inside, once all of it has succeeded.
+
+    For work that has written its results by its end. After a failure the tables stay, since an
+    upsert that was cut off is finished from one of them; without a scope they stay, too.
+    """
+    paths: list[str] = []
+    outer = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(outer)
+    for path in paths:
+        delete(spark, path)
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -37,7 +60,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     The result has short lineage, survives lost executors, and has a size Catalyst knows from the
     files, so a later join broadcasts it only if it really is small.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return materialise_at(df, scratch_path(df.sparkSession, label))
+
+
+def materialise_at(df: DataFrame, path: str) -> DataFrame:
+    """The same, under a path the caller knows."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if (paths := _written.get()) is not None:
+        paths.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

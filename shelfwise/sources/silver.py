@@ -33,6 +33,11 @@ class SilverTable:
     def row_key(self) -> list[str]:
         return [self.partition, *(k for k in self.keys if k != self.partition)]
 
+    @property
+    def note(self) -> str:
+        """Names the written rows of an upsert that is replacing directories; scans skip it."""
+        return f"{self.path}/_pending"
+
     @property
     def directories(self) -> list[str]:
         return [self.partition, BUCKET] if self.buckets > 1 else [self.partition]

@@ -1,5 +1,7 @@
 import datetime
+import os
 import random
+import shutil
 
 import pytest
 
@@ -7,6 +9,7 @@ from shelfwise.operators import upsert as upserts
 from shelfwise.operators.dedupe import keep_one, latest_per_key
 from shelfwise.operators.ranking import top_k_per_group
 from shelfwise.operators.upsert import upsert
+from shelfwise.sources.scratch import scratch_root
 from shelfwise.sources.silver import SilverTable, read_silver
 
 SCHEMA = "k string, v int, p string, t int"
@@ -146,9 +149,8 @@ def test_date_partitions(spark, tmp_path):
     assert got == [(datetime.date(2026, 1, 1), 7), (day, 2)]
 
 
-@pytest.mark.parametrize("named, rows_per_file", [(1, 1), (10_000, 1), (1, 1_000_000)])
-def test_other_ways_of_finding_and_writing_partitions(spark, table, monkeypatch, named, rows_per_file):
-    monkeypatch.setattr(upserts, "MAX_NAMED_DIRECTORIES", named)
+@pytest.mark.parametrize("rows_per_file", [1, 7, 1_000_000])
+def test_large_directories_are_written_as_several_files(spark, table, monkeypatch, rows_per_file):
     monkeypatch.setattr(upserts, "ROWS_PER_FILE", rows_per_file)
     old = [(str(i), 1, f"p{i % 5}", 1) for i in range(100)]
     new = [(str(i), 2, f"p{i % 5}", 2) for i in range(50, 120) if i % 5 < 3]
@@ -156,3 +158,37 @@ def test_other_ways_of_finding_and_writing_partitions(spark, table, monkeypatch,
     upsert(frame(spark, new), table)
     expected = {(k, p): (k, v, p, t) for k, v, p, t in old + new}
     assert snapshot(spark, table) == sorted(expected.values())
+
+
+class Cut(Exception):
+    pass
+
+
+@pytest.mark.parametrize("lost", [(), ("p0",), ("p0", "p1", "p2")])
+def test_an_upsert_that_is_cut_off_loses_nothing(spark, table, tmp_path, monkeypatch, lost):
+    """Cut off before directories are replaced, or with some of them deleted already."""
+    old = [(str(i), 1, f"p{i % 3}", 1) for i in range(30)]
+    new = [(str(i), 2, f"p{i % 3}", 2) for i in range(20, 40)]
+    expected = {(k, p): (k, v, p, t) for k, v, p, t in old + new}
+    upsert(frame(spark, old), table)
+
+    def cut_off(df, table):
+        for name in lost:
+            shutil.rmtree(tmp_path / "table" / f"p={name}")
+        raise Cut
+
+    with monkeypatch.context() as patch:
+        patch.setattr(upserts, "write_placed", cut_off)
+        with pytest.raises(Cut):
+            upsert(frame(spark, new), table)
+    upsert(frame(spark, new), table)
+    assert snapshot(spark, table) == sorted(expected.values())
+    assert not (tmp_path / "table" / "_pending").exists()
+
+
+def test_scratch_tables_of_an_upsert_are_freed(spark, table):
+    root = scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    upsert(frame(spark, [("a", 1, "x", 1)]), table)
+    upsert(frame(spark, [("a", 2, "x", 2)]), table)
+    assert set(os.listdir(root)) == before
