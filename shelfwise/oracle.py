@@ -130,6 +130,11 @@ def _text(columns: str, number: str) -> str:
     return columns.replace(number, f"cast({number} as varchar) as {number}")
 
 
+def _sent(columns: str) -> str:
+    """The columns as a message carries them: a missing one is empty text."""
+    return ", ".join(f"coalesce({c}, '') as {c}" for c in columns.split(", "))
+
+
 def _keep_one(source: str, keys: str, rest: list[str]) -> str:
     order = ", ".join(f"{c} asc nulls first" for c in rest)
     return (
@@ -485,12 +490,17 @@ ORACLE: dict[str, str] = {
     "upsert_latest": _all("snapshot", "seller_id, item_id, category, stock_qty, listed_on", _UPSERT),
     "upsert_evolved": _all("snapshot", parts=_UPSERT),
     "csv_bronze_roundtrip": _all("dirty_competitor"),
+    "csv_bronze_catalog": _all("dirty_catalog"),
     "silver_snapshot_scan": _all("good_catalog", _CATALOG_COLUMNS),
+    "silver_company": _all("company", _COMPANY_COLUMNS, _LAKE),
+    "silver_competitor": _all("competitor", _COMPETITOR_COLUMNS, _LAKE),
     "report_csv_roundtrip": _all("report"),
     "medallion_end_to_end": _all("report", parts=_LAKE),
-    "stream_messages": _all(
-        "dirty_company",
-        ", ".join(f"coalesce({c}, '') as {c}" for c in ("item_id", "units_sold", "revenue", "sale_date")),
+    "stream_messages": _all("dirty_company", _sent("item_id, units_sold, revenue, sale_date")),
+    "stream_messages_catalog": _all("dirty_catalog", _sent(_CATALOG_COLUMNS)),
+    "stream_messages_competitor": _all(
+        "dirty_competitor",
+        _sent("item_id, seller_id, units_sold, revenue, marketplace_price, sale_date"),
     ),
     "stream_landing_ingest": _all("good_catalog", _CATALOG_COLUMNS),
 }

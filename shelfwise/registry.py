@@ -285,11 +285,33 @@ def csv_bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return landing.read_bronze(spark, bronze)
 
 
+def csv_bronze_catalog(spark: SparkSession, sf: str) -> DataFrame:
+    """The same over every line, as a listing."""
+    source, bronze = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    landing.write_landing(views.dirty_catalog(spark, sf), source)
+    landing.write_bronze(landing.read_landing(spark, source), bronze)
+    return landing.read_bronze(spark, bronze)
+
+
+def _silver(spark: SparkSession, sf: str, spec: DatasetSpec) -> DataFrame:
+    lake = etl.Lake(scratch_path(spark, "lake"))
+    etl.load_batch(_DIRTY[spec.name](spark, sf), spec, lake, "first", OPTIONS)
+    return read_silver(spark, lake.silver(spec))
+
+
 def silver_snapshot_scan(spark: SparkSession, sf: str) -> DataFrame:
     """The accepted catalog, stored by category and read from the table root."""
-    lake = etl.Lake(scratch_path(spark, "lake"))
-    etl.load_batch(views.dirty_catalog(spark, sf), SELLER_CATALOG, lake, "first", OPTIONS)
-    return read_silver(spark, lake.silver(SELLER_CATALOG)).drop("ingestion_time")
+    return _silver(spark, sf, SELLER_CATALOG).drop("ingestion_time")
+
+
+def silver_company(spark: SparkSession, sf: str) -> DataFrame:
+    """Accepted company sales, stored by date."""
+    return _dates_as_text(_silver(spark, sf, COMPANY_SALES))
+
+
+def silver_competitor(spark: SparkSession, sf: str) -> DataFrame:
+    """Accepted marketplace sales, stored by date; of a key's sales on a day the upsert keeps one."""
+    return _dates_as_text(_silver(spark, sf, COMPETITOR_SALES))
 
 
 def report_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -310,13 +332,18 @@ def medallion_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
     return landing.read_report(spark, lake.report, forecast.REPORT_SCHEMA)
 
 
-def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
-    root = scratch_path(spark, "messages")
-    landing.write_landing(views.dirty_company(spark, sf), f"{root}/landing")
-    rows = read_landing_stream(spark, f"{root}/landing", COMPANY_SALES)
-    query = publish(to_messages(rows), f"{root}/checkpoint", "text", {"path": f"{root}/topic"})
-    query.awaitTermination()
-    return from_messages(spark.read.text(f"{root}/topic"), COMPANY_SALES)
+def _messages(spec: DatasetSpec) -> Query:
+    """Landing rows of a dataset sent as messages, and the messages read back."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        root = scratch_path(spark, "messages")
+        landing.write_landing(_DIRTY[spec.name](spark, sf), f"{root}/landing")
+        rows = read_landing_stream(spark, f"{root}/landing", spec)
+        sent = publish(to_messages(rows), f"{root}/checkpoint", "text", {"path": f"{root}/topic"})
+        sent.awaitTermination()
+        return from_messages(spark.read.text(f"{root}/topic"), spec)
+
+    return query
 
 
 def stream_landing_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -376,9 +403,14 @@ QUERIES: dict[str, Query] = {
     "upsert_latest": upsert_latest,
     "upsert_evolved": upsert_evolved,
     "csv_bronze_roundtrip": csv_bronze_roundtrip,
+    "csv_bronze_catalog": csv_bronze_catalog,
     "silver_snapshot_scan": silver_snapshot_scan,
+    "silver_company": silver_company,
+    "silver_competitor": silver_competitor,
     "report_csv_roundtrip": report_csv_roundtrip,
     "medallion_end_to_end": medallion_end_to_end,
-    "stream_messages": stream_messages,
+    "stream_messages": _messages(COMPANY_SALES),
+    "stream_messages_catalog": _messages(SELLER_CATALOG),
+    "stream_messages_competitor": _messages(COMPETITOR_SALES),
     "stream_landing_ingest": stream_landing_ingest,
 }

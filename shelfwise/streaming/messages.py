@@ -16,9 +16,13 @@ def read_landing_stream(
     spec: DatasetSpec,
     files_per_batch: int | None = None,
     archive_dir: str | None = None,
+    doubled_quotes: bool = False,
 ) -> DataFrame:
     """CSV files as they arrive in ``landing_dir``, all columns as text.
 
+    A quote inside a quoted field is written ``\\"`` as in Spark's own CSV, or ``""`` with
+    ``doubled_quotes``.
+
     Columns are named by the header of a file that is there already, or by the declaration if
     there is none; a later file with another header fails the query instead of filling the wrong
     columns. With ``archive_dir`` a file is moved there once a later batch has been committed.
@@ -26,6 +30,8 @@ def read_landing_stream(
     present = spark.read.option("ignoreMissingFiles", True).csv(landing_dir, header=True).columns
     schema = text_schema(present or spec.columns)
     reader = spark.readStream.schema(schema).options(header=True, enforceSchema=False)
+    if doubled_quotes:
+        reader = reader.option("escape", '"')
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if archive_dir is not None:

@@ -2,6 +2,7 @@
 
 import csv
 import json
+import os
 from dataclasses import replace
 from pathlib import Path
 
@@ -155,6 +156,29 @@ def test_messages_hold_every_field_as_text(spark, tmp_path):
     assert values == [{"item_id": "I1", "units_sold": "5", "revenue": "", "sale_date": "2026-07-01"}]
 
 
+def test_doubled_quotes_in_a_message_feed(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    head = ",".join(COMPANY_SALES.columns)
+    (tmp_path / "landing" / "c.csv").write_text(f'{head}\n"5"" mount, black",1,2.0,2026-07-01\n')
+    rows = read_landing_stream(spark, str(tmp_path / "landing"), COMPANY_SALES, doubled_quotes=True)
+    publish(to_messages(rows), str(tmp_path / "ckpt"), "text", {"path": str(tmp_path / "topic")}).awaitTermination()
+    (value,) = [json.loads(r["value"]) for r in spark.read.text(str(tmp_path / "topic")).collect()]
+    assert value["item_id"] == '5" mount, black' and value["units_sold"] == "1"
+
+
+def test_loads_and_a_report_leave_no_scratch_tables(spark, tmp_path):
+    lake = etl.Lake(str(tmp_path / "lake"))
+    root = scratch.scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root))
+    feeds = ((SELLER_CATALOG, CATALOG), (COMPANY_SALES, COMPANY), (COMPETITOR_SALES, COMPETITOR))
+    for batch in ("first", "second"):
+        for spec, rows in feeds:
+            path = land(tmp_path / f"{spec.name}.csv", spec, rows)
+            etl.load_landing(spark, path, spec, lake, batch, OPTIONS)
+    gold.publish_report(spark, lake)
+    assert set(os.listdir(root)) == before
+
+
 def test_write_landing_keeps_spaces(spark, tmp_path):
     df = spark.createDataFrame([(" a ", "   ", None)], "x string, y string, z string")
     write_landing(df, str(tmp_path / "l"))
