@@ -1,4 +1,6 @@
 import math
+import random
+import re
 from collections import Counter, defaultdict
 
 import brute
@@ -190,6 +192,70 @@ def test_license_rules_suppress_contained_detections(spark, empty):
     assert licenses.scan(empty).count() == 0
 
 
+def _sample(parsed, draw, gap):
+    """A text that a parsed pattern matches; white space is ``gap``."""
+    out = []
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out.append(chr(arg))
+        elif name == "IN":
+            out.append(_member(arg, gap))
+        elif name == "BRANCH":
+            out.append(_sample(draw.choice(arg[1]), draw, gap))
+        elif name == "SUBPATTERN":
+            out.append(_sample(arg[3], draw, gap))
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, inner = arg
+            out.append("".join(_sample(inner, draw, gap) for _ in range(draw.randint(least, min(most, least + 1)))))
+        else:
+            assert name in ("ASSERT", "ASSERT_NOT"), name
+    return "".join(out)
+
+
+def _member(choices, gap):
+    kinds = [str(value) for op, value in choices if str(op) == "CATEGORY"]
+    if "CATEGORY_SPACE" in kinds:
+        return gap
+    return "x" if "CATEGORY_WORD" in kinds else chr(choices[0][1])
+
+
+@pytest.mark.parametrize("gap", ["\n", " \t"])
+def test_license_gates_let_every_match_through(spark, gap):
+    from re import _parser
+
+    draw = random.Random(4)
+    rules = license_rules.all_rules()
+    rows = []
+    for k, rule in enumerate(rules):
+        for text in {_sample(_parser.parse(rule.pattern), draw, gap) for _ in range(8)}:
+            if re.search(rule.pattern, text):
+                rows.append((k, text))
+    assert {k for k, _ in rows} == set(range(len(rules)))
+    low = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    low = low.withColumn("flat", licenses._flat(F.col("text")))
+    found = low.select(
+        "doc_id", "text", licenses._detections(F.col("text"), F.col("flat"))["rule"].alias("rules")
+    )
+    assert [(r.text, rules[r.doc_id]) for r in found.collect() if r.doc_id not in r.rules] == []
+
+
+def test_wrapped_and_spdx_only_license_texts(spark):
+    wrapped = {
+        "Released under\nthe MIT": "mit",
+        "available under\nApache 2.0": "apache-2.0",
+        "All rights\nreserved": "proprietary",
+        "GNU Lesser\n  General Public License": "lgpl",
+        "Creative\nCommons Attribution": "cc-by",
+        "SPDX-License-Identifier: MPL-2.0": "mpl-2.0",
+        "released under the Expat": "mit",
+    }
+    table = spark.createDataFrame(list(enumerate(wrapped)), "doc_id long, text string")
+    found = {r.text: set(r.labels.split(",")) for r in licenses.scan(table).collect()}
+    for text, labels in wrapped.items():
+        assert set(labels.split(",")) <= found[text], text
+
+
 def test_personal_data_equals_brute_force(spark, docs, odd):
     tricky = [
         "a@b.c_d@e.f 1.2.3.4.5.6.7.8 1.2.3.999 4111 1111 1111 1111-1111 +1 555 (555) 7713-- a@b",
