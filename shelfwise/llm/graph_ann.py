@@ -205,7 +205,9 @@ def build_index(
     """One row per shard: ids of its classes, vectors, graph and entry point."""
     params = params or AnnParams()
     own = W.partitionBy("node").orderBy("vec_id")
-    first = _points(vectors, vector).withColumn("_n", F.row_number().over(own))
+    # Repeated rows count once, or their copies would fill the class.
+    once = _points(vectors, vector).dropDuplicates(["node", "vec_id"])
+    first = once.withColumn("_n", F.row_number().over(own))
     classes = first.filter(F.col("_n") <= params.k + 1).groupBy("node", "dim").agg(
         F.collect_set("vec_id").alias("ids"), F.first("v").alias("v")
     )

@@ -85,6 +85,19 @@ def test_ann_recall_against_brute_force(spark, vectors):
         assert hits >= 0.9 * total
 
 
+def test_ann_repeated_rows_leave_room_for_their_equals(spark):
+    random = np.random.default_rng(8)
+    rows = [(100 + k, random.normal(size=16).tolist()) for k in range(80)]
+    same = random.normal(size=16).tolist()
+    rows += [(5, same)] * 10 + [(i, same) for i in (7, 9, 11)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
+    index = graph_ann.build_index(table)
+    for query in (5, 9):
+        found = graph_ann.search(index, table.filter(F.col("vec_id") == query)).collect()
+        own = [r.vec_id for r in sorted(found, key=lambda r: r["rank"])]
+        assert own[:3] == [i for i in (5, 7, 9, 11) if i != query] and len(own) == 5
+
+
 def test_vector_operators_on_an_empty_table(vectors):
     none = vectors.filter("false")
     assert embedding_dedup.near_duplicates(none).count() == 0
