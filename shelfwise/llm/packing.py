@@ -88,8 +88,15 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(spec.path)
-        self._tokenizer.encode_special_tokens = True
-        self._words = regex.compile(spec.word_pattern) if spec.word_pattern else None
+        added = self._tokenizer.get_added_tokens_decoder().values()
+        # Added tokens that take white space or word bounds in are left to the library.
+        plain = not any(
+            t.lstrip or t.rstrip or t.single_word or (t.normalized and self._tokenizer.normalizer)
+            for t in added
+        )
+        self._words = regex.compile(spec.word_pattern) if spec.word_pattern and plain else None
+        contents = sorted((t.content for t in added), key=len, reverse=True)
+        self._added = re.compile(f"({'|'.join(map(re.escape, contents))})") if contents else None
         self._latin = re.compile(spec.latin_pattern) if spec.latin_pattern else None
         self._clear()
 
@@ -114,6 +121,15 @@ class _Encoder:
         self._ends = np.append(self._ends, before + np.cumsum(np.concatenate(sizes)))
 
     def _split(self, text: str) -> list[str]:
+        """Words of a text; an added token is one word and ends the ones beside it."""
+        if self._added is None or not self._added.search(text):
+            return self._split_part(text)
+        words = []
+        for k, part in enumerate(self._added.split(text)):
+            words += [part] if k % 2 else self._split_part(part)
+        return words
+
+    def _split_part(self, text: str) -> list[str]:
         if self._latin is None or _BEYOND_LATIN.search(text):
             return self._words.findall(text)
         return self._latin.findall(text)

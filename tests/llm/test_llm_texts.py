@@ -56,6 +56,19 @@ def test_packing_equals_tokenizer(spark, docs, odd):
             assert ends <= 2048
 
 
+def test_packing_knows_the_added_token():
+    from tokenizers import Tokenizer
+
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f"{end}{end} x", f"it's{end}'s  {end}\n\n {end}", f"Grüße 東京 {end} 東京", "<|end of|>"]
+    tokenizer = Tokenizer.from_file(byte_bpe().path)
+    for spec in (byte_bpe(), packing.TokenizerSpec(byte_bpe().path)):
+        found = packing._encoder(spec).encode([*texts, *texts[::-1]])
+        expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in [*texts, *texts[::-1]]]
+        assert [ids.tolist() for ids in found] == expected
+    assert expected[0] == [64, 220, 50256, 275]
+
+
 def test_packing_is_close_to_full():
     histogram = {n: 3 + (n * 7919) % 50 for n in range(1, 2049)}
     packs = packing.pack_histogram(dict(histogram), packing.PackParams())
