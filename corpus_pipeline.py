@@ -13,6 +13,9 @@ from shelfwise.sources.scratch import materialise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+#: Near copies share at least four fifths of their shingles of five words.
+NEAR = jaccard_join.JaccardParams(words=5, percent=80)
+
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language the model knows with a probability of at least a half."""
@@ -27,7 +30,7 @@ def _small(rows: DataFrame, most: int = 250_000) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies; of repeated rows one."""
-    found = jaccard_join.near_duplicates(docs)
+    found = jaccard_join.near_duplicates(docs, NEAR)
     copies = found.filter("doc_id != component_id").select("doc_id").distinct()
     copies = _small(materialise(copies, "copies"))
     repeated = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")

@@ -150,6 +150,30 @@ def test_pipeline_keeps_one_of_each_group(spark):
     assert pieces.select("doc_id").distinct().count() == docs.count()
 
 
+def test_pipeline_joins_near_copies_of_five_words_and_four_fifths(spark):
+    import corpus_pipeline
+
+    random = np.random.default_rng(3)
+    texts = []
+    for _ in range(12):
+        own = [f"w{k}" for k in random.integers(0, 10**6, 400)]
+        added = [f"w{k}" for k in random.integers(0, 10**6, 200)]
+        texts += [own, own[:200] + added[:90] + own[200:], own[:-65], own + added[90:]]
+    sets = [set(zip(*[t[k:] for k in range(5)], strict=False)) for t in texts]
+    linked = [
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a)
+        if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    ]
+    groups = components(range(len(texts)), linked)
+    assert len(set(groups.values())) == 24
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = corpus_pipeline.one_of_each_group(spark, docs, SF_DIR).collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(groups.values()))
+
+
 def test_numbered_queries_are_registered():
     numbers = {name.split("_")[0] for name in contract.queries() if name.startswith("op")}
     assert numbers == {f"op{n}" for n in range(1, 11)}
