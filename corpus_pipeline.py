@@ -15,6 +15,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Near copies share at least four fifths of their shingles of five words.
 NEAR = jaccard_join.JaccardParams(words=5, percent=80)
+#: The mix that files and rows follow, and region after region the sequences.
+MIX = mixing.MixParams()
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,12 +52,13 @@ def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row, in files and rows that follow the mix of the sources."""
-    return mixing.in_mix_order(docs)
+    return mixing.in_mix_order(docs, MIX)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document with its sequence and its offset there."""
-    return packing.pack(docs, byte_bpe())
+    """One row per piece of a document with its sequence and its offset there; sequences follow the
+    regions of the mix. A row's region depends on the rows alone, so it needs no column."""
+    return packing.pack_regions(mixing.in_regions(docs, MIX), byte_bpe())
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -211,10 +211,33 @@ def in_mix_order(
     worked out again from the regions' first ranks. A region has about ``region_bytes`` of text.
     Repeated rows (same id and text) stay in one region, even if that takes some past its end.
     """
-    params = params or MixParams()
-    found = schedule(docs, params, source, weigh=True)
+    found = schedule(docs, params or MixParams(), source, weigh=True)
     if found is None:
         return docs
+    sent, n_regions = _sent(docs, found, source)
+    sent = sent.repartitionById(n_regions, "_region")
+    own = W.partitionBy("_region", "_s", "_bucket").orderBy("_draw", "doc_id")
+    ranked = sent.withColumn("rank", F.col("_cut.first") + F.row_number().over(own) - 1)
+    in_order = _slotted(ranked, found).sortWithinPartitions("slot", "rank")
+    return in_order.select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])
+
+
+def in_regions(
+    docs: DataFrame, params: MixParams | None = None, source: str = "source"
+) -> DataFrame:
+    """``docs`` with ``region``, the number from 0 of the region of the mix that a row is in: the
+    partitions of ``in_mix_order``, but nothing is moved there."""
+    found = schedule(docs, params or MixParams(), source, weigh=True)
+    if found is None:
+        return docs.withColumn("region", F.lit(0))
+    sent, _ = _sent(docs, found, source)
+    kept = [F.col(f"_in_{c}").alias(c) for c in docs.columns if c != "region"]
+    return sent.select(*kept, F.col("_region").alias("region"))
+
+
+def _sent(docs: DataFrame, found: Schedule, source: str) -> tuple[DataFrame, int]:
+    """``docs`` with ``_cut`` and ``_region``, its columns as ``_in_...``, and how many regions."""
+    params = found.params
     total = sum(found.sizes.values())
     n_regions = max(1, min(total, params.most_regions, -(-found.n_bytes // params.region_bytes)))
     before = F.least(*[F.lit(a) + F.lit(b) * F.col("slot") for a, b in found.lines()])
@@ -233,8 +256,4 @@ def in_mix_order(
     dealt = _dealt(docs, [*kept, "doc_id"], found, source).join(cuts, ["_s", "_bucket"])
     passed = F.filter("_cuts", lambda cut: cut["start"] <= key)
     sent = dealt.withColumn("_cut", F.array_max(passed)).drop("_cuts")
-    sent = sent.withColumn("_region", F.col("_cut.region")).repartitionById(n_regions, "_region")
-    own = W.partitionBy("_region", "_s", "_bucket").orderBy("_draw", "doc_id")
-    ranked = sent.withColumn("rank", F.col("_cut.first") + F.row_number().over(own) - 1)
-    in_order = _slotted(ranked, found).sortWithinPartitions("slot", "rank")
-    return in_order.select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])
+    return sent.withColumn("_region", F.col("_cut.region")), n_regions

@@ -27,6 +27,7 @@ from itertools import chain
 from math import isqrt
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -36,7 +37,7 @@ from shelfwise.llm.textops import slices
 from shelfwise.sources.scratch import materialise
 
 _CACHED_WORDS = 600_000
-_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+_PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, region int"
 
 
 @dataclass(frozen=True)
@@ -173,7 +174,8 @@ def _cut(n: int, capacity: int) -> Iterator[tuple[int, int]]:
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: TokenizerSpec, capacity: int) -> DataFrame:
-    """doc_id, piece, start, length and the crc32 of the piece's little-endian 32-bit ids."""
+    """doc_id, piece, start, length and the crc32 of the piece's little-endian 32-bit ids; then
+    ``region``, which is 0 where ``docs`` has none."""
 
     def encode(batches):
         encoder = _encoder(tokenizer)
@@ -182,28 +184,32 @@ def tokenized_pieces(docs: DataFrame, tokenizer: TokenizerSpec, capacity: int) -
             for part in slices(batch):
                 texts = part.column("text").fill_null("").to_pylist()
                 rows = []
-                for doc_id, ids in zip(
-                    part.column("doc_id").to_pylist(), encoder.encode(texts), strict=True
+                for doc_id, region, ids in zip(
+                    part.column("doc_id").to_pylist(),
+                    part.column("region").to_pylist(),
+                    encoder.encode(texts),
+                    strict=True,
                 ):
                     n = len(ids) + 1
                     for k, (start, length) in enumerate(_cut(n, capacity)):
                         crc = zlib.crc32(np.ascontiguousarray(ids[start : start + length]))
                         if start + length == n:
                             crc = zlib.crc32(end, crc)
-                        rows.append((doc_id, k, start, length, crc))
+                        rows.append((doc_id, k, start, length, crc, region))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(list(c), t)
                         for c, t in zip(
                             zip(*rows, strict=True),
-                            (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()),
+                            (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32()),
                             strict=True,
                         )
                     ],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32", "region"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(encode, _PIECES)
+    region = F.col("region").cast("int") if "region" in docs.columns else F.lit(0)
+    return docs.select("doc_id", "text", region.alias("region")).mapInArrow(encode, _PIECES)
 
 
 def _patterns(n_classes: int, max_docs: int) -> list[tuple[int, ...]]:
@@ -397,7 +403,7 @@ def pack(
 ) -> DataFrame:
     """One row per piece with its ``sequence_id`` and ``offset``."""
     params = params or PackParams()
-    pieces = materialise(tokenized_pieces(docs, tokenizer, params.capacity), "pieces")
+    pieces = materialise(tokenized_pieces(docs.select("doc_id", "text"), tokenizer, params.capacity), "pieces")
     counted = pieces.groupBy("length").count().collect()  # at most ``capacity`` rows
     histogram = {r["length"]: r["count"] for r in counted}
     plan = docs.sparkSession.createDataFrame(
@@ -414,3 +420,37 @@ def pack(
     )
     sequence = (F.col("sequence") + F.col("rank") - F.col("lo")).alias("sequence_id")
     return placed.select(*columns, sequence, "offset")
+
+
+def pack_regions(
+    docs: DataFrame, tokenizer: TokenizerSpec, params: PackParams | None = None
+) -> DataFrame:
+    """As ``pack``, but each ``region`` of ``docs`` is packed by itself and its sequences come
+    after those of smaller regions.
+
+    Plans are made in a task per region, so regions should be small beside the input and hold many
+    sequences: the last ones of a region are not filled from the next.
+    """
+    params = params or PackParams()
+    pieces = materialise(tokenized_pieces(docs, tokenizer, params.capacity), "pieces")
+
+    def planned(part: pd.DataFrame) -> pd.DataFrame:
+        histogram = dict(zip(part["length"].tolist(), part["count"].tolist(), strict=True))
+        rows = _plan_rows(pack_histogram(histogram, params))
+        plan = pd.DataFrame(rows, columns=["length", "lo", "hi", "sequence", "offset"])
+        return plan.assign(region=part["region"].iloc[0])
+
+    counted = pieces.groupBy("region", "length").count()
+    schema = "length long, lo long, hi long, sequence long, offset long, region int"
+    plan = materialise(counted.groupBy("region").applyInPandas(planned, schema), "pack-plans")
+    used = plan.groupBy("region").agg(F.max(F.col("sequence") + F.col("hi") - F.col("lo")).alias("n"))
+    before = W.orderBy("region").rowsBetween(W.unboundedPreceding, -1)  # one row a region
+    firsts = used.select("region", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    own = W.partitionBy("region", "length").orderBy("doc_id", "piece", "ids_crc32")
+    ranked = pieces.withColumn("rank", F.row_number().over(own) - 1)
+    placed = ranked.join(plan.join(firsts, "region"), ["region", "length"]).filter(
+        (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
+    )
+    sequence = F.col("first") + F.col("sequence") + F.col("rank") - F.col("lo")
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    return placed.select(*columns, sequence.alias("sequence_id"), "offset")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import compare as comparing
-from shelfwise.llm import embedding_dedup, graph_ann, warc
+from shelfwise.llm import embedding_dedup, graph_ann, mixing, warc
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.queries import ORACLE, QUERIES
 
@@ -174,6 +174,31 @@ def test_pipeline_joins_near_copies_of_five_words_and_four_fifths(spark):
     assert sorted(r.doc_id for r in kept) == sorted(set(groups.values()))
 
 
+def test_pipeline_packs_follow_the_weights_of_the_mix(spark, monkeypatch):
+    import corpus_pipeline
+
+    rows = [(k, f"text {k} " * (5 + k % 60), "ab"[k % 2], "en") for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    early = []
+    for a in (0.9, 0.1):
+        mix = mixing.MixParams(weights={"a": a, "b": 1 - a}, region_bytes=1 << 16)
+        monkeypatch.setattr(corpus_pipeline, "MIX", mix)
+        mixed = corpus_pipeline.mixed(spark, docs, SF_DIR)
+        found = corpus_pipeline.packed(spark, mixed, SF_DIR).collect()
+        assert sorted(r.doc_id for r in found) == list(range(3000))
+        sequences = {}
+        for r in found:
+            sequences.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        assert sorted(sequences) == list(range(len(sequences)))
+        for own in sequences.values():
+            own.sort()
+            assert [at for at, _ in own] == [sum(n for _, n in own[:k]) for k in range(len(own))]
+            assert sum(n for _, n in own) <= 2048
+        first = [r.doc_id % 2 == 0 for r in found if r.sequence_id < len(sequences) // 4]
+        early.append(sum(first) / len(first))
+    assert early[0] > 0.8 and early[1] < 0.2
+
+
 def test_numbered_queries_are_registered():
     numbers = {name.split("_")[0] for name in contract.queries() if name.startswith("op")}
     assert numbers == {f"op{n}" for n in range(1, 11)}
