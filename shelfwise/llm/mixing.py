@@ -6,12 +6,14 @@ is due first keeps every source, at every place, less than one block from its ta
 
 Weights are whole parts of ``parts``, so that order repeats after ``parts`` places. One period is
 worked out in advance (its size is a parameter) and joined to the blocks; everything else is ranks.
+Where a source has placed its last block, which may be a part of one, a new phase begins: a new
+schedule over the weights of the sources that remain. There is at most one phase a source.
 A source's documents come in a fixed shuffled order, by a hash of id and text, in blocks of
 ``block_docs``. Ranks run over hash ranges whose number follows the source's size, so one large
 source is ranked by many tasks.
 
-Every row gets a place exactly once: none is dropped or repeated. Places from the first one that
-its source can no longer fill are kept, too, but ``in_mix`` is false there. A null source counts as
+Every row gets a place exactly once: none is dropped or repeated. ``in_mix`` holds in the first phase,
+where the weights are those of all sources; ``phase`` says which one a row is in. A null source counts as
 the empty one; rows without target weight for their source are an error. Repeated rows follow each
 other. An empty table gives no rows. Same-named columns of the input are replaced.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import heapq
 import json
+from bisect import bisect_left
 from collections.abc import Callable
 from dataclasses import dataclass
 from math import isqrt
@@ -30,9 +33,6 @@ from pyspark.sql import functions as F
 
 from shelfwise.sources.scratch import materialise
 
-# Straight lines by which ``in_mix_order`` estimates how many rows come before a slot.
-MOST_LINES = 64
-
 PLACES = ("rank", "block", "slot", "position", "in_mix")
 
 
@@ -82,27 +82,52 @@ def one_period(shares: dict[str, int]) -> list[tuple[str, int, int]]:
     return placed
 
 
+@dataclass(frozen=True)
+class Phase:
+    """A schedule of ``n_slots`` from slot ``first`` on: shares of the sources still running, their
+    blocks from and to, and the places of one period, as far as it is used."""
+
+    first: int
+    n_slots: int
+    shares: dict[str, int]
+    blocks: dict[str, tuple[int, int]]
+    places: dict[str, list[int]]
+
+
+def phases(sizes: dict[str, int], weights: dict[str, float], params: MixParams) -> list[Phase]:
+    """Phase after phase, each up to the last block of the source that runs out next."""
+    left = {s: -(-n // params.block_docs) for s, n in sizes.items()}
+    done, first, found = dict.fromkeys(left, 0), 0, []
+    while left:
+        shares = whole_parts({s: weights[s] for s in left}, params.parts)
+        places: dict[str, list[int]] = {s: [] for s in left}
+        for s, _, place in one_period(shares):
+            places[s].append(place)
+        ends = {s: divmod(n - 1, shares[s]) for s, n in left.items()}
+        n_slots = 1 + min(turn * params.parts + places[s][k] for s, (turn, k) in ends.items())
+        turns, rest = divmod(n_slots, params.parts)
+        placed = {s: turns * shares[s] + bisect_left(places[s], rest) for s in left}
+        blocks = {s: (done[s], done[s] + n) for s, n in placed.items()}
+        used = {s: places[s][: placed[s]] for s in left}
+        found.append(Phase(first, n_slots, shares, blocks, used))
+        first += n_slots
+        done |= {s: end for s, (_, end) in blocks.items()}
+        left = {s: n - placed[s] for s, n in left.items() if n > placed[s]}
+    return found
+
+
 @dataclass(frozen=True)
 class Schedule:
-    """What the sizes of the sources decide: shares, one period, and the first unfillable slot."""
+    """What the sizes of the sources decide."""
 
     params: MixParams
     sizes: dict[str, int]
-    shares: dict[str, int]
-    period: list[tuple[str, int, int]]
-    horizon: int
+    phases: list[Phase]
     n_bytes: int
 
-    def lines(self) -> list[tuple[float, float]]:
-        """(rows, rows a slot): the least of ``rows + slot * rows a slot`` is about how many rows
-        come before a slot. A line each for the sources still running, some left out past 64."""
-        a_slot = self.params.block_docs / self.params.parts
-        rates = {s: self.shares[s] * a_slot for s in self.sizes}
-        done, rate, found = 0.0, sum(rates.values()), []
-        for s in sorted(rates, key=lambda s: self.sizes[s] / rates[s]):
-            found.append((done, rate))
-            done, rate = done + self.sizes[s], rate - rates[s]
-        return found[:: -(-len(found) // MOST_LINES)] + [(done, 0.0)]
+    @property
+    def n_slots(self) -> int:
+        return self.phases[-1].first + self.phases[-1].n_slots
 
 
 def schedule(
@@ -118,36 +143,29 @@ def schedule(
         raise ValueError(f"no target weight for {sorted(missing)[:5]}")
     if not sizes:
         return None
-    shares = whole_parts(weights, params.parts)
-    period = one_period(shares)
-    first_gap = {(s, k): place for s, k, place in period}
-    ends = {s: divmod(sizes.get(s, 0) // params.block_docs, shares[s]) for s in shares}
-    horizon = min(turn * params.parts + first_gap[s, k] for s, (turn, k) in ends.items())
-    return Schedule(params, sizes, shares, period, horizon, sum(r["bytes"] or 0 for r in found))
+    return Schedule(params, sizes, phases(sizes, weights, params), sum(r["bytes"] or 0 for r in found))
 
 
 def _source(source: str) -> Column:
     return F.coalesce(F.col(source), F.lit(""))
 
 
-def _small_table(
-    spark: SparkSession, rows: list[tuple[str, int, int]], names: tuple[str, str, str]
-) -> DataFrame:
-    """A table of (source, number, number). It goes to Spark as one literal: rows made by
-    ``createDataFrame`` would be read through Python workers in every executor."""
-    first, *numbers = names
-    schema = f"array<struct<{first}: string, {', '.join(f'{n}: bigint' for n in numbers)}>>"
+def _small_table(spark: SparkSession, rows: list[tuple], fields: str) -> DataFrame:
+    """A table of ``fields``. It goes to Spark as one literal: rows made by ``createDataFrame``
+    would be read through Python workers in every executor."""
+    names = [field.split(":")[0].strip() for field in fields.split(", ")]
     text = json.dumps([dict(zip(names, row, strict=True)) for row in rows])
-    return spark.range(0, 1, 1, 1).select(F.inline(F.from_json(F.lit(text), schema)))
+    table = F.from_json(F.lit(text), f"array<struct<{fields}>>")
+    return spark.range(0, 1, 1, 1).select(F.inline(table))
 
 
 def _dealt(docs: DataFrame, kept: list[str], found: Schedule, source: str) -> DataFrame:
-    """``kept`` columns with the source, its share, the draw and the draw's bucket of each row."""
+    """``kept`` columns with the source, the draw and the draw's bucket of each row."""
     bucket_rows = max(256, isqrt(sum(found.sizes.values())))
     plan = _small_table(
         docs.sparkSession,
-        [(s, found.shares[s], -(-n // bucket_rows)) for s, n in found.sizes.items()],
-        ("_s", "_share", "_buckets"),
+        [(s, -(-n // bucket_rows)) for s, n in found.sizes.items()],
+        "_s: string, _buckets: bigint",
     )
     draw = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "doc_id", "text"), 33)
     high = F.col("_draw").cast("double") / F.lit(float(1 << 31))
@@ -161,8 +179,8 @@ def _dealt(docs: DataFrame, kept: list[str], found: Schedule, source: str) -> Da
 def _placed(
     dealt: DataFrame, found: Schedule, number: Callable[[], Column] = F.row_number
 ) -> DataFrame:
-    """``dealt`` rows with rank, block and slot. Both joined tables are small: one has at most
-    ``parts`` rows, the other one row a bucket."""
+    """``dealt`` rows with rank, block, phase and slot. The joined tables are small: one row a
+    bucket, one a source and phase, and at most ``parts`` rows a phase."""
     before = W.partitionBy("_s").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     counts = dealt.groupBy("_s", "_bucket").count()
     first = F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first")
@@ -174,29 +192,43 @@ def _placed(
 
 def _slotted(ranked: DataFrame, found: Schedule) -> DataFrame:
     params = found.params
-    places = _small_table(ranked.sparkSession, found.period, ("_s", "_k", "_place"))
+    spark, numbered = ranked.sparkSession, list(enumerate(found.phases))
+    starts = _small_table(
+        spark,
+        [(s, i, *p.blocks[s], p.shares[s], p.first) for i, p in numbered for s in p.shares],
+        "_of: string, phase: bigint, _start: bigint, _end: bigint, _share: bigint, _slot: bigint",
+    )
+    places = _small_table(
+        spark,
+        [(s, i, used) for i, p in numbered for s, used in p.places.items() if used],
+        "_s: string, phase: bigint, _places: array<bigint>",
+    ).select("_s", "phase", F.posexplode("_places").alias("_k", "_place"))
+    block = F.col("block")
     ranked = ranked.withColumn("block", F.floor(F.col("rank") / params.block_docs))
-    ranked = ranked.withColumn("_k", F.col("block") % F.col("_share"))
-    slot = F.floor(F.col("block") / F.col("_share")) * params.parts + F.col("_place")
-    return ranked.join(F.broadcast(places), ["_s", "_k"]).withColumn("slot", slot)
+    here = (F.col("_s") == F.col("_of")) & (block >= F.col("_start")) & (block < F.col("_end"))
+    ranked = ranked.join(F.broadcast(starts), here).withColumn("_in", block - F.col("_start"))
+    ranked = ranked.withColumn("_k", (F.col("_in") % F.col("_share")).cast("int"))
+    turn = F.floor(F.col("_in") / F.col("_share"))
+    slot = F.col("_slot") + turn * params.parts + F.col("_place")
+    return ranked.join(F.broadcast(places), ["_s", "phase", "_k"]).withColumn("slot", slot)
 
 
 def mix(docs: DataFrame, params: MixParams | None = None, source: str = "source") -> DataFrame:
-    """``docs`` with rank and block in the source, slot of the block, position, and in_mix."""
+    """``docs`` with phase, rank and block in the source, slot of the block, position, and in_mix."""
     params = params or MixParams()
-    kept = [c for c in docs.columns if c not in PLACES]
+    kept = [c for c in docs.columns if c not in ("phase", *PLACES)]
     found = schedule(docs, params, source)
     if found is None:
         long = F.lit(0).cast("long")
         return docs.select(
-            *kept, *[long.alias(c) for c in PLACES[:-1]], F.lit(True).alias("in_mix")
+            *kept, *[long.alias(c) for c in ("phase", *PLACES[:-1])], F.lit(True).alias("in_mix")
         )
     position = F.col("slot") * params.block_docs + F.col("rank") % params.block_docs
     return (
         _placed(_dealt(docs, kept, found, source), found)
         .withColumn("position", position)
-        .withColumn("in_mix", F.col("slot") < F.lit(found.horizon))
-        .select(*kept, *PLACES)
+        .withColumn("in_mix", F.col("phase") == 0)
+        .select(*kept, "phase", *PLACES)
     )
 
 
@@ -240,8 +272,7 @@ def _sent(docs: DataFrame, found: Schedule, source: str) -> tuple[DataFrame, int
     params = found.params
     total = sum(found.sizes.values())
     n_regions = max(1, min(total, params.most_regions, -(-found.n_bytes // params.region_bytes)))
-    before = F.least(*[F.lit(a) + F.lit(b) * F.col("slot") for a, b in found.lines()])
-    region = F.least(F.floor(before * n_regions / total), F.lit(n_regions - 1)).cast("int")
+    region = F.floor(F.col("slot") * n_regions / found.n_slots).cast("int")
     key = F.struct("_draw", "doc_id")
     numbers = _dealt(docs, ["doc_id"], found, source)
     cuts = (

@@ -355,6 +355,31 @@ def test_mix_stays_within_a_block(docs, odd, empty):
         mixing.mix(docs, mixing.MixParams(weights={"src1": 1.0}))
 
 
+def test_mix_goes_on_when_a_source_runs_out(spark):
+    """In every phase each source keeps within a block of its share among those still running."""
+    sizes = {"a": 400, "b": 300, "c": 301, "tiny": 5}
+    rows = [(i, f"{s} {i}", s) for s, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    params = mixing.MixParams(parts=50, block_docs=4)
+    found = mixing.mix(docs, params).collect()
+    assert len(found) == len({r.position for r in found}) == len(rows)
+    slots = sorted({(r.slot, r.phase, r.source) for r in found})
+    assert [s for s, _, _ in slots] == list(range(len(slots)))
+    assert {r.phase for r in found if r.in_mix} == {0}
+    assert sum(r.in_mix for r in found if r.source == "tiny") == 5
+    running = dict(sizes)
+    for phase in range(1 + max(p for _, p, _ in slots)):
+        order = [s for _, p, s in slots if p == phase]
+        shares = mixing.whole_parts({s: sizes[s] ** 0.7 for s in running}, 50)
+        for source, share in shares.items():
+            for n in range(1, len(order) + 1):
+                assert abs(order[:n].count(source) - share / 50 * n) < 1
+        rest = {s for _, p, s in slots if p > phase}
+        assert rest < running.keys()
+        running = {s: n for s, n in running.items() if s in rest}
+    assert not running
+
+
 def test_rows_in_mix_order(docs, odd, empty):
     """Partition after partition the rows of ``mix`` by slot and rank, whatever the weights."""
     for weights in (None, {f"src{k}": 900.0 if k == 3 else 1.0 + k for k in range(20)}):
