@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import (
+    collocations,
     embedding_dedup,
     graph_ann,
+    hard_negatives,
     jaccard_join,
     langid,
     licenses,
@@ -16,6 +18,7 @@ from shelfwise.llm import (
     mixing,
     packing,
     pii,
+    suffix_dedup,
     warc,
 )
 from shelfwise.llm.textops import crc_fold
@@ -109,7 +112,30 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op3_lm_score": op3_lm_score, "op4_licenses": op4_licenses, "op5_embedding_dedup": op5_embedding_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op8_graph_ann": op8_graph_ann, "op9_warc": op9_warc, "op10_language_id": op10_language_id}
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    spans = F.coalesce("spans", F.array().cast(cleaned.schema["spans"].dataType))
+    removed = F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["begin"])
+    return cleaned.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size(spans).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+QUERIES = {"op1_packing": op1_packing, "op2_jaccard_join": op2_jaccard_join, "op3_lm_score": op3_lm_score, "op4_licenses": op4_licenses, "op5_embedding_dedup": op5_embedding_dedup, "op6_mixing": op6_mixing, "op7_pii": op7_pii, "op8_graph_ann": op8_graph_ann, "op9_warc": op9_warc, "op10_language_id": op10_language_id, "op11_collocations": op11_collocations, "op12_suffix_dedup": op12_suffix_dedup, "op13_hard_negatives": op13_hard_negatives}
 
 
 def _replaced(text: str, *steps: tuple[str, str]) -> str:
@@ -188,4 +214,87 @@ from digested
 """
 
 
-ORACLE: dict[str, str] = {"op9_warc": warc_sql()}
+COLLOCATIONS_SQL = """
+with pieces as materialized (
+    select coalesce(lang, 'und') as lang, regexp_extract_all(piece, '[^ \t]+') as w
+    from (
+        select lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\n\x0b\f\r]'
+        )) as piece
+        from documents
+    )
+), totals as (
+    select lang, sum(len(w))::bigint as n from pieces group by lang
+), counts as materialized (
+    select lang, k, phrase, count(*) as a
+    from (
+        select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase
+        from (
+            select lang, w, k, unnest(range(1, len(w) - k + 2)) as i
+            from pieces, (select unnest(range(1, 6)) as k)
+        )
+    )
+    group by lang, k, phrase
+    having count(*) >= 100
+), longer as (
+    select lang, unnest([array_to_string(w[: k - 1], ' '), array_to_string(w[2 :], ' ')]) as phrase, a
+    from (select lang, k, string_split(phrase, ' ') as w, a from counts where k > 2)
+), inside as (
+    select lang, phrase, max(a) as most from longer group by lang, phrase
+), cuts as (
+    select lang, k, phrase, a, j,
+        array_to_string(string_split(phrase, ' ')[: j], ' ') as left_part,
+        array_to_string(string_split(phrase, ' ')[j + 1 :], ' ') as right_part
+    from (
+        select c.lang, c.k, c.phrase, c.a, unnest(range(1, c.k)) as j
+        from counts c left join inside i on c.lang = i.lang and c.phrase = i.phrase
+        where c.k > 1 and (i.most is null or 100 * i.most < 100 * c.a)
+    )
+), scored as (
+    select c.lang, c.phrase, c.a, x.a as l, y.a as r, t.n, c.j,
+        ((1000::hugeint * c.a * t.n) // (x.a::hugeint * y.a))::bigint as score
+    from cuts c
+    join counts x on c.lang = x.lang and c.left_part = x.phrase
+    join counts y on c.lang = y.lang and c.right_part = y.phrase
+    join totals t on c.lang = t.lang
+), lowest as (
+    select * from scored
+    qualify row_number() over (partition by lang, phrase order by score, j) = 1
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank,
+    phrase, a, l, r, n, score
+from lowest
+qualify rank <= 2000
+"""
+
+NEGATIVES_SQL = """
+with rows_in as materialized (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: floor(256 * x::double)) as v
+    from embeddings
+    where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scores as materialized (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+        list_inner_product(a.v, b.v)::bigint as score
+    from rows_in a join rows_in b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id
+), positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from scores where same
+    qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, positive_id,
+    row_number() over (partition by p.anchor_id, positive_id order by score desc, vec_id)::integer as rank,
+    vec_id as negative_id, positive_score, score as negative_score
+from positives p join scores s
+    on p.anchor_id = s.anchor_id and not s.same
+    and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+
+ORACLE: dict[str, str] = {
+    "op9_warc": warc_sql(),
+    "op11_collocations": COLLOCATIONS_SQL,
+    "op13_hard_negatives": NEGATIVES_SQL,
+}

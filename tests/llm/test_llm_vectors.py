@@ -201,5 +201,5 @@ def test_pipeline_packs_follow_the_weights_of_the_mix(spark, monkeypatch):
 
 def test_numbered_queries_are_registered():
     numbers = {name.split("_")[0] for name in contract.queries() if name.startswith("op")}
-    assert numbers == {f"op{n}" for n in range(1, 11)}
+    assert numbers == {f"op{n}" for n in range(1, 14)}
     assert "pipeline" in contract.queries()
