@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.deep_shallow import as_words, deep_shallow_sort
 from shelfwise.llm.prefix_hash import PrefixHash
-from shelfwise.llm.textops import text_buffers
+from shelfwise.llm.textops import chain, text_buffers
 from shelfwise.sources.scratch import materialise
 
 SLICE = 1 << 21
@@ -51,7 +51,7 @@ class SuffixDedupParams:
     gram: int = 40
     crowd: int = 4096
     bucket_bytes: int = 1 << 25
-    bucket_contexts: int = 250_000
+    bucket_contexts: int = 100_000
     broadcast_rows: int = 250_000
 
     @property
@@ -200,12 +200,17 @@ def equal_runs(c: Contexts) -> tuple[np.ndarray, np.ndarray]:
     n = len(c.key)
     if not n:
         return np.zeros(0, np.int64), np.zeros(0, bool)
-    raw = np.concatenate([c.left, c.right, c.before[:, None], c.after[:, None]], axis=1)
-    size = raw.shape[1]
-    near = PrefixHash(raw.ravel()).of(np.arange(n) * size, np.arange(1, n + 1) * size)
+    left, right = c.left.view(np.uint64), c.right.view(np.uint64)
+    sizes = c.before.astype(np.uint64) << np.uint64(8) | c.after
+    near = chain(*left.T, *right.T, sizes)
     order = np.lexsort((near, c.key))
-    new = np.append(True, (c.key[order][1:] != c.key[order][:-1]) | (raw[order][1:] != raw[order][:-1]).any(axis=1))
-    return order, new[:n]
+    before, after = order[:-1], order[1:]
+    new = np.ones(n, bool)
+    new[1:] = (c.key[after] != c.key[before]) | (sizes[after] != sizes[before])
+    same = np.flatnonzero(~new)
+    for part in (left, right):
+        new[same] |= (part[order[same]] != part[order[same - 1]]).any(axis=1)
+    return order, new
 
 
 def _span_rows(place: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
