@@ -2,26 +2,39 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.operators.dedupe import latest_per_key
-from shelfwise.sources.files import delete, read_note, write_note
-from shelfwise.sources.scratch import freed_scratch, materialise, materialise_at, scratch_path
-from shelfwise.sources.silver import SilverTable, read_placed_if_any, write_placed
+from shelfwise.sources.files import write_note
+from shelfwise.sources.scratch import freed_scratch, materialise
+from shelfwise.sources.silver import (
+    SilverTable,
+    apply,
+    create,
+    directory_of,
+    directory_value,
+    finish,
+    read_placed_if_any,
+    stage,
+    table_directories,
+)
 
 # A directory with more rows is split over several files.
 ROWS_PER_FILE = 1_000_000
 
 
 def merge_rows(stored: DataFrame, incoming: DataFrame, table: SilverTable) -> DataFrame:
-    """Rows of both sides, one per (partition, keys); at equal ordering the incoming row wins.
+    """Rows of both sides, one per row key; at equal ordering the later batch wins, or the incoming row.
 
     Both sides must be unique on the row key, so no key is hot. When the incoming side is small
     Catalyst broadcasts it and the stored rows are not shuffled to be compared.
     """
     key = table.row_key
-    ordering = table.ordering
+    order = [c for c in (table.ordering, table.sequence) if c is not None and c not in key]
 
     def same_key(left: DataFrame, right: DataFrame) -> Column:
         match = F.lit(True)
@@ -30,16 +43,19 @@ def merge_rows(stored: DataFrame, incoming: DataFrame, table: SilverTable) -> Da
         return match
 
     def key_only(df: DataFrame) -> DataFrame:
-        columns = dict.fromkeys([*key, ordering])
+        columns = dict.fromkeys([*key, *order])
         return df.select(*[F.col(c).alias(f"__{c}") for c in columns])
 
     offered = key_only(incoming)
-    if ordering in key:
+    if not order:
         # Rows with equal keys have equal ordering: the incoming row always wins.
         kept = stored.join(offered, same_key(stored, offered), "left_anti")
         return kept.unionByName(incoming, allowMissingColumns=True)
-    newer_stored = F.coalesce(stored[ordering] > offered[f"__{ordering}"], F.lit(False))
-    held_back = newer_stored | (stored[ordering].isNotNull() & offered[f"__{ordering}"].isNull())
+    held_back, level = F.lit(False), F.lit(True)
+    for c in order:
+        ours, theirs = stored[c], offered[f"__{c}"]
+        newer = F.coalesce(ours > theirs, F.lit(False)) | (ours.isNotNull() & theirs.isNull())
+        held_back, level = held_back | (level & newer), level & ours.eqNullSafe(theirs)
     kept = stored.join(offered, same_key(stored, offered) & ~held_back, "left_anti")
     newer = key_only(stored.join(offered, same_key(stored, offered) & held_back, "left_semi"))
     fresh = incoming.join(newer, same_key(incoming, newer), "left_anti")
@@ -47,81 +63,122 @@ def merge_rows(stored: DataFrame, incoming: DataFrame, table: SilverTable) -> Da
 
 
 def upsert(
-    batch: DataFrame, table: SilverTable, unique: bool = False, merge_schema: bool = True
+    batch: DataFrame,
+    table: SilverTable,
+    unique: bool = False,
+    merge_schema: bool = True,
+    sequence: int | None = None,
 ) -> None:
     """Merge ``batch`` into ``table``, rewriting only the directories it touches.
 
-    ``unique=True`` says that the batch comes from a written table and has one row per (partition,
-    keys) already. Columns only one side has are filled with NULL on the other;
-    ``merge_schema=False`` spares reading all footers of a table whose columns never change.
-    Repeating a batch changes nothing. One writer at a time; directories are replaced one by one at
-    commit.
+    ``unique=True`` says that the batch comes from a written table and has one row per row key
+    already. Columns only one side has are filled with NULL on the other; a column must keep
+    its type. Columns are known from the table's record, and only files of touched directories are
+    opened; ``merge_schema`` matters for a table without a record. ``sequence`` is the number of the batch, for
+    tables that keep it. Repeating a batch changes nothing. One writer at a time.
 
-    The merged rows are written to the shared scratch folder and noted in the table before any
-    directory is replaced. If that is cut off, the next upsert into the table first finishes it.
+    The merged rows are written once, staged in directory layout beside the table's directories, and
+    noted in the table; then directories are replaced by moving. If that is cut off, readers see the
+    new rows all the same, and the next upsert first finishes it.
     """
     spark = batch.sparkSession
+    if (table.sequence is None) != (sequence is None):
+        raise ValueError("a batch has a sequence number if and only if the table keeps it")
+    if table.sequence is not None:
+        batch = batch.withColumn(table.sequence, F.lit(sequence).cast("long"))
     finish(spark, table)
     batch = table.place(batch)
     with freed_scratch(spark):
         if not unique:
             batch = materialise(latest_per_key(batch, table.row_key, table.ordering), "upsert-batch")
         stored = read_placed_if_any(spark, table, merge_schema)
+        schema = table.ordered(batch.schema if stored is None else united(stored.schema, batch.schema))
+        sizes = _sizes(batch, table)
         if stored is None:
-            write_placed(gather(batch, table), table)
+            create(gather(batch, table, sizes), table, schema)
             return
-        merged = merge_rows(touched_rows(stored, batch, table), batch, table)
-        path = scratch_path(spark, "upsert-merged")
-        staged = materialise_at(merged, path)
-        write_note(spark, table.note, path)
-        write_placed(gather(staged, table), table)
-        delete(spark, table.note)
+        touched = list(dict.fromkeys([*sizes, *_old_places(stored, batch, table)]))
+        old = touched_rows(stored, touched, table)
+        for name, n in _sizes(old, table).items():
+            sizes[name] = sizes.get(name, 0) + n
+        merged = merge_rows(old, batch, table)
+        commit = stage(gather(merged, table, sizes), table, schema)
+        if table.scope == "global":
+            commit = replace(commit, emptied=_emptied(spark, table, commit.staged(table), touched))
+        write_note(spark, table.note, commit.text())
+        apply(spark, table, commit)
+
+
+def united(stored: T.StructType, batch: T.StructType) -> T.StructType:
+    """Columns of both; one that both have must have the same type."""
+    types = {f.name: f.dataType for f in stored.fields}
+    for f in batch.fields:
+        if f.name in types and types[f.name].simpleString() != f.dataType.simpleString():
+            raise ValueError(
+                f"column {f.name} is {types[f.name].simpleString()} in the table "
+                f"and {f.dataType.simpleString()} in the batch"
+            )
+    return T.StructType([*stored.fields, *[f for f in batch.fields if f.name not in types]])
+
+
+def _sizes(rows: DataFrame, table: SilverTable) -> dict[str, int]:
+    """Rows of each directory, from the directory columns alone.
+
+    Names of directories, not rows, come to the driver, where the file index holds those of the
+    whole table anyway.
+    """
+    counts = rows.groupBy(directory_of(table).alias("name")).agg(F.count("*").alias("n"))
+    return {row["name"]: row["n"] for row in counts.collect()}
+
 
+def _old_places(stored: DataFrame, batch: DataFrame, table: SilverTable) -> list[str]:
+    """Directories in which keys of the batch stand already, wherever the batch puts them.
 
-def finish(spark: SparkSession, table: SilverTable) -> None:
-    """Replace the directories of an upsert that was cut off while it did so, if there is one."""
-    staged = read_note(spark, table.note)
-    if staged:
-        write_placed(gather(spark.read.parquet(staged), table), table)
-        delete(spark, table.note)
-        delete(spark, staged)
+    For keys that are unique in the whole table: a scan of its keys and nothing else.
+    """
+    if table.scope != "global":
+        return []
+    keys = batch.select(*[F.col(c).alias(f"__{c}") for c in table.keys])
+    same = F.lit(True)
+    for c in table.keys:
+        same = same & stored[c].eqNullSafe(keys[f"__{c}"])
+    hits = stored.join(keys, same, "left_semi").select(directory_of(table)).distinct()
+    return [row[0] for row in hits.collect()]
 
 
-def _directory(table: SilverTable) -> Column:
-    return F.concat_ws("/", *[F.col(c).cast("string") for c in table.directories])
+def _emptied(spark: SparkSession, table: SilverTable, staged: str, touched: list[str]) -> list[str]:
+    """Touched directories of the table that no row is left for."""
+    left = set(table_directories(spark, staged, table))
+    gone = set(touched)
+    return [d for d in table_directories(spark, table.path, table) if d not in left and directory_value(d) in gone]
 
 
-def touched_rows(stored: DataFrame, batch: DataFrame, table: SilverTable) -> DataFrame:
+def touched_rows(stored: DataFrame, touched: list[str], table: SilverTable) -> DataFrame:
     """Stored rows of the directories the batch writes to.
 
-    The directory names, not rows, come to the driver, where the file index holds those of the
-    whole table anyway: naming them to the scan makes partition pruning certain.
+    Naming the directories to the scan makes partition pruning certain.
     """
-    touched = batch.select(_directory(table)).distinct().collect()
-    return stored.where(_directory(table).isin([row[0] for row in touched]))
+    return stored.where(directory_of(table).isin(touched))
 
 
-def gather(rows: DataFrame, table: SilverTable) -> DataFrame:
+def gather(rows: DataFrame, table: SilverTable, sizes: dict[str, int]) -> DataFrame:
     """Bring each directory's rows together for writing, so that no task writes into all of them.
 
-    The rows per directory are counted first, which reads the directory columns only. A directory
-    gets a file for each ``ROWS_PER_FILE`` rows, and a row its file by the hash of its key, of
-    which no other row in the directory has the same: a directory that holds much of the data is
-    spread over many tasks.
+    ``sizes`` are upper bounds of the rows of each directory. One gets a file for each ``ROWS_PER_FILE``
+    of them, and a row its file by the hash of its key, of which no other row in the directory has
+    the same: a directory that holds much of the data is spread over many tasks.
     """
-    counts = rows.groupBy(*table.directories).agg(F.count("*").alias("n"))
-    files = F.ceil(F.col("n") / ROWS_PER_FILE).alias("__files")
-    renamed = [F.col(c).alias(f"__{c}") for c in table.directories]
-    sizes = materialise(counts.select(*renamed, "n", files), "upsert-sizes")
-    size = sizes.agg(F.sum("__files").alias("files"), F.sum("n").alias("rows")).first()
-    if size["rows"] is None:
+    if not sizes:
         return rows
-    by_rows = -(-2 * size["rows"] // ROWS_PER_FILE)
+    files = {name: -(-n // ROWS_PER_FILE) for name, n in sizes.items()}
+    by_rows = -(-2 * sum(sizes.values()) // ROWS_PER_FILE)
     by_cores = 2 * rows.sparkSession.sparkContext.defaultParallelism
-    same = F.lit(True)
-    for c in table.directories:
-        same = same & rows[c].eqNullSafe(sizes[f"__{c}"])
-    file = F.pmod(F.xxhash64(*table.row_key), F.col("__files"))
-    placed = rows.join(sizes, same).withColumn("__file", file)
-    n_tasks = min(size["files"], max(by_rows, by_cores))
+    n_tasks = min(sum(files.values()), max(by_rows, by_cores))
+    large = [(name, n) for name, n in files.items() if n > 1]
+    if not large:
+        return rows.repartition(n_tasks, *table.directories)
+    several = rows.sparkSession.createDataFrame(large, "__name string, __files int")
+    placed = rows.join(several, directory_of(table) == several["__name"], "left")
+    file = F.pmod(F.xxhash64(*table.row_key), F.coalesce("__files", F.lit(1)))
+    placed = placed.withColumn("__file", file)
     return placed.repartition(n_tasks, *table.directories, "__file").select(*rows.columns)

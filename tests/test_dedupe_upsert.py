@@ -2,6 +2,7 @@ import datetime
 import os
 import random
 import shutil
+from contextlib import suppress
 
 import pytest
 
@@ -9,6 +10,7 @@ from shelfwise.operators import upsert as upserts
 from shelfwise.operators.dedupe import keep_one, latest_per_key
 from shelfwise.operators.ranking import top_k_per_group
 from shelfwise.operators.upsert import upsert
+from shelfwise.sources import silver
 from shelfwise.sources.scratch import scratch_root
 from shelfwise.sources.silver import SilverTable, read_silver
 
@@ -164,26 +166,170 @@ class Cut(Exception):
     pass
 
 
-@pytest.mark.parametrize("lost", [(), ("p0",), ("p0", "p1", "p2")])
-def test_an_upsert_that_is_cut_off_loses_nothing(spark, table, tmp_path, monkeypatch, lost):
-    """Cut off before directories are replaced, or with some of them deleted already."""
-    old = [(str(i), 1, f"p{i % 3}", 1) for i in range(30)]
-    new = [(str(i), 2, f"p{i % 3}", 2) for i in range(20, 40)]
+def cut_after(patch, steps):
+    """Let an upsert's commit do so many of its steps only; each directory is one."""
+    done = []
+
+    def limited(step):
+        def run(*args):
+            if len(done) >= steps:
+                raise Cut
+            done.append(step)
+            return step(*args)
+
+        return run
+
+    for name in ("delete", "write_note"):
+        patch.setattr(silver, name, limited(getattr(silver, name)))
+    move = silver.replace_folders
+    one = limited(lambda spark, source, target, name: move(spark, source, target, [name]))
+    patch.setattr(silver, "replace_folders", lambda s, a, b, names: [one(s, a, b, n) for n in sorted(names)])
+
+
+@pytest.mark.parametrize("steps", [0, 1, 3, 5])
+def test_an_upsert_that_is_cut_off_loses_nothing(spark, table, tmp_path, monkeypatch, steps):
+    """Cut off once the note is there: before, between and after the directories are replaced."""
+    old = [(str(i), 1, f"p{i % 4}", 1) for i in range(30)]
+    new = [(str(i), 2, f"p{i % 4}", 2) for i in range(20, 40) if i % 4 < 3]
     expected = {(k, p): (k, v, p, t) for k, v, p, t in old + new}
     upsert(frame(spark, old), table)
+    with monkeypatch.context() as patch:
+        cut_after(patch, steps)
+        with suppress(Cut):
+            upsert(frame(spark, new), table)
+    # A reader sees the commit as done, whole, wherever it was cut off.
+    assert snapshot(spark, table) == sorted(expected.values())
+    upsert(frame(spark, [("x", 3, "p3", 3)]), table)
+    assert snapshot(spark, table) == sorted([*expected.values(), ("x", 3, "p3", 3)])
+    assert {f.name for f in (tmp_path / "table").glob("_*")} == {"_schema", "_SUCCESS"}
 
-    def cut_off(df, table):
-        for name in lost:
-            shutil.rmtree(tmp_path / "table" / f"p={name}")
-        raise Cut
 
+def test_a_directory_deleted_but_not_yet_moved_is_read_from_its_new_rows(spark, table, tmp_path, monkeypatch):
+    upsert(frame(spark, [("a", 1, "x", 1), ("b", 1, "y", 1)]), table)
     with monkeypatch.context() as patch:
-        patch.setattr(upserts, "write_placed", cut_off)
+        cut_after(patch, 0)
         with pytest.raises(Cut):
-            upsert(frame(spark, new), table)
-    upsert(frame(spark, new), table)
-    assert snapshot(spark, table) == sorted(expected.values())
-    assert not (tmp_path / "table" / "_pending").exists()
+            upsert(frame(spark, [("a", 2, "x", 2), ("c", 2, "x", 2)]), table)
+    shutil.rmtree(tmp_path / "table" / "p=x")
+    assert snapshot(spark, table) == [("a", 2, "x", 2), ("b", 1, "y", 1), ("c", 2, "x", 2)]
+
+
+def test_a_first_load_that_is_cut_off_leaves_no_table(spark, table, tmp_path, monkeypatch):
+    with monkeypatch.context() as patch:
+        cut_after(patch, 0)
+        with pytest.raises(Cut):
+            upsert(frame(spark, [("a", 1, "x", 1)]), table)
+    assert not (tmp_path / "table").exists()
+    upsert(frame(spark, [("b", 1, "x", 1)]), table)
+    assert snapshot(spark, table) == [("b", 1, "x", 1)]
+    assert [f.name for f in tmp_path.iterdir()] == ["table"]
+
+
+def test_a_cut_off_before_the_note_changes_nothing(spark, table, tmp_path, monkeypatch):
+    upsert(frame(spark, [("a", 1, "x", 1)]), table)
+    with monkeypatch.context() as patch:
+        patch.setattr(upserts, "write_note", lambda *args: (_ for _ in ()).throw(Cut()))
+        with pytest.raises(Cut):
+            upsert(frame(spark, [("a", 2, "x", 2)]), table)
+    assert snapshot(spark, table) == [("a", 1, "x", 1)]
+    upsert(frame(spark, [("b", 2, "x", 2)]), table)
+    assert snapshot(spark, table) == [("a", 1, "x", 1), ("b", 2, "x", 2)]
+    assert {f.name for f in (tmp_path / "table").glob("_*")} == {"_schema", "_SUCCESS"}
+
+
+def test_a_table_that_changes_while_it_is_listed_is_listed_again(spark, table, monkeypatch):
+    upsert(frame(spark, [("a", 1, "x", 1), ("b", 1, "y", 1)]), table)
+    plain, looks = silver._scan, []
+
+    def meanwhile(*args):
+        df = plain(*args)
+        looks.append(1)
+        if len(looks) == 1:
+            upsert(frame(spark, [("a", 2, "x", 2), ("b", 2, "y", 2)]), table)
+        return df
+
+    with monkeypatch.context() as patch:
+        patch.setattr(silver, "_scan", meanwhile)
+        seen = read_silver(spark, table)
+    assert sorted((r.k, r.v) for r in seen.collect()) == [("a", 2), ("b", 2)]
+
+
+def test_only_files_of_touched_directories_are_opened(spark, table, tmp_path):
+    """All other files are broken: opening a footer for its columns would fail."""
+    upsert(frame(spark, [(str(i), 1, f"p{i}", 1) for i in range(1000)]), table)
+    for file in (tmp_path / "table").rglob("*.parquet"):
+        if "p=p7" not in file.parts:
+            file.write_bytes(b"broken")
+            file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    batch = frame(spark, [("7", 2, "p7", 2, "n"), ("new", 2, "q", 2, "n")], SCHEMA + ", extra string")
+    upsert(batch, table)
+    rows = read_silver(spark, table).where("p IN ('p7', 'q')").select("k", "v", "p", "t", "extra").collect()
+    assert sorted(map(tuple, rows)) == [("7", 2, "p7", 2, "n"), ("new", 2, "q", 2, "n")]
+
+
+def test_a_column_keeps_its_type(spark, table):
+    upsert(frame(spark, [("a", 1, "x", 1)]), table)
+    with pytest.raises(ValueError, match="column v is int in the table and string in the batch"):
+        upsert(frame(spark, [("a", "1", "x", 1)], "k string, v string, p string, t int"), table)
+    assert snapshot(spark, table) == [("a", 1, "x", 1)]
+
+
+def test_a_table_without_a_record_is_read_by_its_files(spark, tmp_path):
+    table = SilverTable(str(tmp_path / "table"), ("k",), "p", "t")
+    frame(spark, [("a", 1, "x", 1)]).write.partitionBy("p").parquet(table.path)
+    more = frame(spark, [("b", 1, "y", 1, "n")], SCHEMA + ", extra string")
+    more.write.mode("append").partitionBy("p").parquet(table.path)
+    assert "extra" in read_silver(spark, table).columns
+    upsert(frame(spark, [("c", 1, "x", 1)]), table)
+    rows = read_silver(spark, table).select("k", "extra").collect()
+    assert sorted(map(tuple, rows)) == [("a", None), ("b", "n"), ("c", None)]
+
+
+@pytest.fixture(params=[1, 4])
+def global_table(request, tmp_path):
+    return SilverTable(str(tmp_path / "table"), ("k",), "p", "t", buckets=request.param, scope="global")
+
+
+def test_a_global_key_leaves_its_old_partition(spark, global_table, tmp_path):
+    upsert(frame(spark, [("a", 1, "x", 1), ("b", 1, "x", 1), ("c", 1, "y", 1), ("d", 1, "z", 1)]), global_table)
+    before = {f for f in (tmp_path / "table").rglob("*.parquet") if "p=z" in str(f)}
+    upsert(frame(spark, [("a", 2, "y", 2), ("c", 2, "w", 2), ("e", 2, "v", 1)]), global_table)
+    assert snapshot(spark, global_table) == [("a", 2, "y", 2), ("b", 1, "x", 1), ("c", 2, "w", 2), ("d", 1, "z", 1), ("e", 2, "v", 1)]
+    assert {f for f in (tmp_path / "table").rglob("*.parquet") if "p=z" in str(f)} == before
+    # The last row of a partition leaves: its directory goes, and a newer stored row stays where it is.
+    upsert(frame(spark, [("b", 3, "y", 3), ("a", 9, "q", 1)]), global_table)
+    assert snapshot(spark, global_table) == [("a", 2, "y", 2), ("b", 3, "y", 3), ("c", 2, "w", 2), ("d", 1, "z", 1), ("e", 2, "v", 1)]
+    assert not list((tmp_path / "table" / "p=x").rglob("*.parquet"))
+
+
+@pytest.mark.parametrize("steps", [0, 1, 3, 4])
+def test_a_global_upsert_that_is_cut_off(spark, global_table, monkeypatch, steps):
+    upsert(frame(spark, [("a", 1, "x", 1), ("b", 1, "y", 1), ("", 1, "", 1)]), global_table)
+    with monkeypatch.context() as patch:
+        cut_after(patch, steps)
+        with suppress(Cut):
+            upsert(frame(spark, [("a", 2, "y", 2), ("", 2, "n", 2)]), global_table)
+    wanted = [("", 2, "n", 2), ("a", 2, "y", 2), ("b", 1, "y", 1)]
+    assert snapshot(spark, global_table) == wanted
+    upsert(frame(spark, []), global_table)
+    assert snapshot(spark, global_table) == wanted
+
+
+@pytest.mark.parametrize("ordering", ["t", "p"])
+def test_a_replayed_older_batch_undoes_nothing(spark, tmp_path, ordering):
+    table = SilverTable(str(tmp_path / "table"), ("k",), "p", ordering, sequence="batch")
+    first = frame(spark, [("a", 1, "x", 1), ("b", 1, "x", 1), ("c", 5, "x", 7 if ordering == "t" else 1)])
+    second = frame(spark, [("a", 2, "x", 1), ("c", 2, "x", 1), ("d", 2, "y", 1)])
+    upsert(first, table, sequence=1)
+    upsert(second, table, sequence=2)
+    rows = sorted((r.k, r.v, r.batch) for r in read_silver(spark, table).collect())
+    c = ("c", 5, 1) if ordering == "t" else ("c", 2, 2)
+    assert rows == [("a", 2, 2), ("b", 1, 1), c, ("d", 2, 2)]
+    upsert(first, table, sequence=1)
+    upsert(second, table, sequence=2)
+    assert sorted((r.k, r.v, r.batch) for r in read_silver(spark, table).collect()) == rows
+    with pytest.raises(ValueError, match="sequence number"):
+        upsert(first, table)
 
 
 def test_scratch_tables_of_an_upsert_are_freed(spark, table):
