@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 REASON = "dq_failure_reason"
 # Tag of a row whose first unmet rule is neither true nor false, under null_policy="drop".
 UNDECIDED = ""
+# Reason of a row that lost to another one with its key.
+DUPLICATE = "duplicate_key"
 
 
 @dataclass(frozen=True)
@@ -83,5 +85,16 @@ def quarantine_records(tagged: DataFrame, dataset_name: str) -> DataFrame:
     )
 
 
+def duplicate_records(lost: DataFrame, dataset_name: str) -> DataFrame:
+    """Audit rows of what lost to another row of its key (``dedupe.losers``), with the number of copies."""
+    fields = [c for c in lost.columns if c != "n_copies"]
+    return lost.select(
+        F.lit(dataset_name).alias("dataset_name"),
+        F.to_json(F.struct(*fields)).alias("original_record"),
+        F.lit(DUPLICATE).alias(REASON),
+        "n_copies",
+    )
+
+
 def failure_summary(records: DataFrame) -> DataFrame:
     return records.groupBy("dataset_name", REASON).agg(F.count("*").alias("n_rows"))

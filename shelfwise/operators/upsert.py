@@ -68,7 +68,7 @@ def upsert(
     unique: bool = False,
     merge_schema: bool = True,
     sequence: int | None = None,
-) -> None:
+) -> int:
     """Merge ``batch`` into ``table``, rewriting only the directories it touches.
 
     ``unique=True`` says that the batch comes from a written table and has one row per row key
@@ -79,7 +79,8 @@ def upsert(
 
     The merged rows are written once, staged in directory layout beside the table's directories, and
     noted in the table; then directories are replaced by moving. If that is cut off, readers see the
-    new rows all the same, and the next upsert first finishes it.
+    new rows all the same, and the next upsert first finishes it. Returns the number of row keys that the
+    batch brought.
     """
     spark = batch.sparkSession
     if (table.sequence is None) != (sequence is None):
@@ -94,9 +95,10 @@ def upsert(
         stored = read_placed_if_any(spark, table, merge_schema)
         schema = table.ordered(batch.schema if stored is None else united(stored.schema, batch.schema))
         sizes = _sizes(batch, table)
+        brought = sum(sizes.values())
         if stored is None:
             create(gather(batch, table, sizes), table, schema)
-            return
+            return brought
         touched = list(dict.fromkeys([*sizes, *_old_places(stored, batch, table)]))
         old = touched_rows(stored, touched, table)
         for name, n in _sizes(old, table).items():
@@ -107,6 +109,7 @@ def upsert(
             commit = replace(commit, emptied=_emptied(spark, table, commit.staged(table), touched))
         write_note(spark, table.note, commit.text())
         apply(spark, table, commit)
+        return brought
 
 
 def united(stored: T.StructType, batch: T.StructType) -> T.StructType:

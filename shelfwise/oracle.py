@@ -294,27 +294,47 @@ def _gold_parts() -> dict[str, tuple[str, tuple[str, ...]]]:
             "select * from gap union all select matrix.* from matrix, (select count(*) as n from gap) where n = 0",
             ("gap", "matrix"),
         ),
-        "gap_totals": (
-            "select * from gap_or_matrix left join market_agg using (item_id) left join comp_agg using (item_id)",
-            ("gap_or_matrix", "market_agg", "comp_agg"),
+        "listed": ("select distinct seller_id, item_id from listings", ("listings",)),
+        "facts": (
+            """select t.item_id, t.category, m.market_units, m.seller_count, m.market_revenue, c.comp_units,
+               coalesce(m.market_units / nullif(coalesce(m.seller_count, 1), 0),
+                        cast(c.comp_units as double), 1.0) as expected_units_sold,
+               coalesce(m.market_revenue / nullif(m.market_units, 0), 19.99) as market_price
+               from targets t
+               left join market_agg m on t.item_id = m.item_id
+               left join comp_agg c on t.item_id = c.item_id""",
+            ("targets", "market_agg", "comp_agg"),
         ),
         "measures": (
-            """select *, expected_units_sold * market_price as expected_revenue from (
-               select *, coalesce(market_units / nullif(coalesce(seller_count, 1), 0),
-                                  cast(comp_units as double), 1.0) as expected_units_sold,
-                      coalesce(market_revenue / nullif(market_units, 0), 19.99) as market_price
-               from gap_totals)""",
-            ("gap_totals",),
+            _unfolded(
+                "f.item_id, f.category, f.market_units, f.seller_count, f.market_revenue, f.comp_units, "
+                "f.expected_units_sold, f.market_price, f.expected_units_sold * f.market_price as expected_revenue",
+                "facts f",
+            ),
+            ("sellers", "facts", "listed"),
         ),
         "report": (
-            """select m.seller_id, m.item_id, i.item_name, i.category, m.market_price,
-               m.expected_units_sold, m.expected_revenue
-               from measures m join item_meta i on m.item_id = i.item_id""",
-            ("measures", "item_meta"),
+            _unfolded(
+                "f.item_id, f.item_name, f.category, f.market_price, f.expected_units_sold, "
+                "f.expected_units_sold * f.market_price as expected_revenue",
+                "(select t.item_id, t.market_price, t.expected_units_sold, i.item_name, i.category "
+                "from facts t join item_meta i on t.item_id = i.item_id) f",
+            ),
+            ("sellers", "facts", "listed", "item_meta"),
         ),
     }
 
 
+def _unfolded(columns: str, source: str) -> str:
+    """Rows of ``source`` f for every seller that does not list the item, or for all if each lists all."""
+    return f"""select * exclude (unlisted, n_unlisted) from (
+        select s.seller_id, {columns}, l.item_id is null as unlisted,
+               count(case when l.item_id is null then 1 end) over () as n_unlisted
+        from sellers s cross join {source}
+        left join listed l on l.seller_id = s.seller_id and l.item_id = f.item_id)
+        where unlisted or n_unlisted = 0"""
+
+
 def _listings_from(relation: str) -> str:
     category = _trim(_initcap("coalesce(category, 'General')"))
     return (
@@ -388,6 +408,78 @@ _UPSERT = {
 }
 
 
+_MOVED = {
+    "batches": (
+        """select cast(l_suppkey as varchar) as seller_id, cast(l_partkey as varchar) as item_id,
+           case when l_tax > 0.075 and l_partkey % 2 = 0 then 'Market ' || p_type else p_type end as category,
+           l_linenumber as stock_qty, cast(l_shipdate as date) as day, l_tax > 0.075 as second
+           from lineitem join part on l_partkey = p_partkey""",
+        (),
+    ),
+    "snapshot": (
+        """select seller_id, item_id, category, stock_qty, cast(day as varchar) as listed_on
+           from (select *, row_number() over (partition by seller_id, item_id order by day desc nulls last,
+                 second desc, category desc nulls last, stock_qty desc nulls last) as rn from batches)
+           where rn = 1""",
+        ("batches",),
+    ),
+}
+
+_REPLAYED = {
+    **_UPSERT,
+    "snapshot": (
+        """select seller_id, item_id, category, stock_qty, cast(day as varchar) as listed_on,
+           cast(case when second then 2 else 1 end as bigint) as batch
+           from (select *, row_number() over (partition by category, seller_id, item_id
+                 order by second desc, stock_qty desc nulls last, day desc nulls last) as rn from batches)
+           where rn = 1""",
+        ("batches",),
+    ),
+}
+
+_OTHER_KIND = "coalesce(try_cast(trim(item_id, ' ') as integer), 0) % 3 = 2"
+
+_MIXED = {
+    **_PARTS,
+    "every_catalog": _PARTS["dirty_catalog"],
+    "dirty_catalog": (
+        f"""select seller_id, item_id, item_name, category, marketplace_price,
+            case when not {_OTHER_KIND} then stock_qty end as stock_qty,
+            case when {_OTHER_KIND} then 'web' end as channel from every_catalog""",
+        ("every_catalog",),
+    ),
+    "clean_catalog": (
+        _PARTS["clean_catalog"][0].replace("as stock_qty", "as stock_qty, channel"),
+        ("dirty_catalog",),
+    ),
+}
+
+_LOADED = {
+    "lost": (
+        f"""select {_CATALOG_COLUMNS}, count(*) as n_copies from (
+            select *, row_number() over (partition by seller_id, item_id order by
+            {", ".join(f"{c} asc nulls first" for c in _CATALOG_REST)}) as rn from clean_catalog)
+            where rn > 1 group by all""",
+        ("clean_catalog",),
+    ),
+    "reconciled": (
+        " union all ".join(
+            f"""select '{dataset}' as dataset_name, (select count(*) from {source}) as n_read,
+            (select count(*) from {source}) - count(*) as n_duplicates, count(reason) as n_rejected,
+            cast(0 as bigint) as n_undecided, count(*) - count(reason) as n_accepted,
+            (select count(*) from {stored}) as n_merged from {tagged}"""
+            for dataset, source, tagged, stored in (
+                ("seller_catalog", "clean_catalog", "tag_catalog", "good_catalog"),
+                ("company_sales", "clean_company", "tag_company", "good_company"),
+                ("competitor_sales", "clean_competitor", "tag_competitor", "competitor"),
+            )
+        ),
+        ("clean_catalog", "tag_catalog", "good_catalog", "clean_company", "tag_company", "good_company",
+         "clean_competitor", "tag_competitor", "competitor"),
+    ),
+}
+
+
 def _build(final: str, needs: tuple[str, ...], parts: dict[str, tuple[str, tuple[str, ...]]]) -> str:
     """``final`` preceded by the expressions it needs, each after those it is built on."""
     ordered: list[str] = []
@@ -480,7 +572,7 @@ ORACLE: dict[str, str] = {
     "seller_item_matrix": _all("matrix"),
     "assortment_gap": _all("gap"),
     "gap_or_full_matrix": _all("gap_or_matrix", parts=_EVERYONE),
-    "gap_with_totals": _all("gap_totals", _TOTALS),
+    "gap_with_totals": _all("measures", _TOTALS),
     "expected_units": _all("measures", "seller_id, item_id, category, expected_units_sold"),
     "market_price": _all("measures", "seller_id, item_id, category, market_price"),
     "expected_revenue": _all("measures", "seller_id, item_id, category, expected_revenue"),
@@ -489,6 +581,21 @@ ORACLE: dict[str, str] = {
     "one_meta_per_item": _all("report", parts=_ONE_META),
     "upsert_latest": _all("snapshot", "seller_id, item_id, category, stock_qty, listed_on", _UPSERT),
     "upsert_evolved": _all("snapshot", parts=_UPSERT),
+    "upsert_global_key": _all("snapshot", parts=_MOVED),
+    "upsert_replayed": _all("snapshot", parts=_REPLAYED),
+    "dedupe_losers": _all("lost", parts={**_PARTS, **_LOADED}),
+    "load_reconciliation": _all("reconciled", parts={**_LAKE, **_LOADED}),
+    "landing_mixed_headers": _all("dirty_catalog", parts=_MIXED),
+    "stream_mixed_headers": _all("good_catalog", _CATALOG_COLUMNS + ", channel", _MIXED),
+    "stream_messages_to_silver": _build(
+        f"select {_CATALOG_COLUMNS} from good_catalog union all "
+        + " union all ".join(
+            f"select null, '{m}', 'unreadable_message', null, null, null"
+            for m in ("not json", '{"seller_id": "S1"', "[1, 2]")
+        ),
+        ("good_catalog",),
+        _PARTS,
+    ),
     "csv_bronze_roundtrip": _all("dirty_competitor"),
     "csv_bronze_catalog": _all("dirty_catalog"),
     "silver_snapshot_scan": _all("good_catalog", _CATALOG_COLUMNS),

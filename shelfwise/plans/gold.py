@@ -77,15 +77,14 @@ def _entry(ranking: str, units: str, sold: str) -> Column:
     )
 
 
-def target_facts(
+def measured_targets(
     item_meta: DataFrame, company: DataFrame, competitor: DataFrame, k: int = 10
 ) -> DataFrame:
-    """Target rows with their measures and metadata: a few rows per category.
+    """Target rows with both totals and the measures made of them: a few rows per category.
 
     Both totals are joined once per item and both rankings come from one window, so each sales
     table is scanned once, the measures come along with the ranked rows, and no total is joined
-    to the far larger gap. A target row meets every metadata row of its item, as the report lists
-    each.
+    to the far larger gap.
     """
     units = company_item_units(company).withColumn("in_company", F.lit(True))
     totals = market_item_totals(competitor).withColumn("in_market", F.lit(True))
@@ -94,7 +93,17 @@ def target_facts(
     contenders = items.select("*", F.inline(entries)).where("sold")
     best = top_items(contenders, "units", k, group=("category", "ranking"))
     targets = best.select(*_TARGET_COLUMNS).dropDuplicates(["item_id", "category"])
-    measured = add_measures(targets)
+    return add_measures(targets)
+
+
+def target_facts(
+    item_meta: DataFrame, company: DataFrame, competitor: DataFrame, k: int = 10
+) -> DataFrame:
+    """Target rows with their measures and metadata.
+
+    A target row meets every metadata row of its item, as the report lists each.
+    """
+    measured = measured_targets(item_meta, company, competitor, k)
     renamed = measured.withColumnRenamed("category", "target_category")
     facts = renamed.join(item_meta, "item_id", "inner")
     return facts.select("target_category", *[c for c in REPORT_COLUMNS if c != "seller_id"])

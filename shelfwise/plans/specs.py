@@ -15,7 +15,7 @@ from shelfwise.functions.cleaning import (
     to_int,
     trim_text,
 )
-from shelfwise.operators.dedupe import keep_one
+from shelfwise.operators.dedupe import keep_one, losers
 from shelfwise.operators.quality import Rule, dated_by, not_negative, present
 from shelfwise.sources.silver import SilverTable
 
@@ -43,15 +43,24 @@ class DatasetSpec:
     ordering: str = ""
     stamp: str | None = None
 
-    def table(self, path: str, buckets: int = 1) -> SilverTable:
+    def table(
+        self, path: str, buckets: int = 1, scope: str = "partition", sequence: str | None = None
+    ) -> SilverTable:
         return SilverTable(
-            path, self.record_keys, self.partition, self.ordering, self.partition_type, buckets
+            path,
+            self.record_keys,
+            self.partition,
+            self.ordering,
+            self.partition_type,
+            buckets,
+            scope,
+            sequence,
         )
 
     @property
     def unique_after_dedupe(self) -> bool:
-        """Whether keep-one already leaves one row per (partition, record key)."""
-        return bool(self.dedupe_keys) and set(self.dedupe_keys) <= {*self.record_keys, self.partition}
+        """Whether keep-one already leaves one row per record key, and so per row key of any scope."""
+        return bool(self.dedupe_keys) and set(self.dedupe_keys) <= set(self.record_keys)
 
 
 # Dataset, column and rule names, the order of the rules, and the defaults.
@@ -143,3 +152,8 @@ def clean(df: DataFrame, spec: DatasetSpec, blank_is_null: bool = False) -> Data
 def dedupe(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """Keep one row per dedupe key; datasets without such keys pass through."""
     return keep_one(df, spec.dedupe_keys) if spec.dedupe_keys else df
+
+
+def lost_to_duplicates(df: DataFrame, spec: DatasetSpec) -> DataFrame | None:
+    """The rows that ``dedupe`` leaves out, with ``n_copies``; None for datasets without such keys."""
+    return losers(df, spec.dedupe_keys) if spec.dedupe_keys else None

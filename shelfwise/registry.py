@@ -22,13 +22,15 @@ from shelfwise.sources import driver_views as views
 from shelfwise.sources import landing
 from shelfwise.sources.scratch import materialise, scratch_path
 from shelfwise.sources.silver import SilverTable, read_silver
-from shelfwise.streaming.ingest import ingest_landing
+from shelfwise.streaming.ingest import UNREADABLE, ingest_landing, ingest_messages
 from shelfwise.streaming.messages import from_messages, publish, read_landing_stream, to_messages
 
 AS_OF = "2001-01-01"
 OPTIONS = etl.LoadOptions(as_of=AS_OF)
 DROP_NULLS = etl.LoadOptions(as_of=AS_OF, null_policy="drop")
 LANDING_FILES = 4
+# Messages that no landing row was sent as.
+BROKEN_MESSAGES = ("not json", '{"seller_id": "S1"', "[1, 2]")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -203,31 +205,34 @@ def gap_or_full_matrix(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _gap_with_totals(spark: SparkSession, sf: str) -> DataFrame:
-    """Totals join the few targets, not the many gap rows they unfold to."""
-    targets = forecast.attach_totals(
-        target_items(spark, sf), market_item_totals(spark, sf), company_item_units(spark, sf)
+    """The gap unfolded from the report's own target rows, before they meet their metadata."""
+    listings = _listings(spark, sf)
+    targets = gold.measured_targets(
+        gold.item_metadata(listings),
+        gold.company_rows(views.company(spark, sf)),
+        gold.competitor_rows(views.competitor(spark, sf)),
     )
-    return gap.gap_or_full_matrix(*_gap_inputs(_listings(spark, sf), targets))
+    return gap.gap_or_full_matrix(*_gap_inputs(listings, targets))
 
 
-def gap_with_totals(spark: SparkSession, sf: str) -> DataFrame:
-    return _as_text(_gap_with_totals(spark, sf), _TOTALS)
+_GAP_KEY = ["seller_id", "item_id", "category"]
 
 
-_GAP_KEY = ["seller_id", "item_id", "category"]
+def gap_with_totals(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _gap_with_totals(spark, sf).select(*_GAP_KEY, "market_revenue", *_TOTALS)
+    return _as_text(rows, _TOTALS)
 
 
 def expected_units(spark: SparkSession, sf: str) -> DataFrame:
-    rows = forecast.add_expected_units(_gap_with_totals(spark, sf))
-    return rows.select(*_GAP_KEY, "expected_units_sold")
+    return _gap_with_totals(spark, sf).select(*_GAP_KEY, "expected_units_sold")
 
 
 def market_price(spark: SparkSession, sf: str) -> DataFrame:
-    return forecast.add_market_price(_gap_with_totals(spark, sf)).select(*_GAP_KEY, "market_price")
+    return _gap_with_totals(spark, sf).select(*_GAP_KEY, "market_price")
 
 
 def expected_revenue(spark: SparkSession, sf: str) -> DataFrame:
-    return forecast.add_measures(_gap_with_totals(spark, sf)).select(*_GAP_KEY, "expected_revenue")
+    return _gap_with_totals(spark, sf).select(*_GAP_KEY, "expected_revenue")
 
 
 def seller_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -278,6 +283,99 @@ def upsert_evolved(spark: SparkSession, sf: str) -> DataFrame:
     return _dates_as_text(read_silver(spark, listings))
 
 
+def upsert_global_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Marketplace lines put half the items into a category of their own: the old copies leave."""
+    path = scratch_path(spark, "listings")
+    listings = SilverTable(path, ("seller_id", "item_id"), "category", "listed_on", scope="global")
+    upsert(views.listing_batch(spark, sf, market=False), listings)
+    market = views.listing_batch(spark, sf, market=True)
+    moved = F.concat(F.lit("Market "), "category")
+    even = F.col("item_id").cast("int") % 2 == 0
+    upsert(market.withColumn("category", F.when(even, moved).otherwise(F.col("category"))), listings)
+    return _dates_as_text(read_silver(spark, listings))
+
+
+def upsert_replayed(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows are ordered by their partition alone; the first batch comes once more after the second."""
+    path = scratch_path(spark, "listings")
+    listings = SilverTable(path, ("seller_id", "item_id"), "category", "category", sequence="batch")
+    for market, number in ((False, 1), (True, 2), (False, 1)):
+        upsert(views.listing_batch(spark, sf, market), listings, sequence=number)
+    return _dates_as_text(read_silver(spark, listings))
+
+
+def dedupe_losers(spark: SparkSession, sf: str) -> DataFrame:
+    rows = clean(views.dirty_catalog(spark, sf), SELLER_CATALOG)
+    return dedupe.losers(rows, ["seller_id", "item_id"])
+
+
+def load_reconciliation(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts that came with the loads of all three datasets."""
+    lake = etl.Lake(scratch_path(spark, "lake"))
+    rows = []
+    for spec in ALL_SPECS:
+        n = etl.load_batch(_DIRTY[spec.name](spark, sf), spec, lake, "first", OPTIONS)
+        rows.append((spec.name, n.read, n.duplicates, n.rejected, n.undecided, n.accepted, n.merged))
+    counts = ("n_read", "n_duplicates", "n_rejected", "n_undecided", "n_accepted", "n_merged")
+    return spark.createDataFrame(rows, "dataset_name string, " + ", ".join(f"{c} long" for c in counts))
+
+
+def _mixed_landing(spark: SparkSession, sf: str, folder: str) -> None:
+    """Landing files of three kinds: as declared, in another order, and with one column for another."""
+    rows = views.dirty_catalog(spark, sf)
+    kind = F.coalesce(F.trim("item_id").cast("int"), F.lit(0)) % 3
+    columns = rows.columns
+    landing.write_landing(rows.where(kind == 0), folder)
+    turned = rows.where(kind == 1).select(*reversed(columns))
+    other = rows.where(kind == 2).withColumn("channel", F.lit("web")).drop("stock_qty")
+    for part in (turned, other):
+        part.write.mode("append").csv(
+            folder, header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        )
+
+
+def landing_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    folder = scratch_path(spark, "landing")
+    _mixed_landing(spark, sf, folder)
+    return landing.read_landing(spark, folder, declared=SELLER_CATALOG.columns)
+
+
+def stream_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files through the incremental load."""
+    root = scratch_path(spark, "stream")
+    lake = etl.Lake(f"{root}/lake")
+    _mixed_landing(spark, sf, f"{root}/landing")
+    ingest_landing(
+        spark, f"{root}/landing", SELLER_CATALOG, lake, f"{root}/checkpoint", OPTIONS
+    ).awaitTermination()
+    return read_silver(spark, lake.silver(SELLER_CATALOG)).drop("ingestion_time")
+
+
+def stream_messages_to_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Every listing line sent as a message, with broken messages among them, and loaded by a second stream."""
+    root = scratch_path(spark, "messages")
+    lake = etl.Lake(f"{root}/lake")
+    landing.write_landing(views.dirty_catalog(spark, sf), f"{root}/landing")
+    rows = read_landing_stream(spark, f"{root}/landing", SELLER_CATALOG)
+    publish(
+        to_messages(rows), f"{root}/sent", "text", {"path": f"{root}/topic"}
+    ).awaitTermination()
+    broken = spark.createDataFrame([(m,) for m in BROKEN_MESSAGES], "value string")
+    broken.write.mode("append").text(f"{root}/other")
+    for number, topic in enumerate(("topic", "other")):
+        ingest_messages(
+            spark, "text", {"path": f"{root}/{topic}"}, SELLER_CATALOG, lake,
+            f"{root}/taken-{number}", OPTIONS, run=topic,
+        ).awaitTermination()
+    audit = landing.read_quarantine(spark, lake.quarantine, SELLER_CATALOG.name)
+    unread = audit.where(F.col(quality.REASON) == UNREADABLE).select(
+        F.lit(None).cast("string").alias("seller_id"), F.col("original_record").alias("item_id"),
+        F.col(quality.REASON).alias("item_name"),
+    )
+    stored = read_silver(spark, lake.silver(SELLER_CATALOG)).drop("ingestion_time")
+    return stored.unionByName(unread, allowMissingColumns=True)
+
+
 def csv_bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     source, bronze = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
     landing.write_landing(views.dirty_competitor(spark, sf), source)
@@ -402,6 +500,13 @@ QUERIES: dict[str, Query] = {
     "one_meta_per_item": one_meta_per_item,
     "upsert_latest": upsert_latest,
     "upsert_evolved": upsert_evolved,
+    "upsert_global_key": upsert_global_key,
+    "upsert_replayed": upsert_replayed,
+    "dedupe_losers": dedupe_losers,
+    "load_reconciliation": load_reconciliation,
+    "landing_mixed_headers": landing_mixed_headers,
+    "stream_mixed_headers": stream_mixed_headers,
+    "stream_messages_to_silver": stream_messages_to_silver,
     "csv_bronze_roundtrip": csv_bronze_roundtrip,
     "csv_bronze_catalog": csv_bronze_catalog,
     "silver_snapshot_scan": silver_snapshot_scan,

@@ -92,3 +92,24 @@ def move_folder(spark: SparkSession, source: str, target: str) -> bool:
         return False
     files.mkdirs(place.getParent())
     return files.rename(_opened(spark, source)[1], place)
+
+
+def first_lines(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The first line of each text file, compressed or not; empty for an empty file."""
+    context = spark.sparkContext
+    jvm, conf = context._jvm, context._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first(path: str) -> str:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        stream = place.getFileSystem(conf).open(place)
+        try:
+            codec = codecs.getCodec(place)
+            raw = stream if codec is None else codec.createInputStream(stream)
+            reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(raw, "UTF-8"))
+            return reader.readLine() or ""
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(MOVES_AT_ONCE) as pool:
+        return list(pool.map(first, paths))

@@ -50,6 +50,27 @@ def from_messages(messages: DataFrame, spec: DatasetSpec) -> DataFrame:
     return messages.select(record).select("record.*")
 
 
+def read_messages(spark: SparkSession, source: str, options: dict[str, str]) -> DataFrame:
+    """The texts that arrive at a source, as ``value``: ``kafka``, or ``text`` files of one message a line."""
+    return spark.readStream.format(source).options(**options).load().select(F.col("value").cast("string"))
+
+
+def readable(messages: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
+    """(landing rows, messages that are not one JSON object).
+
+    Field ``""`` is a missing value, as in landing files. A declared field that a message does not
+    have is NULL; fields that are not declared are left out. A value that is not a text keeps its JSON.
+    """
+    broken = "__broken"
+    schema = text_schema([*spec.columns, broken])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    parsed = messages.withColumn("record", F.from_json("value", schema, options))
+    fine = F.col("record").isNotNull() & F.col(f"record.{broken}").isNull() & F.col("value").rlike(r"^\s*\{")
+    fine = F.coalesce(fine, F.lit(False))
+    fields = [F.nullif(F.col(f"record.{c}"), F.lit("")).alias(c) for c in spec.columns]
+    return parsed.where(fine).select(*fields), parsed.where(~fine).select("value")
+
+
 def publish(
     messages: DataFrame, checkpoint: str, sink: str, options: dict[str, str]
 ) -> StreamingQuery:

@@ -2,12 +2,13 @@ import datetime
 import os
 import random
 import shutil
+from collections import Counter
 from contextlib import suppress
 
 import pytest
 
 from shelfwise.operators import upsert as upserts
-from shelfwise.operators.dedupe import keep_one, latest_per_key
+from shelfwise.operators.dedupe import keep_one, latest_per_key, losers
 from shelfwise.operators.ranking import top_k_per_group
 from shelfwise.operators.upsert import upsert
 from shelfwise.sources import silver
@@ -36,6 +37,16 @@ def test_keep_one_is_total_and_treats_null_keys_as_equal(spark):
     assert got == {("a", 1), (None, 4), ("b", None)}
 
 
+def test_losers_are_all_rows_but_the_kept(spark):
+    rows = [("a", 2), ("a", 1), ("a", 1), ("a", 2), (None, 5), (None, 4), (None, 4), ("b", None), ("b", 3), ("c", 1)]
+    df = frame(spark, rows, "k string, v int")
+    kept = Counter(map(tuple, keep_one(df, ["k"]).collect()))
+    lost = {(r.k, r.v): r.n_copies for r in losers(df, ["k"]).collect()}
+    assert kept + Counter(lost) == Counter(rows)
+    nan = frame(spark, [("a", float("nan")), ("a", float("nan")), ("a", -0.0), ("a", 0.0)], "k string, v double")
+    assert sum(r.n_copies for r in losers(nan, ["k"]).collect()) == 3
+
+
 def test_keep_one_does_not_depend_on_row_order_or_partitions(spark):
     rng = random.Random(7)
     rows = [(str(rng.randrange(50)), rng.randrange(5), str(rng.randrange(3)), rng.randrange(4)) for _ in range(2000)]
