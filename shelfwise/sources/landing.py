@@ -21,7 +21,7 @@ def read_landing(
     infer: bool = False,
     declared: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Header-bearing CSV files or folders, every column as text unless ``infer``.
+    """Header-bearing CSV, every column as text unless ``infer``: a file, folder or pattern, or named files.
 
     Text keeps the raw value (``007`` stays ``007``) and spares the type-inference pass over the
     file; extra columns are carried along. Columns are named by the header of their own file: CSV rows
@@ -30,14 +30,14 @@ def read_landing(
     inferred differently in two groups stays text.
     """
     groups: dict[str, list[str]] = {}
-    files = landing_files(spark, path)
-    # A folder of one header is read as one, however many files it has.
+    files = landing_files(spark, path) if isinstance(path, str) else path
     for file, line in zip(files, first_lines(spark, files), strict=True):
         if line.strip("\ufeff \t"):
             groups.setdefault(line, []).append(file)
-    whole = [path] if isinstance(path, str) else path
     one = len(groups) == 1
-    parts = [_one_header(spark, group, whole if one else group, infer) for group in groups.values()]
+    # A folder of one header is read as one, however many files it has.
+    whole = path if one and isinstance(path, str) else None
+    parts = [_one_header(spark, group, whole, infer) for group in groups.values()]
     if not parts:
         return spark.createDataFrame([], text_schema(declared))
     kinds: dict[str, set[str]] = {}
@@ -54,18 +54,17 @@ def read_landing(
     return rows.select(*declared, *(extra if one else sorted(extra)))
 
 
-def landing_files(spark: SparkSession, path: str | list[str]) -> list[str]:
+def landing_files(spark: SparkSession, path: str) -> list[str]:
     """Paths of the files below ``path``; their content is not read."""
     listed = spark.read.format("binaryFile").load(path).select("path")
     return sorted(row["path"] for row in listed.collect())
 
 
-def _one_header(spark: SparkSession, files: list[str], paths: list[str], infer: bool) -> DataFrame:
-    """Files with one and the same header, which are those of ``paths``."""
-    exact = [re.sub(r"([\\{}\[\]*?])", r"\\\1", f) for f in files]  # no patterns
+def _one_header(spark: SparkSession, files: list[str], whole: str | None, infer: bool) -> DataFrame:
+    """Files with one and the same header; ``whole`` names all of them at once."""
+    exact = [re.sub(r"([\\{}\[\]*?])", r"\\\1", f) for f in files]  # names, not patterns
     rows = spark.read.csv(exact if infer else exact[:1], header=True, inferSchema=infer)
-    paths = exact if paths is files else paths
-    return spark.read.schema(rows.schema).csv(paths, header=True, enforceSchema=False)
+    return spark.read.schema(rows.schema).csv(whole or exact, header=True, enforceSchema=False)
 
 
 def write_landing(df: DataFrame, path: str) -> None:

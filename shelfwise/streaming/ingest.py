@@ -46,7 +46,8 @@ def ingest_landing(
 
     def load(files: DataFrame, epoch: int) -> None:
         session = files.sparkSession
-        paths = sorted(row["path"] for row in files.collect())
+        # A file can be listed twice in a batch.
+        paths = sorted({row["path"] for row in files.collect()})
         if paths:
             rows = read_landing(session, paths, options.infer, spec.columns)
             _load(rows, epoch, spec, lake, options, run, on_loaded)
