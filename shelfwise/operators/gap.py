@@ -1,8 +1,9 @@
 """Target lists and the assortment gap.
 
 The sellers x targets matrix is the result of two of these operators, so its size is a given, but
-it is never joined or shuffled. Target rows are packed into short arrays; a seller meets each pack
-once, drops the items it lists already, and the remaining rows are unfolded. What is shuffled is
+it is never joined or shuffled. Target rows are packed into short arrays of even length, an item with
+many rows into several; a seller meets each pack once, drops the items it lists already, and the
+remaining rows are unfolded. What is shuffled is
 the seller list, the packs and the listings of target items.
 
 The inputs are read more than once: pass written tables (``materialise``), reduced to what matters
@@ -13,10 +14,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Average number of item ids in a pack: bounds the array that any one row carries.
+# Average number of target rows in a pack: bounds the array that any one row carries.
 PACK_SIZE = 256
 # Matrix pairs unfolded by one task; the seller list is too small to set the parallelism itself.
 PAIRS_PER_TASK = 2_000_000
@@ -41,6 +42,21 @@ def _held_pairs(sellers: DataFrame, ids: DataFrame, listings: DataFrame) -> Data
     return pairs.join(sellers, "seller_id", "left_semi").distinct()
 
 
+def _pack_of(targets: DataFrame, n_packs: int) -> Column:
+    """A target row's pack, by all it holds: rows of one item spread over as many packs as they fill."""
+    return F.pmod(F.xxhash64(*targets.columns), F.lit(n_packs)).alias("pack")
+
+
+def packed_rows(targets: DataFrame, n_packs: int, columns: list[str]) -> DataFrame:
+    """(pack, wanted): whole target rows, so that nothing is joined once they are unfolded."""
+    row = F.struct(*columns)
+    return targets.groupBy(_pack_of(targets, n_packs)).agg(F.collect_list(row).alias("wanted"))
+
+
+def pack_count(n_rows: int) -> int:
+    return max(1, -(-n_rows // PACK_SIZE))
+
+
 def _unlisted(
     sellers: DataFrame, targets: DataFrame, listings: DataFrame | None, full_if_none: bool = False
 ) -> DataFrame:
@@ -48,26 +64,25 @@ def _unlisted(
     sellers = sellers.select("seller_id").distinct()
     ids = targets.select("item_id").distinct()
     held = None if listings is None else _held_pairs(sellers, ids, listings)
-    inputs = {"ids": ids, "sellers": sellers, **({"held": held} if full_if_none else {})}
-    counts = _counts(inputs)
-    n_ids, n_sellers = counts["ids"], counts["sellers"]
+    inputs = {"ids": ids, "rows": targets, "sellers": sellers}
+    counts = _counts({**inputs, **({"held": held} if full_if_none else {})})
+    n_ids, n_rows, n_sellers = counts["ids"], counts["rows"], counts["sellers"]
     if full_if_none and counts["held"] == n_ids * n_sellers:
         held = None
-    n_packs = max(1, -(-n_ids // PACK_SIZE))
+    n_packs = pack_count(n_rows)
     by_cores = targets.sparkSession.sparkContext.defaultParallelism
-    n_tasks = max(by_cores, -(-n_ids * n_sellers // PAIRS_PER_TASK))
-    pack = F.pmod(F.xxhash64("item_id"), F.lit(n_packs)).alias("pack")
+    n_tasks = max(by_cores, -(-n_rows * n_sellers // PAIRS_PER_TASK))
     columns = ["item_id", *[c for c in targets.columns if c != "item_id"]]
-    # Whole target rows travel in the packs, so that nothing is joined once they are unfolded. An
-    # item may be a target in two categories; each target row counts.
-    row = F.struct(*columns)
-    wanted = targets.groupBy(pack).agg(F.collect_list(row).alias("wanted"))
+    # An item may be a target in two categories; each target row counts.
+    wanted = packed_rows(targets, n_packs, columns)
     all_packs = F.sequence(F.lit(0).cast("long"), F.lit(n_packs - 1).cast("long"))
     offers = sellers.select("seller_id", F.explode(all_packs).alias("pack"))
     offers = offers.repartition(n_tasks, "seller_id", "pack")
     missing = F.col("wanted")
     if held is not None:
-        lists = held.groupBy("seller_id", pack).agg(F.collect_list("item_id").alias("held"))
+        # A listed item leaves every pack that holds rows of it.
+        places = targets.select("item_id", _pack_of(targets, n_packs)).distinct()
+        lists = held.join(places, "item_id").groupBy("seller_id", "pack").agg(F.collect_list("item_id").alias("held"))
         offers = offers.join(lists, ["seller_id", "pack"], "left")
         none = F.array().cast("array<string>")
         offers = offers.withColumn("held", F.coalesce("held", none))

@@ -454,6 +454,16 @@ _MIXED = {
     ),
 }
 
+_EVERY_SALE = {
+    **_PARTS,
+    "dirty_competitor": (_PARTS["dirty_competitor"][0].replace("where on_market", ""), ("sale_lines",)),
+    "dirty_company": (
+        "select item_id, units_sold, revenue, sale_date from dirty_competitor",
+        ("dirty_competitor",),
+    ),
+    "competitor": (_LAKE["competitor"][0], ("good_competitor",)),
+}
+
 _LOADED = {
     "lost": (
         f"""select {_CATALOG_COLUMNS}, count(*) as n_copies from (
@@ -585,6 +595,20 @@ ORACLE: dict[str, str] = {
     "upsert_replayed": _all("snapshot", parts=_REPLAYED),
     "dedupe_losers": _all("lost", parts={**_PARTS, **_LOADED}),
     "load_reconciliation": _all("reconciled", parts={**_LAKE, **_LOADED}),
+    "landing_inferred": _all(
+        "catalog",
+        "cast(seller_id as integer) as seller_id, cast(item_id as integer) as item_id, item_name, category, "
+        "cast(marketplace_price as double) as marketplace_price, cast(stock_qty as integer) as stock_qty",
+    ),
+    "silver_stamped": _all("good_catalog", "seller_id, item_id, '2001-01-01 06:30:00' as ingestion_time"),
+    "clean_every_sale": _all("clean_competitor", _text(_COMPETITOR_COLUMNS, "units_sold"), _EVERY_SALE),
+    "dq_every_sale": _all(
+        "tag_competitor",
+        _text(_COMPETITOR_COLUMNS, "units_sold") + ", reason as dq_failure_reason",
+        _EVERY_SALE,
+    ),
+    "dedupe_every_company_sale": _all("one_company", _text(_COMPANY_COLUMNS, "units_sold"), _EVERY_SALE),
+    "silver_every_sale": _all("competitor", _COMPETITOR_COLUMNS, _EVERY_SALE),
     "landing_mixed_headers": _all("dirty_catalog", parts=_MIXED),
     "stream_mixed_headers": _all("good_catalog", _CATALOG_COLUMNS + ", channel", _MIXED),
     "stream_messages_to_silver": _build(

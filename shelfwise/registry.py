@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -334,6 +335,44 @@ def _mixed_landing(spark: SparkSession, sf: str, folder: str) -> None:
         )
 
 
+def landing_inferred(spark: SparkSession, sf: str) -> DataFrame:
+    """Every listing as landing CSV, its types found by Spark."""
+    source = scratch_path(spark, "landing")
+    landing.write_landing(_as_text(views.catalog(spark, sf), ["marketplace_price", "stock_qty"]), source)
+    return landing.read_landing(spark, source, infer=True)
+
+
+def silver_stamped(spark: SparkSession, sf: str) -> DataFrame:
+    """When the rows of the accepted catalog were loaded."""
+    lake = etl.Lake(scratch_path(spark, "lake"))
+    options = replace(OPTIONS, stamp="2001-01-01 06:30:00")
+    etl.load_batch(views.dirty_catalog(spark, sf), SELLER_CATALOG, lake, "first", options)
+    rows = read_silver(spark, lake.silver(SELLER_CATALOG))
+    return rows.select("seller_id", "item_id", F.col("ingestion_time").cast("string").alias("ingestion_time"))
+
+
+def clean_every_sale(spark: SparkSession, sf: str) -> DataFrame:
+    """Every line as a marketplace sale, whatever its tax."""
+    return _as_text(_dates_as_text(clean(views.dirty_sales(spark, sf), COMPETITOR_SALES)), _COUNTS)
+
+
+def dq_every_sale(spark: SparkSession, sf: str) -> DataFrame:
+    tagged = etl.tag_rows(views.dirty_sales(spark, sf), COMPETITOR_SALES, OPTIONS)
+    return _as_text(_dates_as_text(tagged), _COUNTS)
+
+
+def dedupe_every_company_sale(spark: SparkSession, sf: str) -> DataFrame:
+    """One sale of each item over every line."""
+    rows = clean(views.dirty_sales(spark, sf).select(*COMPANY_SALES.columns), COMPANY_SALES)
+    return _as_text(_dates_as_text(dedupe.keep_one(rows, ["item_id"])), _COUNTS)
+
+
+def silver_every_sale(spark: SparkSession, sf: str) -> DataFrame:
+    lake = etl.Lake(scratch_path(spark, "lake"))
+    etl.load_batch(views.dirty_sales(spark, sf), COMPETITOR_SALES, lake, "first", OPTIONS)
+    return _dates_as_text(read_silver(spark, lake.silver(COMPETITOR_SALES)))
+
+
 def landing_mixed_headers(spark: SparkSession, sf: str) -> DataFrame:
     folder = scratch_path(spark, "landing")
     _mixed_landing(spark, sf, folder)
@@ -504,6 +543,12 @@ QUERIES: dict[str, Query] = {
     "upsert_replayed": upsert_replayed,
     "dedupe_losers": dedupe_losers,
     "load_reconciliation": load_reconciliation,
+    "landing_inferred": landing_inferred,
+    "silver_stamped": silver_stamped,
+    "clean_every_sale": clean_every_sale,
+    "dq_every_sale": dq_every_sale,
+    "dedupe_every_company_sale": dedupe_every_company_sale,
+    "silver_every_sale": silver_every_sale,
     "landing_mixed_headers": landing_mixed_headers,
     "stream_mixed_headers": stream_mixed_headers,
     "stream_messages_to_silver": stream_messages_to_silver,

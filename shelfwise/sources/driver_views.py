@@ -217,6 +217,11 @@ def dirty_company(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spoil_company(_sales(spark, sf_dir).where(~_on_market()))
 
 
+def dirty_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line as a marketplace sale."""
+    return spoil_competitor(_sales(spark, sf_dir).withColumn("price", F.col("revenue")), price_shift=1)
+
+
 def dirty_competitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _sales(spark, sf_dir).where(_on_market())
     return spoil_competitor(rows.withColumn("price", F.col("revenue")), price_shift=1)

@@ -57,7 +57,7 @@ def read_landing(
 def landing_files(spark: SparkSession, path: str) -> list[str]:
     """Paths of the files below ``path``; their content is not read."""
     listed = spark.read.format("binaryFile").load(path).select("path")
-    return sorted(row["path"] for row in listed.collect())
+    return sorted({row["path"] for row in listed.collect()})
 
 
 def _one_header(spark: SparkSession, files: list[str], whole: str | None, infer: bool) -> DataFrame:

@@ -4,8 +4,9 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from shelfwise.operators import dedupe, forecast, ranking
+from shelfwise.operators import dedupe, forecast, gap, ranking
 from shelfwise.operators.upsert import upsert
 from shelfwise.plans import gold
 from shelfwise.plans.specs import SELLER_CATALOG, clean
@@ -113,3 +114,17 @@ def test_totals_of_a_hot_item(spark, rng):
     sellers = Counter(r[0] for r in rows if r[1])
     assert got == {i: (n, sellers[i], n / 100) for i, n in counts.items()}
     assert dedupe.distinct_rows(df, "item_id").count() == len(counts)
+
+
+def test_packs_are_even_when_one_item_has_most_rows(spark):
+    """An item with 100,000 metadata rows fills many packs, and a seller that lists it drops them all."""
+    one = spark.range(100_000).select(F.lit("big").alias("item_id"), F.concat(F.lit("c"), "id").alias("category"))
+    rest = spark.range(5_000).select(F.concat(F.lit("i"), "id").alias("item_id"), F.lit("c").alias("category"))
+    targets = one.unionByName(rest)
+    n = gap.pack_count(targets.count())
+    sizes = [r[0] for r in gap.packed_rows(targets, n, targets.columns).select(F.size("wanted")).collect()]
+    assert len(sizes) == n and max(sizes) < 2 * sum(sizes) / n
+    sellers = spark.createDataFrame([("a",), ("b",)], "seller_id string")
+    listings = spark.createDataFrame([("a", "big"), ("a", "i7"), ("b", "i8"), ("b", "other")], "seller_id string, item_id string")
+    found = gap.assortment_gap(sellers, targets, listings).groupBy("seller_id").count().collect()
+    assert {r["seller_id"]: r["count"] for r in found} == {"a": 4_999, "b": 104_999}
