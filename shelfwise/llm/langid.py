@@ -251,10 +251,13 @@ def predict(docs: DataFrame, model: LangIdModel | None, text: str = "text") -> D
 
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     found = scored(F.when(has_letter, F.col(text)).otherwise(F.lit("")))
-    return docs.withColumn("_found", found).select(
+    own = "_found"
+    while own in docs.columns:
+        own += "_"
+    return docs.withColumn(own, found).select(
         *[c for c in docs.columns if c not in ("lang_pred", "score")],
-        F.when(has_letter, F.col("_found.lang_pred")).otherwise(UNKNOWN).alias("lang_pred"),
-        F.when(has_letter, F.col("_found.score")).otherwise(0.0).alias("score"),
+        F.when(has_letter, F.col(own)["lang_pred"]).otherwise(UNKNOWN).alias("lang_pred"),
+        F.when(has_letter, F.col(own)["score"]).otherwise(0.0).alias("score"),
     )
 
 

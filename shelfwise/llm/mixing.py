@@ -224,11 +224,12 @@ def mix(docs: DataFrame, params: MixParams | None = None, source: str = "source"
             *kept, *[long.alias(c) for c in ("phase", *PLACES[:-1])], F.lit(True).alias("in_mix")
         )
     position = F.col("slot") * params.block_docs + F.col("rank") % params.block_docs
+    held = [F.col(c).alias(f"_in_{c}") for c in kept]  # so that they meet no name used here
     return (
-        _placed(_dealt(docs, kept, found, source), found)
+        _placed(_dealt(docs, [*held, "doc_id"], found, source), found)
         .withColumn("position", position)
         .withColumn("in_mix", F.col("phase") == 0)
-        .select(*kept, "phase", *PLACES)
+        .select(*[F.col(f"_in_{c}").alias(c) for c in kept], "phase", *PLACES)
     )
 
 

@@ -265,10 +265,11 @@ def redact(docs: DataFrame, params: PiiParams | None = None) -> DataFrame:
     marked = materialise(marked, "pii-marked")
     if marked.count() <= (params or PiiParams()).broadcast_rows:
         marked = F.broadcast(marked)  # beyond that the texts are shuffled
-    joined = docs.withColumn("row_key", F.xxhash64("doc_id", "text")).join(
-        marked, "row_key", "left"
-    )
-    text = F.col("text")
+    # As one column, the given ones meet no name used here.
+    joined = docs.select(
+        F.struct(*docs.columns).alias("_in"), F.xxhash64("doc_id", "text").alias("row_key")
+    ).join(marked, "row_key", "left")
+    text = F.col("_in")["text"]
 
     def step(done, s):
         label = F.upper(F.regexp_replace(s["kind"], "^ctx_", ""))
@@ -285,5 +286,5 @@ def redact(docs: DataFrame, params: PiiParams | None = None) -> DataFrame:
     clean = F.when(F.col("_spans").isNull(), text).otherwise(
         F.aggregate("_spans", begin, step, rest)
     )
-    columns = [clean.alias(c) if c == "text" else joined[c] for c in docs.columns]
-    return joined.select(*columns)
+    columns = [clean if c == "text" else F.col("_in")[c] for c in docs.columns]
+    return joined.select(*[v.alias(c) for v, c in zip(columns, docs.columns, strict=True)])

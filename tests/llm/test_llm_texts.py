@@ -395,3 +395,33 @@ def test_rows_in_mix_order(docs, odd, empty):
     clashing = docs.selectExpr("*", "1 AS rank", "2 AS _s", "3 AS _draw", "4 AS first")
     assert sorted(map(str, mixing.in_mix_order(clashing).collect())) == sorted(map(str, clashing.collect()))
     assert mixing.in_mix_order(empty).count() == 0
+
+
+def test_many_matches_in_one_text_are_found_in_time(spark):
+    import time
+
+    from shelfwise.llm.spans import match_spans
+
+    n = 100_000
+    text = " ".join(f"é mail{i}@example.com" for i in range(n))
+    table = spark.createDataFrame([(text,), ("none",), (None,), ("",)], "text string")
+    begin = time.perf_counter()
+    spans = table.select(match_spans(F.col("text"), pii.EMAIL).alias("s")).collect()
+    assert time.perf_counter() - begin < 15
+    assert [len(r.s) for r in spans] == [n, 0, 0, 0]
+    assert all(text[s.start : s.end] == s.value == f"mail{k}@example.com" for k, s in enumerate(spans[0].s))
+
+
+CLASHING = ["_low", "_flat", "_found", "_kept", "_places", "_in", "_s", "_bucket", "_draw", "_k", "_spans", "row_key", "found"]
+
+
+def test_given_columns_of_any_name_come_back(spark, docs):
+    from shelfwise.llm import mixing
+
+    table = docs.limit(60).withColumns({c: F.lit(f"own {c}") for c in CLASHING})
+    model = langid.train(docs)
+    for result in (
+        licenses.scan(table), mixing.mix(table), mixing.in_mix_order(table), pii.redact(table), langid.predict(table, model)
+    ):
+        rows = result.collect()
+        assert len(rows) == 60 and all(r[c] == f"own {c}" for r in rows for c in CLASHING)
