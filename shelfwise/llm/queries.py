@@ -152,12 +152,34 @@ def _urn(seed: str) -> str:
     return f"'<urn:uuid:' || concat_ws('-', {parts}) || '>'"
 
 
+def _decoded(text: str) -> str:
+    """Character references replaced in one pass; ``names`` is a column with those by name."""
+    number = "ltrim(n[2:], '0')"
+    digits = f"(case when n[2] in ('x', 'X') then (case when length(ltrim(n[3:], '0')) > 7 then '9999999999' else coalesce(try_cast('0x0' || ltrim(n[3:], '0') as bigint), 0)::varchar end) else {number} end)"
+    code = f"(case when length({digits}) <= 9 then ('0' || {digits})::bigint else 0 end)"
+    real = f"{code} > 0 and {code} <= 1114111 and not {code} between 55296 and 57343"
+    character = (
+        f"case when n[1] = '#' then case when {real} then coalesce(names['#' || {code}], chr({code}::integer)) "
+        f"else '{warc.NO_CHARACTER}' end else coalesce(names[n], '&' || n || ';') end"
+    )
+    pieces = f"string_split_regex({text}, '{warc.REFERENCE}')"
+    found = f"list_transform(regexp_extract_all({text}, '{warc.REFERENCE}', 1), lambda n: {character})"
+    joined = f"array_to_string(list_transform(list_zip({pieces}, {found}), lambda p: p[1] || coalesce(p[2], '')), '')"
+    return f"case when contains({text}, '&') then {joined} else {text} end"
+
+
+def _map(values: dict[str, str]) -> str:
+    quoted = [", ".join("'" + x.replace("'", "''") + "'" for x in part) for part in (values, values.values())]
+    return f"map([{quoted[0]}], [{quoted[1]}])"
+
+
 def warc_sql() -> str:
     one_line = "regexp_replace({}, '[\r\n]+', ' ', 'g')"
-    plain = _replaced("payload", *warc.TAG_STEPS, *warc.ENTITY_STEPS, *warc.SPACE_STEPS)
+    untagged = _replaced("payload", warc.COMMENT, *warc.TAG_STEPS)
     title = "regexp_extract(payload, '(?is)<title[^>]*>(.*?)</title>', 1)"
-    title = _replaced(title, *warc.TAG_STEPS[3:], *warc.ENTITY_STEPS, *warc.ONE_LINE)
-    links = """regexp_extract_all(payload, '(?i)<a [^>]*href="([^"]*)"', 1)"""
+    title = _replaced(title, *warc.TAG_STEPS[2:])
+    links = "regexp_extract_all(payload, '" + warc.LINK.replace("'", "''") + "')"
+    links = f"list_transform({links}, lambda x: {_replaced('x', *warc.LINK_STEPS)})"
     link = f"'outlink: ' || {one_line.format('x')} || crlf"
     header = " || ".join(
         f"'{name}: ' || {value} || crlf"
@@ -180,16 +202,20 @@ with response as materialized (
         {one_line.format("coalesce(url, '')")} as target_uri,
         {_urn("'response ' || coalesce(page_id::varchar, '') || ' ' || coalesce(url, '')")} as refers_to
     from pages
+), untagged as materialized (
+    select *, {untagged} as raw_text, {title} as raw_title, {_map(warc.named_characters())} as names from response
+), decoded as materialized (
+    select *, {_decoded("raw_text")} as text, {_decoded("raw_title")} as one_title from untagged
 ), readable as materialized (
     select page_id, crlf, target_uri, refers_to,
         'sha256:' || sha256(payload) as source_digest,
-        trim({plain}, ' ' || chr(10)) as plain,
-        trim({title}) as title,
+        trim({_replaced("text", *warc.SPACE_STEPS)}, ' ' || chr(10)) as plain,
+        trim({_replaced("one_title", *warc.ONE_LINE)}) as title,
         array_to_string(list_transform({links}, lambda x: {link}), '') as outlinks,
         strlen(payload) as bytes,
         {_urn("'metadata ' || refers_to")} as metadata_id,
         {_urn("'conversion ' || refers_to")} as conversion_id
-    from response
+    from decoded
 ), both_kinds as (
     select *, 'metadata' as warc_type, metadata_id as record_id, conversion_id as concurrent_to,
         'application/warc-fields' as content_type,

@@ -14,7 +14,7 @@ SPAN = "array<struct<start:int,end:int,value:string>>"
 BLOCK = 128
 
 
-def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use`` of a value that is worked out once."""
     return F.element_at(F.transform(F.array(value), use), 1)
 
@@ -72,7 +72,7 @@ def match_spans(text: Column, pattern: Column | str) -> Column:
 
         return F.flatten(F.transform(blocks, spans))
 
-    return _bound(pieces, lambda p: F.when(F.size(p) > 1, located(p)).otherwise(none))
+    return bound(pieces, lambda p: F.when(F.size(p) > 1, located(p)).otherwise(none))
 
 
 def gated(condition: Column, spans: Column) -> Column:

@@ -6,6 +6,10 @@ Every response yields two records that name it in ``WARC-Refers-To`` and each ot
 target address, date and digest of the source; their own block has a digest and a length in bytes.
 Record ids are made from the source's, so a repeated run gives the same ids.
 
+Character references that end in ``;`` are decoded, all at once. A comment, a script or the like that never
+ends is left to the rule for tags; many begins of such a one (not of comments) in one page take time
+that grows with their square.
+
 A null page id, address or body counts as empty. Repeated rows give repeated records. An empty table
 gives none. Columns beyond the named ones are not carried along. Only DataFrame expressions are
 used for deriving; ``read_records`` parses files with Python.
@@ -15,12 +19,16 @@ from __future__ import annotations
 
 import gzip
 import io
+import json
 from collections.abc import Iterator
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm.spans import bound
+
 CRLF = "\r\n"
 _RECORD = "warc_type string, record_id string, headers map<string,string>, block binary"
 
@@ -69,32 +77,81 @@ def _replace(text: Column, *steps: tuple[str, str]) -> Column:
     return text
 
 
-# In order: what is not text, breaks between blocks, other tags; entities; white space.
+# In order: comments, other parts that are not text, breaks between blocks, other tags; white space.
+COMMENT = (r"(?is)<!--.*?-->", " ")
+HIDDEN = "|".join(rf"{tag}\b[^>]*>.*?</{tag}" for tag in ("script", "style", "noscript", "head"))
 TAG_STEPS = (
-    (r"(?is)<!--.*?-->", " "),
-    (r"(?is)<(?:script|style|head|noscript)[^>]*>.*?</(?:script|style|head|noscript)>", " "),
-    (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer)[^>]*>", "\n"),
+    (rf"(?is)<(?:{HIDDEN})\s*>", " "),
+    (r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|article|section|nav|header|footer)\b[^>]*>", "\n"),
     (r"<[^>]*>", ""),
 )
-ENTITY_STEPS = (
-    ("&nbsp;|&#160;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;|&#34;", '"'),
-    ("&#39;|&apos;", "'"),
-    ("&amp;", "&"),
-)
 SPACE_STEPS = ((r"[ \t\f\r]+", " "), (r" ?\n[ \n]*", "\n"))
 ONE_LINE = ((r"[ \t\f\r\n]+", " "),)
+#: A link's tag up to the end of its address: in double, single or no quotes.
+LINK = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)"""
+LINK_STEPS = ((r"(?is)^<a\s(?:[^>]*?\s)?href\s*=\s*", ""), (r"""^["']|["']$""", ""))
+#: A character reference: by decimal or hexadecimal number, or by name.
+REFERENCE = "&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+#: What a number means that names no character.
+NO_CHARACTER = "\ufffd"
+
+
+def named_characters() -> dict[str, str]:
+    """Text of the references by name, and of the numbers 128 to 159, which mean those of Windows.
+
+    Spaces that do not break are plain ones in plain text.
+    """
+    names = {name[:-1]: text for name, text in html5.items() if name.endswith(";")}
+    for n in range(128, 160):
+        names[f"#{n}"] = bytes([n]).decode("cp1252", "ignore") or chr(n)
+    return {**names, "#160": "\u00a0"} | {k: v.replace("\u00a0", " ") for k, v in [*names.items(), ("#160", " ")]}
+
+
+def _character(name: Column, names: Column) -> Column:
+    """Text of a reference; one without a meaning stays as it is."""
+    hexadecimal = F.substring(name, 2, 1).isin("x", "X")
+    digits = F.when(hexadecimal, F.conv(F.ltrim(F.substring(name, 3, 1 << 30), F.lit("0")), 16, 10)).otherwise(
+        F.ltrim(F.substring(name, 2, 1 << 30), F.lit("0"))
+    )
+    # Longer numbers name no character, and would not fit a number here.
+    code = F.when(F.length(digits) <= 9, F.concat(F.lit("0"), digits).cast("int")).otherwise(0)
+    real = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    text = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    known = F.try_element_at(names, F.concat(F.lit("#"), code.cast("string")))
+    number = F.when(real, F.coalesce(known, text)).otherwise(F.lit(NO_CHARACTER))
+    own = F.coalesce(F.try_element_at(names, name), F.concat(F.lit("&"), name, F.lit(";")))
+    return F.when(name.startswith("#"), number).otherwise(own)
 
 
 def _decoded(text: Column) -> Column:
-    """Entities replaced, where there are any."""
-    return F.when(text.rlike("&(?:[a-z]+|#[0-9]+);"), _replace(text, *ENTITY_STEPS)).otherwise(text)
+    """All character references replaced in one pass, so that what one stands for is not read again."""
+    names = F.from_json(F.lit(json.dumps(named_characters())), "map<string,string>")
+
+    def decoded(text):
+        pieces = F.zip_with(
+            F.split(text, REFERENCE, -1),
+            F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)),
+            lambda gap, name: F.concat(gap, F.coalesce(_character(name, names), F.lit(""))),
+        )
+        return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+
+    return bound(text, decoded)
+
+
+def _up_to_last(html: Column, end: str, *steps: tuple[str, str]) -> Column:
+    """Steps whose matches end in ``end``, taken up to its last place: behind it all begins look in vain."""
+
+    def replaced(html):
+        rest = F.substring_index(html, end, -1)
+        head = F.substring(html, F.lit(1), F.length(html) - F.length(rest))
+        return F.concat(_replace(head, *steps), rest)
+
+    return bound(html, lambda h: F.when(h.contains(end), replaced(h)).otherwise(h))
 
 
 def plain_text(html: Column) -> Column:
-    return F.btrim(_replace(_decoded(_replace(html, *TAG_STEPS)), *SPACE_STEPS), F.lit(" \n"))
+    text = _decoded(_up_to_last(_up_to_last(html, "-->", COMMENT), ">", *TAG_STEPS))
+    return F.btrim(_replace(text, *SPACE_STEPS), F.lit(" \n"))
 
 
 def _fields(*lines: tuple[str, Column]) -> Column:
@@ -106,14 +163,15 @@ def _fields(*lines: tuple[str, Column]) -> Column:
 def derivatives(source: DataFrame) -> DataFrame:
     """Two rows per response: page_id, the record's header fields, ``header`` and ``block``."""
     title = F.regexp_extract("payload", r"(?is)<title[^>]*>(.*?)</title>", 1)
-    title = _replace(_decoded(_replace(title, *TAG_STEPS[3:])), *ONE_LINE)
-    links = F.regexp_extract_all("payload", F.lit('(?i)<a [^>]*href="([^"]*)"'), F.lit(1))
+    title = _replace(_decoded(_replace(title, *TAG_STEPS[2:])), *ONE_LINE)
+    links = F.regexp_extract_all("payload", F.lit(LINK), F.lit(0))
+    link = lambda x: _one_line(_replace(x, *LINK_STEPS))
     read = source.select(
         "*",
         _digest(F.col("payload")).alias("source_digest"),
         plain_text(F.col("payload")).alias("plain"),
         F.trim(title).alias("title"),
-        F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), _one_line(x), F.lit(CRLF))), "").alias(
+        F.array_join(F.transform(links, lambda x: F.concat(F.lit("outlink: "), link(x), F.lit(CRLF))), "").alias(
             "outlinks"
         ),
         _urn(F.concat(F.lit("metadata "), F.col("record_id"))).alias("metadata_id"),

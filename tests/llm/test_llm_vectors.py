@@ -1,3 +1,8 @@
+import html
+import time
+from html.entities import html5
+
+import duckdb
 import numpy as np
 import pytest
 from brute import components
@@ -199,6 +204,54 @@ def test_pipeline_packs_follow_the_weights_of_the_mix(spark, monkeypatch):
     assert early[0] > 0.8 and early[1] < 0.2
 
 
+def plain_texts(spark, pages):
+    table = spark.createDataFrame([(k, "u", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    found = warc.derivatives(warc.responses(table, "2024-01-01T00:00:00Z"))
+    texts = {(r.page_id, r.warc_type): r.block for r in found.collect()}
+    return [texts[k, "conversion"] for k in range(len(pages))], [texts[k, "metadata"] for k in range(len(pages))]
+
+
+def test_warc_keeps_text_and_decodes_all_references(spark, monkeypatch):
+    references = [f"&{n}" for n in html5 if n.endswith(";") and "\xa0" not in html5[n]][::9]
+    numbers = ["&#8217;", "&#x27;", "&#X1F600;", "&#0;", "&#xD800;", "&#x110000;", "&#128;", "&#x0041;", "&#99999999999999999999;"]
+    pages = [
+        "<header>Site</header><p>Kept body text.</p><script>x()</script><p>tail</p>",
+        "<head><title>T &amp; U</title><script>a</script><style>b</style></head><body>one<noscript>no</noscript>two</body>",
+        "&copy; 2024 &middot; a&nbsp;b &amp;lt; &unknown; &eacute;&mdash;&hellip; AT&T &;",
+        " ".join(references),
+        " ".join(numbers),
+        "a<!-- x -->b<!-- <p>y --> c <!-- open",
+        """<a href="/1">x</a><A class=k HREF='/2'>y</A><a href=/3>z</a><a data-href="/no">w</a><abbr href="/no">""",
+    ]
+    texts, known = plain_texts(spark, pages)
+    assert texts[0] == "Site\nKept body text.\ntail" and texts[1] == "one two"
+    assert "title: T & U\r\n" in known[1]
+    assert texts[2] == "© 2024 · a b &lt; &unknown; é—… AT&T &;"
+    assert texts[3] == " ".join(" ".join(html.unescape(r) for r in references).split())
+    assert texts[4] == " ".join(html.unescape(n) for n in numbers)
+    assert texts[5] == "a b c <!-- open"
+    assert [line[9:] for line in known[6].split("\r\n") if line.startswith("outlink: ")] == ["/1", "/2", "/3"]
+    monkeypatch.setattr(comparing, "duck", lambda sf_dir: _pages(pages))
+    table = spark.createDataFrame([(k, "u", p) for k, p in enumerate(pages)], "page_id long, url string, html string")
+    query = lambda spark, sf_dir: warc.derivatives(warc.responses(table, "2024-01-01T00:00:00Z"))
+    assert compare(spark, SF_DIR, query, ORACLE["op9_warc"]) == 2 * len(pages)
+
+
+def _pages(pages):
+    con = duckdb.connect()
+    con.execute("create table pages (page_id bigint, url varchar, html varchar)")
+    con.executemany("insert into pages values (?, 'u', ?)", list(enumerate(pages)))
+    return con
+
+
+def test_warc_unclosed_comments_take_no_time(spark):
+    page = "<p>text</p>" + "<!-- open " * 40_000
+    plain_texts(spark, ["warm"])
+    begin = time.perf_counter()
+    (text,), _ = plain_texts(spark, [page])
+    assert time.perf_counter() - begin < 10 and text.startswith("text")
+
+
 def test_numbered_queries_are_registered():
     numbers = {name.split("_")[0] for name in contract.queries() if name.startswith("op")}
     assert numbers == {f"op{n}" for n in range(1, 14)}
