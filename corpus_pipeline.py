@@ -15,12 +15,21 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Near copies share at least four fifths of their shingles of five words.
 NEAR = jaccard_join.JaccardParams(words=5, percent=80)
+#: Texts that a task hands to Python at once. Spark's usual 10,000 rows are some 35 MB of text, which
+#: the executor and its Python workers hold several times over.
+BATCH_ROWS = 1_000
 #: The mix that files and rows follow, and region after region the sequences.
 MIX = mixing.MixParams()
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """For the session, since a stage's rows are worked out when they are written."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language the model knows with a probability of at least a half."""
+    _small_batches(spark)
     model = langid.train(docs)
     return langid.confident(langid.predict(docs, model)).select(*docs.columns)
 
@@ -32,6 +41,7 @@ def _small(rows: DataFrame, most: int = 250_000) -> DataFrame:
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of near copies; of repeated rows one."""
+    _small_batches(spark)
     found = jaccard_join.near_duplicates(docs, NEAR)
     copies = found.filter("doc_id != component_id").select("doc_id").distinct()
     copies = _small(materialise(copies, "copies"))
@@ -58,6 +68,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document with its sequence and its offset there; sequences follow the
     regions of the mix. A row's region depends on the rows alone, so it needs no column."""
+    _small_batches(spark)
     return packing.pack_regions(mixing.in_regions(docs, MIX), byte_bpe())
 
 
