@@ -9,7 +9,6 @@ vectors, and lengths d and e of what lies off their means,
 so two short vectors of summaries bound a score from both sides. Levels go from long segments to
 short ones: a pair is looked at on the next level, and at last exactly, only while its bounds
 meet the range of scores that an anchor still asks for. The range narrows as better rows are found.
-A level that lately ruled out almost nothing is left out for some rounds; that changes no result.
 
 Anchors lie in blocks of files in the shared folder. Tasks over all rows hold one slab of rows at a time
 and go through the blocks; they return for each anchor its best rows of the slab, of which Spark
@@ -104,12 +103,11 @@ class Summaries:
 
 
 class Refinement:
-    """Goes through the levels for tiles of pairs; remembers which levels ruled out little lately."""
+    """Goes through the levels for tiles of pairs, and counts the pairs seen and those left at the end."""
 
     DENSE = 8  # pairs are followed one by one once fewer than 1 / DENSE of a tile are left
 
-    def __init__(self, n_levels: int):
-        self.idle = np.zeros(n_levels, int)
+    def __init__(self):
         self.seen = self.exact = 0
 
     def pairs(self, a: Summaries, b: Summaries, wanted: np.ndarray, low: np.ndarray, high: np.ndarray):
@@ -118,26 +116,17 @@ class Refinement:
         slack = 1e-9 * a.length[:, None] * b.length[None, :] + 1e-6
         i = j = None
         for level in range(len(a.levels)):
-            if self.idle[level]:
-                self.idle[level] -= 1
-                continue
             (mean_a, off_a), (mean_b, off_b) = a.levels[level], b.levels[level]
             if i is None:
-                before = np.count_nonzero(wanted)
                 middle, spread = mean_a @ mean_b.T, off_a @ off_b.T + slack
                 wanted = wanted & (middle + spread >= low[:, None]) & (middle - spread <= high[:, None])
-                left = np.count_nonzero(wanted)
-                if left * self.DENSE < wanted.size:
+                if np.count_nonzero(wanted) * self.DENSE < wanted.size:
                     i, j = np.nonzero(wanted)
             else:
-                before = len(i)
                 middle = np.einsum("ij,ij->i", mean_a[i], mean_b[j])
                 spread = np.einsum("ij,ij->i", off_a[i], off_b[j]) + slack[i, j]
                 keep = (middle + spread >= low[i]) & (middle - spread <= high[i])
                 i, j = i[keep], j[keep]
-                left = len(i)
-            if left > 0.9 * before:
-                self.idle[level] = 15
         kind = np.float64 if a.longest * b.longest < 1 << 52 else np.int64
         if i is None:
             score = (a.v.astype(kind) @ b.v.astype(kind).T).astype(np.int64)
@@ -264,7 +253,7 @@ def _pass(rows: DataFrame, root: str, blocks: dict[int, int], same: bool, params
     def search(batches):
         for slab in _slabs(batches, params):
             dim = slab.v.shape[1]
-            refine = Refinement(len(slab.levels))
+            refine = Refinement()
             for number in range(blocks.get(dim, 0)):
                 block = _block(root, dim, number, params)
                 if block is None:

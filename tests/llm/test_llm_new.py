@@ -276,7 +276,7 @@ def test_segment_bounds_rule_out_no_pair_they_should_not():
     rows = hard_negatives.Summaries(np.arange(200), np.zeros(200, np.int64), x, (16, 4, 2))
     exact = x @ x.T
     low, high = np.full(200, np.quantile(exact, 0.97).astype(int)), np.full(200, np.quantile(exact, 0.99).astype(int))
-    refine = hard_negatives.Refinement(3)
+    refine = hard_negatives.Refinement()
     i, j, score = refine.pairs(rows, rows, np.ones((200, 200), bool), low, high)
     wanted = np.argwhere((exact >= low[0]) & (exact <= high[0]))
     assert sorted(zip(i, j, strict=True)) == sorted(map(tuple, wanted)) and (score == exact[i, j]).all()
