@@ -425,3 +425,72 @@ def test_given_columns_of_any_name_come_back(spark, docs):
     ):
         rows = result.collect()
         assert len(rows) == 60 and all(r[c] == f"own {c}" for r in rows for c in CLASHING)
+
+
+LICENSE_TEXTS = {
+    "Permission is hereby granted, free of charge, to any person obtaining a copy": "mit",
+    " * Permission is hereby granted, free\n * of charge, to any person or organization\n * obtaining a copy of the software": "bsl-1.0",
+    "Redistribution and use in source and binary forms, with or without\nmodification, are permitted": "bsd",
+    "Neither the name of the Example Corp. nor the names of its contributors may be used to\n"
+    "endorse or promote products derived from this software": "bsd-3-clause",
+    "License: MIT": "mit",
+    "MIT-licensed": "mit",
+    "GPLv3+": "gpl-3.0",
+    "SPDX-License-Identifier: 0BSD": "0bsd",
+    "MIT OR Apache-2.0": "apache-2.0,mit",
+    "// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0-only WITH Classpath-exception-2.0": "apache-2.0,gpl-2.0,mit",
+    'license = "BSD-3-Clause OR ISC"': "bsd-3-clause,isc",
+    "license: the usual and others": "",
+    "This is not licensed under the Eclipse Public License.": "",
+    "This is not licensed under the MIT license.": "mit",  # a base phrase: it stays, but no rule is met
+    "not under the Zlib license, but licensed under the ISC license": "isc",
+    "everyone may copy": "",
+}
+
+
+def test_license_texts_expressions_and_denials(spark):
+    table = spark.createDataFrame(list(enumerate(LICENSE_TEXTS)), "doc_id long, text string")
+    found = {r.text: r for r in licenses.scan(table).collect()}
+    assert {t: r.labels for t, r in found.items()} == LICENSE_TEXTS
+    denied = found["This is not licensed under the MIT license."]
+    assert (denied.detections, denied.score, denied.base_labels) == ([], 0.5, "mit")
+
+
+def test_license_rules_and_suppression_equal_brute_force(spark, docs):
+    base = [t for t in LICENSE_TEXTS] + [
+        "Licensed under the Apache License, Version 2.0 or the MIT license; GPLv2 code is distributed under the GPL v2.",
+        "cc-by-sa 4.0, CC BY 3.0 and http://creativecommons.org/licenses/by/4.0 all rights reserved",
+    ]
+    rows = list(enumerate(base + [" ".join(base), "\n".join(base * 5)]))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    table = table.unionByName(docs.select(F.col("doc_id") + 1000, "text").toDF("doc_id", "text").filter("text is not null"))
+    known = license_rules.identifiers()
+    n_found = 0
+    for row in licenses.scan(table).collect():
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in row.text)
+        every = [
+            (m.start(), m.end(), r.priority, k, r.label, r.score)
+            for k, r in enumerate(license_rules.all_rules())
+            for m in re.finditer(r.pattern, low, re.ASCII)
+        ]
+        for e in re.finditer(license_rules.EXPRESSION, low, re.ASCII):
+            first = e.start() + re.match(license_rules.TAG, e[0], re.ASCII).end()
+            for m in re.finditer(license_rules.IDENTIFIER, low[first : e.end()], re.ASCII):
+                label = known.get(re.sub(license_rules.IDENTIFIER_TAIL, "", m[0], flags=re.ASCII))
+                tagged = e[0].startswith("spdx")
+                place = (first + m.start(), first + m.end())
+                if label:
+                    every.append((*place, 1 if tagged else 2, -1, label, 1.0 if tagged else 0.9))
+        kept = [
+            d
+            for d in every
+            if d[4]
+            and not any(
+                o[0] <= d[0] and o[1] >= d[1] and o[2] <= d[2] and (o[:3] != d[:3] or o[3] < d[3])
+                for o in every
+            )
+        ]
+        expected = sorted((s, e, label, score) for s, e, _, _, label, score in kept)
+        assert sorted(tuple(d) for d in row.detections) == expected, row.text[:80]
+        n_found += len(expected)
+    assert n_found > 40
