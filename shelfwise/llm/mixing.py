@@ -8,6 +8,10 @@ Weights are whole parts of ``parts``, so that order repeats after ``parts`` plac
 worked out in advance (its size is a parameter) and joined to the blocks; everything else is ranks.
 Where a source has placed its last block, which may be a part of one, a new phase begins: a new
 schedule over the weights of the sources that remain. There is at most one phase a source.
+Beyond ``most_sources`` the sources of least weight share one place in the schedule, by the sum of their
+weights, and their number has no limit: there blocks follow each other by deadline on a clock of
+their own, so that each is less than one block from its weight by that clock. A source that runs out
+there leaves its places to the others there. These blocks are put in order by Spark, the driver sees sums.
 A source's documents come in a fixed shuffled order, by a hash of id and text, in blocks of
 ``block_docs``. Ranks run over hash ranges whose number follows the source's size, so one large
 source is ranked by many tasks.
@@ -48,6 +52,8 @@ class MixParams:
     #: than ``most_regions`` tasks.
     region_bytes: int = 32 << 20
     most_regions: int = 50_000
+    #: Sources with a schedule of their own, at most ``parts``; the others share one.
+    most_sources: int = 200
 
 
 def whole_parts(weights: dict[str, float], parts: int) -> dict[str, int]:
@@ -116,6 +122,16 @@ def phases(sizes: dict[str, int], weights: dict[str, float], params: MixParams)
     return found
 
 
+@dataclass(frozen=True)
+class Rare:
+    """The sources that share one place in the schedule under ``name``: rows of each source, and
+    the number in the common order of each source's blocks."""
+
+    name: str
+    sizes: DataFrame
+    blocks: DataFrame
+
+
 @dataclass(frozen=True)
 class Schedule:
     """What the sizes of the sources decide."""
@@ -123,7 +139,9 @@ class Schedule:
     params: MixParams
     sizes: dict[str, int]
     phases: list[Phase]
+    n_rows: int
     n_bytes: int
+    rare: Rare | None = None
 
     @property
     def n_slots(self) -> int:
@@ -136,14 +154,71 @@ def schedule(
     """The schedule of ``docs``, or None if there are no rows; ``weigh`` adds up their text, too."""
     n_bytes = F.sum(F.octet_length("text") if weigh else F.lit(0)).alias("bytes")
     counted = docs.groupBy(_source(source).alias("s")).agg(F.count("*").alias("n"), n_bytes)
-    found = counted.limit(params.parts + 1).collect()
+    most = min(params.most_sources, params.parts)
+    found = counted.limit(most + 1).collect()
+    if len(found) > most:
+        return _schedule_with_rare(materialise(counted, "mix-sources"), params, most)
     sizes = {r["s"]: r["n"] for r in found}
     weights = params.weights or {s: n**params.flattening for s, n in sizes.items()}
-    if missing := sizes.keys() - weights.keys():
-        raise ValueError(f"no target weight for {sorted(missing)[:5]}")
+    _all_weighed(sorted(sizes.keys() - weights.keys()))
     if not sizes:
         return None
-    return Schedule(params, sizes, phases(sizes, weights, params), sum(r["bytes"] or 0 for r in found))
+    n_bytes = sum(r["bytes"] or 0 for r in found)
+    return Schedule(params, sizes, phases(sizes, weights, params), sum(sizes.values()), n_bytes)
+
+
+def _all_weighed(missing: list[str]) -> None:
+    if missing:
+        raise ValueError(f"no target weight for {missing[:5]}")
+
+
+def _schedule_with_rare(counted: DataFrame, params: MixParams, most: int) -> Schedule:
+    """All but the ``most - 1`` sources of greatest weight share one place."""
+    weight = F.pow("n", F.lit(params.flattening))
+    if params.weights:
+        given = _small_table(counted.sparkSession, list(params.weights.items()), "s: string, w: double")
+        counted, weight = counted.join(given, "s", "left"), F.col("w")
+    weighed = materialise(counted.withColumn("w", weight), "mix-weights")
+    _all_weighed([r["s"] for r in weighed.filter("w is null").orderBy("s").limit(5).collect()])
+    if weighed.filter("not w > 0").limit(1).count():
+        raise ValueError("weights must be positive")
+    top = weighed.orderBy(F.desc("w"), "s").limit(most - 1).collect()
+    rest = weighed.filter(~F.col("s").isin([r["s"] for r in top]))
+    n_blocks = F.ceil(F.col("n") / params.block_docs)
+    blocks, share = rest.agg(F.sum(n_blocks), F.sum("w")).first()
+    n_rows, n_bytes = weighed.agg(F.sum("n"), F.sum("bytes")).first()
+    name = "rare"
+    while any(r["s"] == name for r in top):
+        name += "-"
+    sizes = {r["s"]: r["n"] for r in top}
+    weights = params.weights or {s: n**params.flattening for s, n in sizes.items()}
+    found = phases(
+        {**sizes, name: blocks * params.block_docs}, {**{s: weights[s] for s in sizes}, name: share}, params
+    )
+    rare = Rare(name, rest.select(F.col("s").alias("_s"), F.col("n").alias("_n")), _by_clock(rest, n_blocks, blocks))
+    return Schedule(params, sizes, found, n_rows, n_bytes or 0, rare)
+
+
+def _by_clock(rest: DataFrame, n_blocks: Column, total: int, chunk: int = 4096) -> DataFrame:
+    """(source, block, number) of all blocks of ``rest`` in the order of their deadlines."""
+    each = rest.withColumn("blocks", n_blocks).select(
+        "s", "w", "blocks", F.explode(F.expr(f"sequence(0L, (blocks - 1) div {chunk})")).alias("c")
+    )
+    last = F.least((F.col("c") + 1) * chunk, "blocks") - 1
+    each = each.select("s", "w", F.explode(F.sequence(F.col("c") * chunk, last)).alias("block"))
+    order = ("deadline", "s", "block")
+    each = each.withColumn("deadline", (F.col("block") + 1) / F.col("w")).select(*order)
+    n_tasks = max(1, -(-total // (1 << 18)))
+    each = each.repartitionByRange(n_tasks, *order).withColumn("task", F.spark_partition_id())
+    each = materialise(each, "mix-rare")  # what a task holds must not change any more
+    before = W.orderBy("task").rowsBetween(W.unboundedPreceding, -1)  # one row a task
+    firsts = each.groupBy("task").count()
+    firsts = firsts.select("task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("first"))
+    number = F.row_number().over(W.partitionBy("task").orderBy(*order)) - 1 + F.col("first")
+    numbered = each.join(firsts, "task")
+    return materialise(
+        numbered.select(F.col("s").alias("_s"), "block", number.cast("long").alias("_at")), "mix-clock"
+    )
 
 
 def _source(source: str) -> Column:
@@ -161,17 +236,22 @@ def _small_table(spark: SparkSession, rows: list[tuple], fields: str) -> DataFra
 
 def _dealt(docs: DataFrame, kept: list[str], found: Schedule, source: str) -> DataFrame:
     """``kept`` columns with the source, the draw and the draw's bucket of each row."""
-    bucket_rows = max(256, isqrt(sum(found.sizes.values())))
+    bucket_rows = max(256, isqrt(found.n_rows))
     plan = _small_table(
         docs.sparkSession,
         [(s, -(-n // bucket_rows)) for s, n in found.sizes.items()],
         "_s: string, _buckets: bigint",
     )
+    if found.rare is None:
+        plan = F.broadcast(plan)
+    else:  # a written table, whose size Spark knows
+        buckets = F.ceil(F.col("_n") / bucket_rows).alias("_buckets")
+        plan = materialise(plan.unionByName(found.rare.sizes.select("_s", buckets)), "mix-plan")
     draw = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "doc_id", "text"), 33)
     high = F.col("_draw").cast("double") / F.lit(float(1 << 31))
     return (
         docs.select(*kept, _source(source).alias("_s"), draw.alias("_draw"))
-        .join(F.broadcast(plan), "_s")
+        .join(plan, "_s")
         .withColumn("_bucket", F.floor(high * F.col("_buckets")))
     )
 
@@ -180,7 +260,8 @@ def _placed(
     dealt: DataFrame, found: Schedule, number: Callable[[], Column] = F.row_number
 ) -> DataFrame:
     """``dealt`` rows with rank, block, phase and slot. The joined tables are small: one row a
-    bucket, one a source and phase, and at most ``parts`` rows a phase."""
+    bucket, one a source and phase, and at most ``parts`` rows a phase; but there is one a block of
+    the sources that share a place."""
     before = W.partitionBy("_s").orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     counts = dealt.groupBy("_s", "_bucket").count()
     first = F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first")
@@ -205,6 +286,10 @@ def _slotted(ranked: DataFrame, found: Schedule) -> DataFrame:
     ).select("_s", "phase", F.posexplode("_places").alias("_k", "_place"))
     block = F.col("block")
     ranked = ranked.withColumn("block", F.floor(F.col("rank") / params.block_docs))
+    if found.rare is not None:
+        name = F.when(F.col("_at").isNull(), F.col("_s")).otherwise(found.rare.name)
+        ranked = ranked.join(found.rare.blocks, ["_s", "block"], "left").withColumn("_s", name)
+        block = F.coalesce("_at", "block")
     here = (F.col("_s") == F.col("_of")) & (block >= F.col("_start")) & (block < F.col("_end"))
     ranked = ranked.join(F.broadcast(starts), here).withColumn("_in", block - F.col("_start"))
     ranked = ranked.withColumn("_k", (F.col("_in") % F.col("_share")).cast("int"))
@@ -243,11 +328,15 @@ def in_mix_order(
     to the next, so that the scan sends every text straight to its region, where the places are
     worked out again from the regions' first ranks. A region has about ``region_bytes`` of text.
     Repeated rows (same id and text) stay in one region, even if that takes some past its end.
+    Where sources share a place, the texts go through the joins that place them.
     """
     found = schedule(docs, params or MixParams(), source, weigh=True)
     if found is None:
         return docs
     sent, n_regions = _sent(docs, found, source)
+    if found.rare is not None:
+        in_order = sent.repartitionById(n_regions, "_region").sortWithinPartitions("slot", "rank")
+        return in_order.select(*[F.col(f"_in_{c}").alias(c) for c in docs.columns])
     sent = sent.repartitionById(n_regions, "_region")
     own = W.partitionBy("_region", "_s", "_bucket").orderBy("_draw", "doc_id")
     ranked = sent.withColumn("rank", F.col("_cut.first") + F.row_number().over(own) - 1)
@@ -269,11 +358,15 @@ def in_regions(
 
 
 def _sent(docs: DataFrame, found: Schedule, source: str) -> tuple[DataFrame, int]:
-    """``docs`` with ``_cut`` and ``_region``, its columns as ``_in_...``, and how many regions."""
+    """``docs`` with ``_cut`` (where no sources share a place, else slot and rank) and ``_region``, its
+    columns as ``_in_...``, and how many regions."""
     params = found.params
-    total = sum(found.sizes.values())
-    n_regions = max(1, min(total, params.most_regions, -(-found.n_bytes // params.region_bytes)))
+    n_regions = max(1, min(found.n_rows, params.most_regions, -(-found.n_bytes // params.region_bytes)))
     region = F.floor(F.col("slot") * n_regions / found.n_slots).cast("int")
+    kept = [F.col(c).alias(f"_in_{c}") for c in docs.columns]
+    if found.rare is not None:
+        placed = _placed(_dealt(docs, [*kept, "doc_id"], found, source), found)
+        return placed.withColumn("_region", region), n_regions
     key = F.struct("_draw", "doc_id")
     numbers = _dealt(docs, ["doc_id"], found, source)
     cuts = (
@@ -284,7 +377,6 @@ def _sent(docs: DataFrame, found: Schedule, source: str) -> tuple[DataFrame, int
         .agg(F.collect_list(F.struct("region", "start", "first")).alias("_cuts"))
     )
     cuts = materialise(cuts, "mix-cuts")
-    kept = [F.col(c).alias(f"_in_{c}") for c in docs.columns]
     dealt = _dealt(docs, [*kept, "doc_id"], found, source).join(cuts, ["_s", "_bucket"])
     passed = F.filter("_cuts", lambda cut: cut["start"] <= key)
     sent = dealt.withColumn("_cut", F.array_max(passed)).drop("_cuts")

@@ -494,3 +494,56 @@ def test_license_rules_and_suppression_equal_brute_force(spark, docs):
         assert sorted(tuple(d) for d in row.detections) == expected, row.text[:80]
         n_found += len(expected)
     assert n_found > 40
+
+
+def test_schedule_equals_earliest_deadline_first_place_by_place():
+    for shares in ({"a": 7, "b": 5, "c": 1}, {"a": 1, "b": 1}, {"x": 30, "y": 2, "z": 9, "w": 9}):
+        parts = sum(shares.values())
+        windows = {
+            (s, k): (k * parts // n, -(-(k + 1) * parts // n)) for s, n in shares.items() for k in range(n)
+        }
+        placed = []
+        for place in range(parts):
+            ready = [(due, s, k) for (s, k), (free, due) in windows.items() if free <= place]
+            _, s, k = min(ready)
+            del windows[s, k]
+            placed.append((s, k, place))
+        assert mixing.one_period(shares) == placed
+
+
+def test_mix_of_twenty_thousand_sources(spark):
+    """The few great ones keep to their shares, all others to the order of deadlines by weight."""
+    docs = spark.range(0, 60_000, 1, 8).selectExpr(
+        "id as doc_id",
+        "string(id) as text",
+        "if(id % 3 = 0, 'rare', if(id % 3 = 1, concat('h', id), concat('m', pmod(hash(id), 300)))) as source",
+    )
+    params = mixing.MixParams(block_docs=2, most_sources=20, region_bytes=20_000)
+    found = mixing.mix(docs, params).collect()
+    assert len(found) == len({r.doc_id for r in found}) == len({r.position for r in found}) == 60_000
+    sizes = Counter(r.source for r in found)
+    assert len(sizes) > 20_000
+    slots = {r.slot: (r.source, r.block, r.phase) for r in found}
+    assert sorted(slots) == list(range(len(slots))) and len({v[:2] for v in slots.values()}) == len(slots)
+    weights = {s: n**0.7 for s, n in sizes.items()}
+    great = sorted(sizes, key=lambda s: (-weights[s], s))[:19]
+    in_order = [slots[k] for k in sorted(slots)]
+    rare = [(s, b) for s, b, _ in in_order if s not in great]
+    clock = sorted(((b + 1) / weights[s], s, b) for s, b in rare)
+    assert rare == [(s, b) for _, s, b in clock]
+    rest = sum(w for s, w in weights.items() if s not in great)
+    shares = mixing.whole_parts({**{s: weights[s] for s in great}, "*": rest}, params.parts)
+    placed = Counter()
+    for place, (s, _, phase) in enumerate(in_order, 1):
+        if phase:
+            break
+        placed[s if s in great else "*"] += 1
+        for name in shares:
+            assert abs(placed[name] - place * shares[name] / params.parts) < 1
+    assert place > 1000
+    wanted = [r.doc_id for r in sorted(found, key=lambda r: (r.slot, r.rank))]
+    assert [r.doc_id for r in mixing.in_mix_order(docs, params).collect()] == wanted
+    regions = {r.doc_id: r.region for r in mixing.in_regions(docs, params).collect()}
+    assert [regions[d] for d in wanted] == sorted(regions.values()) and max(regions.values()) > 3
+    with pytest.raises(ValueError, match="no target weight"):
+        mixing.mix(docs, mixing.MixParams(weights={f"h{k}": 1.0 for k in range(30)}, most_sources=20))
