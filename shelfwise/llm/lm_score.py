@@ -1,4 +1,4 @@
-"""Text scores by an interpolated modified Kneser-Ney bigram model.
+"""Text scores by an interpolated modified Kneser-Ney model of order two or three.
 
 Spark counts, sorted arrays of hashes and keys hold the model, and workers map them into memory.
 
@@ -12,6 +12,13 @@ Spark counts, sorted arrays of hashes and keys hold the model, and workers map t
    the weight left to the lower order and the lower-order probability.
 4. Scoring looks up sorted keys of a slice of texts shard by shard.
 
+With order three a document has two begin marks. Trigrams are counted first, by the key of their first two words
+and the rank of the third; a shard holds whole contexts: a sorted array of hashes of trigrams with
+their counts, and one of contexts with what follows them. Each different trigram then counts once for its last two words
+(after a begin mark as often as it occurs), and bigrams go on as above with these counts.
+
+Two ranks share a 64-bit key, so more than 2**31 - 2 different words are an error.
+
 Discounts are the usual closed forms from counts of counts, with fixed values where a count is
 zero. The lower order is interpolated with the uniform distribution over the words and one unknown.
 Null or empty text is the end mark alone. Without training rows every probability is one and the
@@ -30,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.arrays import open_array, write_array
-from shelfwise.llm.textops import crc_fold, slices, word_hashes
+from shelfwise.llm.textops import chain, crc_fold, slices, word_hashes
 from shelfwise.sources.scratch import materialise, scratch_path
 
 END = np.uint64(0x656E64206D61726B).view(np.int64)
@@ -38,10 +45,12 @@ END = np.uint64(0x656E64206D61726B).view(np.int64)
 
 @dataclass(frozen=True)
 class LmParams:
-    """``shard_tokens`` is the mass of a bigram shard, ``word_rows`` the size of a word shard."""
+    """``shard_tokens`` is the mass of a shard of bigrams or trigrams, ``word_rows`` the size of a word
+    shard."""
 
     shard_tokens: int = 2_000_000
     word_rows: int = 500_000
+    order: int = 2
 
 
 @dataclass
@@ -57,6 +66,10 @@ class LmModel:
     key_shards: list[int] | None = None
     begin_weight: float = 1.0
     n_docs: int = 0
+    order: int = 2
+    trigram_first: np.ndarray | None = None  # first context of each trigram shard
+    trigram_shards: list[int] | None = None
+    trigram_discounts: np.ndarray | None = None
 
     @property
     def n_words(self) -> int:
@@ -202,26 +215,97 @@ def _discounts(n1: int, n2: int, n3: int, n4: int) -> np.ndarray:
     return np.where((d >= 0) & (d <= np.arange(4)), d, usual)
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Compressed byte planes of 64-bit values."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _from_planes(n: int, packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(packed, 8 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, n).T).view(np.int64).ravel()
+
+
+def _narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in as few bytes as the largest needs."""
+    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
+
+
 def _pack(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
-    """Sorted keys as compressed byte planes of their steps, and compressed counts."""
-    steps = np.diff(keys, prepend=0).view(np.uint8).reshape(-1, 8).T
-    planes = np.ascontiguousarray(steps)
-    return (
-        pa.compress(planes.tobytes(), "zstd", asbytes=True),
-        pa.compress(counts.astype(np.uint32).tobytes(), "zstd", asbytes=True),
-    )
+    """Sorted keys as compressed steps, and compressed counts behind the size of one in bytes."""
+    narrow = _narrow(counts)
+    packed = pa.compress(narrow.tobytes(), "zstd", asbytes=True)
+    return _planes(np.diff(keys, prepend=0)), bytes([narrow.itemsize]) + packed
 
 
 def _unpack(n: int, keys: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    planes = np.frombuffer(pa.decompress(keys, 8 * n, "zstd", asbytes=True), np.uint8)
-    steps = np.ascontiguousarray(planes.reshape(8, n).T).view(np.int64).ravel()
-    count = np.frombuffer(pa.decompress(counts, 4 * n, "zstd", asbytes=True), np.uint32)
-    return np.cumsum(steps), count.astype(np.int64)
+    count = pa.decompress(counts[1:], counts[0] * n, "zstd", asbytes=True)
+    count = np.frombuffer(count, f"u{counts[0]}").astype(np.int64)
+    return np.cumsum(_from_planes(n, keys)), count
+
+
+def _merged_trigrams(
+    context: np.ndarray, word: np.ndarray, count: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct (context, word) and their summed counts."""
+    if not len(context):
+        return context, word, count
+    order = np.lexsort((word, context))
+    context, word, count = context[order], word[order], count[order]
+    new = np.append(True, (context[1:] != context[:-1]) | (word[1:] != word[:-1]))
+    begins = np.flatnonzero(new)
+    return context[begins], word[begins], np.add.reduceat(count, begins)
+
+
+class _TrigramCounter:
+    """Counts of (context, word), merged whenever the pieces outgrow what is merged already."""
+
+    def __init__(self):
+        self.parts, self.size, self.limit = [], 0, 1 << 21
+
+    def add(self, context: np.ndarray, word: np.ndarray) -> None:
+        self.parts.append((context, word, np.ones(len(word), np.int64)))
+        self.size += len(word)
+        if self.size > self.limit:
+            part = self.result()
+            self.parts, self.size = [part], len(part[0])
+            self.limit = max(1 << 21, 2 * self.size)
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return (np.zeros(0, np.int64),) * 3
+        return _merged_trigrams(*(np.concatenate(c) for c in zip(*self.parts, strict=True)))
+
+
+def _trigram_keys(rank: np.ndarray, ends: np.ndarray, n_words: int) -> np.ndarray:
+    """Key of the two marks or words before each token, -1 if one of them is unknown."""
+    one, two = np.full(len(rank), n_words), np.full(len(rank), n_words)
+    one[1:], two[2:] = rank[:-1], rank[:-2]
+    begins = np.append(0, ends[:-1])
+    one[begins] = two[begins] = n_words
+    second = begins + 1
+    two[second[second < len(two)]] = n_words
+    # A text of one token is followed by the next text's begin, already set.
+    two[begins] = n_words
+    return np.where((one >= 0) & (two >= 0), (two << np.int64(32)) + one, -1)
+
+
+def _trigram_hashes(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return chain(context.view(np.uint64), word.view(np.uint64))
+
+
+_FACTS = ("first", "n1", "n2", "n3", "n4")
+
+
+def _facts(first: int, counts: np.ndarray) -> dict[str, int]:
+    return {"first": int(first)} | {f"n{c}": int((counts == c).sum()) for c in (1, 2, 3, 4)}
 
 
 def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
     """Counts all of ``docs`` and writes the model's arrays to the shared folder."""
     params = params or LmParams()
+    if params.order not in (2, 3):
+        raise ValueError(f"order is {params.order}, not 2 or 3")
     spark = docs.sparkSession
     root = scratch_path(spark, "lm")
     none = np.zeros(0, np.int64)
@@ -234,6 +318,8 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
     offset = np.append(0, words["size"].cumsum()).astype(np.int64)
     mass = np.append(0, words["tokens"].cumsum()).astype(np.int64)
     n_words, n_tokens = int(offset[-1]), int(mass[-1])
+    if n_words >= (1 << 31) - 1:
+        raise ValueError(f"{n_words} different words do not fit into a key of two")
     lexicon = _Lexicon(root, shards, first, offset)
 
     def mass_before(ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -247,6 +333,24 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
             before[begin:end], own[begin:end] = total[place], n[place]
         return before, own
 
+    piece_type = "shard long, n long, keys binary, words binary, counts binary"
+    piece_schema = pa.schema(
+        [("shard", pa.int64()), ("n", pa.int64()), *[(c, pa.binary()) for c in ("keys", "words", "counts")]]
+    )
+
+    def shards_of(keys: np.ndarray):
+        """(shard, slice) of sorted keys."""
+        before, own = mass_before(keys >> np.int64(32))
+        shard = _shard_of(keys, before, own, n_words, params)
+        cuts = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(keys))
+        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+            yield int(shard[begin]), slice(int(begin), int(end))
+
+    def bigram_pieces(keys: np.ndarray, counts: np.ndarray):
+        for shard, s in shards_of(keys):
+            packed = _pack(keys[s], counts[s])
+            yield {"shard": shard, "n": s.stop - s.start, "keys": packed[0], "words": None, "counts": packed[1]}
+
     def count(batches):
         counter = _Counter()
         for batch in batches:
@@ -254,28 +358,67 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
                 tokens, ends = _tokens(part)
                 if len(tokens):
                     counter.add(_bigram_keys(lexicon.ranks(tokens), ends, n_words))
-        keys, counts = counter.result()
-        before, own = mass_before(keys >> np.int64(32))
-        shard = _shard_of(keys, before, own, n_words, params)
-        cuts = np.append(np.flatnonzero(np.diff(shard, prepend=-1)), len(keys))
-        for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
-            packed = _pack(keys[begin:end], counts[begin:end])
-            yield pa.RecordBatch.from_pydict(
-                {"shard": [int(shard[begin])], "n": [int(end - begin)],
-                 "keys": [packed[0]], "counts": [packed[1]]},
-                schema=pa.schema(
-                    [("shard", pa.int64()), ("n", pa.int64()), ("keys", pa.binary()), ("counts", pa.binary())]
-                ),
-            )
+        for piece in bigram_pieces(*counter.result()):
+            yield pa.RecordBatch.from_pylist([piece], schema=piece_schema)
 
-    pieces = docs.select("text").mapInArrow(count, "shard long, n long, keys binary, counts binary")
+    def count_trigrams(batches):
+        counter = _TrigramCounter()
+        for batch in batches:
+            for part in slices(batch):
+                tokens, ends = _tokens(part)
+                if len(tokens):
+                    rank = lexicon.ranks(tokens)
+                    counter.add(_trigram_keys(rank, ends, n_words), rank)
+        context, word, n = counter.result()
+        for shard, s in shards_of(context):
+            packed = _pack(context[s], n[s])
+            piece = {"shard": shard, "n": s.stop - s.start, "keys": packed[0]}
+            piece |= {"words": _planes(np.ascontiguousarray(word[s])), "counts": packed[1]}
+            yield pa.RecordBatch.from_pylist([piece], schema=piece_schema)
+
+    def merge_trigrams(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        found = _TrigramCounter()
+        for r in part.itertuples():
+            keys, counts = _unpack(r.n, r.keys, r.counts)
+            found.parts.append((keys, _from_planes(r.n, r.words), counts))
+        context, word, n = found.result()
+        shard = key[0]
+        hashes = _trigram_hashes(context, word)
+        order = np.argsort(hashes)
+        write_array(root, f"tri-{shard}", hashes[order])
+        write_array(root, f"trigram-{shard}", _narrow(n[order]))
+        del hashes, order
+        begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+        write_array(root, f"context-{shard}", context[begins])
+        write_array(root, f"follow-{shard}", _narrow(np.add.reduceat(n, begins)))
+        for c in (1, 2, 3):
+            own = np.add.reduceat((np.minimum(n, 3) == c).astype(np.int64), begins)
+            write_array(root, f"follow{c}-{shard}", _narrow(own))
+        facts = np.array(list(_facts(context[0], n).values()), np.int64).tobytes()
+        middle = context & np.int64(0xFFFFFFFF)
+        left = np.where(middle == n_words, n, 1)
+        suffix, counts = _merged([(middle << np.int64(32)) + word], [left])
+        fact = {"shard": -1 - shard, "n": 0, "keys": facts, "words": None, "counts": None}
+        return pd.DataFrame([fact, *bigram_pieces(suffix, counts)])
+
+    texts = docs.select("text")
+    if params.order == 2:
+        pieces = texts.mapInArrow(count, piece_type)
+    else:
+        pieces = texts.mapInArrow(count_trigrams, piece_type)
+        pieces = pieces.groupBy("shard").applyInPandas(merge_trigrams, piece_type)
 
     def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        shard = key[0]
+        none = dict.fromkeys(columns, 0)
+        if shard < 0:  # facts of a trigram shard, passed on
+            facts = np.frombuffer(part["keys"].iloc[0], np.int64).tolist()
+            fact = none | {"rank": shard, "level": 3} | dict(zip(_FACTS, facts, strict=True))
+            return pd.DataFrame([fact])[columns]
         found = [_unpack(r.n, r.keys, r.counts) for r in part.itertuples()]
         keys, counts = _merged(*map(list, zip(*found, strict=True)))
-        shard = key[0]
         write_array(root, f"key-{shard}", keys)
-        write_array(root, f"bigram-{shard}", counts.astype(np.uint32))
+        write_array(root, f"bigram-{shard}", _narrow(counts))
         before, after = keys >> np.int64(32), keys & np.int64(0xFFFFFFFF)
         begins = np.flatnonzero(np.append(True, before[1:] != before[:-1]))
         classes = np.minimum(counts, 3)
@@ -284,26 +427,27 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
         n, m = len(begins), len(word)
         zero = np.zeros(m, np.int64)
         out = pd.DataFrame(
-            {
+            none
+            | {
                 "rank": np.concatenate([before[begins], word]),
                 **{f"f{c}": np.concatenate([follow[c - 1], zero]) for c in (1, 2, 3)},
+                "mass": np.concatenate([np.add.reduceat(counts, begins), zero]),
                 "preceding": np.concatenate([np.zeros(n, np.int64), seen]),
-                "first": 0,
-                **{f"n{c}": 0 for c in (1, 2, 3, 4)},
             }
         )
-        fact = {"rank": -1 - shard, "first": keys[0], "f1": 0, "f2": 0, "f3": 0, "preceding": 0}
-        fact |= {f"n{c}": int((counts == c).sum()) for c in (1, 2, 3, 4)}
-        return pd.concat([out, pd.DataFrame([fact])])[list(out.columns)]
+        fact = none | {"rank": -1 - shard, "level": 2} | _facts(keys[0], counts)
+        return pd.concat([out, pd.DataFrame([fact])])[columns]
 
-    columns = ["rank", "f1", "f2", "f3", "preceding", "first", "n1", "n2", "n3", "n4"]
+    summed = ("f1", "f2", "f3", "mass", "preceding")
+    columns = ["rank", *summed, "level", *_FACTS]
     merged = materialise(
         pieces.groupBy("shard").applyInPandas(merge, ", ".join(f"{c} long" for c in columns)),
         "lm-bigrams",
     )
-    facts = merged.filter("rank < 0").toPandas().sort_values("first")  # one row per shard
+    every = merged.filter("rank < 0").toPandas().sort_values("first")  # one row per shard
+    facts, trigram_facts = every[every["level"] == 2], every[every["level"] == 3]
     discounts = _discounts(*[int(facts[f"n{c}"].sum()) for c in (1, 2, 3, 4)])
-    sums = [F.sum(c).alias(c) for c in ("f1", "f2", "f3", "preceding")]
+    sums = [F.sum(c).alias(c) for c in summed]
     per_word = merged.filter("rank >= 0").groupBy("rank").agg(*sums)
     per_word = materialise(per_word, "lm-per-word")
     seen = per_word.filter("preceding > 0").agg(
@@ -324,6 +468,10 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
         float(unknown),
         shards,
         (-1 - facts["rank"]).tolist(),
+        order=params.order,
+        trigram_first=trigram_facts["first"].to_numpy(),
+        trigram_shards=(-1 - trigram_facts["rank"]).tolist(),
+        trigram_discounts=_discounts(*[int(trigram_facts[f"n{c}"].sum()) for c in (1, 2, 3, 4)]),
     )
 
     shard_rows = spark.createDataFrame(
@@ -336,7 +484,7 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
     rows = per_word.filter(~begin_rank).withColumn("k", k).unionByName(
         shard_rows.select(
             F.lit(-1).cast("long").alias("rank"),
-            *[F.lit(0).cast("long").alias(c) for c in ("f1", "f2", "f3", "preceding")],
+            *[F.lit(0).cast("long").alias(c) for c in summed],
             "k",
         )
     )
@@ -344,8 +492,13 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
     def finish(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         k = key[0]
         part = part[part["rank"] >= 0]
-        total = np.asarray(open_array(root, f"count-{shards[k]}"))
         place = part["rank"].to_numpy() - offset[k]
+        if params.order == 2:
+            total = np.asarray(open_array(root, f"count-{shards[k]}"))
+        else:
+            total = np.zeros(int(offset[k + 1] - offset[k]), np.int64)
+            total[place] = part["mass"].to_numpy()
+            write_array(root, f"total-{shards[k]}", total)
         weight = np.ones(len(total))
         lost = sum(discounts[c] * part[f"f{c}"].to_numpy() for c in (1, 2, 3))
         followed = lost > 0
@@ -379,7 +532,11 @@ def _score(model: LmModel, tokens: np.ndarray, ends: np.ndarray):
     weight, total = np.ones(len(rank)), np.ones(len(rank))
     own = np.ones(len(rank))
     own[known] = lexicon.values("weight", rank[known])
-    weight[1:], total[1:] = own[:-1], count[:-1]
+    follows = count
+    if model.order == 3:
+        follows = np.zeros(len(rank))
+        follows[known] = lexicon.values("total", rank[known])
+    weight[1:], total[1:] = own[:-1], follows[:-1]
     weight[begins], total[begins] = model.begin_weight, model.n_docs
     keys = _bigram_keys(rank, ends, model.n_words)
     asked, at = np.unique(keys, return_inverse=True)
@@ -395,11 +552,41 @@ def _score(model: LmModel, tokens: np.ndarray, ends: np.ndarray):
             there, n - model.discounts[np.minimum(n, 3)], 0.0
         )
     p = held[at] / np.maximum(total, 1) + weight * lower
+    if model.order == 3:
+        p = _after_two(model, rank, ends, p)
     base = np.log10((count + 1) / (model.n_tokens + model.n_words + 1))
     sums = lambda x: np.add.reduceat(x, begins)
     return sums(known.astype(np.int64)), sums(base), sums(np.log10(p))
 
 
+def _after_two(model: LmModel, rank: np.ndarray, ends: np.ndarray, lower: np.ndarray) -> np.ndarray:
+    """Probabilities after two words, from those after one."""
+    context = _trigram_keys(rank, ends, model.n_words)
+    order = np.argsort(context, kind="stable")
+    context, word, p = context[order], rank[order], lower[order]
+    skip = int(np.searchsorted(context, 0))
+    for k, begin, end in _runs(model.trigram_first, context[skip:]):
+        shard = model.trigram_shards[k]
+        s = slice(skip + begin, skip + end)
+        contexts = open_array(model.root, f"context-{shard}")
+        place = np.minimum(np.searchsorted(contexts, context[s]), len(contexts) - 1)
+        seen = contexts[place] == context[s]
+        total = open_array(model.root, f"follow-{shard}")[place].astype(float)
+        lost = sum(
+            model.trigram_discounts[c] * open_array(model.root, f"follow{c}-{shard}")[place] for c in (1, 2, 3)
+        )
+        asked = _trigram_hashes(context[s], word[s])
+        hashes = open_array(model.root, f"tri-{shard}")
+        place = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
+        there = seen & (word[s] >= 0) & (hashes[place] == asked)
+        n = open_array(model.root, f"trigram-{shard}")[place].astype(np.int64)
+        held = np.where(there, n - model.trigram_discounts[np.minimum(n, 3)], 0.0)
+        p[s] = np.where(seen, (held + lost * p[s]) / total, p[s])
+    out = np.empty_like(p)
+    out[order] = p
+    return out
+
+
 def score(docs: DataFrame, model: LmModel) -> DataFrame:
     """doc_id, n_tokens, n_known, base_score and score (log10) of every row."""
 

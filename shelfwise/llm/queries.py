@@ -74,7 +74,7 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = lm_score.held_out(F.col("doc_id"))
-    model = lm_score.train(docs.filter(~held_out))
+    model = lm_score.train(docs.filter(~held_out), lm_score.LmParams(order=3))
     return lm_score.score(docs, model).select(
         "doc_id",
         held_out.alias("held_out"),

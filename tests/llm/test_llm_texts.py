@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import brute
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -547,3 +548,67 @@ def test_mix_of_twenty_thousand_sources(spark):
     assert [regions[d] for d in wanted] == sorted(regions.values()) and max(regions.values()) > 3
     with pytest.raises(ValueError, match="no target weight"):
         mixing.mix(docs, mixing.MixParams(weights={f"h{k}": 1.0 for k in range(30)}, most_sources=20))
+
+
+def test_lm_of_order_three_equals_brute_force(docs, odd):
+    table = docs.select("doc_id", "text").unionByName(
+        odd.filter("doc_id is not null").select((F.col("doc_id") + 50_000).alias("doc_id"), "text")
+    )
+    rows = [(r.doc_id, brute.words(r.text) + ["</s>"]) for r in table.collect()]
+    learn = [w for k, w in rows if brute.fold(k, 7) != 2]
+    three = Counter(g for w in learn for g in zip(["<s>", "<s>", *w], ["<s>", *w], w, strict=False))
+    two = Counter()
+    for (_, b, c), n in three.items():
+        two[b, c] += n if b == "<s>" else 1
+    one = Counter(c for _, c in two)
+
+    def discounts(counts):
+        n1, n2, n3, n4 = (Counter(counts)[i] for i in (1, 2, 3, 4))
+        assert min(n1, n2, n3, n4) > 0
+        y = n1 / (n1 + 2 * n2)
+        return [0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+
+    levels = []
+    for counts in (three, two):
+        d, total, lost = discounts(counts.values()), Counter(), Counter()
+        for gram, n in counts.items():
+            total[gram[:-1]] += n
+            lost[gram[:-1]] += d[min(n, 3)]
+        levels.append((counts, d, total, lost))
+    n1, n2, n3, n4 = (Counter(one.values())[i] for i in (1, 2, 3, 4))
+    y = n1 / (n1 + 2 * n2)
+    low = [0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3] if min(n1, n2, n3, n4) else [0, 0.5, 1, 1.5]
+    low = [x if 0 <= x <= i else [0, 0.5, 1, 1.5][i] for i, x in enumerate(low)]
+    unknown = sum(low[min(n, 3)] for n in one.values()) / len(two) / (len(one) + 1)
+
+    def p(gram, level=0):
+        if level == 2:
+            n = one[gram[0]]
+            return max(n - low[min(n, 3)], 0) / len(two) + unknown
+        counts, d, total, lost = levels[level]
+        lower, context, n = p(gram[1:], level + 1), gram[:-1], counts[gram]
+        if not total[context]:
+            return lower
+        return (max(n - d[min(n, 3)], 0) + lost[context] * lower) / total[context]
+
+    vocabulary = [*one, "?"]
+    contexts = [("<s>", "<s>"), *[g[:2] for g in list(three)[5:200:60]], ("?", learn[0][0]), ("?", "?")]
+    for context in contexts:
+        assert math.isclose(sum(p((*context, w)) for w in vocabulary), 1, rel_tol=1e-9)
+    model = lm_score.train(
+        table.filter(~lm_score.held_out(F.col("doc_id"))), lm_score.LmParams(5000, 700, order=3)
+    )
+    assert len(model.trigram_shards) > 3
+    found = {r.doc_id: r.score for r in lm_score.score(table, model).collect()}
+    for doc_id, w in rows:
+        own = sum(math.log10(p(g)) for g in zip(["<s>", "<s>", *w], ["<s>", *w], w, strict=False))
+        assert math.isclose(found[doc_id], own, rel_tol=1e-9)
+
+
+def test_lm_counts_beyond_32_bits_and_other_orders(empty):
+    keys, counts = np.array([3, 9, 1 << 61]), np.array([1, 1 << 40, 255])
+    for got, own in zip(lm_score._unpack(3, *lm_score._pack(keys, counts)), (keys, counts), strict=True):
+        assert got.tolist() == own.tolist()
+    assert lm_score._narrow(np.array([255])).itemsize == 1 and lm_score._narrow(counts).itemsize == 8
+    with pytest.raises(ValueError, match="order"):
+        lm_score.train(empty, lm_score.LmParams(order=4))
