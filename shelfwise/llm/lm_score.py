@@ -13,8 +13,9 @@ Spark counts, sorted arrays of hashes and keys hold the model, and workers map t
 4. Scoring looks up sorted keys of a slice of texts shard by shard.
 
 With order three a document has two begin marks. Trigrams are counted first, by the key of their first two words
-and the rank of the third; a shard holds whole contexts: a sorted array of hashes of trigrams with
-their counts, and one of contexts with what follows them. Each different trigram then counts once for its last two words
+and the rank of the third (a rank is the place of the word's hash in its sorted array). A shard holds whole
+contexts as sorted arrays in three levels: first words, the second words of each, the third words of
+each pair with their counts; what follows a context of several third words is summed beside them. Each different trigram then counts once for its last two words
 (after a begin mark as often as it occurs), and bigrams go on as above with these counts.
 
 Two ranks share a 64-bit key, so more than 2**31 - 2 different words are an error.
@@ -37,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.arrays import open_array, write_array
-from shelfwise.llm.textops import chain, crc_fold, slices, word_hashes
+from shelfwise.llm.textops import crc_fold, slices, word_hashes
 from shelfwise.sources.scratch import materialise, scratch_path
 
 END = np.uint64(0x656E64206D61726B).view(np.int64)
@@ -290,8 +291,37 @@ def _trigram_keys(rank: np.ndarray, ends: np.ndarray, n_words: int) -> np.ndarra
     return np.where((one >= 0) & (two >= 0), (two << np.int64(32)) + one, -1)
 
 
-def _trigram_hashes(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    return chain(context.view(np.uint64), word.view(np.uint64))
+def _write_trigrams(root: str, shard: int, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> None:
+    """Sorted trigrams of a shard in three levels."""
+    begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+    one, two = context[begins] >> np.int64(32), context[begins] & np.int64(0xFFFFFFFF)
+    heads = np.flatnonzero(np.append(True, one[1:] != one[:-1]))
+    follow = [np.add.reduceat((np.minimum(n, 3) == c).astype(np.int64), begins) for c in (1, 2, 3)]
+    many = np.flatnonzero(sum(follow) > 1)
+    arrays = {
+        "one": one[heads].astype(np.uint32),
+        "one-at": np.append(heads, len(two)).astype(np.uint32),
+        "two": two.astype(np.uint32),
+        "two-at": np.append(begins, len(word)).astype(np.uint32),
+        "three": word.astype(np.uint32),
+        "trigram": _narrow(n),
+        "many": many.astype(np.uint32),
+        "follow": _narrow(np.add.reduceat(n, begins)[many]),
+        **{f"follow{c}": _narrow(f[many]) for c, f in zip((1, 2, 3), follow, strict=True)},
+    }
+    for name, array in arrays.items():
+        write_array(root, f"{name}-{shard}", array)
+
+
+def _find(values: np.ndarray, low: np.ndarray, high: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Place of each value asked for within its own sorted range of ``values``, -1 if not there."""
+    begin, end = low.astype(np.int64), high.astype(np.int64)
+    for _ in range(int((end - begin).max(initial=0)).bit_length()):
+        middle = (begin + end) >> 1
+        less = (begin < end) & (values[np.minimum(middle, len(values) - 1)] < asked)
+        begin, end = np.where(less, middle + 1, begin), np.where(less, end, middle)
+    place = np.minimum(begin, len(values) - 1)
+    return np.where((begin < high) & (values[place] == asked), place, -1)
 
 
 _FACTS = ("first", "n1", "n2", "n3", "n4")
@@ -383,17 +413,7 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
             found.parts.append((keys, _from_planes(r.n, r.words), counts))
         context, word, n = found.result()
         shard = key[0]
-        hashes = _trigram_hashes(context, word)
-        order = np.argsort(hashes)
-        write_array(root, f"tri-{shard}", hashes[order])
-        write_array(root, f"trigram-{shard}", _narrow(n[order]))
-        del hashes, order
-        begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-        write_array(root, f"context-{shard}", context[begins])
-        write_array(root, f"follow-{shard}", _narrow(np.add.reduceat(n, begins)))
-        for c in (1, 2, 3):
-            own = np.add.reduceat((np.minimum(n, 3) == c).astype(np.int64), begins)
-            write_array(root, f"follow{c}-{shard}", _narrow(own))
+        _write_trigrams(root, shard, context, word, n)
         facts = np.array(list(_facts(context[0], n).values()), np.int64).tobytes()
         middle = context & np.int64(0xFFFFFFFF)
         left = np.where(middle == n_words, n, 1)
@@ -559,6 +579,43 @@ def _score(model: LmModel, tokens: np.ndarray, ends: np.ndarray):
     return sums(known.astype(np.int64)), sums(base), sums(np.log10(p))
 
 
+def _in_shard(
+    model: LmModel, shard: int, context: np.ndarray, word: np.ndarray, lower: np.ndarray
+) -> np.ndarray:
+    """Probabilities of words after contexts that fall to ``shard``."""
+
+    def array(name: str) -> np.ndarray:
+        return open_array(model.root, f"{name}-{shard}")
+
+    out = lower.copy()
+    one, one_at, two_at, n = array("one"), array("one-at"), array("two-at"), array("trigram")
+    head = context >> np.int64(32)
+    place = np.minimum(np.searchsorted(one, head.astype(np.uint32)), len(one) - 1)
+    pair = _find(
+        array("two"),
+        one_at[place],
+        np.where(one[place] == head, one_at[place + 1], one_at[place]),
+        context & np.int64(0xFFFFFFFF),
+    )
+    at = np.flatnonzero(pair >= 0)
+    if not len(at):
+        return out
+    pair, begin = pair[at], two_at[pair[at]].astype(np.int64)
+    end, d = two_at[pair + 1].astype(np.int64), model.trigram_discounts
+    alone = n[begin].astype(np.int64)
+    total, lost = alone.astype(float), d[np.minimum(alone, 3)]
+    several = end - begin > 1
+    if several.any():
+        row = np.searchsorted(array("many"), pair[several].astype(np.uint32))
+        total[several] = array("follow")[row]
+        lost[several] = sum(d[c] * array(f"follow{c}")[row] for c in (1, 2, 3))
+    third = _find(array("three"), begin, end, word[at])
+    count = n[np.maximum(third, 0)].astype(np.int64)
+    held = np.where(third >= 0, count - d[np.minimum(count, 3)], 0.0)
+    out[at] = (held + lost * lower[at]) / total
+    return out
+
+
 def _after_two(model: LmModel, rank: np.ndarray, ends: np.ndarray, lower: np.ndarray) -> np.ndarray:
     """Probabilities after two words, from those after one."""
     context = _trigram_keys(rank, ends, model.n_words)
@@ -568,20 +625,7 @@ def _after_two(model: LmModel, rank: np.ndarray, ends: np.ndarray, lower: np.nda
     for k, begin, end in _runs(model.trigram_first, context[skip:]):
         shard = model.trigram_shards[k]
         s = slice(skip + begin, skip + end)
-        contexts = open_array(model.root, f"context-{shard}")
-        place = np.minimum(np.searchsorted(contexts, context[s]), len(contexts) - 1)
-        seen = contexts[place] == context[s]
-        total = open_array(model.root, f"follow-{shard}")[place].astype(float)
-        lost = sum(
-            model.trigram_discounts[c] * open_array(model.root, f"follow{c}-{shard}")[place] for c in (1, 2, 3)
-        )
-        asked = _trigram_hashes(context[s], word[s])
-        hashes = open_array(model.root, f"tri-{shard}")
-        place = np.minimum(np.searchsorted(hashes, asked), len(hashes) - 1)
-        there = seen & (word[s] >= 0) & (hashes[place] == asked)
-        n = open_array(model.root, f"trigram-{shard}")[place].astype(np.int64)
-        held = np.where(there, n - model.trigram_discounts[np.minimum(n, 3)], 0.0)
-        p[s] = np.where(seen, (held + lost * p[s]) / total, p[s])
+        p[s] = _in_shard(model, shard, context[s], word[s], p[s])
     out = np.empty_like(p)
     out[order] = p
     return out
