@@ -6,7 +6,7 @@ Spark counts, sorted arrays of hashes and keys hold the model, and workers map t
 2. A bigram is the key (rank << 32) + rank, after the document's begin mark or a word. Tasks count their
    own bigrams and hand them to shards that follow the order of keys. Shard limits come from
    the word counts, so every shard gets the same mass and a frequent word's bigrams span several.
-   A shard is a sorted key array and a count array.
+   A shard is a sorted array of keys, in two levels, and an array of counts.
 3. Per word, bigram shards give the numbers of its followers seen once, twice and more, and the
    number of its different predecessors. Summed over shards they make, next to the word shards,
    the weight left to the lower order and the lower-order probability.
@@ -146,7 +146,7 @@ def _count_words(train: DataFrame, root: str, params: LmParams) -> pd.DataFrame:
         if found:
             h, n = (np.concatenate(c) for c in zip(*found, strict=True))
             write_array(root, f"word-{shard}", h)
-            write_array(root, f"count-{shard}", n)
+            write_array(root, f"count-{shard}", _narrow(n))
             yield pa.RecordBatch.from_pydict(
                 {"shard": [shard], "first": [int(h[0])], "size": [len(h)], "tokens": [int(n.sum())]}
             )
@@ -291,26 +291,57 @@ def _trigram_keys(rank: np.ndarray, ends: np.ndarray, n_words: int) -> np.ndarra
     return np.where((one >= 0) & (two >= 0), (two << np.int64(32)) + one, -1)
 
 
+def _write_pairs(root: str, name: str, shard: int, keys: np.ndarray) -> None:
+    """Sorted keys of two ranks in two levels: first ranks, and the second ranks of each."""
+    one = keys >> np.int64(32)
+    heads = np.flatnonzero(np.append(True, one[1:] != one[:-1]))
+    write_array(root, f"{name}-one-{shard}", one[heads].astype(np.uint32))
+    write_array(root, f"{name}-at-{shard}", np.append(heads, len(keys)).astype(np.uint32))
+    write_array(root, f"{name}-two-{shard}", (keys & np.int64(0xFFFFFFFF)).astype(np.uint32))
+
+
+def _pair_places(root: str, name: str, shard: int, keys: np.ndarray) -> np.ndarray:
+    """Place of each key among those of ``_write_pairs``, -1 if it is not there."""
+    one, at, two = (open_array(root, f"{name}-{level}-{shard}") for level in ("one", "at", "two"))
+    head = keys >> np.int64(32)
+    place = np.minimum(np.searchsorted(one, head.astype(np.uint32)), len(one) - 1)
+    end = np.where(one[place] == head, at[place + 1], at[place])
+    return _find(two, at[place], end, keys & np.int64(0xFFFFFFFF))
+
+
+def _write_counts(root: str, name: str, shard: int, counts: np.ndarray) -> None:
+    """Counts in a byte each; those from 255 on stand apart, with their places."""
+    great = np.flatnonzero(counts >= 255)
+    write_array(root, f"{name}-{shard}", np.minimum(counts, 255).astype(np.uint8))
+    write_array(root, f"{name}-great-at-{shard}", great.astype(np.uint32))
+    write_array(root, f"{name}-great-{shard}", counts[great].astype(np.int64))
+
+
+def _counts_at(root: str, name: str, shard: int, place: np.ndarray) -> np.ndarray:
+    n = open_array(root, f"{name}-{shard}")[place].astype(np.int64)
+    great = np.flatnonzero(n == 255)
+    if len(great):
+        at = open_array(root, f"{name}-great-at-{shard}")
+        row = np.searchsorted(at, place[great].astype(np.uint32))
+        n[great] = open_array(root, f"{name}-great-{shard}")[row]
+    return n
+
+
 def _write_trigrams(root: str, shard: int, context: np.ndarray, word: np.ndarray, n: np.ndarray) -> None:
-    """Sorted trigrams of a shard in three levels."""
+    """Sorted trigrams of a shard: contexts in two levels, then words and counts. Most contexts have one
+    word; for the others stand how many words more they and those before them have, and sums."""
     begins = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
-    one, two = context[begins] >> np.int64(32), context[begins] & np.int64(0xFFFFFFFF)
-    heads = np.flatnonzero(np.append(True, one[1:] != one[:-1]))
-    follow = [np.add.reduceat((np.minimum(n, 3) == c).astype(np.int64), begins) for c in (1, 2, 3)]
-    many = np.flatnonzero(sum(follow) > 1)
-    arrays = {
-        "one": one[heads].astype(np.uint32),
-        "one-at": np.append(heads, len(two)).astype(np.uint32),
-        "two": two.astype(np.uint32),
-        "two-at": np.append(begins, len(word)).astype(np.uint32),
-        "three": word.astype(np.uint32),
-        "trigram": _narrow(n),
-        "many": many.astype(np.uint32),
-        "follow": _narrow(np.add.reduceat(n, begins)[many]),
-        **{f"follow{c}": _narrow(f[many]) for c, f in zip((1, 2, 3), follow, strict=True)},
-    }
-    for name, array in arrays.items():
-        write_array(root, f"{name}-{shard}", array)
+    size = np.diff(np.append(begins, len(word)))
+    many = np.flatnonzero(size > 1)
+    _write_pairs(root, "context", shard, context[begins])
+    write_array(root, f"many-{shard}", many.astype(np.uint32))
+    write_array(root, f"more-{shard}", np.append(0, np.cumsum(size[many] - 1)).astype(np.uint32))
+    _write_counts(root, "follow", shard, np.add.reduceat(n, begins)[many])
+    for c in (1, 2, 3):
+        own = np.add.reduceat((np.minimum(n, 3) == c).astype(np.int64), begins)
+        _write_counts(root, f"follow{c}", shard, own[many])
+    write_array(root, f"three-{shard}", word.astype(np.uint32))
+    _write_counts(root, "trigram", shard, n)
 
 
 def _find(values: np.ndarray, low: np.ndarray, high: np.ndarray, asked: np.ndarray) -> np.ndarray:
@@ -357,7 +388,7 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
         before, own = np.full(len(ranks), n_tokens), np.full(len(ranks), n_docs)
         real = int(np.searchsorted(ranks, n_words))
         for k, begin, end in _runs(offset[:-1], ranks[:real]):
-            n = np.asarray(open_array(root, f"count-{shards[k]}"))
+            n = np.asarray(open_array(root, f"count-{shards[k]}")).astype(np.int64)
             total = np.append(0, np.cumsum(n)) + mass[k]
             place = ranks[begin:end] - offset[k]
             before[begin:end], own[begin:end] = total[place], n[place]
@@ -437,8 +468,8 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
             return pd.DataFrame([fact])[columns]
         found = [_unpack(r.n, r.keys, r.counts) for r in part.itertuples()]
         keys, counts = _merged(*map(list, zip(*found, strict=True)))
-        write_array(root, f"key-{shard}", keys)
-        write_array(root, f"bigram-{shard}", _narrow(counts))
+        _write_pairs(root, "pair", shard, keys)
+        _write_counts(root, "bigram", shard, counts)
         before, after = keys >> np.int64(32), keys & np.int64(0xFFFFFFFF)
         begins = np.flatnonzero(np.append(True, before[1:] != before[:-1]))
         classes = np.minimum(counts, 3)
@@ -518,7 +549,7 @@ def train(docs: DataFrame, params: LmParams | None = None) -> LmModel:
         else:
             total = np.zeros(int(offset[k + 1] - offset[k]), np.int64)
             total[place] = part["mass"].to_numpy()
-            write_array(root, f"total-{shards[k]}", total)
+            write_array(root, f"total-{shards[k]}", _narrow(total))
         weight = np.ones(len(total))
         lost = sum(discounts[c] * part[f"f{c}"].to_numpy() for c in (1, 2, 3))
         followed = lost > 0
@@ -563,13 +594,11 @@ def _score(model: LmModel, tokens: np.ndarray, ends: np.ndarray):
     held = np.zeros(len(asked))
     skip = int(asked[0] < 0)
     for k, begin, end in _runs(model.key_first, asked[skip:]):
-        here = open_array(model.root, f"key-{model.key_shards[k]}")
-        wanted = asked[skip + begin : skip + end]
-        place = np.minimum(np.searchsorted(here, wanted), len(here) - 1)
-        there = here[place] == wanted
-        n = open_array(model.root, f"bigram-{model.key_shards[k]}")[place].astype(np.int64)
+        shard, wanted = model.key_shards[k], asked[skip + begin : skip + end]
+        place = _pair_places(model.root, "pair", shard, wanted)
+        n = _counts_at(model.root, "bigram", shard, np.maximum(place, 0))
         held[skip + begin : skip + end] = np.where(
-            there, n - model.discounts[np.minimum(n, 3)], 0.0
+            place >= 0, n - model.discounts[np.minimum(n, 3)], 0.0
         )
     p = held[at] / np.maximum(total, 1) + weight * lower
     if model.order == 3:
@@ -584,33 +613,25 @@ def _in_shard(
 ) -> np.ndarray:
     """Probabilities of words after contexts that fall to ``shard``."""
 
-    def array(name: str) -> np.ndarray:
-        return open_array(model.root, f"{name}-{shard}")
-
-    out = lower.copy()
-    one, one_at, two_at, n = array("one"), array("one-at"), array("two-at"), array("trigram")
-    head = context >> np.int64(32)
-    place = np.minimum(np.searchsorted(one, head.astype(np.uint32)), len(one) - 1)
-    pair = _find(
-        array("two"),
-        one_at[place],
-        np.where(one[place] == head, one_at[place + 1], one_at[place]),
-        context & np.int64(0xFFFFFFFF),
-    )
+    out, root, d = lower.copy(), model.root, model.trigram_discounts
+    pair = _pair_places(root, "context", shard, context)
     at = np.flatnonzero(pair >= 0)
     if not len(at):
         return out
-    pair, begin = pair[at], two_at[pair[at]].astype(np.int64)
-    end, d = two_at[pair + 1].astype(np.int64), model.trigram_discounts
-    alone = n[begin].astype(np.int64)
+    pair = pair[at]
+    many, more = open_array(root, f"many-{shard}"), open_array(root, f"more-{shard}")
+    row = np.searchsorted(many, pair.astype(np.uint32))
+    after = np.searchsorted(many, (pair + 1).astype(np.uint32))
+    begin, end = pair + more[row], pair + 1 + more[after]
+    alone = _counts_at(root, "trigram", shard, begin)
     total, lost = alone.astype(float), d[np.minimum(alone, 3)]
-    several = end - begin > 1
+    several = after > row
     if several.any():
-        row = np.searchsorted(array("many"), pair[several].astype(np.uint32))
-        total[several] = array("follow")[row]
-        lost[several] = sum(d[c] * array(f"follow{c}")[row] for c in (1, 2, 3))
-    third = _find(array("three"), begin, end, word[at])
-    count = n[np.maximum(third, 0)].astype(np.int64)
+        row = row[several]
+        total[several] = _counts_at(root, "follow", shard, row)
+        lost[several] = sum(d[c] * _counts_at(root, f"follow{c}", shard, row) for c in (1, 2, 3))
+    third = _find(open_array(root, f"three-{shard}"), begin, end, word[at])
+    count = _counts_at(root, "trigram", shard, np.maximum(third, 0))
     held = np.where(third >= 0, count - d[np.minimum(count, 3)], 0.0)
     out[at] = (held + lost * lower[at]) / total
     return out
