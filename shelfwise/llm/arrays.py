@@ -31,23 +31,27 @@ _open: dict[tuple[str, str], np.ndarray] = {}
 
 
 def open_array(root: str, name: str) -> np.ndarray:
-    """The mapped array; a worker keeps it open.
-
-    On a local or mounted file system the file itself is mapped, else a copy that has no name any
-    more and so goes with the worker.
-    """
+    """The mapped array; a worker keeps it open."""
     key = (root, name)
     if key not in _open:
-        system, path = _place(root)
-        if isinstance(system, fs.LocalFileSystem):
-            _open[key] = np.load(f"{path}/{name}.npy", mmap_mode="r")
-        else:
-            handle, copy = tempfile.mkstemp(suffix=".npy")
-            try:
-                with os.fdopen(handle, "wb") as out, system.open_input_stream(f"{path}/{name}.npy") as src:
-                    while chunk := src.read(1 << 24):
-                        out.write(chunk)
-                _open[key] = np.load(copy, mmap_mode="r")
-            finally:
-                os.unlink(copy)
+        _open[key] = map_array(root, name)
     return _open[key]
+
+
+def map_array(root: str, name: str) -> np.ndarray:
+    """The array, mapped as long as someone holds it.
+
+    On a local or mounted file system the file itself is mapped, else a copy that has no name any
+    more and so goes with the mapping.
+    """
+    system, path = _place(root)
+    if isinstance(system, fs.LocalFileSystem):
+        return np.load(f"{path}/{name}.npy", mmap_mode="r")
+    handle, copy = tempfile.mkstemp(suffix=".npy")
+    try:
+        with os.fdopen(handle, "wb") as out, system.open_input_stream(f"{path}/{name}.npy") as src:
+            while chunk := src.read(1 << 24):
+                out.write(chunk)
+        return np.load(copy, mmap_mode="r")
+    finally:
+        os.unlink(copy)

@@ -4,10 +4,11 @@ Equal vectors are one class that keeps its smallest ids, as many as a result can
 query's own. Classes are dealt to shards by hash. In a shard, a random graph of bounded degree is refined in
 two rounds: a greedy beam search for each point proposes the points it visits as neighbours, and
 relaxed distance pruning keeps a near one only if no kept one is closer to it by the factor
-``alpha``; links are also tried backwards. The index is written, one bounded row per shard.
-Queries go in blocks to every shard, where a beam search from the shard's medoid finds candidates;
+``alpha``; links are also tried backwards. Vectors, graph and ids of a shard are written as arrays, queries
+as blocks; only the names of shards and blocks are joined. A task maps one shard after the other and
+reads the blocks it has to answer: a beam search from the shard's medoid finds candidates,
 their cosines are computed in double precision from the original vectors, and the best of all
-shards are the answer.
+shards are the answer. Shards are large, so that a search visits a small part of one (``visited_share``).
 
 Every row that takes part is indexed: nothing is sampled. Vectors that are null, zero, empty or hold null, NaN
 or infinite components take no part. Only vectors of the query's length are candidates. A query
@@ -25,21 +26,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shelfwise.llm.arrays import map_array, write_array
 from shelfwise.llm.vectors import bucket_of, matrix, unit_rows, usable
-from shelfwise.sources.scratch import materialise
+from shelfwise.sources.scratch import materialise, scratch_path
 
-_INDEX = "dim int, shard int, ids array<array<long>>, v binary, graph binary, entry int"
+_INDEX = "dim int, shard int, root string, entry int"
+_BLOCK = "dim int, block int, queries string"
 _FOUND = "query_id long, vec_id long, score double"
 
 
 @dataclass(frozen=True)
 class AnnParams:
+    """``shard`` points at most make a shard, fewer where ``shard_values`` components are too few for them;
+    a task answers ``task_blocks`` blocks of ``query_block`` queries from one shard."""
+
     k: int = 5
-    shard: int = 2048
+    shard: int = 32_768
+    shard_values: int = 1 << 23
     query_block: int = 512
+    task_blocks: int = 64
+    tasks: int = 20_000
     degree: int = 32
     beam: int = 64
-    search_beam: int = 320
+    search_beam: int = 128
     alpha: float = 1.2
     batch: int = 256
     width: int = 4
@@ -147,41 +156,62 @@ def _link_back(x, graph, points, degree, alpha) -> None:
     graph[touched] = robust_prune(x, touched, both, degree, alpha)
 
 
-def _index_shard(key: tuple, part: pd.DataFrame, params: AnnParams) -> pd.DataFrame:
-    part = part.sort_values("node")
+def _whole_parts(batches, column: str):
+    """Rows of equal ``column``, which stand together, as one frame; one is held at a time."""
+    parts: list[pd.DataFrame] = []
+    for batch in batches:
+        for _, part in batch.groupby(column, sort=False):
+            if parts and parts[0][column].iloc[0] != part[column].iloc[0]:
+                yield pd.concat(parts)
+                parts = []
+            parts.append(part)
+    if parts:
+        yield pd.concat(parts)
+
+
+def _index_shard(part: pd.DataFrame, root: str, params: AnnParams) -> pd.DataFrame:
+    part = part.sort_values("node", kind="stable")
+    shard = int(part["shard"].iloc[0])
     v = matrix(part["v"])
     graph, entry = build_graph(unit_rows(v).astype(np.float32), params)
-    return pd.DataFrame(
-        {
-            "dim": [key[0]],
-            "shard": [key[1]],
-            "ids": [[sorted(ids) for ids in part["ids"]]],
-            "v": [v.tobytes()],
-            "graph": [graph.astype(np.int32).tobytes()],
-            "entry": [entry],
-        }
-    )
+    ids = [sorted(own) for own in part["ids"]]
+    write_array(root, f"v-{shard}", v)
+    write_array(root, f"graph-{shard}", graph.astype(np.int32))
+    write_array(root, f"ids-{shard}", np.concatenate(ids).astype(np.int64))
+    write_array(root, f"at-{shard}", np.cumsum([0, *map(len, ids)]))
+    return pd.DataFrame({"dim": [v.shape[1]], "shard": [shard], "root": [root], "entry": [entry]})
+
 
+class _Shard:
+    """One shard of the index, as written."""
 
-def _search_shard(row, params: AnnParams) -> pd.DataFrame:
-    v = np.frombuffer(row.v).reshape(-1, row.dim)
-    unit = unit_rows(v)
-    graph = np.frombuffer(row.graph, np.int32).reshape(len(v) + 1, -1)
-    q = unit_rows(np.frombuffer(row.q).reshape(-1, row.dim))
+    def __init__(self, root: str, shard: int, entry: int):
+        self.key, self.entry = (root, shard), entry
+        self._ids, self._at = map_array(root, f"ids-{shard}"), map_array(root, f"at-{shard}")
+        self.graph = map_array(root, f"graph-{shard}")
+        self.unit = unit_rows(map_array(root, f"v-{shard}"))
+        self.small = self.unit.astype(np.float32)
+
+    def ids(self, point: int) -> list[int]:
+        return self._ids[self._at[point] : self._at[point + 1]].tolist()
+
+
+def _search_shard(shard: _Shard, query_ids, q: np.ndarray, params: AnnParams) -> pd.DataFrame:
+    q = unit_rows(q)
     beam = max(params.search_beam, params.k + 1)
-    ids, _, _ = beam_search(
-        unit.astype(np.float32), graph, row.entry, q.astype(np.float32), beam, params.width
+    near_ids, _, _ = beam_search(
+        shard.small, shard.graph, shard.entry, q.astype(np.float32), beam, params.width
     )
     query, found, score = [], [], []
-    for k, query_id in enumerate(row.query_ids):
-        near = ids[k][ids[k] < len(v)]
-        cosine = unit[near] @ q[k]
+    for k, query_id in enumerate(query_ids.tolist()):
+        near = near_ids[k][near_ids[k] < len(shard.unit)]
+        cosine = shard.unit[near] @ q[k]
         best = np.argsort(-cosine, kind="stable")
         limit = -np.inf if len(best) <= params.k else cosine[best[params.k]]
         pairs = [
             (-cosine[b], vec_id)
             for b in best[cosine[best] >= limit]
-            for vec_id in row.ids[near[b]]
+            for vec_id in shard.ids(near[b])
             if vec_id != query_id
         ]
         for minus, vec_id in sorted(pairs)[: params.k]:
@@ -202,70 +232,108 @@ def _points(vectors: DataFrame, vector: str) -> DataFrame:
 def build_index(
     vectors: DataFrame, params: AnnParams | None = None, vector: str = "embedding"
 ) -> DataFrame:
-    """One row per shard: ids of its classes, vectors, graph and entry point."""
+    """One row per shard: where its arrays are, and its entry point."""
     params = params or AnnParams()
-    own = W.partitionBy("node").orderBy("vec_id")
+    root = scratch_path(vectors.sparkSession, "ann")
+    own = W.partitionBy("node", "v").orderBy("vec_id")
     # Repeated rows count once, or their copies would fill the class.
-    once = _points(vectors, vector).dropDuplicates(["node", "vec_id"])
+    once = _points(vectors, vector).dropDuplicates(["node", "v", "vec_id"])
     first = once.withColumn("_n", F.row_number().over(own))
-    classes = first.filter(F.col("_n") <= params.k + 1).groupBy("node", "dim").agg(
-        F.collect_set("vec_id").alias("ids"), F.first("v").alias("v")
+    classes = first.filter(F.col("_n") <= params.k + 1).groupBy("node", "v", "dim").agg(
+        F.collect_set("vec_id").alias("ids")
     )
     classes = materialise(classes, "ann-classes")
+    most = F.greatest(F.lit(1), F.least(F.lit(params.shard), F.floor(params.shard_values / F.col("dim"))))
     sizes = classes.groupBy("dim").agg(F.count("*").alias("n"))
-    shard = bucket_of(F.col("n"), params.shard, "node").alias("shard")
-    sizes = materialise(sizes, "ann-sizes")
-    n_shards = sizes.agg(F.sum(F.ceil(F.col("n") / params.shard))).first()[0] or 1
-    dealt = classes.join(sizes, "dim").select("dim", shard, "node", "ids", "v")
-    # A shard is much work for few bytes: the number of tasks follows the shards.
-    dealt = dealt.repartition(int(n_shards), "dim", "shard")
+    sizes = sizes.withColumn("shards", F.ceil(F.col("n") / most))
+    before = F.sum("shards").over(W.orderBy("dim")) - F.col("shards")
+    sizes = materialise(sizes.withColumn("before", before), "ann-sizes")
+    n_shards = sizes.agg(F.sum("shards")).first()[0] or 1
+    own_shard = F.pmod(F.xxhash64("node"), F.col("shards")) + F.col("before")
+    dealt = classes.join(sizes, "dim").select("node", "ids", "v", own_shard.cast("int").alias("shard"))
+    # A shard is much work for few bytes: the number of tasks follows the shards, and no two share one.
+    dealt = dealt.repartitionById(min(int(n_shards), params.tasks), "shard").sortWithinPartitions("shard")
 
-    def index(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        return _index_shard(key, part, params)
+    def index(batches):
+        for part in _whole_parts(batches, "shard"):
+            yield _index_shard(part, root, params)
 
-    return materialise(dealt.groupBy("dim", "shard").applyInPandas(index, _INDEX), "ann-index")
+    return materialise(dealt.mapInPandas(index, _INDEX), "ann-index")
 
 
-def search(
-    index: DataFrame,
-    queries: DataFrame,
-    params: AnnParams | None = None,
-    vector: str = "embedding",
-) -> DataFrame:
-    """query_id, rank, vec_id and score of the ``k`` nearest found for every query row."""
-    params = params or AnnParams()
+def _query_blocks(queries: DataFrame, vector: str, params: AnnParams) -> DataFrame:
+    """One row per block of queries; ids and vectors are written as arrays."""
+    root = scratch_path(queries.sparkSession, "ann-blocks")
     points = materialise(_points(queries, vector), "ann-queries")
     sizes = points.groupBy("dim").agg(F.count("*").alias("n"))
     block = bucket_of(F.col("n"), params.query_block, "vec_id").alias("block")
 
-    def gather(part: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame(
-            {
-                "dim": [part["dim"].iloc[0]],
-                "query_ids": [part["vec_id"].tolist()],
-                "q": [matrix(part["v"]).tobytes()],
-            }
-        )
-
-    blocks = (
-        points.join(sizes, "dim")
-        .select("dim", block, "vec_id", "v")
-        .groupBy("dim", "block")
-        .applyInPandas(gather, "dim int, query_ids array<long>, q binary")
+    def gather(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("vec_id", kind="stable")
+        write_array(root, f"ids-{key[0]}-{key[1]}", part["vec_id"].to_numpy(np.int64))
+        write_array(root, f"v-{key[0]}-{key[1]}", matrix(part["v"]))
+        return pd.DataFrame({"dim": [key[0]], "block": [key[1]], "queries": [root]})
+
+    blocks = points.join(sizes, "dim").select("dim", block, "vec_id", "v").groupBy("dim", "block")
+    return materialise(blocks.applyInPandas(gather, _BLOCK), "ann-blocks")
+
+
+def _answers(index: DataFrame, blocks: DataFrame, params: AnnParams, answer, schema: str) -> DataFrame:
+    """``answer`` for every shard and every block of its dimension."""
+    met = blocks.join(index, "dim").withColumn("_group", F.floor(F.col("block") / params.task_blocks))
+    groups = index.groupBy("dim").agg(F.count("*").alias("s")).join(
+        blocks.groupBy("dim").agg(F.ceil((F.max("block") + 1) / params.task_blocks).alias("g")), "dim"
     )
-    shards = index.select("dim", "shard")
-    met = blocks.join(shards, "dim").join(index, ["dim", "shard"])
+    n_tasks = groups.agg(F.sum(F.col("s") * F.col("g"))).first()[0] or 1
+    # The pairs are names only, so their bytes say nothing about the work.
+    met = met.repartition(min(int(n_tasks), params.tasks), "dim", "shard", "_group")
 
     def find(batches):
+        shard = None
         for batch in batches:
             for row in batch.itertuples():
-                yield _search_shard(row, params)
+                if shard is None or shard.key != (row.root, row.shard):
+                    shard = _Shard(row.root, row.shard, row.entry)
+                name = f"{row.dim}-{row.block}"
+                ids, q = (map_array(row.queries, f"{array}-{name}") for array in ("ids", "v"))
+                yield answer(shard, ids, q, params)
 
-    found = met.repartition("dim", "shard", F.xxhash64("query_ids")).mapInPandas(find, _FOUND)
+    return met.sortWithinPartitions("dim", "shard", "block").mapInPandas(find, schema)
+
+
+def search(
+    index: DataFrame,
+    queries: DataFrame,
+    params: AnnParams | None = None,
+    vector: str = "embedding",
+) -> DataFrame:
+    """query_id, rank, vec_id and score of the ``k`` nearest found for every query row."""
+    params = params or AnnParams()
+    found = _answers(index, _query_blocks(queries, vector, params), params, _search_shard, _FOUND)
     nearest = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = found.distinct().withColumn("rank", F.row_number().over(nearest))
     return found.filter(F.col("rank") <= params.k).select("query_id", "rank", "vec_id", "score")
 
 
+def _visits(shard: _Shard, query_ids, q: np.ndarray, params: AnnParams) -> pd.DataFrame:
+    small, beam = unit_rows(q).astype(np.float32), max(params.search_beam, params.k + 1)
+    visited = beam_search(shard.small, shard.graph, shard.entry, small, beam, params.width)[2]
+    return pd.DataFrame({"visited": [int(visited.sum())], "points": [int(visited.size)]})
+
+
+def visited_share(
+    index: DataFrame,
+    queries: DataFrame,
+    params: AnnParams | None = None,
+    vector: str = "embedding",
+) -> float:
+    """The part of all pairs of a query and a point whose distance the searches work out."""
+    params = params or AnnParams()
+    blocks = _query_blocks(queries, vector, params)
+    seen = _answers(index, blocks, params, _visits, "visited long, points long")
+    visited, points = seen.agg(F.sum("visited"), F.sum("points")).first()
+    return (visited or 0) / (points or 1)
+
+
 def query_rows(vectors: DataFrame, every: int = 50) -> Column:
     return F.pmod(vectors["vec_id"], F.lit(every)) == 0

@@ -90,6 +90,38 @@ def test_ann_recall_against_brute_force(spark, vectors):
         assert hits >= 0.9 * total
 
 
+def test_ann_searches_visit_a_small_part_of_a_large_shard(spark):
+    random = np.random.default_rng(4)
+    x = random.normal(size=(6000, 16)).astype(np.float32)
+    rows = [(k, v.tolist()) for k, v in enumerate(x)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    index = graph_ann.build_index(table)
+    assert index.count() == 1
+    queries = table.filter(graph_ann.query_rows(table))
+    assert 0 < graph_ann.visited_share(index, queries) < 0.2
+    unit = graph_ann.unit_rows(x.astype(np.float64))
+    found = graph_ann.search(index, queries).collect()
+    assert len(found) == 5 * 120
+    hits = 0
+    for query in range(0, 6000, 50):
+        best = [int(j) for j in np.argsort(-(unit @ unit[query])) if j != query][:5]
+        hits += len({r.vec_id for r in found if r.query_id == query} & set(best))
+    assert hits >= 0.9 * len(found)
+
+
+def test_ann_long_vectors_make_smaller_shards(spark):
+    random = np.random.default_rng(6)
+    rows = [(k, random.normal(size=8 if k % 4 else 12).tolist()) for k in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    params = graph_ann.AnnParams(shard_values=800, task_blocks=1, query_block=2)
+    index = graph_ann.build_index(table, params)
+    # 300 rows in shards of 100, and 100 rows in shards of 66, as hashes deal them.
+    shards = {(r.dim, r.shard) for r in index.collect()}
+    assert len(shards) == 5 and len({shard for _, shard in shards}) == 5
+    found = graph_ann.search(index, table.filter(graph_ann.query_rows(table)), params).collect()
+    assert sorted(r["rank"] for r in found) == sorted(list(range(1, 6)) * 8)
+
+
 def test_ann_repeated_rows_leave_room_for_their_equals(spark):
     random = np.random.default_rng(8)
     rows = [(100 + k, random.normal(size=16).tolist()) for k in range(80)]
