@@ -98,9 +98,10 @@ def test_ann_searches_visit_a_small_part_of_a_large_shard(spark):
     index = graph_ann.build_index(table)
     assert index.count() == 1
     queries = table.filter(graph_ann.query_rows(table))
-    assert 0 < graph_ann.visited_share(index, queries) < 0.2
+    params = graph_ann.AnnParams(search_beam=64)
+    assert 0 < graph_ann.visited_share(index, queries, params) < 0.2
     unit = graph_ann.unit_rows(x.astype(np.float64))
-    found = graph_ann.search(index, queries).collect()
+    found = graph_ann.search(index, queries, params).collect()
     assert len(found) == 5 * 120
     hits = 0
     for query in range(0, 6000, 50):
