@@ -6,7 +6,7 @@ digits, punctuation) is a lexical pattern. Instances and patterns form a graph o
 A pattern's confidence in a kind is the mean score of the distinct instances it holds, an
 instance's score is the best confidence of its patterns, and seeds keep score one. After some rounds,
 instances that are no seeds and score high enough are personal data of kind ``ctx_<kind>`` wherever
-they stand.
+they stand. Neighbouring words are whole, however long they are.
 
 Null or empty text has no spans. Ties between kinds go to the alphabetically first. Repeated rows
 each get the same spans. Result columns replace same-named columns of the input.
@@ -37,7 +37,8 @@ OCTETS = r"^0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])(?:\.0*(?:25[0-5]|2[0-4][0-9]
 #: A word that holds a digit or an at sign.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 EDGES = r"""[.,;:!?()\[\]{}<>"']+"""
-CONTEXT_CHARS = 64
+#: How far to look for the word beside a place; only longer words are looked for farther off.
+CONTEXT_CHARS = (64, 1 << 10, 1 << 14)
 
 
 @dataclass(frozen=True)
@@ -116,19 +117,36 @@ def tag_base(docs: DataFrame, params: PiiParams, text: str = "text") -> DataFram
     return tagged.select("doc_id", "row_key", *contexts, "candidates")
 
 
+def _widening(windows: list[tuple[Column, Column]]) -> Column:
+    """Of words and whether they are whole the first whole one, else the last."""
+    *narrow, (last, _) = windows
+    found = last
+    for word, whole in reversed(narrow):
+        found = F.when(whole, word).otherwise(found)
+    return F.lower(found)
+
+
 def _with_context(spans: Column, text: Column) -> Column:
-    """Adds the word before and the word after, lower-cased."""
+    """Adds the word before and the word after, lower-cased and whole."""
+
+    def before(s, chars: int | None):
+        begin = F.greatest(s["start"] - chars, F.lit(0)) if chars else F.lit(0)
+        part = F.substring(text, begin + 1, s["start"] - begin)
+        whole = (begin == 0) | part.rlike(r"\s\S++\s*+$")
+        return F.regexp_extract(part, r"(?<!\S)(\S++)\s*+$", 1), whole
+
+    def after(s, chars: int | None):
+        part = F.substring(text, s["end"] + 1, F.lit(chars or (1 << 31) - 1))
+        whole = (F.length(part) < chars) | part.rlike(r"^\s*+\S++\s") if chars else F.lit(True)
+        return F.regexp_extract(part, r"^\s*+(\S++)", 1), whole
 
     def words(s):
-        begin = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        before = F.substring(text, begin + 1, s["start"] - begin)
-        after = F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS))
         return F.struct(
             s["start"].alias("start"),
             s["end"].alias("end"),
             s["value"].alias("value"),
-            F.lower(F.regexp_extract(before, r"(\S++)\s*+$", 1)).alias("before"),
-            F.lower(F.regexp_extract(after, r"^\s*+(\S++)", 1)).alias("after"),
+            _widening([before(s, chars) for chars in (*CONTEXT_CHARS, None)]).alias("before"),
+            _widening([after(s, chars) for chars in (*CONTEXT_CHARS, None)]).alias("after"),
         )
 
     return F.transform(spans, words)

@@ -314,6 +314,24 @@ def test_personal_data_odd_rows(odd, empty):
     assert pii.find_spans(empty).count() == 0 and pii.redact(empty).count() == 0
 
 
+def test_pii_contexts_are_whole_words_however_long(spark):
+    long, longer = "W" * 100 + "é", "v" * 20_000
+    texts = [
+        f"start {long} a@b.co {longer} end",
+        f"start {longer}\n{' ' * 200}a@b.co{' ' * 3000}{long}",
+        "a@b.co",
+        f"{longer} a@b.co x",
+        f"q {'w' * 63} a@b.co {'w' * 64}",
+    ]
+    table = spark.createDataFrame(enumerate(texts), "doc_id long, text string")
+    rows = pii.tag_base(table, pii.PiiParams()).select("doc_id", F.explode("email").alias("s")).collect()
+    found = {r.doc_id: (r.s.before, r.s.after) for r in rows}
+    long = long.lower()
+    assert found == {
+        0: (long, longer), 1: (longer, long), 2: ("", ""), 3: (longer, "x"), 4: ("w" * 63, "w" * 64)
+    }
+
+
 def test_languages_of_held_out_documents(spark):
     rows = QUERIES["op10_language_id"](spark, "/root/testdata/sf0.01").collect()
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
