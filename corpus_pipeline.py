@@ -15,9 +15,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Near copies share at least four fifths of their shingles of five words.
 NEAR = jaccard_join.JaccardParams(words=5, percent=80)
-#: Texts that a task hands to Python at once. Spark's usual 10,000 rows are some 35 MB of text, which
-#: the executor and its Python workers hold several times over.
-BATCH_ROWS = 1_000
+#: Texts that a task hands to Python at once, by rows and by bytes (a text is never cut). Spark's usual
+#: 10,000 rows are some 35 MB of text, which the executor and its Python workers hold several times over.
+BATCH_ROWS = 500
+BATCH_BYTES = 1 << 21
 #: The mix that files and rows follow, and region after region the sequences.
 MIX = mixing.MixParams()
 
@@ -25,6 +26,7 @@ MIX = mixing.MixParams()
 def _small_batches(spark: SparkSession) -> None:
     """For the session, since a stage's rows are worked out when they are written."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
