@@ -13,7 +13,7 @@ from shelfwise.operators.quality import REASON
 from shelfwise.plans.etl import DEFAULTS, Lake, LoadCounts, LoadOptions, load_batch
 from shelfwise.plans.specs import DatasetSpec
 from shelfwise.sources.landing import read_bronze, read_landing, write_bronze, write_quarantine
-from shelfwise.streaming.messages import readable, read_messages
+from shelfwise.streaming.messages import read_messages, read_records, readable
 
 #: Reason of a message that is not one JSON object.
 UNREADABLE = "unreadable_message"
@@ -81,11 +81,11 @@ def ingest_messages(
     """
 
     def load(messages: DataFrame, epoch: int) -> None:
-        # Both outputs read the messages, so that a source is asked for them once.
+        # Both outputs read the written records, so that a source is asked for them once and each is
+        # parsed once.
         bronze = f"{lake.bronze(spec)}/messages/batch_id={_batch_id(run, epoch)}"
-        write_bronze(messages, bronze)
-        kept = read_bronze(messages.sparkSession, bronze)
-        rows, broken = readable(kept, spec)
+        write_bronze(read_records(messages, spec), bronze)
+        rows, broken = readable(read_bronze(messages.sparkSession, bronze))
         broken = broken.select(
             F.lit(spec.name).alias("dataset_name"), F.col("value").alias("original_record"), F.lit(UNREADABLE).alias(REASON)
         )

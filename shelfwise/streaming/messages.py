@@ -55,8 +55,8 @@ def read_messages(spark: SparkSession, source: str, options: dict[str, str]) ->
     return spark.readStream.format(source).options(**options).load().select(F.col("value").cast("string"))
 
 
-def readable(messages: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFrame]:
-    """(landing rows, messages that are not one JSON object).
+def read_records(messages: DataFrame, spec: DatasetSpec) -> DataFrame:
+    """(value, readable, record): each message is parsed once; ``record`` is NULL where it is not one JSON object.
 
     Field ``""`` is a missing value, as in landing files. A declared field that a message does not
     have is NULL; fields that are not declared are left out. A value that is not a text keeps its JSON.
@@ -64,11 +64,16 @@ def readable(messages: DataFrame, spec: DatasetSpec) -> tuple[DataFrame, DataFra
     broken = "__broken"
     schema = text_schema([*spec.columns, broken])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
-    parsed = messages.withColumn("record", F.from_json("value", schema, options))
+    parsed = messages.select("value", F.from_json("value", schema, options).alias("record"))
     fine = F.col("record").isNotNull() & F.col(f"record.{broken}").isNull() & F.col("value").rlike(r"^\s*\{")
-    fine = F.coalesce(fine, F.lit(False))
     fields = [F.nullif(F.col(f"record.{c}"), F.lit("")).alias(c) for c in spec.columns]
-    return parsed.where(fine).select(*fields), parsed.where(~fine).select("value")
+    parsed = parsed.select("value", F.coalesce(fine, F.lit(False)).alias("readable"), F.struct(*fields).alias("record"))
+    return parsed.withColumn("record", F.when(F.col("readable"), F.col("record")))
+
+
+def readable(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(landing rows, messages that are not one JSON object) of written ``read_records``."""
+    return records.where("readable").select("record.*"), records.where("NOT readable").select("value")
 
 
 def publish(

@@ -173,6 +173,45 @@ def test_large_directories_are_written_as_several_files(spark, table, monkeypatc
     assert snapshot(spark, table) == sorted(expected.values())
 
 
+def merge_plan(spark, monkeypatch, table):
+    """The plan by which an upsert into a table that is there writes its rows."""
+    plans = []
+
+    def seen(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stage(df, *args)
+
+    stage = upserts.stage
+    monkeypatch.setattr(upserts, "ROWS_PER_FILE", 7)
+    monkeypatch.setattr(upserts, "stage", seen)
+    for t in (1, 2):
+        upsert(frame(spark, [(str(i), t, f"p{i % 3}", t) for i in range(100)]), table)
+    assert snapshot(spark, table) == sorted((str(i), 2, f"p{i % 3}", 2) for i in range(100))
+    (plan,) = plans
+    return plan
+
+
+def test_a_merge_shuffles_its_rows_once(spark, table, monkeypatch):
+    plan = merge_plan(spark, monkeypatch, table)
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    # Sorts begin with the key, which has more values than the partition.
+    assert table.row_key == ["k", "p"]
+
+
+def test_a_global_merge_shuffles_its_rows_by_key_and_by_directory(spark, tmp_path, monkeypatch):
+    table = SilverTable(str(tmp_path / "t"), ("k",), "p", "t", scope="global")
+    plan = merge_plan(spark, monkeypatch, table)
+    assert plan.count("Exchange hashpartitioning") == 2 and "SortMergeJoin" not in plan
+
+
+def test_rows_of_both_sides_meet_at_null_and_equal_orderings(spark, tmp_path):
+    table = SilverTable(str(tmp_path / "t"), ("k",), "p", "t")
+    upsert(frame(spark, [("a", 1, "x", None), ("b", 1, "x", 5), (None, 1, "x", 5), ("d", 1, "x", 9), ("e", 1, None, 1)]), table)
+    upsert(frame(spark, [("a", 2, "x", None), ("b", 2, "x", None), (None, 2, "x", 5), ("d", 2, "x", 8), ("e", 2, "", 1)]), table)
+    got = {(r.k, r.p): r.v for r in read_silver(spark, table).collect()}
+    assert got == {("a", "x"): 2, ("b", "x"): 1, (None, "x"): 2, ("d", "x"): 1, ("e", ""): 2}
+
+
 class Cut(Exception):
     pass
 

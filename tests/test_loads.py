@@ -9,6 +9,7 @@ from pathlib import Path
 
 import pytest
 
+from shelfwise import registry
 from shelfwise.operators.forecast import REPORT_COLUMNS, REPORT_SCHEMA
 from shelfwise.plans import etl, gold
 from shelfwise.plans.specs import COMPANY_SALES, COMPETITOR_SALES, SELLER_CATALOG
@@ -347,6 +348,43 @@ def test_messages_are_loaded_and_unreadable_ones_kept(spark, tmp_path):
     assert read_quarantine(spark, lake.quarantine, "company_sales").count() == len(audit)
 
 
+def test_messages_are_parsed_once(spark, tmp_path):
+    """Landing rows and unreadable messages are read from what the one parse wrote."""
+    lake = etl.Lake(str(tmp_path / "lake"))
+    (tmp_path / "topic").mkdir()
+    good = json.dumps(dict(zip(COMPANY_SALES.columns, COMPANY[0], strict=True)))
+    (tmp_path / "topic" / "1.txt").write_text(f"{good}\nnot json\n")
+    ingest_messages(
+        spark, "text", {"path": str(tmp_path / "topic")}, COMPANY_SALES, lake, str(tmp_path / "ckpt"), OPTIONS
+    ).awaitTermination()
+    written = spark.read.parquet(f"{lake.bronze(COMPANY_SALES)}/messages")
+    kept = {r["value"]: (r["readable"], r["record"]) for r in written.collect()}
+    assert set(kept) == {good, "not json"} and kept["not json"] == (False, None)
+    assert kept[good][0] and kept[good][1].item_id == COMPANY[0][0]
+
+
+def test_landing_files_grow_in_number_not_in_size(spark, monkeypatch):
+    """The rows are those of four files, and there are still two batches."""
+    sf = "/root/testdata/sf0.001"
+    expected = sorted(map(str, registry.stream_landing_ingest(spark, sf).collect()))
+    seen = []
+    write, ingest = registry.landing.write_landing, registry.ingest_landing
+
+    def written(df, path):
+        write(df, path)
+        seen.append(len(list(Path(path.removeprefix("file:")).glob("*.csv"))))
+
+    def ingested(*args, **named):
+        return ingest(*args, **named, on_loaded=lambda batch_id, n: seen.append(n.read))
+
+    monkeypatch.setattr(registry.landing, "write_landing", written)
+    monkeypatch.setattr(registry, "ingest_landing", ingested)
+    monkeypatch.setattr(registry, "LINES_PER_FILE", 600, raising=False)
+    assert sorted(map(str, registry.stream_landing_ingest(spark, sf).collect())) == expected
+    n_files, *batches = seen
+    assert n_files == 10 and len(batches) == 2
+
+
 def test_a_lake_that_keeps_batch_numbers(spark, tmp_path):
     """An older file that is loaded again, as a batch of its old number, undoes nothing."""
     lake = etl.Lake(str(tmp_path / "lake"), sequence="batch", scopes={"company_sales": "global"})
