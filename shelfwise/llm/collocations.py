@@ -51,6 +51,8 @@ _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = SEPARATOR
 SLICE = 1 << 21
 #: In place of a word behind the end of a suffix.
 END = -1
+#: Rows that are packed at once.
+PIECE_ROWS = 1 << 17
 
 
 @dataclass(frozen=True)
@@ -145,14 +147,18 @@ def _words(data, parts, code, langs, lang_key) -> Words:
 
 
 class Tally:
-    """Sums of whole rows of numbers, merged whenever there are many."""
+    """Sums of whole rows of numbers, merged whenever there are many.
 
-    def __init__(self, width: int, limit: int = 1 << 20):
-        self.width, self.limit = width, limit
+    Merging holds a row some three times over, so ``limit`` bounds what rows take: by default a row of
+    six numbers is merged at 262,144 rows and handed on at four times as many.
+    """
+
+    def __init__(self, width: int, limit: int | None = None):
+        self.width, self.limit = width, limit or (3 << 19) // width
         self.rows: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.size = 0
-        self.room = limit
+        self.room = self.limit
 
     def add(self, rows: np.ndarray, counts: np.ndarray | None = None) -> None:
         rows, counts = _summed(rows, np.ones(len(rows), np.int64) if counts is None else counts)
@@ -243,7 +249,10 @@ def _packed(rows: np.ndarray, counts: np.ndarray, bucket: np.ndarray, kind: np.n
     order = np.argsort(bucket, kind="stable")
     cuts = np.append(np.flatnonzero(np.diff(bucket[order], prepend=-1)), len(order))
     schema = pa.schema([("bucket", pa.int32()), ("n", pa.int64()), ("width", pa.int32()), ("rows", pa.binary())])
-    for begin, end in zip(cuts[:-1], cuts[1:], strict=True):
+    pieces = [
+        (b, min(b + PIECE_ROWS, end)) for begin, end in zip(cuts[:-1], cuts[1:], strict=True) for b in range(begin, end, PIECE_ROWS)
+    ]
+    for begin, end in pieces:
         own = order[begin:end]
         columns = np.ascontiguousarray(np.column_stack([rows[own], counts[own], kind[own]]).T)
         # Steps between neighbours are small, since rows are sorted; byte planes then compress well.
@@ -265,6 +274,32 @@ def _unpacked(n: int, width: int, rows: bytes) -> np.ndarray:
 PACKED = "bucket int, n long, width int, rows binary"
 
 
+def _merged_pairs(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct rows (key and two ranks) of a bucket's pieces, with summed counts."""
+    tally = Tally(3)
+    for n, width, rows in zip(part["n"], part["width"], part["rows"], strict=True):
+        found = _unpacked(n, width, rows)
+        tally.add(np.ascontiguousarray(found[:, :3]), found[:, 3])
+    return tally.result()
+
+
+def _together(part: pd.DataFrame, width: int, n_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, counts and numbers of leading words of all rows of a bucket's pieces.
+
+    Each piece goes to its place in the whole, and a rank takes no more room than it needs.
+    """
+    total = int(part["n"].sum())
+    words = np.empty((total, width), np.int32 if n_words < 1 << 31 else np.int64)
+    counts, lead = np.empty(total, np.int64), np.empty(total, np.int8)
+    at = 0
+    for n, columns, rows in zip(part["n"], part["width"], part["rows"], strict=True):
+        found = _unpacked(n, columns, rows)
+        here = slice(at, at + n)
+        words[here], counts[here], lead[here] = found[:, :width], found[:, width], found[:, width + 1]
+        at += n
+    return words, counts, lead
+
+
 def _pair_keys(a: np.ndarray, b: np.ndarray, n_words: int) -> np.ndarray:
     """One number of two ranks."""
     if n_words < 3_000_000_000:
@@ -303,8 +338,7 @@ def _count_pairs(docs: DataFrame, lexicon: SortedKeys, buckets: int, params: Col
         yield from flush()
 
     def merge(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        found = np.concatenate([_unpacked(r.n, r.width, r.rows) for r in part.itertuples()])
-        rows, n = _summed(np.ascontiguousarray(found[:, :3]), found[:, 3])
+        rows, n = _merged_pairs(part)
         keep = n >= params.least
         return pd.DataFrame(
             {"key": rows[keep, 0], "a": rows[keep, 1], "b": rows[keep, 2], "n": n[keep]}
@@ -410,11 +444,12 @@ def _count_phrases(
         yield from flush()
 
     def sort(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-        found = np.concatenate([_unpacked(r.n, r.width, r.rows) for r in part.itertuples()])
+        words, weight, leading = _together(part, width, lexicon.size)
         phrases, counts = [], []
-        for lead in np.unique(found[:, -1]).tolist():
-            own = found[found[:, -1] == lead]
-            for prefix, n in frequent_prefixes(np.ascontiguousarray(own[:, :width]), own[:, width], lead, params.least):
+        for lead in np.unique(leading).tolist():
+            own = np.flatnonzero(leading == lead)
+            rows, n_rows = (words, weight) if len(own) == len(words) else (words[own], weight[own])
+            for prefix, n in frequent_prefixes(rows, n_rows, lead, params.least):
                 phrases.append(prefix)
                 counts.append(n)
         if not phrases:

@@ -3,9 +3,11 @@
 import hashlib
 import math
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from brute import LOWER
 from compare import compare
@@ -101,6 +103,36 @@ def test_three_way_quicksort_counts_prefixes():
     assert found == {p: n for p, n in wanted.items() if n >= 30}
 
 
+def test_collocation_tasks_hold_few_copies_of_their_rows():
+    """A task's rows are handed on by and by, and sorted from one array with little room a row."""
+    random, width, n = np.random.default_rng(5), 5, 1_500_000
+    wanted, tally, pieces = np.zeros(width), collocations.Tally(width + 1), []
+
+    def hand_on():
+        rows, counts = tally.result()
+        tally.clear()
+        pieces.extend(collocations._packed(rows[:, 1:], counts, np.zeros(len(rows), np.int32), rows[:, 0]))
+
+    tracemalloc.start()
+    for _ in range(10):
+        words = random.integers(0, 30_000, (n // 10, width))
+        wanted += words.sum(axis=0)
+        tally.add(np.column_stack([np.full(len(words), 3), words]))
+        if tally.full():
+            hand_on()
+    hand_on()
+    counting = tracemalloc.get_traced_memory()[1]
+    part = pd.concat([p.to_pandas() for p in pieces])
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    words, counts, lead = collocations._together(part, width, 30_000)
+    sorting = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert counts.sum() == n and set(lead.tolist()) == {3}
+    assert ((words * counts[:, None]).sum(axis=0) == wanted).all()
+    assert counting < 300e6 and sorting < 60 * n
+
+
 def test_collocation_scores_beyond_64_bits(spark, monkeypatch):
     a, n, l, r = 3 * 10**12, 7 * 10**13, 5 * 10**12, 6 * 10**12
     frame = lambda rows, schema: spark.createDataFrame(rows, schema)
