@@ -3,7 +3,8 @@
 Features are hashed character 1- to 3-grams of the lower-cased text. Document frequencies are
 counted over every training row. The weights are fitted by follow-the-regularised-leader with an
 elastic net (L1 keeps them sparse) on a bounded sample of labelled rows, and a temperature fitted
-on rows of that sample which the weights have not seen calibrates the probabilities.
+on rows of that sample which the weights have not seen calibrates the probabilities. One task fits them,
+so the sample never comes to the driver; only the weights do.
 
 Null text, or one without a letter: ``und`` with score 0. Without labelled rows nothing is learned
 and every row gets ``und``. Repeated rows get equal predictions; the language with the smaller
@@ -137,7 +138,7 @@ def _document_frequencies(train: DataFrame, params: LangIdParams) -> tuple[int,
     return int(frequency[-1]), frequency[:-1]
 
 
-def _sample(train: DataFrame, params: LangIdParams) -> pd.DataFrame:
+def _sample(train: DataFrame, params: LangIdParams) -> DataFrame:
     """N-gram counts of about ``sample_rows`` rows, as many of each language as there are.
 
     Rows are picked by a hash of their id and text, so the sample is the same on every run.
@@ -168,8 +169,7 @@ def _sample(train: DataFrame, params: LangIdParams) -> pd.DataFrame:
 
     pick = F.xxhash64(F.lit("order"), "doc_id", "text").alias("pick")
     schema = "lang string, pick long, feature binary, n binary"
-    rows = picked.select("lang", "text", pick).mapInArrow(features, schema)
-    return rows.toPandas().sort_values(["pick", "lang"], kind="stable").reset_index(drop=True)
+    return picked.select("lang", "text", pick).mapInArrow(features, schema)
 
 
 def _ftrl(x: list, y: np.ndarray, n_langs: int, params: LangIdParams):
@@ -224,9 +224,27 @@ def train(docs: DataFrame, params: LangIdParams | None = None) -> LangIdModel |
     if not n_rows:
         return None
     idf = np.log((1.0 + n_rows) / (1.0 + frequency)) + 1.0
-    sample = _sample(usable, params)
-    if sample.empty:
+
+    def fit(batches):
+        found = [b.to_pandas() for b in batches if b.num_rows]
+        if found:
+            yield _fitted(pd.concat(found, ignore_index=True), idf, params)
+
+    # As many rows as there are languages.
+    rows = _sample(usable, params).repartition(1).mapInArrow(fit, FITTED).collect()
+    if not rows:
         return None
+    weights = np.stack([np.frombuffer(r["weights"], np.float64) for r in rows])
+    bias = np.array([r["bias"] for r in rows])
+    return LangIdModel(params, [r["lang"] for r in rows], idf, weights, bias, rows[0]["temperature"])
+
+
+FITTED = "lang string, weights binary, bias double, temperature double"
+
+
+def _fitted(sample: pd.DataFrame, idf: np.ndarray, params: LangIdParams) -> pa.RecordBatch:
+    """A row for each language, in their order, of what is learned from the sample."""
+    sample = sample.sort_values(["pick", "lang"], kind="stable")
     langs = sorted(sample["lang"].unique())
     y = sample["lang"].map({lang: k for k, lang in enumerate(langs)}).to_numpy()
     x = []
@@ -236,7 +254,16 @@ def train(docs: DataFrame, params: LangIdParams | None = None) -> LangIdModel |
     cut = len(x) - int(len(x) * params.calibration_share)
     weights, bias = _ftrl(x[:cut], y[:cut], len(langs), params)
     logits = np.array([weights[:, f] @ v + bias for f, v in x[cut:]]).reshape(-1, len(langs))
-    return LangIdModel(params, langs, idf, weights, bias, _temperature(logits, y[cut:]))
+    temperature = _temperature(logits, y[cut:])
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(langs, pa.string()),
+            pa.array([w.tobytes() for w in weights], pa.binary()),
+            pa.array(bias, pa.float64()),
+            pa.array([temperature] * len(langs), pa.float64()),
+        ],
+        names=["lang", "weights", "bias", "temperature"],
+    )
 
 
 def predict(docs: DataFrame, model: LangIdModel | None, text: str = "text") -> DataFrame:

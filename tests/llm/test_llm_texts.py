@@ -354,6 +354,22 @@ def test_language_odd_rows(docs, odd, empty):
     assert langid.predict(empty, model).count() == 0
 
 
+def test_language_sample_stays_out_of_the_driver(docs, monkeypatch):
+    wanted = langid.train(docs)
+    fitted = langid._ftrl
+
+    def only_in_a_task(*args):
+        from pyspark import TaskContext
+
+        assert TaskContext.get() is not None, "the sample came to the driver"
+        return fitted(*args)
+
+    monkeypatch.setattr(langid, "_ftrl", only_in_a_task)
+    model = langid.train(docs)
+    assert model.langs == wanted.langs == sorted(wanted.langs) and model.temperature == wanted.temperature
+    assert np.array_equal(model.weights, wanted.weights) and np.array_equal(model.bias, wanted.bias)
+
+
 def test_mix_stays_within_a_block(docs, odd, empty):
     weights = {f"src{k}": 1.0 + k for k in range(20)}
     rows = mixing.mix(docs, mixing.MixParams(weights=weights, parts=500, block_docs=2)).collect()
