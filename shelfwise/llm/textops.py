@@ -10,12 +10,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Numpy needs some 50 bytes for each byte of a slice. Where a slice's rows are combined, larger ones
 # leave less to shuffle.
 SLICE_BYTES = 1 << 21
+# Text that Spark hands to Python at once: a slice, with room for the last row and for other columns. Its usual
+# 10,000 rows are some 35 MB, which the executor and its Python workers hold several times over.
+BATCH_BYTES = SLICE_BYTES - (1 << 16)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _WHITE = np.zeros(256, bool)
@@ -25,6 +28,11 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _powers: list[np.ndarray] = []
 
 
+def small_batches(spark: SparkSession) -> None:
+    """A slice of text at a time, for the session, since rows are worked out when they are written."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit values."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from brute import LOWER
 from compare import compare
@@ -329,3 +330,38 @@ def test_suffix_dedup_query(spark):
         for r, (n, spans, kept) in zip(rows, plain_dedup([r.text for r in rows]), strict=True)
     ]
     assert sorted(tuple(r) for r in QUERIES["op12_suffix_dedup"](spark, SF_DIR).collect()) == wanted
+
+
+def test_pointers_of_a_slice_take_little_memory(monkeypatch):
+    random = np.random.default_rng(3)
+    sizes = random.integers(0, 6000, 700)
+    data = random.integers(97, 100, int(sizes.sum())).astype(np.uint8)[: suffix_dedup.SLICE]
+    at = np.minimum(np.append(0, np.cumsum(sizes)), len(data))
+    params = suffix_dedup.SuffixDedupParams()
+    (part,) = suffix_dedup.slices_of(np.arange(len(sizes)), at, data, params, len(data))
+    tracemalloc.start()
+    found = suffix_dedup.pointers(part, params)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40e6
+    for block in (len(data), 100_003):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        for a, b in zip(found, suffix_dedup.pointers(part, params), strict=True):
+            assert a.dtype == b.dtype and np.array_equal(a, b)
+
+
+def test_suffix_dedup_reads_a_slice_of_text_at_a_time(spark, tmp_path):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.nbytes]}, schema=pa.schema([("n", pa.int64())]))
+
+    spark.range(0, 4000, numPartitions=1).selectExpr("id doc_id", "repeat(uuid(), 40) text").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        QUERIES["op12_suffix_dedup"](spark, str(tmp_path))
+        texts = spark.read.parquet(f"{tmp_path}/documents.parquet")
+        assert max(r.n for r in texts.mapInArrow(sizes, "n long").collect()) <= suffix_dedup.SLICE
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", before)
