@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,7 +72,9 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per piece of a document with its sequence and its offset there; sequences follow the
     regions of the mix. A row's region depends on the rows alone, so it needs no column."""
     _small_batches(spark)
-    return packing.pack_regions(mixing.in_regions(docs, MIX), byte_bpe())
+    # A worker also holds what earlier stages left in it, beside an executor that has touched all its heap.
+    tokenizer = replace(byte_bpe(), cached_words=200_000, slice_bytes=1 << 19)
+    return packing.pack_regions(mixing.in_regions(docs, MIX), tokenizer)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -33,10 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfwise.llm.textops import slices
+from shelfwise.llm.textops import SLICE_BYTES, slices
 from shelfwise.sources.scratch import materialise
 
-_CACHED_WORDS = 600_000
+# Words that the tokenizer library is given at once: it returns the text and place of every token beside its id.
+_LEARNED_WORDS = 4000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, region int"
 
 
@@ -45,13 +46,16 @@ class TokenizerSpec:
     """A ``tokenizers`` file. ``word_pattern``, its own split into words, lets words be cached.
 
     ``latin_pattern`` says the same in the terms of ``re``, which is faster, for texts of printable
-    ASCII, tabs, line ends and Latin letters only.
+    ASCII, tabs, line ends and Latin letters only. A worker takes ``slice_bytes`` of text at a time and
+    keeps up to about ``cached_words`` words: less of these takes less memory and more time.
     """
 
     path: str
     end_id: int = 0
     word_pattern: str | None = None
     latin_pattern: str | None = None
+    cached_words: int = 600_000
+    slice_bytes: int = SLICE_BYTES
 
 
 _BEYOND_LATIN = re.compile(r"[^\t\n\r\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\u024f]")
@@ -99,6 +103,7 @@ class _Encoder:
         contents = sorted((t.content for t in added), key=len, reverse=True)
         self._added = re.compile(f"({'|'.join(map(re.escape, contents))})") if contents else None
         self._latin = re.compile(spec.latin_pattern) if spec.latin_pattern else None
+        self._most = spec.cached_words
         self._clear()
 
     def _clear(self):
@@ -108,15 +113,17 @@ class _Encoder:
 
     def _learn(self) -> None:
         words, self._places.unseen = self._places.unseen, []
-        parts = [words[k : k + 1000] for k in range(0, len(words), 1000)]
         pools, sizes = [self._pool], []
-        for part, found in zip(
-            parts,
-            self._tokenizer.encode_batch(parts, is_pretokenized=True, add_special_tokens=False),
-            strict=True,
-        ):
-            pools.append(np.array(found.ids, np.uint32))
-            sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
+        for begin in range(0, len(words), _LEARNED_WORDS):
+            some = words[begin : begin + _LEARNED_WORDS]
+            parts = [some[k : k + 1000] for k in range(0, len(some), 1000)]
+            for part, found in zip(
+                parts,
+                self._tokenizer.encode_batch(parts, is_pretokenized=True, add_special_tokens=False),
+                strict=True,
+            ):
+                pools.append(np.array(found.ids, np.uint32))
+                sizes.append(np.bincount(np.array(found.word_ids, np.int64), minlength=len(part)))
         before = len(self._pool)
         self._pool = np.concatenate(pools)
         self._ends = np.append(self._ends, before + np.cumsum(np.concatenate(sizes)))
@@ -139,7 +146,7 @@ class _Encoder:
         if self._words is None:
             found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array(e.ids, np.uint32) for e in found]
-        if len(self._places) > _CACHED_WORDS:
+        if len(self._places) > self._most:
             self._clear()
         split = [self._split(t) for t in texts]
         n_words = [len(own) for own in split]
@@ -181,7 +188,7 @@ def tokenized_pieces(docs: DataFrame, tokenizer: TokenizerSpec, capacity: int) -
         encoder = _encoder(tokenizer)
         end = np.array([tokenizer.end_id], np.uint32)
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, size=tokenizer.slice_bytes):
                 texts = part.column("text").fill_null("").to_pylist()
                 rows = []
                 for doc_id, region, ids in zip(

@@ -70,6 +70,28 @@ def test_packing_knows_the_added_token():
     assert expected[0] == [64, 220, 50256, 275]
 
 
+def test_packing_learns_few_words_at_once():
+    from dataclasses import replace
+
+    from tokenizers import Tokenizer
+
+    asked = []
+
+    class Asked:
+        def encode_batch(self, parts, **options):
+            asked.append(sum(map(len, parts)))
+            return tokenizer.encode_batch(parts, **options)
+
+    texts = [" ".join(f"wo{k + n}rd" for k in range(10_000)) for n in (0, 20_000, 5_000, 0)]
+    tokenizer = Tokenizer.from_file(byte_bpe().path)
+    encoder = packing._Encoder(replace(byte_bpe(), cached_words=15_000, slice_bytes=1 << 16))
+    encoder._tokenizer = Asked()
+    found = [encoder.encode(part)[0].tolist() for part in ([t] for t in texts)]
+    assert found == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert max(asked) <= 4000
+    assert len(encoder._places) <= 15_000 + 25_000
+
+
 def test_packing_is_close_to_full():
     histogram = {n: 3 + (n * 7919) % 50 for n in range(1, 2049)}
     packs = packing.pack_histogram(dict(histogram), packing.PackParams())
