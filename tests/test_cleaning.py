@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.functions import first_known, parse_date, ratio, sum_money, title_case, to_double, to_int, trim_text
+from shelfwise.functions.cleaning import DATE_TEXT
 from shelfwise.plans.specs import COMPANY_SALES, COMPETITOR_SALES, SELLER_CATALOG, clean
 
 
@@ -72,6 +73,21 @@ def test_parse_date(spark):
     assert apply(spark, list(cases), parse_date) == list(cases.values())
 
 
+def test_plain_dates_read_as_any_other_text(spark):
+    """Only text that is not read as a plain date meets the expression, and both agree."""
+    plain = lambda c: parse_date(c).cast("string")  # Python has no year 0
+    lenient = lambda c: F.regexp_replace(c, DATE_TEXT, "000$1-$2-$3").try_cast("date").cast("string")
+    rng = random.Random(3)
+    shape = lambda n: "".join(rng.choice("0012 -+T\tx") for _ in range(n))
+    values = [f"{shape(4)}-{shape(2)}-{shape(2)}" for _ in range(3000)]
+    values += [f"{y}-{m}-{d}" for y in ("2024", " 202", "+202", "0000") for m in ("02", "2 ", " 2", "13") for d in ("29", "1 ", "1T", "T1", "30")]
+    found = apply(spark, values, plain)
+    assert found == apply(spark, values, lenient)
+    assert sum(d is not None for d in found) > 10
+    plan = texts(spark, values).select(parse_date(F.col("s")))._jdf.queryExecution().analyzed().toString()
+    assert plan.index("____-__-__") < plan.index("regexp_replace")
+
+
 def test_parse_date_of_typed_columns(spark):
     df = spark.createDataFrame([(datetime.datetime(2026, 7, 28, 10), datetime.date(2026, 7, 28))], "t timestamp, d date")
     row = df.select(*[parse_date(F.col(c), df.schema[c].dataType).alias(c) for c in ("t", "d")]).first()

@@ -38,6 +38,14 @@ def test_missing_ids_hold_a_third(spark, rng):
     assert len(got) == len(best)
 
 
+def test_catalog_sorts_by_item_first(spark):
+    """An item has few sellers and a seller many items: most comparisons of a sort end at the first column."""
+    df = spark.createDataFrame([("1", "2", "n", "c", "3", "1")], ", ".join(f"{c} string" for c in SELLER_CATALOG.columns))
+    plan = dedupe_spec(df, SELLER_CATALOG)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line.split("Sort [")[1] for line in plan.splitlines() if "Sort [" in line]
+    assert len(sorts) == 2 and all(s.startswith("item_id") for s in sorts)
+
+
 def test_one_category_holds_a_third(spark, rng):
     categories = [f"c{i}" for i in range(20)]
     rows = [(f"i{n:05}", "n", hot(rng, categories, "c0"), rng.randrange(500)) for n in range(N)]
