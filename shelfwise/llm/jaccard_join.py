@@ -13,7 +13,8 @@ Jaccard distance is a metric. Two sets link when their distance is at most eps =
 * **Recursion**: each region first joins with one of its nodes, its leader; what links is verified
   exactly and components are formed. Only pairs of different components are joined further: those
   of uncrowded regions by counting common pivots and then whole sets, those of crowded ones under
-  their leader in blocks of a window of sizes, where only links that join components are kept.
+  their leader in blocks of a window of sizes, where only links that join components are kept. A set
+  waits there only if its crowded pivots are as many as a linked set must share with it.
 
 Documents come out with the smallest id of their component. Null text and texts without words have an
 empty set and link with nothing. Repeated rows count as equal sets; a null id is never a component's
@@ -31,9 +32,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.bit_filter import maybe_in
 from shelfwise.llm.components import connected_components
 from shelfwise.llm.textops import chain, mix, slices, word_hashes
-from shelfwise.sources.scratch import materialise
+from shelfwise.sources.scratch import freed_shuffles, materialise
 
 # Bytes of text whose sets a task computes at a time: nothing is combined within them.
 SLICE = 1 << 19
@@ -203,18 +205,24 @@ def _node_facts(sets: DataFrame, shared: DataFrame, params: JaccardParams) -> Da
         F.first("n_shingles").alias("n"), rep.alias("rep")
     )
     crowded = shared.groupBy("node").agg(F.count_if("crowded").alias("n_crowded"))
-    spare = F.floor(F.lit(100 - params.percent) * F.col("n") / 100)
-    window = F.least(F.col("n"), spare + 1 + F.greatest(F.lit(4), spare))
+    need_all = _need_all(F.col("n"), params)
     return crowded.join(nodes, "node").select(
         "node",
         "n",
         "rep.doc_id",
         "rep.text_key",
-        (window - spare).alias("need_all"),
-        (window - spare - F.col("n_crowded")).alias("need"),
+        need_all.alias("need_all"),
+        (need_all - F.col("n_crowded")).alias("need"),
     )
 
 
+def _need_all(n: Column, params: JaccardParams) -> Column:
+    """Pivots of its window that a set of ``n`` shares with a linked one, unless that one needs fewer."""
+    spare = F.floor(F.lit(100 - params.percent) * n / 100)
+    window = F.least(n, spare + 1 + F.greatest(F.lit(4), spare))
+    return window - spare
+
+
 def _sizes_fit(n_a: Column, n_b: Column, params: JaccardParams) -> Column:
     return 100 * F.least(n_a, n_b) >= params.percent * F.greatest(n_a, n_b)
 
@@ -224,15 +232,20 @@ def _with_texts(
 ) -> DataFrame:
     """``rows`` with the text of their node.
 
-    Up to ``broadcast_rows`` rows go to the scan of the documents; more are joined by a shuffle.
+    Up to ``broadcast_rows`` rows go to the scan of the documents; more are joined by a shuffle, of
+    those documents that a filter lets through.
     """
-    rows = rows.join(facts.select("node", "doc_id", "text_key"), "node")
+    named = {"doc_id": "its_id", "text_key": "its_key"}
+    rows = rows.join(facts.select("node", "doc_id", "text_key").withColumnsRenamed(named), "node")
     rows = materialise(rows, "wanted")
     keyed = _keyed(docs)
-    same = keyed["doc_id"].eqNullSafe(rows["doc_id"]) & (keyed["text_key"] == rows["text_key"])
     few = rows.count() <= params.broadcast_rows
+    if not few:
+        on, keys_on = [F.col(c) for c in named], [F.col(c) for c in named.values()]
+        keyed, _ = maybe_in(keyed, on, rows, keys_on, params.broadcast_rows)
+    same = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.col("text_key") == F.col("its_key"))
     found = keyed.join(F.broadcast(rows) if few else rows, same)
-    return found.select(*[rows[c] for c in rows.columns if c not in ("doc_id", "text_key")], "text")
+    return found.select(*[c for c in rows.columns if c not in named.values()], "text")
 
 
 def _verified(
@@ -347,13 +360,21 @@ def _crowded_links(
     visit all blocks of the classes that a set linked to them can be in, again block by block. A
     task compares a block of visitors with a block of members by their whole sets and returns the
     links that join two components there: fewer than it has rows.
+
+    Linked sets share as many pivots of their windows as one of the two needs. Where no region that is
+    not crowded has both, all of these are crowded pivots of both, and the other set is no smaller
+    than the threshold allows. So a set with fewer crowded pivots than the smallest such set needs
+    meets its partners elsewhere and is left out.
     """
     crowded = entries.filter("crowded").drop("leader")
     leaders = crowded.filter("need < 1").groupBy("pivot").agg(F.min(F.struct(_off_centre(), "node"))["node"].alias("leader"))
     wide = params.class_width * float(np.log(100 / params.percent))
     size_class = lambda n: F.floor(F.log(n) / wide)
+    smallest = F.ceil(F.col("n") * params.percent / 100)
+    enough = F.col("need_all") - F.col("need") >= _need_all(smallest, params)
     members = materialise(
-        crowded.join(leaders, "pivot")
+        crowded.filter(enough)
+        .join(leaders, "pivot")
         .select("leader", "node", "n", "need", "component")
         .distinct()
         .withColumn("class", size_class(F.col("n"))),
@@ -450,7 +471,11 @@ def _crowded_links(
 
 def near_duplicates(docs: DataFrame, params: JaccardParams | None = None) -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id."""
-    params = params or JaccardParams()
+    with freed_shuffles(docs.sparkSession):
+        return _near_duplicates(docs, params or JaccardParams())
+
+
+def _near_duplicates(docs: DataFrame, params: JaccardParams) -> DataFrame:
     sets = materialise(_sets(docs, params), "shingle-sets")
     shared = materialise(_shared_pivots(docs, params), "shared-pivots")
     facts = materialise(_node_facts(sets, shared, params), "node-facts")

@@ -10,8 +10,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.llm import jaccard_join, langid, license_rules, licenses, lm_score, mixing, packing, pii
+from shelfwise.llm.bit_filter import maybe_in
 from shelfwise.llm.queries import QUERIES, byte_bpe
 from shelfwise.llm.textops import word_hashes
+from shelfwise.sources.scratch import freed_shuffles, materialise
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -127,6 +129,65 @@ def test_jaccard_join_equals_brute_force(spark, docs, odd, crowd, block):
         assert (r.n_shingles, r.component_id) == (sizes[r.doc_id], groups[r.doc_id])
 
 
+@pytest.mark.parametrize("crowd,block", [(24, 150_000), (2, 60)])
+def test_jaccard_join_of_varied_sizes_equals_brute_force(spark, crowd, block):
+    """Also where no table of wanted texts is small enough for a broadcast."""
+    draw = random.Random(7)
+    rows = []
+    for group in range(12):
+        base = [f"g{group % 9}w{i}" for i in range(draw.choice((12, 40, 90)))]
+        for _ in range(30):
+            gone = {draw.randrange(len(base)) for _ in range(draw.randrange(3))}
+            own = [w for i, w in enumerate(base) if i not in gone]
+            rows.append((len(rows), " ".join(own[draw.randrange(4) : len(own) - draw.randrange(len(own) // 7)])))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    sizes, groups = brute.near_copies(dict(rows))
+    params = jaccard_join.JaccardParams(crowd=crowd, block_shingles=block, broadcast_rows=1)
+    found = jaccard_join.near_duplicates(table, params).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        assert (r.n_shingles, r.component_id) == (sizes[r.doc_id], groups[r.doc_id])
+
+
+@pytest.mark.parametrize("words,percent", [(4, 85), (5, 80)])
+def test_crowded_regions_hold_only_sets_that_may_link_there(spark, monkeypatch, words, percent):
+    line = "here is one line that very many texts have alike"
+    rows = [(k, f"{line} a{k}") for k in range(30)]
+    rows += [(100 + k, line + "".join(f" w{k}x{i}" for i in range(300))) for k in range(100)]
+    waiting = []
+
+    def written(df, label):
+        table = materialise(df, label)
+        if label == "crowded-members":
+            waiting.extend(r.n for r in table.collect())
+        return table
+
+    monkeypatch.setattr(jaccard_join, "materialise", written)
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = jaccard_join.near_duplicates(table, jaccard_join.JaccardParams(words, percent)).collect()
+    assert all(r.component_id == r.doc_id for r in found)
+    assert waiting and max(waiting) < 20
+
+
+def test_jaccard_join_frees_shuffles_and_leaves_the_session_as_it_was(spark, docs):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    jaccard_join.near_duplicates(docs)
+    assert spark.conf.get(key) == before
+    with freed_shuffles(spark):
+        assert spark.conf.get(key) == "true"
+
+
+def test_bit_filter_lets_all_wanted_rows_through(spark):
+    rows = spark.createDataFrame([(k if k % 50 else None, k % 3) for k in range(3000)], "slot long, bits int")
+    keys = rows.filter("slot % 10 = 3 or slot is null").select(F.col("slot").alias("a"), F.col("bits").alias("b"))
+    maybe, others = maybe_in(rows, [F.col("slot"), F.col("bits")], keys, [F.col("a"), F.col("b")], 100)
+    assert maybe.columns == others.columns == rows.columns
+    assert maybe.count() + others.count() == 3000
+    assert others.filter("slot % 10 = 3 or slot is null").count() == 0
+    assert others.count() > 2000
+
+
 def test_jaccard_join_odd_rows(odd, empty):
     rows = jaccard_join.near_duplicates(odd).collect()
     assert len(rows) == 10
