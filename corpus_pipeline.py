@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.llm import jaccard_join, langid, mixing, packing, pii
+from shelfwise.llm.bit_filter import maybe_in
 from shelfwise.llm.queries import byte_bpe
 from shelfwise.sources.scratch import materialise
 
@@ -37,9 +38,20 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return langid.confident(langid.predict(docs, model)).select(*docs.columns)
 
 
-def _small(rows: DataFrame, most: int = 250_000) -> DataFrame:
-    """``rows`` for a broadcast if they are few, else for a shuffle."""
-    return F.broadcast(rows) if rows.count() <= most else rows
+def _parted(rows: DataFrame, ids: DataFrame, most: int = 250_000) -> tuple[DataFrame, DataFrame]:
+    """The rows with one of the distinct ``ids``, and all others.
+
+    A few ids are broadcast; beside more, rows that surely have none of them are not shuffled.
+    """
+    ids, others = ids.withColumnRenamed("doc_id", "its_id"), None
+    if ids.count() <= most:
+        ids = F.broadcast(ids)
+    else:
+        on, keys_on = ([F.col(c).cast("long")] for c in ("doc_id", "its_id"))
+        rows, others = maybe_in(rows, on, ids, keys_on, most)
+    same = rows["doc_id"].eqNullSafe(ids["its_id"])
+    without = rows.join(ids, same, "left_anti")
+    return rows.join(ids, same, "left_semi"), without if others is None else others.unionByName(without)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,14 +59,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     _small_batches(spark)
     found = jaccard_join.near_duplicates(docs, NEAR)
     copies = found.filter("doc_id != component_id").select("doc_id").distinct()
-    copies = _small(materialise(copies, "copies"))
+    _, left = _parted(docs, materialise(copies, "copies"))
     repeated = docs.groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    repeated = _small(materialise(repeated, "repeated"))
-    left = docs.join(copies, "doc_id", "left_anti")
-    same = left["doc_id"].eqNullSafe(repeated["doc_id"])
-    once = left.join(repeated, same, "left_anti")
-    more = left.join(repeated, same, "left_semi").dropDuplicates()
-    return once.unionByName(more).select(*docs.columns)
+    more, once = _parted(left, materialise(repeated, "repeated"))
+    return once.unionByName(more.dropDuplicates()).select(*docs.columns)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

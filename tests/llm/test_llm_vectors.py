@@ -1,5 +1,6 @@
 import html
 import time
+from collections import Counter
 from html.entities import html5
 
 import duckdb
@@ -212,6 +213,20 @@ def test_pipeline_joins_near_copies_of_five_words_and_four_fifths(spark):
     assert sorted(r.doc_id for r in kept) == sorted(set(groups.values()))
 
 
+@pytest.mark.parametrize("most", [1000, 7])
+def test_pipeline_parts_rows_by_few_and_by_many_ids(spark, most):
+    import corpus_pipeline
+
+    rows = [(k if k % 40 else None, f"t{k}") for k in range(400)] + [(33, "again"), (34, "again")]
+    docs = spark.createDataFrame(rows, "doc_id int, its_id string")
+    for wanted in ({k for k in range(400) if k % 3 == 0 and k % 40}, {None, 34}):
+        ids = spark.createDataFrame([(k,) for k in wanted], "doc_id long")
+        inside, outside = corpus_pipeline._parted(docs, ids, most)
+        assert inside.columns == outside.columns == docs.columns
+        assert Counter(map(tuple, inside.collect())) == Counter(r for r in rows if r[0] in wanted)
+        assert Counter(map(tuple, outside.collect())) == Counter(r for r in rows if r[0] not in wanted)
+
+
 def test_pipeline_packs_follow_the_weights_of_the_mix(spark, monkeypatch):
     import corpus_pipeline
 
