@@ -279,6 +279,27 @@ def test_licenses_equal_brute_force(docs, odd):
             assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(","))
 
 
+def test_license_words_are_counted_without_matching_each(spark):
+    """The same number as that of matches, and each keyword is looked for once."""
+    odd = ["", None, " ", "a", " a", "a ", "A-b_c\t d\x00e\x7ff", "für \u00a0x 𝒳y,é", "1.2.3\n\n4", "mit license" * 3]
+    rows = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    found = licenses.scan(rows)
+    pattern = re.compile(licenses.WORD + "+")
+    assert [r.n_words for r in found.orderBy("doc_id").collect()] == [
+        len(pattern.findall((t or "").lower())) for t in odd
+    ]
+    plan = found.select("n_words")._jdf.queryExecution().optimizedPlan().toString()
+    assert "translate" in plan and "regexp" not in plan
+    plan = found.select("detections")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("latex project public,") <= 1
+
+
+def test_license_phrases_stand_between_words_only(spark):
+    odd = ["mit license", "xmit license", "émit license", "𝒳mit license", "a mit-license, 1mit license", "-mit\n license! mit licenses"]
+    rows = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    assert [r.n_base for r in licenses.scan(rows).orderBy("doc_id").collect()] == [1, 0, 0, 0, 1, 1]
+
+
 def test_license_rules_suppress_contained_detections(spark, empty):
     assert len(license_rules.all_rules()) > 200
     text = "Licensed under the Apache License, Version 2.0. See MIT License. GPL is not named here."
